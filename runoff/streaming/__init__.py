@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The reference is a quarterly batch computation: it has no unbounded input,
+watermark, event-time window or stateful operator.  The incremental step it
+does have - rolling the as-of date by a quarter - is a batch re-run with a
+new ``EclConfig.as_of``; the loan-level feed is the only heavy stage and
+is recomputed from the partitioned source tables.
+"""
