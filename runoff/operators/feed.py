@@ -76,7 +76,7 @@ def collapse_to_cohort(feed_g: DataFrame, disb_g: DataFrame, cfg: EclConfig,
     return (d.crossJoin(F.broadcast(grid))
             .join(f, ["segment", "cohort_end", "mob"], "left")
             .select(fiscal_quarter_label("cohort_end").alias("fy_quarter"),
-                    iso("cohort_end").alias("cohort_end"), "mob",
+                    iso("cohort_end").alias("cohort_end"), F.col("mob").cast("long").alias("mob"),
                     F.col("lan_cnt").cast("long").alias("lan_cnt"),
                     F.round(to_crore("disb_uc"), 6).alias("disbursal_cr"),
                     F.round(to_crore(F.coalesce("dpd90_uc", F.lit(0))), 6).alias("dpd90_cr"),
