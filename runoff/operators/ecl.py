@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runoff.config import EclConfig, Window
+from runoff.functions.joins import maybe_broadcast
 from runoff.functions.numeric import safe_ratio
 
 WINDOW_SCHEMA = ("window string, fy_start string, fy_end string, anchor_mob int, "
@@ -22,7 +23,8 @@ def windows_df(spark, windows: tuple[Window, ...] | list[Window]) -> DataFrame:
     return spark.createDataFrame(rows, WINDOW_SCHEMA)
 
 
-def weighted_loss_rate(loss: DataFrame, cfg: EclConfig, windows=None) -> DataFrame:
+def weighted_loss_rate(loss: DataFrame, cfg: EclConfig, windows=None, small: bool = False
+                       ) -> DataFrame:
     """E2 (A7, A8, J4): per (segment, window): quarters, total disbursal,
     simple and disbursal-weighted average loss rate.  Empty window: weighted
     0, simple NULL, 0 quarters."""
@@ -30,7 +32,7 @@ def weighted_loss_rate(loss: DataFrame, cfg: EclConfig, windows=None) -> DataFra
     wdf = windows_df(spark, windows or cfg.windows)  # config-sized
     groups = loss.select("segment").distinct()
     wg = groups.crossJoin(F.broadcast(wdf)).alias("w")
-    l = loss.alias("l")
+    l = maybe_broadcast(loss, small).alias("l")
     cond = ((F.col("w.segment") == F.col("l.segment"))
             & (F.col("w.anchor_mob") == F.col("l.anchor_mob"))
             & F.col("l.cohort_end").between(F.col("w.first_day"), F.col("w.last_day")))
@@ -42,10 +44,8 @@ def weighted_loss_rate(loss: DataFrame, cfg: EclConfig, windows=None) -> DataFra
             .agg(F.count(F.col("l.cohort_end")).alias("n_quarters"),
                  F.coalesce(F.sum(w), F.lit(0.0)).alias("total_disb"),
                  F.avg(lr).alias("simple_avg_lr"),
-                 F.sum(lr * w).alias("_sp"), F.sum(w).alias("_sw"))
-            .withColumn("weighted_avg_lr", safe_ratio(F.col("_sp"), F.col("_sw")))
-            .withColumn("ecl_pct", F.col("weighted_avg_lr"))
-            .drop("_sp", "_sw"))
+                 safe_ratio(F.sum(lr * w), F.sum(w)).alias("weighted_avg_lr"))
+            .withColumn("ecl_pct", F.col("weighted_avg_lr")))
 
 
 def headline(wavg: DataFrame, cfg: EclConfig, segment: str = "all") -> DataFrame:

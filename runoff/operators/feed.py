@@ -50,6 +50,54 @@ def feed_disbursal(loans: DataFrame, cfg: EclConfig) -> DataFrame:
             .select("cohort_end", "segment", "lan_cnt", micro_crore("_a").alias("disb_uc")))
 
 
+def feed_with_disbursal(loans: DataFrame, perf: DataFrame, cfg: EclConfig) -> DataFrame:
+    """J1 + A2 in ONE aggregation pass: loan rows (``mob`` NULL: count and
+    disbursal) are unioned with the joined performance rows (one per loan x
+    MOB: 90+ and TPOS), and a single hash aggregate with map-side partial
+    aggregation reduces both to (cohort_end, segment, mob).  One scan of
+    each table, one join, one small exchange; :func:`split_feed` separates
+    the two tables afterwards.  Amounts are rounded to micro-crore per group."""
+    lw = loans_in_window(loans, cfg).select("loan_no", "cohort_end", "segment", "amount_cents")
+    p = (perf.select("loan_no", "mob", "tpos_cents", "dpd90_cents")
+         .filter(F.col("mob").isin(list(cfg.extract_grid.mobs))))
+    none_l = F.lit(None).cast("long")
+    perf_rows = (p.join(lw.select("loan_no", "cohort_end", "segment"), "loan_no")
+                 .select("cohort_end", "segment", "mob", none_l.alias("amount_cents"),
+                         F.lit(0).cast("long").alias("one"), "dpd90_cents", "tpos_cents"))
+    loan_rows = lw.select("cohort_end", "segment", F.lit(None).cast("int").alias("mob"),
+                          "amount_cents", F.lit(1).cast("long").alias("one"),
+                          none_l.alias("dpd90_cents"), none_l.alias("tpos_cents"))
+    return (perf_rows.unionByName(loan_rows)
+            .groupBy("cohort_end", "segment", "mob")
+            .agg(F.sum("one").alias("lan_cnt"), F.sum("amount_cents").alias("_a"),
+                 F.sum("dpd90_cents").alias("_d"), F.sum("tpos_cents").alias("_t"))
+            .select("cohort_end", "segment", "mob", "lan_cnt",
+                    micro_crore("_a").alias("disb_uc"),
+                    micro_crore("_d").alias("dpd90_uc"), micro_crore("_t").alias("tpos_uc")))
+
+
+def split_feed(both: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(feed, disbursal) from :func:`feed_with_disbursal`."""
+    feed = both.filter(F.col("mob").isNotNull()).select(
+        "cohort_end", "segment", "mob", "dpd90_uc", "tpos_uc")
+    disb = both.filter(F.col("mob").isNull()).select(
+        "cohort_end", "segment", "lan_cnt", "disb_uc")
+    return feed, disb
+
+
+def group_feed(both: DataFrame, n_groups: int) -> DataFrame:
+    """Feed and disbursal rows of every segment group: each row is counted in
+    its own segment and in ``'all'`` (the whole book is the sum of the
+    already-rounded segment rows, the reference's order).  The rows are
+    hash-partitioned once by group; the aggregate and every later phase keyed
+    by (segment, ...) reuse that partitioning."""
+    g = F.explode(F.array(F.col("segment").cast("string"), F.lit("all"))).alias("segment")
+    return (both.select("cohort_end", "mob", "lan_cnt", "disb_uc", "dpd90_uc", "tpos_uc", g)
+            .repartition(n_groups, "segment")
+            .groupBy("segment", "cohort_end", "mob")
+            .agg(*[F.sum(c).alias(c) for c in ("lan_cnt", "disb_uc", "dpd90_uc", "tpos_uc")]))
+
+
 def with_book_total(df: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
     """Segment rows (segment as text) plus a whole-book ``'all'`` row per key,
     summed from the already-rounded segment rows (the reference's order)."""

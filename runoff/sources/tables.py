@@ -108,7 +108,20 @@ def loans_from_orders(orders: DataFrame, cfg: EclConfig) -> DataFrame:
 
 
 def driver_loans(spark: SparkSession, sf_dir: str, cfg: EclConfig) -> DataFrame:
-    return loans_from_orders(spark.read.parquet(orders_path(sf_dir)), cfg)
+    return spread_by_key(loans_from_orders(spark.read.parquet(orders_path(sf_dir)), cfg),
+                         "loan_no")
+
+
+def spread_by_key(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a table over the cluster's cores when its scan yields
+    fewer splits than cores (a small file of few row groups).  The schedule
+    expansion multiplies each loan into ~40 rows, so an unsplit input would
+    leave one task doing all the work.  On a table of many files this is a
+    no-op: its scan already has at least as many splits as cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
 
 
 # ------------------------------------------ schedule expansion
