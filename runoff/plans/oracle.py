@@ -133,8 +133,8 @@ def ctes(cfg: EclConfig) -> list[str]:
   FROM lagged GROUP BY segment, mob)""",
         f"""fac AS (
   SELECT *, {_ratio('num_dpd90', 'den_dpd90')} AS f_dpd90, {_ratio('num_tpos', 'den_tpos')} AS f_tpos,
-         n_projected > 0 AND COALESCE(den_dpd90, 0) = 0 AND COALESCE(num_dpd90, 0) <> 0 AS degenerate_dpd90,
-         n_projected > 0 AND COALESCE(den_tpos, 0) = 0 AND COALESCE(num_tpos, 0) <> 0 AS degenerate_tpos
+         n_projected > 0 AND den_dpd90 IS NOT NULL AND den_dpd90 = 0 AND COALESCE(num_dpd90, 0) <> 0 AS degenerate_dpd90,
+         n_projected > 0 AND den_tpos IS NOT NULL AND den_tpos = 0 AND COALESCE(num_tpos, 0) <> 0 AS degenerate_tpos
   FROM fac0)""",
         """filled AS (
   SELECT c.*,
