@@ -83,12 +83,23 @@ def _check(name: str, diff, tol: float | None, warn_only: bool = False):
             F.when(ok, F.lit("PASS")).otherwise(bad).alias("result")]
 
 
+def _check_struct(name: str, diff, tol: float | None, warn_only: bool = False):
+    """One check row as a struct (several checks leave one aggregate row
+    through a single explode, so the plan above them is not duplicated)."""
+    return F.struct(*_check(name, diff, tol, warn_only))
+
+
+def _rows(df: DataFrame, structs: list) -> DataFrame:
+    return df.select(F.explode(F.array(*structs)).alias("c")).select("c.*")
+
+
 def reconcile_feed(loans: DataFrame, perf: DataFrame, feed_long: DataFrame, disb: DataFrame,
                    cfg: EclConfig) -> DataFrame:
-    """R1-R4 (+R9): the long-first feed against a pivot-first recompute
-    (per-loan wide rows, joined to loans, summed per cohort and segment),
-    compared per (cohort, segment[, mob]) - segment kept, so a loan filed
-    under the wrong segment fails."""
+    """R1-R4 (+R9): the feed against a pivot-first recompute (per-loan wide
+    rows, joined to loans, summed per cohort and segment), compared per
+    (cohort, segment, mob) with loan count and disbursal on a MOB -1 row -
+    segment kept, so a loan filed under the wrong segment fails.  One join,
+    one aggregate: the independent path runs once."""
     mobs = cfg.extract_grid.mobs
     wide = loan_mob_wide(perf, cfg)
     lw = loans_in_window(loans, cfg).select("loan_no", "cohort_end", "segment", "amount_cents")
@@ -97,30 +108,31 @@ def reconcile_feed(loans: DataFrame, perf: DataFrame, feed_long: DataFrame, disb
          .agg(F.count(F.lit(1)).alias("exp_cnt"), F.sum("amount_cents").alias("exp_amt"),
               *[F.sum(f"bad_{m}").alias(f"b{m}") for m in mobs],
               *[F.sum(f"tpos_{m}").alias(f"t{m}") for m in mobs]))
-    exp_long = g.select("cohort_end", "segment", F.explode(F.array(*[
-        F.struct(F.lit(m).alias("mob"), F.col(f"b{m}").alias("exp_d"), F.col(f"t{m}").alias("exp_t"))
-        for m in mobs])).alias("x")).select("cohort_end", "segment", "x.*")
+    none = F.lit(None).cast("long")
+    cells = [F.struct(F.lit(-1).alias("k"), F.col("exp_cnt").alias("e_cnt"),
+                      F.col("exp_amt").alias("e_amt"), none.alias("e_d"), none.alias("e_t"))]
+    cells += [F.struct(F.lit(m).alias("k"), none.alias("e_cnt"), none.alias("e_amt"),
+                       F.col(f"b{m}").alias("e_d"), F.col(f"t{m}").alias("e_t")) for m in mobs]
+    exp = (g.select("cohort_end", "segment", F.explode(F.array(*cells)).alias("x"))
+           .select("cohort_end", "segment", "x.*"))
     k = MICRO_CRORE_MINOR_UNITS
-    cr = float(MINOR_UNITS_PER_CRORE)
-    head = (disb.join(g.select("cohort_end", "segment", "exp_cnt", "exp_amt"),
-                      ["cohort_end", "segment"], "full_outer")
-            .agg(F.max(F.abs(F.coalesce("lan_cnt", F.lit(0)) - F.coalesce("exp_cnt", F.lit(0))))
-                 .alias("d_cnt"),
-                 F.max(F.abs(F.coalesce(F.col("disb_uc") * k, F.lit(0))
-                             - F.coalesce("exp_amt", F.lit(0)))).alias("d_amt")))
-    mob_d = (feed_long.join(exp_long, ["cohort_end", "segment", "mob"], "full_outer")
-             .agg(F.max(F.abs(F.coalesce(F.col("dpd90_uc") * k, F.lit(0))
-                              - F.coalesce("exp_d", F.lit(0)))).alias("d_d"),
-                  F.max(F.abs(F.coalesce(F.col("tpos_uc") * k, F.lit(0))
-                              - F.coalesce("exp_t", F.lit(0)))).alias("d_t")))
-    both = head.crossJoin(mob_d)
-    rows = [
-        both.select(*_check("LAN_CNT", F.col("d_cnt"), None)),
-        both.select(*_check("DISBURSAL_AMT", F.col("d_amt").cast("double") / F.lit(cr), cfg.tol)),
-        both.select(*_check("90+ sums (all MOB)", F.col("d_d").cast("double") / F.lit(cr), cfg.tol)),
-        both.select(*_check("TPOS sums (all MOB)", F.col("d_t").cast("double") / F.lit(cr), cfg.tol)),
-    ]
-    return reduce(DataFrame.unionByName, rows)
+    got = (feed_long.select("cohort_end", "segment", F.col("mob").alias("k"),
+                            none.alias("lan_cnt"), none.alias("disb_uc"), "dpd90_uc", "tpos_uc")
+           .unionByName(disb.select("cohort_end", "segment", F.lit(-1).alias("k"), "lan_cnt",
+                                    "disb_uc", none.alias("dpd90_uc"), none.alias("tpos_uc"))))
+    z = F.lit(0)
+    diff = lambda a, b: F.max(F.abs(F.coalesce(a, z) - F.coalesce(b, z)))
+    d = (got.join(exp, ["cohort_end", "segment", "k"], "full_outer")
+         .agg(diff(F.col("lan_cnt"), F.col("e_cnt")).alias("d_cnt"),
+              diff(F.col("disb_uc") * k, F.col("e_amt")).alias("d_amt"),
+              diff(F.col("dpd90_uc") * k, F.col("e_d")).alias("d_d"),
+              diff(F.col("tpos_uc") * k, F.col("e_t")).alias("d_t")))
+    cr = F.lit(float(MINOR_UNITS_PER_CRORE))
+    return _rows(d, [
+        _check_struct("LAN_CNT", F.col("d_cnt"), None),
+        _check_struct("DISBURSAL_AMT", F.col("d_amt").cast("double") / cr, cfg.tol),
+        _check_struct("90+ sums (all MOB)", F.col("d_d").cast("double") / cr, cfg.tol),
+        _check_struct("TPOS sums (all MOB)", F.col("d_t").cast("double") / cr, cfg.tol)])
 
 
 # ------------------------------------------------------------------ R5
@@ -133,38 +145,42 @@ def _wide_triangle(tri: DataFrame, cfg: EclConfig) -> DataFrame:
 
 
 def reconcile_loss_rate(tri: DataFrame, loss_df: DataFrame, cfg: EclConfig) -> DataFrame:
-    """Loss rate per anchor re-derived from the wide amount triangles."""
+    """Loss rate per anchor re-derived from the wide amount triangles
+    (disbursal + the yearly TPOS columns summed left to right), all anchors
+    in one pass, compared per (segment, cohort, anchor)."""
     w = _wide_triangle(tri, cfg)
     disb = to_crore("disb_uc")
-    rows = []
+    per_anchor = []
     for a in cfg.anchors:
         den = disb
         for m in range(YEAR_MOB, a, YEAR_MOB):
             den = den + F.col(f"{m}_t")
-        lr = safe_ratio(F.col(f"{a}_d"), den)
-        re = w.select("segment", "cohort_end", lr.alias("lr_re"))
-        got = loss_df.filter(F.col("anchor_mob") == a).select("segment", "cohort_end", "loss_rate")
-        d = (re.join(got, ["segment", "cohort_end"], "full_outer")
-             .agg(F.round(F.max(F.abs(F.coalesce("lr_re", F.lit(0.0))
-                                      - F.coalesce("loss_rate", F.lit(0.0)))), DIFF_DP).alias("d")))
-        rows.append(d.select(*_check(f"loss_rate {a}M", F.col("d"), cfg.tol)))
-    return reduce(DataFrame.unionByName, rows)
+        per_anchor.append(F.struct(F.lit(a).alias("anchor_mob"),
+                                   safe_ratio(F.col(f"{a}_d"), den).alias("lr_re")))
+    re = (w.select("segment", "cohort_end", F.explode(F.array(*per_anchor)).alias("x"))
+          .select("segment", "cohort_end", "x.*"))
+    got = loss_df.select("segment", "cohort_end", "anchor_mob", "loss_rate")
+    ad = F.abs(F.coalesce("lr_re", F.lit(0.0)) - F.coalesce("loss_rate", F.lit(0.0)))
+    d = (re.join(got, ["segment", "cohort_end", "anchor_mob"], "full_outer")
+         .agg(*[F.round(F.max(F.when(F.col("anchor_mob") == a, ad)), DIFF_DP).alias(f"d{a}")
+                for a in cfg.anchors]))
+    return _rows(d, [_check_struct(f"loss_rate {a}M", F.col(f"d{a}"), cfg.tol)
+                     for a in cfg.anchors])
 
 
 # ------------------------------------------------------------------ R6
 def reconcile_weighted(loss_df: DataFrame, wavg: DataFrame, cfg: EclConfig) -> DataFrame:
-    """Each weighted average re-derived as sum(lr*w)/sum(w) from the
-    per-cohort loss table, window by window."""
-    rows = []
-    for win in cfg.windows:
-        sel = loss_df.filter((F.col("anchor_mob") == win.anchor_mob)
-                             & F.col("cohort_end").between(F.lit(win.first_day), F.lit(win.last_day)))
-        re = sel.groupBy("segment").agg(
-            safe_ratio(F.sum(F.col("loss_rate") * F.col("disb_cr")), F.sum("disb_cr")).alias("re"))
-        got = wavg.filter(F.col("window") == win.name).select("segment", "weighted_avg_lr")
-        rows.append(re.join(got, "segment", "full_outer").select(
-            F.abs(F.coalesce("re", F.lit(0.0)) - F.coalesce("weighted_avg_lr", F.lit(0.0))).alias("d")))
-    d = reduce(DataFrame.unionByName, rows).agg(F.round(F.max("d"), DIFF_DP).alias("d"))
+    """Every window's weighted average re-derived as sum(lr*w)/sum(w)
+    over the cohorts inside its bounds, all windows in one pass."""
+    wdf = ecl.windows_df(loss_df.sparkSession, cfg.windows)  # config-sized
+    sel = loss_df.join(F.broadcast(wdf), (loss_df.anchor_mob == wdf.anchor_mob)
+                       & loss_df.cohort_end.between(wdf.first_day, wdf.last_day))
+    re = sel.groupBy("segment", "window").agg(
+        safe_ratio(F.sum(F.col("loss_rate") * F.col("disb_cr")), F.sum("disb_cr")).alias("re"))
+    got = wavg.select("segment", "window", "weighted_avg_lr")
+    d = (re.join(got, ["segment", "window"], "full_outer")
+         .agg(F.round(F.max(F.abs(F.coalesce("re", F.lit(0.0))
+                                  - F.coalesce("weighted_avg_lr", F.lit(0.0)))), DIFF_DP).alias("d")))
     return d.select(*_check("weighted-avg LR", F.col("d"), cfg.tol))
 
 
