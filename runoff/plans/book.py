@@ -47,6 +47,12 @@ class Book:
         return cls(spark, tables.read_loans(spark, loans_path),
                    tables.read_performance(spark, perf_path), cfg, **kw)
 
+    @classmethod
+    def from_tables(cls, spark: SparkSession, loans_table: str, perf_table: str,
+                    cfg: EclConfig = DEFAULT, **kw) -> "Book":
+        """Catalog tables, e.g. written bucketed by loan key (sources.layout)."""
+        return cls(spark, spark.table(loans_table), spark.table(perf_table), cfg, **kw)
+
     def _cut(self, df: DataFrame) -> DataFrame:
         """Materialise a phase table in the checkpoint directory (lineage cut)."""
         if not self.materialize:
