@@ -33,11 +33,3 @@ def safe_ratio(num, den) -> Column:
     n = F.col(num) if isinstance(num, str) else num
     d = F.col(den) if isinstance(den, str) else den
     return F.when(d.isNull() | (d == 0), F.lit(0.0)).otherwise(n.cast("double") / d.cast("double"))
-
-
-def amt(c) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, AMOUNT_DP)
-
-
-def rate(c) -> Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, RATE_DP)

@@ -3,8 +3,10 @@
 The loan-level work is one join of the long performance table with the
 window-filtered loans on the loan key, followed by a hash aggregation to
 (cohort, segment, mob) with map-side partial aggregation.  The output has
-at most cohorts x segments x 41 rows whatever the book size, so everything
-downstream works on a tiny table.
+at most cohorts x segments x 42 rows whatever the book size, so everything
+downstream works on a tiny table.  Performance rows whose loan is missing or
+outside the window drop out (inner join); loans without performance still
+count in the loan-grain rows.
 """
 from __future__ import annotations
 
@@ -24,32 +26,6 @@ def loans_in_window(loans: DataFrame, cfg: EclConfig, start=None, end=None) -> D
             .withColumn("cohort_end", cohort_end("disbursal_date")))
 
 
-def feed_long(loans: DataFrame, perf: DataFrame, cfg: EclConfig) -> DataFrame:
-    """J1 + A2 + P9: (cohort_end, segment, mob, dpd90_uc, tpos_uc) in micro-crore.
-
-    Performance rows whose loan is missing or outside the window drop out
-    (inner join); loans without performance still count in feed_disbursal.
-    Amounts are exact integer sums, rounded half-up to 1e-6 crore per
-    (cohort, segment, mob) before any further sum.
-    """
-    lw = loans_in_window(loans, cfg).select("loan_no", "cohort_end", "segment")
-    p = (perf.select("loan_no", "mob", "tpos_cents", "dpd90_cents")
-         .filter(F.col("mob").isin(list(cfg.extract_grid.mobs))))
-    return (p.join(lw, "loan_no")
-            .groupBy("cohort_end", "segment", "mob")
-            .agg(F.sum("dpd90_cents").alias("_d"), F.sum("tpos_cents").alias("_t"))
-            .select("cohort_end", "segment", "mob",
-                    micro_crore("_d").alias("dpd90_uc"), micro_crore("_t").alias("tpos_uc")))
-
-
-def feed_disbursal(loans: DataFrame, cfg: EclConfig) -> DataFrame:
-    """A2: loan count and disbursal (micro-crore) per (cohort, segment)."""
-    return (loans_in_window(loans, cfg)
-            .groupBy("cohort_end", "segment")
-            .agg(F.count(F.lit(1)).alias("lan_cnt"), F.sum("amount_cents").alias("_a"))
-            .select("cohort_end", "segment", "lan_cnt", micro_crore("_a").alias("disb_uc")))
-
-
 def feed_with_disbursal(loans: DataFrame, perf: DataFrame, cfg: EclConfig) -> DataFrame:
     """J1 + A2 in ONE aggregation pass: loan rows (``mob`` NULL: count and
     disbursal) are unioned with the joined performance rows (one per loan x
@@ -98,15 +74,6 @@ def group_feed(both: DataFrame, n_groups: int) -> DataFrame:
             .agg(*[F.sum(c).alias(c) for c in ("lan_cnt", "disb_uc", "dpd90_uc", "tpos_uc")]))
 
 
-def with_book_total(df: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
-    """Segment rows (segment as text) plus a whole-book ``'all'`` row per key,
-    summed from the already-rounded segment rows (the reference's order)."""
-    seg = df.select(*keys, F.col("segment").cast("string").alias("segment"), *measures)
-    tot = (df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
-           .select(*keys, F.lit("all").alias("segment"), *measures))
-    return seg.unionByName(tot)
-
-
 def segment_feed(feed: DataFrame, segment: int) -> DataFrame:
     """The feed of one segment."""
     return feed.filter(F.col("segment") == segment)

@@ -15,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runoff.config import DEFAULT, EclConfig
+from runoff.config import DEFAULT, EclConfig, normalise_fiscal_year, normalise_segment
 from runoff.functions.joins import small_from_feed_rows
 from runoff.operators import ecl, feed, loss, triangle
 from runoff.session import ensure_checkpoint_dir
@@ -164,7 +164,6 @@ class Book:
 
     def segment_ecl(self, segment, fy_start, fy_end, anchor) -> tuple[DataFrame, DataFrame]:
         """E4 + E5 with argument checks (P12, P13): returns (summary, detail)."""
-        from runoff.config import normalise_fiscal_year, normalise_segment
         seg = normalise_segment(segment, self.cfg.segments)
         y1 = normalise_fiscal_year(fy_start, self.cfg.century_pivot)
         y2 = normalise_fiscal_year(fy_end, self.cfg.century_pivot)
@@ -179,8 +178,7 @@ class Book:
 
     def check_segment_args(self, segment, fy_start, fy_end, anchor) -> None:
         """Driver-side emptiness checks (small, bounded actions)."""
-        seg = __import__("runoff.config", fromlist=["x"]).normalise_segment(
-            segment, self.cfg.segments)
+        seg = normalise_segment(segment, self.cfg.segments)
         if self.disb_g.filter(F.col("segment") == seg).isEmpty():
             raise ValueError(f"no rows for segment {seg!r} in the feed")
         _, detail = self.segment_ecl(segment, fy_start, fy_end, anchor)

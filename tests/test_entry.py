@@ -68,3 +68,15 @@ def test_reference_scale_figures_sf001(spark):
 def test_validation_gate_passes(spark):
     rows = {r.check_name: r.result for r in E.queries()["validation_checks"](spark, SF001).collect()}
     assert rows["OVERALL"] == "PASS"
+
+
+def test_reference_like_tenor_anchors_coincide(spark):
+    # FIXTURES.md: with tenures <= 60 and early defaults TPOS is 0 after MOB 60,
+    # so the rates at 72M and 84M are equal (a parity fixture only); the
+    # fixture's last digit was computed without the 6-dp feed rounding
+    from runoff.config import DEFAULT
+    from runoff.plans.book import Book
+    b = Book.from_driver_tables(spark, SF01, DEFAULT.with_(tenor="reference"))
+    w = {r.window: r.weighted_avg_lr for r in b.wavg.filter("segment = 'all'").collect()}
+    assert w["FY97-FY00 @ 72M"] == pytest.approx(w["FY97-FY00 @ 84M"], abs=1e-12)
+    assert w["FY97-FY00 @ 84M"] == pytest.approx(0.01304315, abs=2e-8)
