@@ -108,8 +108,7 @@ def loans_from_orders(orders: DataFrame, cfg: EclConfig) -> DataFrame:
 
 
 def driver_loans(spark: SparkSession, sf_dir: str, cfg: EclConfig) -> DataFrame:
-    return spread_by_key(loans_from_orders(spark.read.parquet(orders_path(sf_dir)), cfg),
-                         "loan_no")
+    return loans_from_orders(spark.read.parquet(orders_path(sf_dir)), cfg)
 
 
 def spread_by_key(df: DataFrame, key: str) -> DataFrame:
@@ -149,6 +148,7 @@ def performance_from_loans(loans: DataFrame, cfg: EclConfig) -> DataFrame:
     default month.  A narrow transform: no shuffle, one pass over the loans.
     """
     g = cfg.extract_grid
+    loans = spread_by_key(loans, "loan_no")
     age = whole_months("disbursal_date", cfg.as_of)
     top = F.least(F.lit(g.stop), age)
     oad = F.when(F.col("is_default") & (F.col("default_mob") < F.col("tenure_months")),
