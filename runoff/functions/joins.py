@@ -12,6 +12,21 @@ MAX_BROADCAST_ROWS = 5_000_000
 FEED_ROW_FANOUT = 80
 
 
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """Combine single-row aggregates (distinct column names) into one row:
+    a union of the rows and a max per column - no join."""
+    u = rows[0]
+    for r in rows[1:]:
+        u = u.unionByName(r, allowMissingColumns=True)
+    cols = [c for r in rows for c in r.columns]
+    return u.agg(*[F.max(c).alias(c) for c in cols])
+
+
+def grid_column(start: int, stop: int, step: int):
+    """A config grid as a column to explode: a bounded, narrow fan-out."""
+    return F.explode(F.sequence(F.lit(start), F.lit(stop), F.lit(step)))
+
+
 def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 

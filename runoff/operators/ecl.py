@@ -28,10 +28,13 @@ def weighted_loss_rate(loss: DataFrame, cfg: EclConfig, windows=None, small: boo
     """E2 (A7, A8, J4): per (segment, window): quarters, total disbursal,
     simple and disbursal-weighted average loss rate.  Empty window: weighted
     0, simple NULL, 0 quarters."""
-    spark = loss.sparkSession
-    wdf = windows_df(spark, windows or cfg.windows)  # config-sized
+    wins = F.explode(F.array(*[
+        F.struct(F.lit(w.name).alias("window"), F.lit(w.start_label).alias("fy_start"),
+                 F.lit(w.end_label).alias("fy_end"), F.lit(w.anchor_mob).alias("anchor_mob"),
+                 F.lit(w.first_day).alias("first_day"), F.lit(w.last_day).alias("last_day"))
+        for w in (windows or cfg.windows)]))                          # config-sized fan-out
     groups = loss.select("segment").distinct()
-    wg = groups.crossJoin(F.broadcast(wdf)).alias("w")
+    wg = groups.select("segment", wins.alias("x")).select("segment", "x.*").alias("w")
     l = maybe_broadcast(loss, small).alias("l")
     cond = ((F.col("w.segment") == F.col("l.segment"))
             & (F.col("w.anchor_mob") == F.col("l.anchor_mob"))

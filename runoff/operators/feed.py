@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from runoff.config import EclConfig
 from runoff.functions.calendar import cohort_end, fiscal_quarter_label, iso
+from runoff.functions.joins import grid_column
 from runoff.functions.numeric import micro_crore, to_crore
 
 
@@ -83,12 +84,11 @@ def collapse_to_cohort(feed_g: DataFrame, disb_g: DataFrame, cfg: EclConfig,
                        segment: str = "all") -> DataFrame:
     """A4: one row per (cohort, extraction MOB) of a group; a MOB no loan
     reached becomes 0 (the reference's pandas sum of all-NULL)."""
-    spark = feed_g.sparkSession
     g = cfg.extract_grid
-    grid = spark.range(g.start, g.stop + 1, g.step).select(F.col("id").cast("int").alias("mob"))
-    d = disb_g.filter(F.col("segment") == segment)
+    d = disb_g.filter(F.col("segment") == segment).select(
+        "*", grid_column(g.start, g.stop, g.step).alias("mob"))
     f = feed_g.filter(F.col("segment") == segment)
-    return (d.crossJoin(F.broadcast(grid))
+    return (d
             .join(f, ["segment", "cohort_end", "mob"], "left")
             .select(fiscal_quarter_label("cohort_end").alias("fy_quarter"),
                     iso("cohort_end").alias("cohort_end"), F.col("mob").cast("long").alias("mob"),

@@ -13,10 +13,6 @@ from runoff.functions.joins import maybe_broadcast
 from runoff.functions.numeric import safe_ratio, to_crore
 
 
-def anchors_df(spark, cfg: EclConfig) -> DataFrame:
-    return spark.createDataFrame([(a,) for a in cfg.anchors], "anchor_mob int")
-
-
 def movements(tri: DataFrame) -> DataFrame:
     """L1-L4: levels (not deltas) at the yearly MOBs, amount and % of disbursal."""
     disb = to_crore("disb_uc")
@@ -29,12 +25,11 @@ def movements(tri: DataFrame) -> DataFrame:
 def loss_rates(tri: DataFrame, cfg: EclConfig) -> DataFrame:
     """L5 + L6 (+ A6): per (segment, cohort, anchor): numerator, denominator,
     loss rate (0 on a zero denominator) and whether the anchor cell is observed."""
-    spark = tri.sparkSession
-    a = anchors_df(spark, cfg)
     mob, anchor = F.col("mob"), F.col("anchor_mob")
     at_anchor = mob == anchor
     in_den = (mob % YEAR_MOB == 0) & (mob < anchor)
-    g = (tri.crossJoin(F.broadcast(a))
+    anchors = F.explode(F.array(*[F.lit(a) for a in cfg.anchors]))   # config-sized fan-out
+    g = (tri.select("*", anchors.alias("anchor_mob"))
          .filter(at_anchor | in_den)
          .groupBy("segment", "cohort_end", "anchor_mob")
          .agg(F.max("disb_uc").alias("disb_uc"),

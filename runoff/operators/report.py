@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from runoff.config import EclConfig
 from runoff.functions.calendar import fiscal_quarter_label, iso
+from runoff.functions.joins import side_by_side
 from runoff.functions.numeric import to_crore
 
 
@@ -22,22 +23,22 @@ def raw_pivot(cells: DataFrame, metric: str, cfg: EclConfig) -> DataFrame:
     row (exact integer sums), one column per triangle MOB."""
     mobs = list(cfg.triangle_grid.mobs)
     v = F.when(F.col("is_observed"), F.col(f"{metric}_uc"))
-    rolled = (cells.withColumn("_v", v)
+    # disbursal counted once per cohort (on its first-MOB cell), so the
+    # rollup's total row carries the book's disbursal too
+    d = F.when(F.col("mob") == mobs[0], F.col("disb_uc"))
+    rolled = (cells.select("mob", "cohort_end", v.alias("_v"), d.alias("_d"))
               .rollup("mob", "cohort_end")
-              .agg(F.sum("_v").alias("_v"))
+              .agg(F.sum("_v").alias("_v"), F.sum("_d").alias("_d"))
               .filter(F.col("mob").isNotNull()))
-    disb_tot = cells.select("cohort_end", "disb_uc").distinct().agg(F.sum("disb_uc").alias("_dt"))
-    piv = (rolled.groupBy("cohort_end").pivot("mob", mobs).agg(F.first("_v"))
-           .join(cells.select("cohort_end", "disb_uc").distinct(), "cohort_end", "left")
-           .crossJoin(disb_tot))
+    piv = (rolled.groupBy("cohort_end").pivot("mob", mobs)
+           .agg(F.first("_v").alias("v"), F.first("_d").alias("d")))
     total = F.col("cohort_end").isNull()
     return piv.select(
         F.when(total, F.lit("Grand Total")).otherwise(fiscal_quarter_label("cohort_end"))
         .alias("fy_quarter"),
         iso("cohort_end").alias("cohort_end"),
-        F.round(to_crore(F.when(total, F.col("_dt")).otherwise(F.col("disb_uc"))), 6)
-        .alias("disb_cr"),
-        *_mcols(cfg, lambda m: to_crore(F.col(str(m))), 6))
+        F.round(to_crore(f"{mobs[0]}_d"), 6).alias("disb_cr"),
+        *_mcols(cfg, lambda m: to_crore(F.col(f"{m}_v")), 6))
 
 
 def triangle_wide(tri: DataFrame, cfg: EclConfig) -> DataFrame:
@@ -77,7 +78,7 @@ def summary(book) -> DataFrame:
     h = book.headline("all")
     cur = book.current.filter(F.col("segment") == "all").agg(
         F.count(F.lit(1)).alias("n_cohorts"), F.sum("current_tpos").alias("portfolio_tpos"))
-    one = h.crossJoin(cur)
+    one = side_by_side(h.select("weighted_avg_lr", "total_disb", "ecl_pct"), cur)
     num = lambda k, c: F.struct(F.lit(k).alias("key"), c.cast("double").alias("value_num"),
                                 F.lit(None).cast("string").alias("value_text"))
     txt = lambda k, v: F.struct(F.lit(k).alias("key"), F.lit(None).cast("double").alias("value_num"),

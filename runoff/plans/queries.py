@@ -209,9 +209,9 @@ def q_book_profile(spark, sf_dir):
 def q_observed_mob_spread(spark, sf_dir):
     p = book(spark, sf_dir).perf
     m = p.groupBy("loan_no").agg(F.max("mob").alias("max_mob"))
-    return m.agg(_big(F.min("max_mob"), "min_max_mob"),
-                 F.median("max_mob").cast("double").alias("median_max_mob"),
-                 _big(F.max("max_mob"), "max_max_mob"))
+    return checks.exact_median_of_small_domain(m, "max_mob").select(
+        _big("min_v", "min_max_mob"), F.col("median_v").alias("median_max_mob"),
+        _big("max_v", "max_max_mob"))
 
 
 def q_default_rate_by_segment(spark, sf_dir):
