@@ -41,6 +41,15 @@ PERFORMANCE_SCHEMA = T.StructType([
     T.StructField("dpd90_cents", T.LongType(), False),
 ])
 
+# the columns of the driver's orders table that the loan mapping reads
+ORDERS_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType()),
+    T.StructField("o_custkey", T.LongType()),
+    T.StructField("o_totalprice", T.DoubleType()),
+    T.StructField("o_orderdate", T.TimestampNTZType()),
+    T.StructField("o_orderpriority", T.StringType()),
+])
+
 PERF_COLS = [f.name for f in PERFORMANCE_SCHEMA.fields]
 LOAN_COLS = [f.name for f in LOANS_SCHEMA.fields]
 
@@ -93,22 +102,20 @@ def loans_from_orders(orders: DataFrame, cfg: EclConfig) -> DataFrame:
     else:
         tenure = (F.lit(12) * (F.lit(1) + key % 5)).cast("int")
         spread = DEFAULT_MOB_SPREAD_REFERENCE_LIKE
-    return (orders
-            .select(key.alias("loan_no"),
-                    F.col("o_custkey").alias("customer_id"),
-                    segment.alias("segment"),
-                    F.col("o_orderdate").cast("date").alias("disbursal_date"),
-                    F.round(F.col("o_totalprice") * 100).cast("long").alias("amount_cents"),
-                    tenure.alias("tenure_months"))
-            .withColumn("is_default",
-                        (F.col("loan_no") * DEFAULT_HASH_MULT) % 1000 < _default_per_mille(F.col("segment")))
-            .withColumn("default_mob",
-                        F.least(F.lit(3) + (F.col("loan_no") * DEFAULT_MOB_HASH_MULT) % spread,
-                                F.col("tenure_months")).cast("int")))
+    return orders.select(
+        key.alias("loan_no"),
+        F.col("o_custkey").alias("customer_id"),
+        segment.alias("segment"),
+        F.col("o_orderdate").cast("date").alias("disbursal_date"),
+        F.round(F.col("o_totalprice") * 100).cast("long").alias("amount_cents"),
+        tenure.alias("tenure_months"),
+        ((key * DEFAULT_HASH_MULT) % 1000 < _default_per_mille(segment)).alias("is_default"),
+        F.least(F.lit(3) + (key * DEFAULT_MOB_HASH_MULT) % spread, tenure).cast("int")
+        .alias("default_mob"))
 
 
 def driver_loans(spark: SparkSession, sf_dir: str, cfg: EclConfig) -> DataFrame:
-    return loans_from_orders(spark.read.parquet(orders_path(sf_dir)), cfg)
+    return loans_from_orders(spark.read.schema(ORDERS_SCHEMA).parquet(orders_path(sf_dir)), cfg)
 
 
 def spread_by_key(df: DataFrame, key: str) -> DataFrame:
@@ -153,9 +160,7 @@ def performance_from_loans(loans: DataFrame, cfg: EclConfig) -> DataFrame:
     top = F.least(F.lit(g.stop), age)
     oad = F.when(F.col("is_default") & (F.col("default_mob") < F.col("tenure_months")),
                  _amortised("amount_cents", "tenure_months", "default_mob")).otherwise(F.lit(0))
-    base = (loans
-            .withColumn("_age", age)
-            .filter(F.col("_age") >= g.start)
+    base = (loans.filter(age >= g.start)
             .select("loan_no", "amount_cents", "tenure_months", "is_default", "default_mob",
                     oad.cast("long").alias("_oad"),
                     F.explode(F.sequence(F.lit(g.start), top, F.lit(g.step))).alias("mob")))
