@@ -23,7 +23,6 @@ from runoff.operators import ecl
 from runoff.operators.feed import loan_mob_wide, loans_in_window
 from runoff.session import scratch_path
 
-CHECK_COLS = ["check_name", "max_abs_diff", "tolerance", "result"]
 DIFF_DP = 10
 
 

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runoff.config import DEFAULT, EclConfig
+from runoff.config import DEFAULT
 from runoff.operators import checks, feed, report, triangle
 from runoff.plans.book import Book
 from runoff.session import scratch_path
@@ -63,10 +63,8 @@ def _read(spark: SparkSession, path: str, as_of: str) -> DataFrame:
     return spark.read.parquet(path).filter(F.col("as_of") == as_of).drop("as_of")
 
 
-def sink_checks(sizes: dict[str, tuple[int, int]]) -> DataFrame:
+def sink_checks(spark: SparkSession, sizes: dict[str, tuple[int, int]]) -> DataFrame:
     """Rows written vs rows read back, per table (one row each)."""
-    from pyspark.sql import SparkSession as _S
-    spark = _S.getActiveSession()
     rows = [(f"sink rows {k}", float(abs(a - b)), "exact", "PASS" if a == b else "FAIL")
             for k, (a, b) in sorted(sizes.items())]
     return spark.createDataFrame(rows, "check_name string, max_abs_diff double, "
@@ -87,7 +85,7 @@ def run(book: Book, out: str | None = None, gate: bool = True) -> RunResult:
         sizes[name] = (n, back[name].count())
     body = checks.validation_checks(book).filter(F.col("check_name") != "OVERALL")
     body = reduce(DataFrame.unionByName, [body, checks.reconcile_all_segment(book),
-                                          sink_checks(sizes)])
+                                          sink_checks(spark, sizes)])
     overall = body.agg(
         F.when(F.count_if(F.col("result") == "FAIL") > 0, F.lit("FAIL"))
         .when(F.count_if(F.col("result") == "WARN") > 0, F.lit("WARN"))

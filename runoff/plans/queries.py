@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from runoff.config import DEFAULT, YEAR_MOB, YOUNG_BOOK, EclConfig
 from runoff.functions.calendar import (cohort_end, fiscal_quarter_label,
                                        fiscal_quarter_no, fiscal_year, iso)
-from runoff.functions.numeric import micro_crore, safe_ratio, to_crore
-from runoff.operators import checks, ecl, feed, loss, report, triangle
+from runoff.functions.numeric import safe_ratio, to_crore
+from runoff.operators import checks, feed, loss, report, triangle
 from runoff.plans.book import Book
 from runoff.sources import tables
 
