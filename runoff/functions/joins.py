@@ -4,12 +4,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Downstream of the feed every table is derived from it: at most
-# (groups x cohorts) x 40 triangle cells, i.e. below 80 x feed rows.  Hints
-# are given only when that bound stays under this many rows; beyond it the
-# joins fall back to shuffled joins planned by Catalyst / AQE.
-MAX_BROADCAST_ROWS = 5_000_000
-FEED_ROW_FANOUT = 80
+# Every table broadcast after the feed is derived from the checkpointed feed
+# of F rows (loan-grain + MOB rows per (cohort, segment)), and is at most
+#   grouped feed  <= 2F   (each row in its segment and in 'all')
+#   current TPOS  <= 2F   (one row per (group, cohort))
+#   factors       <= 2F   (groups x MOB grid)
+#   loss table    <= 6F   (groups x cohorts x 3 anchors)
+# rows of < 80 bytes.  Hints are given only while 6F stays under
+# MAX_BROADCAST_ROWS (~40 MB); beyond it the joins are left to Catalyst /
+# AQE as shuffled joins.  F itself is bounded by the calendar
+# (cohorts x segments x 42), not by the number of loans.
+MAX_BROADCAST_ROWS = 500_000
+FEED_ROW_FANOUT = 6
 
 
 def side_by_side(*rows: DataFrame) -> DataFrame:
