@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runoff.config import EclConfig, Window
-from runoff.functions.joins import maybe_broadcast
 from runoff.functions.numeric import safe_ratio
 
 WINDOW_SCHEMA = ("window string, fy_start string, fy_end string, anchor_mob int, "
@@ -26,25 +25,25 @@ def windows_df(spark, windows: tuple[Window, ...] | list[Window]) -> DataFrame:
 def weighted_loss_rate(loss: DataFrame, cfg: EclConfig, windows=None, small: bool = False
                        ) -> DataFrame:
     """E2 (A7, A8, J4): per (segment, window): quarters, total disbursal,
-    simple and disbursal-weighted average loss rate.  Empty window: weighted
-    0, simple NULL, 0 quarters."""
+    simple and disbursal-weighted average loss rate.  Every loss row is
+    paired with each configured window (a config-sized explode) and flagged
+    when its anchor and cohort fall in the window; conditional aggregates
+    then give every (segment, window), so an empty window still yields a
+    row (weighted 0, simple NULL, 0 quarters).  No join; keyed by segment
+    first, so the loss table's partitioning is reused."""
     wins = F.explode(F.array(*[
         F.struct(F.lit(w.name).alias("window"), F.lit(w.start_label).alias("fy_start"),
                  F.lit(w.end_label).alias("fy_end"), F.lit(w.anchor_mob).alias("anchor_mob"),
                  F.lit(w.first_day).alias("first_day"), F.lit(w.last_day).alias("last_day"))
         for w in (windows or cfg.windows)]))                          # config-sized fan-out
-    groups = loss.select("segment").distinct()
-    wg = groups.select("segment", wins.alias("x")).select("segment", "x.*").alias("w")
-    l = maybe_broadcast(loss, small).alias("l")
-    cond = ((F.col("w.segment") == F.col("l.segment"))
-            & (F.col("w.anchor_mob") == F.col("l.anchor_mob"))
-            & F.col("l.cohort_end").between(F.col("w.first_day"), F.col("w.last_day")))
-    j = wg.join(l, cond, "left")
-    lr, w = F.col("l.loss_rate"), F.col("l.disb_cr")
-    return (j.groupBy(F.col("w.segment").alias("segment"), F.col("w.window").alias("window"),
-                      F.col("w.fy_start").alias("fy_start"), F.col("w.fy_end").alias("fy_end"),
-                      F.col("w.anchor_mob").alias("anchor_mob"))
-            .agg(F.count(F.col("l.cohort_end")).alias("n_quarters"),
+    x = (loss.select("segment", "cohort_end", F.col("anchor_mob").alias("_a"), "loss_rate",
+                     "disb_cr", wins.alias("w"))
+         .select("segment", "cohort_end", "_a", "loss_rate", "disb_cr", "w.*"))
+    inw = (F.col("_a") == F.col("anchor_mob")) & F.col("cohort_end").between(
+        F.col("first_day"), F.col("last_day"))
+    lr, w = F.when(inw, F.col("loss_rate")), F.when(inw, F.col("disb_cr"))
+    return (x.groupBy("segment", "window", "fy_start", "fy_end", "anchor_mob")
+            .agg(F.count_if(inw).alias("n_quarters"),
                  F.coalesce(F.sum(w), F.lit(0.0)).alias("total_disb"),
                  F.avg(lr).alias("simple_avg_lr"),
                  safe_ratio(F.sum(lr * w), F.sum(w)).alias("weighted_avg_lr"))

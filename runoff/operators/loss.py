@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runoff.config import YEAR_MOB, EclConfig
-from runoff.functions.joins import maybe_broadcast
 from runoff.functions.numeric import safe_ratio, to_crore
 
 
@@ -66,12 +65,11 @@ def loss_rate_stats(loss: DataFrame) -> DataFrame:
 
 def current_tpos(tri: DataFrame, small: bool = False) -> DataFrame:
     """The diagonal: TPOS at each cohort's current MOB (0 if none)."""
-    cells = tri.filter(F.col("mob") == F.col("max_mature_mob")).select(
-        "segment", "cohort_end", F.col("tpos_amt").alias("current_tpos"))
-    cohorts = tri.select("segment", "cohort_end", "max_mature_mob", "disb_uc").distinct()
-    return (cohorts.join(maybe_broadcast(cells, small), ["segment", "cohort_end"], "left")
-            .select("segment", "cohort_end", F.col("max_mature_mob").alias("current_mob"),
-                    to_crore("disb_uc").alias("disb_cr"),
+    at_current = F.col("mob") == F.col("max_mature_mob")
+    return (tri.groupBy("segment", "cohort_end")
+            .agg(F.max("max_mature_mob").alias("current_mob"), F.max("disb_uc").alias("disb_uc"),
+                 F.max(F.when(at_current, F.col("tpos_amt"))).alias("current_tpos"))
+            .select("segment", "cohort_end", "current_mob", to_crore("disb_uc").alias("disb_cr"),
                     F.coalesce("current_tpos", F.lit(0.0)).alias("current_tpos")))
 
 
