@@ -37,13 +37,16 @@ def weighted_loss_rate(loss: DataFrame, cfg: EclConfig, windows=None, small: boo
                  F.lit(w.first_day).alias("first_day"), F.lit(w.last_day).alias("last_day"))
         for w in (windows or cfg.windows)]))                          # config-sized fan-out
     x = (loss.select("segment", "cohort_end", F.col("anchor_mob").alias("_a"), "loss_rate",
-                     "disb_cr", wins.alias("w"))
-         .select("segment", "cohort_end", "_a", "loss_rate", "disb_cr", "w.*"))
+                     "disb_cr", "anchor_observed", wins.alias("w"))
+         .select("segment", "cohort_end", "_a", "loss_rate", "disb_cr", "anchor_observed", "w.*"))
     inw = (F.col("_a") == F.col("anchor_mob")) & F.col("cohort_end").between(
         F.col("first_day"), F.col("last_day"))
     lr, w = F.when(inw, F.col("loss_rate")), F.when(inw, F.col("disb_cr"))
     return (x.groupBy("segment", "window", "fy_start", "fy_end", "anchor_mob")
             .agg(F.count_if(inw).alias("n_quarters"),
+                 # cohorts whose anchor cell is observed, not projected: 0 means
+                 # the window's rate rests on projections only (e.g. a young book)
+                 F.count_if(inw & F.col("anchor_observed")).alias("n_observed_at_anchor"),
                  F.coalesce(F.sum(w), F.lit(0.0)).alias("total_disb"),
                  F.avg(lr).alias("simple_avg_lr"),
                  safe_ratio(F.sum(lr * w), F.sum(w)).alias("weighted_avg_lr"))

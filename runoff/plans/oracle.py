@@ -172,7 +172,8 @@ def ctes(cfg: EclConfig) -> list[str]:
   t(window_name, fy_start, fy_end, anchor_mob, first_day, last_day))""",
         """wavg AS (
   SELECT g.segment, w.window_name, w.fy_start, w.fy_end, w.anchor_mob,
-    COUNT(l.cohort_end) AS n_quarters, COALESCE(SUM(l.disb_cr), 0.0) AS total_disb,
+    COUNT(l.cohort_end) AS n_quarters, CAST(count_if(l.anchor_observed) AS BIGINT) AS n_observed_at_anchor,
+    COALESCE(SUM(l.disb_cr), 0.0) AS total_disb,
     AVG(l.loss_rate) AS simple_avg_lr,
     CASE WHEN SUM(l.disb_cr) IS NULL OR SUM(l.disb_cr) = 0 THEN 0.0::DOUBLE
          ELSE SUM(l.loss_rate * l.disb_cr) / SUM(l.disb_cr) END AS weighted_avg_lr
@@ -206,6 +207,7 @@ def _rate(n: str, disb_uc: str = "disb_uc") -> str:
 def _wavg_cols(with_segment: bool = False) -> str:
     s = "segment, " if with_segment else ""
     return (f"{s}window_name, fy_start, fy_end, CAST(anchor_mob AS BIGINT) AS anchor_mob, n_quarters, "
+            "n_observed_at_anchor, "
             "round(total_disb, 6) AS total_disb, round(simple_avg_lr, 8) AS simple_avg_lr, "
             "round(weighted_avg_lr, 8) AS weighted_avg_lr, round(weighted_avg_lr, 8) AS ecl_pct")
 
@@ -497,7 +499,8 @@ FROM cur GROUP BY segment""")
     q["segment_ecl"] = W(f"""SELECT {_wavg_cols(True)} FROM (
   SELECT '{seg}' AS segment, '{sw.name}' AS window_name, '{sw.start_label}' AS fy_start,
     '{sw.end_label}' AS fy_end, {sw.anchor_mob} AS anchor_mob,
-    COUNT(cohort_end) AS n_quarters, COALESCE(SUM(disb_cr), 0.0) AS total_disb,
+    COUNT(cohort_end) AS n_quarters, CAST(count_if(anchor_observed) AS BIGINT) AS n_observed_at_anchor,
+    COALESCE(SUM(disb_cr), 0.0) AS total_disb,
     AVG(loss_rate) AS simple_avg_lr, {_ratio('SUM(loss_rate * disb_cr)', 'SUM(disb_cr)')} AS weighted_avg_lr
   FROM loss WHERE segment = '{seg}' AND anchor_mob = {sw.anchor_mob}
     AND cohort_end BETWEEN {_date(sw.first_day)} AND {_date(sw.last_day)})""")

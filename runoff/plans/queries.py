@@ -364,8 +364,8 @@ def q_portfolio_tpos(spark, sf_dir):
 # ----------------------------------------------------------------- ECL
 def _wavg_cols(with_segment=False):
     cols = [F.col("window").alias("window_name"), "fy_start", "fy_end", _big("anchor_mob"),
-            "n_quarters", _a("total_disb"), _r("simple_avg_lr"), _r("weighted_avg_lr"),
-            _r("ecl_pct")]
+            "n_quarters", "n_observed_at_anchor", _a("total_disb"), _r("simple_avg_lr"),
+            _r("weighted_avg_lr"), _r("ecl_pct")]
     return (["segment"] + cols) if with_segment else cols
 
 

@@ -14,7 +14,8 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert len(rows) == 1
     assert df.columns == ["window_name", "fy_start", "fy_end", "anchor_mob", "n_quarters",
-                          "total_disb", "simple_avg_lr", "weighted_avg_lr", "ecl_pct"]
+                          "n_observed_at_anchor", "total_disb", "simple_avg_lr",
+                          "weighted_avg_lr", "ecl_pct"]
     assert 0 < rows[0].weighted_avg_lr < 1
 
 
@@ -80,3 +81,18 @@ def test_reference_like_tenor_anchors_coincide(spark):
     w = {r.window: r.weighted_avg_lr for r in b.wavg.filter("segment = 'all'").collect()}
     assert w["FY97-FY00 @ 72M"] == pytest.approx(w["FY97-FY00 @ 84M"], abs=1e-12)
     assert w["FY97-FY00 @ 84M"] == pytest.approx(0.01304315, abs=2e-8)
+
+
+def test_young_book_unsupported_anchors_are_visible(spark):
+    # as_of 2001-09-30: no cohort is mature at 84M or 120M, the rate is 0 for
+    # parity, and the row says so (0 cohorts observed at the anchor)
+    from runoff.config import YOUNG_BOOK
+    from runoff.plans.book import Book
+    b = Book.from_driver_tables(spark, SF01, YOUNG_BOOK)
+    w = {r.window: r for r in b.wavg.filter("segment = 'all'").collect()}
+    for name in ("FY97-FY00 @ 84M", "FY95-FY01 @ 120M"):
+        assert w[name].n_observed_at_anchor == 0 and w[name].weighted_avg_lr == 0.0
+    # at 72M the window's cohorts (at most 63 months old) are all projected
+    # from the older mature cohorts: a non-zero rate with nothing observed
+    r72 = w["FY97-FY00 @ 72M"]
+    assert r72.n_observed_at_anchor == 0 and r72.weighted_avg_lr > 0
