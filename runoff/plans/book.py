@@ -2,8 +2,8 @@
 
 ``Book`` wires the phases together.  The only loan-level work is the feed
 (scan -> join on the loan key -> partial + final aggregate).  The feed and
-the disbursal table are materialised once with ``checkpoint()`` into the
-session's checkpoint directory (a shared, reliable folder on a cluster):
+the disbursal rows come out of one pass and are materialised once with
+``checkpoint()`` into the session's checkpoint directory (a shared, reliable folder on a cluster):
 that cuts lineage, so an executor lost in a later phase never re-runs the
 loan-level join, and every later phase reads a table of a few thousand rows.
 """
@@ -74,7 +74,7 @@ class Book:
         """The one loan-level job: feed and disbursal from a single pass."""
         both = self._both = self._cut(feed.feed_with_disbursal(self.loans, self.perf, self.cfg))
         # exact size of the materialised feed (a read of a few thousand rows):
-        # the proven bound for broadcasting every table derived from it
+        # the proven bound behind the one hinted broadcast left (degenerate path)
         self.feed_rows = both.count() if self.materialize else None
         return feed.split_feed(both)
 
@@ -94,10 +94,10 @@ class Book:
         return self._feed_both[1]
 
     # Every later phase is keyed by segment group first (windows by (segment,
-    # cohort), factors by (segment, mob), joins on (segment, ...)).  Hash-
-    # partitioning the two small group tables once by segment satisfies all of
-    # those distributions, so the chain-ladder phases run without another
-    # exchange; one task per group, each bounded by cohorts x MOB grid.
+    # cohort) and (segment, mob), aggregates by (segment, ...)) and uses no
+    # join.  Hash-partitioning the grouped feed once by segment satisfies all
+    # of those distributions within a plan; one task per group, each bounded
+    # by cohorts x MOB grid.
     @property
     def n_groups(self) -> int:
         return len(self.cfg.segments) + 1
@@ -157,12 +157,12 @@ class Book:
 
     @cached_property
     def current(self) -> DataFrame:
-        return loss.current_tpos(self.triangles, self.small)
+        return loss.current_tpos(self.triangles)
 
     # --------------------------------------------------------------- phase 4
     @cached_property
     def wavg(self) -> DataFrame:
-        return ecl.weighted_loss_rate(self.loss, self.cfg, small=self.small)
+        return ecl.weighted_loss_rate(self.loss, self.cfg)
 
     def headline(self, segment: str = "all") -> DataFrame:
         return ecl.headline(self.wavg, self.cfg, segment)
@@ -178,7 +178,7 @@ class Book:
         win = ecl.segment_window(y1, y2, anchor)
         detail = ecl.window_detail(self.loss, seg, win)
         summary = ecl.weighted_loss_rate(self.loss.filter(F.col("segment") == seg), self.cfg,
-                                         windows=[win], small=self.small)
+                                         windows=[win])
         return summary, detail
 
     def check_segment_args(self, segment, fy_start, fy_end, anchor) -> None:
