@@ -73,14 +73,18 @@ class Book:
     def _feed_both(self) -> tuple[DataFrame, DataFrame]:
         """The one loan-level job: feed and disbursal from a single pass."""
         both = self._both = self._cut(feed.feed_with_disbursal(self.loans, self.perf, self.cfg))
-        # exact size of the materialised feed (a read of a few thousand rows):
-        # the proven bound behind the one hinted broadcast left (degenerate path)
-        self.feed_rows = both.count() if self.materialize else None
         return feed.split_feed(both)
 
+    feed_rows: int | None = None
+
     @property
     def small(self) -> bool:
+        """Exact size of the materialised feed (a read of a few thousand rows)
+        as the proven bound behind the one hinted broadcast left (degenerate
+        path); counted only when that path runs."""
         self._feed_both
+        if self.feed_rows is None and self.materialize:
+            self.feed_rows = self._both.count()
         return self.feed_rows is not None and small_from_feed_rows(self.feed_rows)
 
     @property
@@ -143,8 +147,9 @@ class Book:
 
     @cached_property
     def triangles(self) -> DataFrame:
-        return self._keep(triangle.complete_triangles(self.cells, self.degenerate, self.small,
-                                                      cf=self.cells_f))
+        flagged = self.degenerate
+        return self._keep(triangle.complete_triangles(
+            self.cells, flagged, self.small if flagged else False, cf=self.cells_f))
 
     # --------------------------------------------------------------- phase 3
     @cached_property
