@@ -59,17 +59,17 @@ def _digest(e: DataFrame) -> tuple:
     return (r[0], r[1])
 
 
-def with_start(df: DataFrame, keys: list[str], order: list[Column], size: Column, out: str) -> DataFrame:
+def with_start(df: DataFrame, keys: list[str], order: list[Column], size: Column, out: str,
+               chunks: int) -> DataFrame:
     """Adds ``out``: the sum of ``size`` over the rows before this one in its
     group of ``keys``, in an order that depends on the rows' contents only.
 
-    Rows go to hash-chosen chunks of the group; chunk sums are added up over
-    the few chunks, rows within their chunk.  So a group that holds a third of
+    Rows go to ``chunks`` hash-chosen chunks of the group; chunk sums are added
+    up over the few chunks, rows within their chunk.  So a group that holds a third of
     all rows is spread over all tasks.  ``order`` must tell apart all rows but
     those that are alike.
     """
-    n = 8 * tasks(df.sparkSession)
-    chunk = df.withColumn("_chunk", F.pmod(F.xxhash64(*order), F.lit(n))).withColumn("_size", size)
+    chunk = df.withColumn("_chunk", F.pmod(F.xxhash64(*order), F.lit(chunks))).withColumn("_size", size)
     by = [*keys, "_chunk"]
     # null keys form a group of their own
     sums = chunk.groupBy(*by).agg(F.sum("_size").alias("_sum"))

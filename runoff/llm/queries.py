@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from runoff.llm import ngram_join
+from runoff.llm import ngram_join, packing
+from runoff.llm.common import written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +20,17 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op4_ngram_join,)}
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.token_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    pieces = written(pieces.select("doc_id", "piece", "start", F.col("length"),
+                                   F.crc32("ids").alias("ids_crc32")), "pieces")
+    return packing.pack(pieces, ["doc_id", "piece", "ids_crc32", "length"]).withColumn(
+        "length", F.col("length").cast("long"))
+
+
+QUERIES = {f.__name__: f for f in (op4_ngram_join, op8_best_fit_packing)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -41,9 +53,9 @@ s AS (
   FROM w),
 t AS (SELECT doc_id, unnest(sh) AS tok FROM s),
 size AS (SELECT doc_id, len(sh)::BIGINT AS n FROM s),
-both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
          FROM t a JOIN t b ON a.tok = b.tok AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-link AS (SELECT a, b FROM both JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+link AS (SELECT a, b FROM common JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
          WHERE 100 * k >= 75 * (x.n + y.n - k)),
 reach(doc_id, other) AS (
   SELECT doc_id, doc_id FROM documents
