@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runoff.llm import ngram_join, packing
+from runoff.llm import mixing, ngram_join, packing
 from runoff.llm.common import written
 
 
@@ -15,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.Mix(_table(spark, sf_dir, "documents")).documents().select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id")
@@ -30,7 +35,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "length", F.col("length").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op4_ngram_join, op8_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op4_ngram_join, op8_best_fit_packing)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
