@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runoff.llm import mixing, ngram_join, packing
+from runoff.llm import html_text, mixing, ngram_join, packing, quality, url_filter
 from runoff.llm.common import written
 
 
@@ -20,11 +20,21 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id")
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"))
+    return quality.scores(docs, model).drop("text")
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -35,7 +45,17 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "length", F.col("length").cast("long"))
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op4_ngram_join, op8_best_fit_packing)}
+#: The rule set of the op10 query: verdict, host, path.
+RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+         ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), RULES).drop("url")
+
+
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_html_text, op4_ngram_join, op7_quality_classifier,
+                                  op8_best_fit_packing, op10_url_filter)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -47,6 +67,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES = {
+    "op10_url_filter": r"""
+WITH part AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+cut AS (
+  SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw,
+         regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+  FROM part),
+u AS (
+  SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM cut),
+r(verdict, rhost, rpath) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+  ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+fit AS (
+  SELECT u.page_id, u.host, u.path, r.rhost || r.rpath AS rule, r.verdict
+  FROM u LEFT JOIN r ON (u.host = r.rhost OR ends_with(u.host, '.' || r.rhost)) AND starts_with(u.path, r.rpath))
+SELECT page_id, any_value(host) AS host, any_value(path) AS path, arg_max(rule, length(rule)) AS rule,
+       coalesce(arg_max(verdict, length(rule)), 'allow') AS verdict
+FROM fit GROUP BY page_id""",
     "op4_ngram_join": rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),

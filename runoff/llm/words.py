@@ -40,10 +40,10 @@ def _powers(n: int):
     return _pow
 
 
-def _hash_segment(b: np.ndarray, cuts: np.ndarray):
+def _hash_segment(b: np.ndarray, cuts: np.ndarray, space: np.ndarray):
     """(fingerprint, start) of the words in bytes ``b``; no word spans a cut."""
     up, back = _powers(len(b))
-    word = ~SPACE[b]
+    word = ~space[b]
     before = np.empty_like(word)
     before[0] = False
     before[1:] = word[:-1]
@@ -61,10 +61,17 @@ def _hash_segment(b: np.ndarray, cuts: np.ndarray):
     return mix(h + (last - first + 1).astype(U) * U(BASE)), first
 
 
-def text_words(column: pa.Array):
+def text_words(column: pa.Array, space: np.ndarray = SPACE):
     """Yields (first row, fingerprints, word offsets by row) over consecutive
     rows of a text column (null: no words), some 0.5 MB of text at a time; a
-    longer text is hashed in parts cut at white space, and yielded whole."""
+    longer text is hashed in parts cut between words, and yielded whole.
+    ``space``: which bytes part words."""
+    for i, h, cut, _, _ in text_segments(column, space):
+        yield i, h, cut
+
+
+def text_segments(column: pa.Array, space: np.ndarray = SPACE):
+    """As ``text_words``, with the rows' bytes and their offsets in these."""
     if pa.types.is_large_string(column.type):
         width = np.int64
     else:
@@ -81,7 +88,7 @@ def text_words(column: pa.Array):
         begins = np.where(ok, off[:-1], ends)
         if (begins != off[:-1]).any() and (off[1:] != off[:-1])[~ok].any():
             column = pa.array(column.to_pylist(), pa.large_string())
-            yield from text_words(column.fill_null(""))
+            yield from text_segments(column.fill_null(""), space)
             return
     i = 0
     while i < n:
@@ -89,21 +96,21 @@ def text_words(column: pa.Array):
         lo, hi = int(off[i]), int(off[j])
         if hi - lo <= 2 * SEGMENT:
             if hi > lo:
-                h, first = _hash_segment(raw[lo:hi], off[i:j] - lo)
+                h, first = _hash_segment(raw[lo:hi], off[i:j] - lo, space)
             else:
                 h, first = np.zeros(0, U), np.zeros(0, np.int64)
-            yield i, h, np.searchsorted(first, off[i:j + 1] - lo)
+            yield i, h, np.searchsorted(first, off[i:j + 1] - lo), raw[lo:hi], off[i:j + 1] - lo
         else:
             parts, at = [], lo
             while at < hi:
                 to = min(at + SEGMENT, hi)
-                while to < hi and not SPACE[raw[to]]:
-                    step = np.flatnonzero(SPACE[raw[to:to + SEGMENT]])
+                while to < hi and not space[raw[to]]:
+                    step = np.flatnonzero(space[raw[to:to + SEGMENT]])
                     to = to + int(step[0]) if len(step) else min(to + SEGMENT, hi)
-                parts.append(_hash_segment(raw[at:to], np.zeros(0, np.int64))[0])
+                parts.append(_hash_segment(raw[at:to], np.zeros(0, np.int64), space)[0])
                 at = to
             h = np.concatenate(parts)
-            yield i, h, np.array([0, len(h)])
+            yield i, h, np.array([0, len(h)]), raw[lo:hi], off[i:j + 1] - lo
         i = j
 
 
