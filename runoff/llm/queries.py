@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runoff.llm import html_text, mixing, ngram_join, packing, quality, url_filter
+from runoff.llm import html_text, mixing, ngram_join, packing, quality, subspace_join, url_filter
 from runoff.llm.common import written
 
 
@@ -45,6 +45,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "length", F.col("length").cast("long"))
 
 
+def op9_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspace_join.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 #: The rule set of the op10 query: verdict, host, path.
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/")]
@@ -55,7 +59,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_html_text, op4_ngram_join, op7_quality_classifier,
-                                  op8_best_fit_packing, op10_url_filter)}
+                                  op8_best_fit_packing, op9_subspace_join, op10_url_filter)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -67,6 +71,22 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES = {
+    "op9_subspace_join": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+u AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS norm FROM v),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+         WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.95),
+n AS (SELECT a AS vec_id, count(*) AS n FROM link GROUP BY 1),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT reach.vec_id, link.b FROM reach JOIN link ON reach.other = link.a),
+c AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY 1)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)""",
     "op10_url_filter": r"""
 WITH part AS (
   SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
