@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runoff.llm import html_text, mixing, ngram_join, packing, quality, subspace_join, url_filter
+from runoff.llm import (
+    collision_search,
+    html_text,
+    mixing,
+    ngram_join,
+    packing,
+    quality,
+    subspace_join,
+    url_filter,
+)
 from runoff.llm.common import written
 
 
@@ -24,6 +33,10 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op3_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_search.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id")
@@ -58,7 +71,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), RULES).drop("url")
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_html_text, op4_ngram_join, op7_quality_classifier,
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_html_text, op3_collision_search, op4_ngram_join, op7_quality_classifier,
                                   op8_best_fit_packing, op9_subspace_join, op10_url_filter)}
 
 

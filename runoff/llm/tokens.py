@@ -18,6 +18,8 @@ import regex
 
 #: Chunks that a worker remembers; then it starts anew.
 REMEMBERED = 400_000
+#: White space for Python's split that a tokenizer's pattern may see otherwise.
+_ODD_SPACE = regex.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _PLAIN = regex.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 
 
@@ -82,7 +84,7 @@ class WordEncoder:
         return b"".join(out)
 
     def encode(self, text: str) -> bytes:
-        if self.split is None:
+        if self.split is None or _ODD_SPACE.search(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         known = self.chunks
         words = text.split()
