@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runoff.llm import (
     collision_search,
+    edit_counts,
     html_text,
     mixing,
     ngram_join,
     packing,
     quality,
     subspace_join,
+    tool_calls,
     url_filter,
 )
 from runoff.llm.common import written
@@ -42,6 +44,72 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+#: Tools of the op5 query's calls: parameter, type, whether it is required.
+SCHEMAS = {"search": {"query": ("string", True), "limit": ("integer", True)},
+           "translate": {"text": ("string", True), "to": ("string", False)},
+           "count": {"words": ("array", True)}}
+
+
+def conversation_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Tool calls and results that ``conversations`` stand for: a user's turn
+    calls a tool with arguments made of its text, the assistant's next turn is
+    the result under the same identifier.  A call uses the first turn of its
+    eight turns, and such a first one the conversation's first turn."""
+    turns = (conversations.where("conv_id is not null and turn is not null").groupBy("conv_id", "turn")
+             .agg(F.min(F.struct("role", "text")).alias("t")).select("conv_id", "turn", "t.role", "t.text"))
+
+    def name(turn):
+        return F.concat(F.lit("call_"), F.col("conv_id"), F.lit("_"), turn)
+
+    n = F.coalesce(F.length("text"), F.lit(0))
+    limit = F.when(n % 7 == 0, F.to_json(F.struct(F.lit("all").alias("limit"), F.col("text").alias("query")))).otherwise(
+        F.to_json(F.struct(n.alias("limit"), F.col("text").alias("query"))))
+    calls = turns.where("role = 'user'").select(
+        "conv_id", "turn", name(F.col("turn")).alias("call_id"),
+        F.get(F.lit(sorted(SCHEMAS)), F.pmod(F.expr("turn div 2"), F.lit(3)).cast("int")).alias("name"), "text",
+        F.when(F.col("turn") % 8 != 0, F.array(name(F.expr("turn - turn % 8")))).when(F.col("turn") > 0, F.array(
+            name(F.lit(0)))).otherwise(F.array().cast("array<string>")).alias("uses"), limit.alias("_limit"))
+    arguments = (F.when(F.col("name") == "search", F.col("_limit"))
+                 .when(F.col("name") == "translate", F.to_json(F.struct("text", F.when(n % 2 == 0, "en").alias("to"))))
+                 .otherwise(F.to_json(F.struct(F.split("text", " ", 5).alias("words")))))
+    results = turns.where("role = 'assistant'").select(
+        name(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    return calls.withColumn("arguments", arguments).drop("text", "_limit"), results
+
+
+def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = conversation_calls(_table(spark, sf_dir, "conversations"))
+    return tool_calls.format_calls(calls, results, SCHEMAS)
+
+
+def derived_edits(docs: DataFrame) -> DataFrame:
+    """``docs`` with edits: a replacement, a deletion and an insertion at
+    places, and with words of the text, that hashes of the id choose."""
+    n = F.coalesce(F.length("text"), F.lit(0))
+
+    def h(k: int, below) -> Column:
+        return F.pmod(F.xxhash64(F.lit(k), "doc_id"), F.greatest(below, F.lit(1)).cast("long")).cast("int")
+
+    def edit(k: int, length: int, new: Column) -> Column:
+        at = h(k, n + 1)
+        return F.struct(at.alias("start"), (at + h(k + 1, F.lit(length))).alias("end"), new.alias("text"))
+
+    def piece(k: int, length: int) -> Column:
+        return F.substring(F.coalesce("text", F.lit("")), h(k, n) + 1, F.lit(length))
+
+    return docs.withColumn("edits", F.array(
+        edit(1, 40, piece(3, 30)), edit(4, 200, F.lit("")), edit(6, 1, F.concat(F.lit(" "), piece(8, 60)))))
+
+
+def op6_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = derived_edits(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    trees = edit_counts.with_trees(docs, path).withColumnRenamed("n_tokens", "n_tokens_before")
+    return edit_counts.edited(trees, path, with_text=False).withColumnRenamed("n_tokens", "n_tokens_after")
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(docs, _table(spark, sf_dir, "labels"))
@@ -71,7 +139,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), RULES).drop("url")
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_html_text, op3_collision_search, op4_ngram_join, op7_quality_classifier,
+QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_html_text, op3_collision_search, op4_ngram_join, op5_tool_calls, op6_edit_counts, op7_quality_classifier,
                                   op8_best_fit_packing, op9_subspace_join, op10_url_filter)}
 
 
