@@ -213,18 +213,19 @@ def mixed_texts(docs: DataFrame, **options) -> DataFrame:
              .agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("spans"),
                   F.sum(F.col("high") - F.col("low")).alias("words")))
     of = (mix.docs.where("size > 0").withColumn("copy", F.row_number().over(copy))
-          .join(taken, ["sid", "start"])
-          .select(*[F.col(k).alias(f"_{k}") for k in key], "size", "words", "spans", F.col("copy").alias("_copy")))
-    keyed = docs.withColumn("_hash", F.xxhash64("text"))
-    keyed = keyed.withColumn("_nth", F.row_number().over(
-        Window.partitionBy("doc_id", "source", "_hash").orderBy(F.lit(1))))
-    on = (F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source"))
-          & (F.col("_hash") == F.col("_text_hash")) & (F.col("_nth") - F.col("_copy") == 0))
-    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
-    part = F.expr("array_join(flatten(transform(spans, s -> slice(_words, int(s.low) + 1, int(s.high - s.low)))), ' ')")
-    out = (keyed.join(of, on)
-           .withColumn("_words", F.when(F.col("words") < F.col("size"), words))
-           .withColumn("text", F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(part)))
+          .join(taken, ["sid", "start"]).select(*key, "copy", "size", "words", "spans"))
+    # the row's columns stay in one struct, so none of them can clash
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("text").alias("hash"))
+    rows = rows.withColumn("nth", F.row_number().over(
+        Window.partitionBy("row.doc_id", "row.source", "hash").orderBy(F.lit(1))))
+    on = (F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & F.col("row.source").eqNullSafe(F.col("source"))
+          & (F.col("hash") == F.col("text_hash")) & (F.col("nth") - F.col("copy") == 0))
+    whole = F.col("words") == F.col("size")
+    split = F.regexp_extract_all("row.text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    part = F.expr("array_join(flatten(transform(spans, s -> slice(split, int(s.low) + 1, int(s.high - s.low)))), ' ')")
+    out = (rows.join(of, on).withColumn("split", F.when(~whole, split))
+           .withColumn("taken", F.when(whole, F.col("row.text")).otherwise(part)))
+    row = F.col("row").withField("text", F.col("taken"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        row = row.withField("n_chars", F.length("taken").cast(docs.schema["n_chars"].dataType))
+    return out.select(row.alias("row")).select("row.*")

@@ -367,10 +367,11 @@ def deduplicate(docs: DataFrame, percent: int = 75) -> DataFrame:
     """``docs`` with one row of each component of near-duplicate texts: that
     with the smallest id.  Documents without words stay."""
     kept = (jaccard_join(docs, percent=percent).where("keep")
-            .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
-                    (F.col("n_shingles") == 0).alias("_empty")).distinct())
-    keyed = docs.withColumn("_h", F.xxhash64("text"))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_hash"))
-    alike = Window.partitionBy(F.coalesce(F.col("_id"), F.lit(0)), F.col("_id").isNull(), "_hash").orderBy(F.lit(1))
-    found = keyed.join(kept, on).withColumn("_rank", F.when(F.col("_empty"), 1).otherwise(F.row_number().over(alike)))
-    return found.where("_rank = 1").select(*docs.columns)
+            .select("doc_id", "text_hash", (F.col("n_shingles") == 0).alias("empty")).distinct())
+    # the row's columns stay in one struct, so none of them can clash
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"),
+                       F.xxhash64("text").alias("hash"))
+    alike = Window.partitionBy("id", "hash").orderBy(F.lit(1))
+    on = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
+    return (rows.withColumn("nth", F.row_number().over(alike)).join(kept, on)
+            .where("empty or nth = 1").select("row.*"))
