@@ -38,6 +38,8 @@ LABELLED = (
     (2, 1.0, 2, 1.0, 1, 1.0, 0, 0, 0, 0), (1, 1.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0),
     (4, 1.0, 3, 1.0, 2, 1.0, 0, 0, 0, 0), (3, 0.9, 5, 1.0, 12, 0.9, 0, 0, 0, 0),
     (3, 1.0, 0, 0.0, 4, 1.0, 0, 0, 1, 0), (8, 0.8, 2, 1.0, 6, 1.0, 0, -1, 0, 0),
+    (1, 1.0, 1, 1.0, 60, 0.0, 0, 0, 0, 0), (3, 1.0, 4, 1.0, 45, 0.0, 0, 0, 0, 0),
+    (6, 0.9, 2, 1.0, 120, 0.0, 0, 0, 0, 0), (2, 1.0, 0, 0.0, 80, 0.0, 0, 0, 0, 0),
     # adverts, notices, headers, footers, sidebars, forms, comments: marked
     (9, 0.0, 1, 1.0, 7, 0.0, 0, -1, 1, 0), (14, 0.0, 1, 1.0, 6, 0.0, 0, -1, 1, 0),
     (40, 0.0, 30, 0.0, 50, 0.0, 0, 1, 1, 0), (60, 0.0, 80, 0.0, 0, 0.0, 0, -1, 1, 0),
@@ -102,7 +104,7 @@ _MARK = re.compile(
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     rf"|<(?P<raw>{_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:/>|>.*?(?:</(?P=raw)\s*[^>]*>|\Z))"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?=>)|[^>]*)(?:>|\Z)",
     re.S | re.I)
 _ATTR = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 

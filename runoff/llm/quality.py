@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from runoff.llm.words import text_segments
 
-TRAIN_ROWS = 8000
+TRAIN_ROWS = 16_000
 BUCKETS = 1 << 18
 FEATURES, SCREEN = 512, 5.0
 GRADES = 3
