@@ -155,7 +155,7 @@ ROWS = 256
 
 def _counter(spec):
     enc = word_encoder(spec.value)
-    return lambda text: len(enc.encode(text)) // 4
+    return lambda text: len(enc.encode(text.encode())) // 4
 
 
 def _added(df: DataFrame, spec, added: dict[str, tuple[str, pa.DataType]], row, drop=()) -> DataFrame:

@@ -42,7 +42,7 @@ def _cut(spec, capacity: int, end_id: int):
         rows, held = [], 0
         for b in batches:
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
-                ids = enc.encode(text.as_py() or "") + end
+                ids = (enc.encode(text.as_buffer().to_pybytes()) if text.is_valid else b"") + end
                 for p, at in enumerate(range(0, len(ids), 4 * capacity)):
                     body = ids[at:at + 4 * capacity]
                     rows.append((doc, p, at // 4, len(body) // 4, body))

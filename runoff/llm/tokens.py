@@ -2,9 +2,9 @@
 
 The library's tokenizer spends most of its time on normalisation and
 pre-tokenization, and texts repeat their words.  So a worker remembers the
-ids of each white-space-delimited chunk (ids never depend on text beyond
-white space) and computes a new chunk from its remembered pieces.  Chunks
-with characters beyond Latin-1 letters go through the library as they are.
+ids of each chunk between ASCII white space (ids never depend on text beyond
+it) and computes a new chunk from its remembered pieces.  Chunks with
+characters beyond Latin-1 letters go through the library as they are.
 """
 from __future__ import annotations
 
@@ -12,14 +12,12 @@ import json
 import sys
 import types
 import zlib
+from array import array
 
-import numpy as np
 import regex
 
 #: Chunks that a worker remembers; then it starts anew.
-REMEMBERED = 400_000
-#: White space for Python's split that a tokenizer's pattern may see otherwise.
-_ODD_SPACE = regex.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+REMEMBERED = 800_000
 _PLAIN = regex.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 
 
@@ -40,22 +38,32 @@ def _byte_chars() -> dict[int, str]:
     return {**{b: chr(b) for b in kept}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
 
 
+class _Remembered(dict):
+    """Ids by chunk or piece; what is missing is made."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key):
+        made = self[key] = self.make(key)
+        return made
+
+
 class WordEncoder:
-    """Encodes texts as little-endian uint32 ids, as the tokenizer of the JSON
-    ``spec`` does with add_special_tokens=False and its special tokens'
-    strings taken as ordinary text."""
+    """Encodes texts (UTF-8) as little-endian uint32 ids, as the tokenizer of
+    the JSON ``spec`` does with add_special_tokens=False and its special
+    tokens' strings taken as ordinary text."""
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_str(spec)
         self.whole.encode_special_tokens = True
-        parsed = json.loads(spec)
-        self.split = self._pattern(parsed)
+        self.split = self._pattern(json.loads(spec))
         self.model = self.whole.model
         self.chars = _byte_chars()
-        self.chunks: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.chunks = _Remembered(self._chunk)
+        self.pieces = _Remembered(self._piece)
 
     @staticmethod
     def _pattern(parsed):
@@ -68,37 +76,30 @@ class WordEncoder:
                 return regex.compile(pre[0]["pattern"]["Regex"])
         return None
 
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        out = array("I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
     def _piece(self, piece: str) -> bytes:
         mapped = piece.encode().decode("latin-1").translate(self.chars)
-        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
-
-    def _chunk(self, chunk: str) -> bytes:
-        if self.split is None or not _PLAIN.fullmatch(chunk):
-            return np.array(self.whole.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        out = []
-        for p in self.split.findall(chunk.lower()):
-            ids = self.pieces.get(p)
-            if ids is None:
-                ids = self.pieces[p] = self._piece(p)
-            out.append(ids)
-        return b"".join(out)
-
-    def encode(self, text: str) -> bytes:
-        if self.split is None or _ODD_SPACE.search(text):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        known = self.chunks
-        words = text.split()
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
-        if len(known) > REMEMBERED:
-            known.clear()
+        return self._packed([t.id for t in self.model.tokenize(mapped)])
+
+    def _chunk(self, chunk: bytes) -> bytes:
+        text = chunk.decode()
+        if not _PLAIN.fullmatch(text):
+            return self._packed(self.whole.encode(text, add_special_tokens=False).ids)
+        return b"".join(map(self.pieces.__getitem__, self.split.findall(text.lower())))
+
+    def encode(self, text: bytes) -> bytes:
+        if self.split is None:
+            return self._packed(self.whole.encode(text.decode(), add_special_tokens=False).ids)
+        if len(self.chunks) + len(self.pieces) > 2 * REMEMBERED:
+            self.chunks.clear()
             self.pieces.clear()
-        for w in words:
-            if w not in known:
-                known[w] = self._chunk(w)
-        return b"".join(map(known.__getitem__, words))
+        return b"".join(map(self.chunks.__getitem__, text.split()))
 
 
 def word_encoder(spec: str) -> WordEncoder:
