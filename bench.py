@@ -5,9 +5,10 @@ Prints ONE JSON line:
  "queries": {name: sec, ...}, "shuffle_bytes": {name: bytes}, "sf": ...}
 
 Each timed run builds a fresh Book (no reuse of a materialised feed), so
-its time includes the loan-level scan, join and aggregation.  The two
-headline queries run REPS times each and report the median (min and max
-alongside); the untimed warm-up uses the smallest data set only.  Shuffle
+its time includes the loan-level scan, join and aggregation; the full run also
+publishes every phase table, reads it back and validates it.  All queries run
+REPS times in alternating order, after one untimed round at this scale, and
+report the median (min and max alongside).  Shuffle
 bytes (first run of each query) come from Spark's event log, written to a
 fresh scratch folder.
 """
@@ -25,8 +26,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from runoff.config import DEFAULT  # noqa: E402
-from runoff.operators import checks  # noqa: E402
-from runoff.plans import queries as Q  # noqa: E402
+from runoff.plans import pipeline  # noqa: E402
 from runoff.plans.book import Book  # noqa: E402
 from runoff.session import build_session  # noqa: E402
 
@@ -75,37 +75,32 @@ def main():
     sc = spark.sparkContext
     sc.setCheckpointDir(f"file://{scratch}/ckpt")
 
-    # warm the JVM / Python workers on the smallest data (not timed)
-    Q.q_headline_ecl(spark, "/root/testdata/sf0.001").collect()
-
     def run(name, fn):
         sc.setJobGroup(name, name)
         t0 = time.perf_counter()
-        fn()
-        return time.perf_counter() - t0
+        b = Book.from_driver_tables(spark, sf_dir, DEFAULT)
+        fn(b)
+        took = time.perf_counter() - t0
+        b.release()
+        return took
 
     timings = {}
     spread = {}
     reps = int(os.environ.get("BENCH_REPS", "3"))
-
-    def headline():
-        Book.from_driver_tables(spark, sf_dir, DEFAULT).headline().collect()
-
-    def matrix():
-        Book.from_driver_tables(spark, sf_dir, DEFAULT).wavg.collect()
-
-    def pipeline():
-        b = Book.from_driver_tables(spark, sf_dir, DEFAULT)
-        b.wavg.collect()
-        b.loss.collect()
-        b.triangles.collect()
-        checks.gate(checks.validation_checks(b))
-
-    for name, fn in (("headline_ecl", headline), ("segment_ecl_matrix", matrix)):
-        runs = [run(name if i == 0 else f"{name}#{i}", fn) for i in range(reps)]
-        timings[name] = statistics.median(runs)
-        spread[name] = [round(min(runs), 3), round(max(runs), 3)]
-    timings["full_pipeline_with_validation"] = run("full_pipeline_with_validation", pipeline)
+    runs: dict[str, list[float]] = {}
+    turn = iter(range(1_000_000))
+    queries = (("headline_ecl", lambda b: b.headline().collect()),
+               ("segment_ecl_matrix", lambda b: b.wavg.collect()),
+               ("full_pipeline_with_validation", lambda b: pipeline.run(b, f"file://{scratch}/out-{next(turn)}")))
+    for _, fn in queries:
+        run("warm-up", fn)
+    for rep in range(reps):
+        for name, fn in queries if rep % 2 == 0 else queries[::-1]:
+            runs.setdefault(name, []).append(run(name if rep == 0 else f"{name}#{rep}", fn))
+    for name, _ in queries:
+        timings[name] = statistics.median(runs[name])
+        spread[name] = [round(min(runs[name]), 3), round(max(runs[name]), 3)]
+    loans = Book.from_driver_tables(spark, sf_dir, DEFAULT).loans.count()
     sc.setJobGroup("done", "done")
     spark.stop()
     shuffle = _shuffle_bytes(log_dir)
@@ -115,6 +110,7 @@ def main():
         "queries": {k: round(v, 3) for k, v in timings.items()},
         "min_max": spread, "reps": reps,
         "shuffle_bytes": {k: shuffle.get(k, 0) for k in timings},
+        "loans_per_sec": {k: round(loans / v) for k, v in timings.items()},
         "sf": _sf(sf_dir), "cpus": int(cpus)}))
 
 

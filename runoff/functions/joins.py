@@ -1,22 +1,9 @@
-"""Join helpers: broadcast only behind a proven size bound."""
+"""Small join-free helpers."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Every table broadcast after the feed is derived from the checkpointed feed
-# of F rows (loan-grain + MOB rows per (cohort, segment)), and is at most
-#   grouped feed  <= 2F   (each row in its segment and in 'all')
-#   current TPOS  <= 2F   (one row per (group, cohort))
-#   factors       <= 2F   (groups x MOB grid)
-#   loss table    <= 6F   (groups x cohorts x 3 anchors)
-# rows of < 80 bytes.  Hints are given only while 6F stays under
-# MAX_BROADCAST_ROWS (~40 MB); beyond it the joins are left to Catalyst /
-# AQE as shuffled joins.  F itself is bounded by the calendar
-# (cohorts x segments x 42), not by the number of loans.
-MAX_BROADCAST_ROWS = 500_000
-FEED_ROW_FANOUT = 6
-
 
 def side_by_side(*rows: DataFrame) -> DataFrame:
     """Combine single-row aggregates (distinct column names) into one row:
@@ -31,11 +18,3 @@ def side_by_side(*rows: DataFrame) -> DataFrame:
 def grid_column(start: int, stop: int, step: int):
     """A config grid as a column to explode: a bounded, narrow fan-out."""
     return F.explode(F.sequence(F.lit(start), F.lit(stop), F.lit(step)))
-
-
-def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
-
-
-def small_from_feed_rows(feed_rows: int) -> bool:
-    return feed_rows * FEED_ROW_FANOUT <= MAX_BROADCAST_ROWS

@@ -1,12 +1,19 @@
 """Data-quality, profile and reconciliation operators.
 
-Every reconciliation is a second, independently written plan over the same
-scans, compared row by row with a FULL OUTER join (a row missing on either
-side shows up as a difference), then reduced to one check row:
-``check_name, max_abs_diff, tolerance, result``.
+A reconciliation is a second, independently written plan over the same
+sources, compared row by row with a FULL OUTER join (a row missing on either
+side shows up as a difference) and reduced to measures: rows (check_id,
+measure).  What a measure may be is data: ``definitions`` gives every check
+its bound and what it means to exceed it, and ``judge`` turns all measures
+into verdicts with one expression.  A measure that could not be taken (NULL:
+nothing to compare) is beyond every bound.
 
 Amount differences are taken in exact integer minor units and converted to
 crore once, so they do not depend on summation order.
+
+The performance table is read by loan.  Callers pass it partitioned by
+``loan_no`` (``Book.perf_by_loan``: one exchange of a plain table, none of a
+bucketed one); all groupings and joins here reuse that.
 """
 from __future__ import annotations
 
@@ -20,50 +27,109 @@ from runoff.functions.calendar import iso
 from runoff.functions.joins import side_by_side
 from runoff.functions.numeric import micro_crore, safe_ratio, to_crore
 from runoff.operators import ecl
-from runoff.operators.feed import loan_mob_wide, loans_in_window
-from runoff.session import scratch_path
+from runoff.operators.feed import loans_in_window
 
 DIFF_DP = 10
-
-
-_one_row = side_by_side
+#: Relative tolerance of a projected cell against the recurrence.
+RECURRENCE_TOL = 1e-9
+
+
+# ------------------------------------------------------------------ definitions
+def definitions(cfg: EclConfig) -> dict[str, tuple[float, str]]:
+    """{check id: (largest allowed measure, verdict beyond it)}."""
+    return {
+        "feed.loan_count": (0.0, "FAIL"),
+        "feed.disbursal": (cfg.tol, "FAIL"),
+        "feed.overdue": (cfg.tol, "FAIL"),
+        "feed.outstanding": (cfg.tol, "FAIL"),
+        **{f"loss_rate.{a}m": (cfg.tol, "FAIL") for a in cfg.anchors},
+        "window.weighted_rate": (cfg.tol, "FAIL"),
+        "window.rate_above_one": (0.0, "WARN"),
+        "triangle.recurrence": (RECURRENCE_TOL, "FAIL"),
+        "book.whole_run": (cfg.tol, "FAIL"),
+        "sink.summary_rate": (cfg.tol, "FAIL"),
+        "sink.rows": (0.0, "FAIL"),
+    }
+
+
+def measures(one_row: DataFrame, by_id: dict[str, str]) -> DataFrame:
+    """(check_id, measure) rows from the columns of one row; by_id: {check id: column}."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("check_id"), F.col(c).cast("double").alias("measure"))
+                      for k, c in by_id.items()])
+    return one_row.select(F.explode(pairs).alias("m")).select("m.*")
+
+
+def judge(taken: DataFrame, cfg: EclConfig) -> DataFrame:
+    """check_id, measure, bound, verdict.  An id's part after ``:`` names what
+    it was taken of and does not matter to its definition."""
+    entries = sorted(definitions(cfg).items())
+    bounds = F.create_map(*[x for k, (b, _) in entries for x in (F.lit(k), F.lit(b))])
+    beyond = F.create_map(*[x for k, (_, v) in entries for x in (F.lit(k), F.lit(v))])
+    kind = F.substring_index("check_id", ":", 1)
+    return (taken.withColumn("bound", bounds[kind])
+            .withColumn("verdict", F.when(F.col("measure") <= F.col("bound"), F.lit("PASS"))
+                        .otherwise(beyond[kind])))
+
+
+def with_overall(verdicts: DataFrame) -> DataFrame:
+    """The verdicts and an ``overall`` row with the gravest of them."""
+    gravest = (F.when(F.count_if(F.col("verdict") == "FAIL") > 0, "FAIL")
+               .when(F.count_if(F.col("verdict") == "WARN") > 0, "WARN").otherwise("PASS"))
+    none = F.lit(None).cast("double")
+    overall = verdicts.agg(gravest.alias("verdict")).select(
+        F.lit("overall").alias("check_id"), none.alias("measure"), none.alias("bound"), "verdict")
+    return verdicts.unionByName(overall)
+
+
+def gate(verdicts: DataFrame) -> str:
+    """The overall verdict on the driver (a one-row action); raises on FAIL."""
+    overall = verdicts.filter(F.col("check_id") == "overall").first()["verdict"]
+    if overall == "FAIL":
+        bad = [r["check_id"] for r in verdicts.filter("verdict = 'FAIL' and check_id <> 'overall'").collect()]
+        raise RuntimeError(f"run rejected; checks beyond their bounds: {', '.join(bad)}")
+    return overall
 
 
 # ------------------------------------------------------------------ S6
-def key_violations(loans: DataFrame, perf: DataFrame) -> DataFrame:
-    """Source constraints as a data-quality report (one row)."""
-    lk = loans.groupBy("loan_no").count()
-    pk = perf.groupBy("loan_no", "mob").count()
-    loan_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in loans.columns
-                                            if c in ("loan_no", "customer_id", "segment",
-                                                     "disbursal_date", "amount_cents",
-                                                     "tenure_months")])
-    perf_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in
-                                            ("loan_no", "mob", "tpos_cents", "dpd90_cents")])
-    orphans = perf.select("loan_no").join(loans.select("loan_no"), "loan_no", "left_anti")
-    no_perf = loans.select("loan_no").join(perf.select("loan_no"), "loan_no", "left_anti")
-    return _one_row(
-        lk.agg(F.sum("count").alias("n_loans"), F.count_if(F.col("count") > 1).alias("dup_loan_keys")),
-        loans.agg(F.count_if(loan_null).alias("null_loan_fields")),
-        pk.agg(F.sum("count").alias("n_perf_rows"),
-               F.count_if(F.col("count") > 1).alias("dup_perf_keys")),
-        perf.agg(F.count_if(perf_null).alias("null_perf_fields")),
-        orphans.agg(F.count(F.lit(1)).alias("orphan_perf_rows")),
-        no_perf.agg(F.count(F.lit(1)).alias("loans_without_perf")),
-    ).select("n_loans", "dup_loan_keys", "null_loan_fields", "n_perf_rows", "dup_perf_keys",
-             "null_perf_fields", "orphan_perf_rows", "loans_without_perf")
+LOAN_FIELDS = ("loan_no", "customer_id", "segment", "disbursal_date", "amount_cents", "tenure_months")
+PERF_FIELDS = ("loan_no", "mob", "tpos_cents", "dpd90_cents")
+
+
+def _any_null(columns, fields):
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns if c in fields])
+
+
+def key_violations(loans: DataFrame, perf_by_loan: DataFrame) -> DataFrame:
+    """Source constraints as a data-quality report (one row): both tables are
+    reduced to a row for each loan and meet once."""
+    by_key = (perf_by_loan.groupBy("loan_no", "mob")
+              .agg(F.count(F.lit(1)).alias("n"), F.count_if(_any_null(PERF_FIELDS, PERF_FIELDS)).alias("nulls")))
+    perf = by_key.groupBy(F.col("loan_no").alias("p_no")).agg(
+        F.sum("n").alias("p_rows"), F.count_if(F.col("n") > 1).alias("p_dup"), F.sum("nulls").alias("p_nulls"))
+    loan = loans.groupBy(F.col("loan_no").alias("l_no")).agg(
+        F.count(F.lit(1)).alias("l_rows"), F.count_if(_any_null(loans.columns, LOAN_FIELDS)).alias("l_nulls"))
+    # a NULL key is equal to no key: both sides keep it as unmatched
+    both = loan.join(perf, F.col("l_no") == F.col("p_no"), "full_outer")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return both.agg(
+        total("l_rows").alias("n_loans"), F.count_if(F.col("l_rows") > 1).alias("dup_loan_keys"),
+        total("l_nulls").alias("null_loan_fields"), total("p_rows").alias("n_perf_rows"),
+        total("p_dup").alias("dup_perf_keys"), total("p_nulls").alias("null_perf_fields"),
+        total(F.when(F.col("l_rows").isNull(), F.col("p_rows"))).alias("orphan_perf_rows"),
+        total(F.when(F.col("p_rows").isNull(), F.col("l_rows"))).alias("loans_without_perf"))
 
 
 # ------------------------------------------------------------ A10, A11
 def book_profile(loans: DataFrame, perf: DataFrame) -> DataFrame:
-    per_cust = loans.groupBy("customer_id").count()
-    prof = _one_row(
-        loans.agg(F.count(F.lit(1)).alias("n_loans"),
-                  F.sum("amount_cents").alias("_amt"),
-                  F.countDistinct("customer_id").alias("n_customers"),
-                  F.min("disbursal_date").alias("_lo"), F.max("disbursal_date").alias("_hi")),
-        perf.agg(F.count(F.lit(1)).alias("n_perf_rows")),
-        per_cust.agg(F.max("count").alias("max_loans_per_customer")))
+    """One aggregate by customer gives the book's and the customers' figures."""
+    by_customer = loans.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount_cents").alias("amt"),
+        F.min("disbursal_date").alias("lo"), F.max("disbursal_date").alias("hi"))
+    prof = side_by_side(
+        by_customer.agg(F.sum("n").alias("n_loans"), F.sum("amt").alias("_amt"),
+                        F.count("customer_id").alias("n_customers"), F.min("lo").alias("_lo"),
+                        F.max("hi").alias("_hi"), F.max("n").alias("max_loans_per_customer")),
+        perf.agg(F.count(F.lit(1)).alias("n_perf_rows")))
     return prof.select(
         "n_loans", "n_perf_rows",
         F.round(to_crore(micro_crore("_amt")), 6).alias("disbursal_cr"),
@@ -91,65 +157,43 @@ def exact_median_of_small_domain(df: DataFrame, col: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ R1-R4
-def _check(name: str, diff, tol: float | None, warn_only: bool = False):
-    """Columns of a check row from an aggregate ``diff`` expression."""
-    ok = (diff == 0) if tol is None else (diff <= tol)
-    bad = F.lit("WARN" if warn_only else "FAIL")
-    return [F.lit(name).alias("check_name"), diff.cast("double").alias("max_abs_diff"),
-            F.lit("exact" if tol is None else f"<= {tol}").alias("tolerance"),
-            F.when(ok, F.lit("PASS")).otherwise(bad).alias("result")]
-
-
-def _check_struct(name: str, diff, tol: float | None, warn_only: bool = False):
-    """One check row as a struct (several checks leave one aggregate row
-    through a single explode, so the plan above them is not duplicated)."""
-    return F.struct(*_check(name, diff, tol, warn_only))
-
-
-def _rows(df: DataFrame, structs: list) -> DataFrame:
-    return df.select(F.explode(F.array(*structs)).alias("c")).select("c.*")
-
-
-def reconcile_feed(loans: DataFrame, perf: DataFrame, feed_long: DataFrame, disb: DataFrame,
+def reconcile_feed(loans: DataFrame, perf_by_loan: DataFrame, feed_long: DataFrame, disb: DataFrame,
                    cfg: EclConfig) -> DataFrame:
-    """R1-R4 (+R9): the feed against a pivot-first recompute (per-loan wide
-    rows, joined to loans, summed per cohort and segment), compared per
-    (cohort, segment, mob) with loan count and disbursal on a MOB -1 row -
-    segment kept, so a loan filed under the wrong segment fails.  One join,
-    one aggregate: the independent path runs once."""
-    mobs = cfg.extract_grid.mobs
-    wide = loan_mob_wide(perf, cfg)
-    lw = loans_in_window(loans, cfg).select("loan_no", "cohort_end", "segment", "amount_cents")
-    g = (lw.join(wide, "loan_no", "left")
-         .groupBy("cohort_end", "segment")
-         .agg(F.count(F.lit(1)).alias("exp_cnt"), F.sum("amount_cents").alias("exp_amt"),
-              *[F.sum(f"bad_{m}").alias(f"b{m}") for m in mobs],
-              *[F.sum(f"tpos_{m}").alias(f"t{m}") for m in mobs]))
+    """R1-R4 (+R9): the feed against a loan-first recompute - a loan's
+    performance is summed by MOB, then meets its loan, then both are summed by
+    cohort and segment (the feed joins rows and sums once).  Compared per
+    (cohort, segment, mob), loan count and disbursal on a MOB -1 row; segment
+    is kept, so a loan filed under the wrong segment fails."""
     none = F.lit(None).cast("long")
-    cells = [F.struct(F.lit(-1).alias("k"), F.col("exp_cnt").alias("e_cnt"),
-                      F.col("exp_amt").alias("e_amt"), none.alias("e_d"), none.alias("e_t"))]
-    cells += [F.struct(F.lit(m).alias("k"), none.alias("e_cnt"), none.alias("e_amt"),
-                       F.col(f"b{m}").alias("e_d"), F.col(f"t{m}").alias("e_t")) for m in mobs]
-    exp = (g.select("cohort_end", "segment", F.explode(F.array(*cells)).alias("x"))
-           .select("cohort_end", "segment", "x.*"))
-    k = MICRO_CRORE_MINOR_UNITS
+    by_mob = (perf_by_loan.filter(F.col("mob").isin(list(cfg.extract_grid.mobs)))
+              .groupBy("loan_no", "mob")
+              .agg(F.sum("dpd90_cents").alias("e_d"), F.sum("tpos_cents").alias("e_t")))
+    lw = loans_in_window(loans, cfg).select("loan_no", "cohort_end", "segment", "amount_cents")
+    keys = ["cohort_end", "segment", "k"]
+    amounts = (lw.drop("amount_cents").join(by_mob, "loan_no")
+               .groupBy("cohort_end", "segment", F.col("mob").alias("k"))
+               .agg(F.sum("e_d").alias("e_d"), F.sum("e_t").alias("e_t"))
+               .select(*keys, none.alias("e_cnt"), none.alias("e_amt"), "e_d", "e_t"))
+    counts = (lw.groupBy("cohort_end", "segment")
+              .agg(F.count(F.lit(1)).alias("e_cnt"), F.sum("amount_cents").alias("e_amt"))
+              .select("cohort_end", "segment", F.lit(-1).alias("k"), "e_cnt", "e_amt",
+                      none.alias("e_d"), none.alias("e_t")))
     got = (feed_long.select("cohort_end", "segment", F.col("mob").alias("k"),
                             none.alias("lan_cnt"), none.alias("disb_uc"), "dpd90_uc", "tpos_uc")
            .unionByName(disb.select("cohort_end", "segment", F.lit(-1).alias("k"), "lan_cnt",
                                     "disb_uc", none.alias("dpd90_uc"), none.alias("tpos_uc"))))
-    z = F.lit(0)
-    diff = lambda a, b: F.max(F.abs(F.coalesce(a, z) - F.coalesce(b, z)))
-    d = (got.join(exp, ["cohort_end", "segment", "k"], "full_outer")
-         .agg(diff(F.col("lan_cnt"), F.col("e_cnt")).alias("d_cnt"),
-              diff(F.col("disb_uc") * k, F.col("e_amt")).alias("d_amt"),
-              diff(F.col("dpd90_uc") * k, F.col("e_d")).alias("d_d"),
-              diff(F.col("tpos_uc") * k, F.col("e_t")).alias("d_t")))
-    cr = F.lit(float(MINOR_UNITS_PER_CRORE))
-    return _rows(d, [
-        _check_struct("LAN_CNT", F.col("d_cnt"), None),
-        _check_struct("DISBURSAL_AMT", F.col("d_amt").cast("double") / cr, cfg.tol),
-        _check_struct("90+ sums (all MOB)", F.col("d_d").cast("double") / cr, cfg.tol),
-        _check_struct("TPOS sums (all MOB)", F.col("d_t").cast("double") / cr, cfg.tol)])
+    z, uc, cr = F.lit(0), MICRO_CRORE_MINOR_UNITS, F.lit(float(MINOR_UNITS_PER_CRORE))
+
+    def gap(a, b):
+        return F.max(F.abs(F.coalesce(a, z) - F.coalesce(b, z)))
+
+    d = (got.join(counts.unionByName(amounts), keys, "full_outer")
+         .agg(gap(F.col("lan_cnt"), F.col("e_cnt")).cast("double").alias("cnt"),
+              (gap(F.col("disb_uc") * uc, F.col("e_amt")).cast("double") / cr).alias("amt"),
+              (gap(F.col("dpd90_uc") * uc, F.col("e_d")).cast("double") / cr).alias("overdue"),
+              (gap(F.col("tpos_uc") * uc, F.col("e_t")).cast("double") / cr).alias("outstanding")))
+    return measures(d, {"feed.loan_count": "cnt", "feed.disbursal": "amt",
+                        "feed.overdue": "overdue", "feed.outstanding": "outstanding"})
 
 
 # ------------------------------------------------------------------ R5
@@ -181,15 +225,14 @@ def reconcile_loss_rate(tri: DataFrame, loss_df: DataFrame, cfg: EclConfig) -> D
     d = (re.join(got, ["segment", "cohort_end", "anchor_mob"], "full_outer")
          .agg(*[F.round(F.max(F.when(F.col("anchor_mob") == a, ad)), DIFF_DP).alias(f"d{a}")
                 for a in cfg.anchors]))
-    return _rows(d, [_check_struct(f"loss_rate {a}M", F.col(f"d{a}"), cfg.tol)
-                     for a in cfg.anchors])
+    return measures(d, {f"loss_rate.{a}m": f"d{a}" for a in cfg.anchors})
 
 
 # ------------------------------------------------------------------ R6
 def reconcile_weighted(loss_df: DataFrame, wavg: DataFrame, cfg: EclConfig) -> DataFrame:
     """Every window's weighted average re-derived as sum(lr*w)/sum(w)
     over the cohorts inside its bounds, all windows in one pass."""
-    wdf = ecl.windows_df(loss_df.sparkSession, cfg.windows)  # config-sized
+    wdf = ecl.windows_df(loss_df.sparkSession, cfg.windows)  # one row per configured window
     sel = loss_df.join(F.broadcast(wdf), (loss_df.anchor_mob == wdf.anchor_mob)
                        & loss_df.cohort_end.between(wdf.first_day, wdf.last_day))
     re = sel.groupBy("segment", "window").agg(
@@ -198,14 +241,15 @@ def reconcile_weighted(loss_df: DataFrame, wavg: DataFrame, cfg: EclConfig) -> D
     d = (re.join(got, ["segment", "window"], "full_outer")
          .agg(F.round(F.max(F.abs(F.coalesce("re", F.lit(0.0))
                                   - F.coalesce("weighted_avg_lr", F.lit(0.0)))), DIFF_DP).alias("d")))
-    return d.select(*_check("weighted-avg LR", F.col("d"), cfg.tol))
+    return measures(d, {"window.weighted_rate": "d"})
 
 
 # ------------------------------------------------------------------ C11
 def reconcile_chain_ladder(tri: DataFrame, cfg: EclConfig) -> DataFrame:
-    """C11: re-derive every projected cell from the completed triangle with
-    the recurrence itself (prefix sums over the cohorts above, previous MOB),
-    per (segment, metric)."""
+    """C11: every projected cell re-derived from the completed triangle by the
+    recurrence (its previous-MOB value times the ratio of the sums over the
+    cohorts above), per (segment, metric).  A triangle without projected
+    cells has 0 of them and no difference."""
     above = (Window.partitionBy("segment", "mob").orderBy("cohort_end")
              .rowsBetween(Window.unboundedPreceding, -1))
     row = Window.partitionBy("segment", "cohort_end").orderBy("mob")
@@ -221,76 +265,71 @@ def reconcile_chain_ladder(tri: DataFrame, cfg: EclConfig) -> DataFrame:
         expected = (F.when((F.col("mob") == first) | ~F.col("_has_above"), F.lit(0.0))
                     .when(F.col("_s_prev") == 0, F.lit(0.0))
                     .otherwise(F.col("_v_prev") * F.col("_s") / F.col("_s_prev")))
-        d = (t.filter(~F.col("is_observed"))
-             .withColumn("_d", F.abs(F.col(f"{m}_amt") - expected)))
-        out.append(d.groupBy("segment").agg(
-            F.count(F.lit(1)).alias("n_projected"),
-            F.round(F.max(F.col("_d") / F.greatest(F.lit(1.0), F.abs(expected))), DIFF_DP)
-            .alias("max_rel_diff")).withColumn("metric", F.lit(m)))
+        projected = ~F.col("is_observed")
+        off = F.abs(F.col(f"{m}_amt") - expected) / F.greatest(F.lit(1.0), F.abs(expected))
+        out.append(t.groupBy("segment").agg(
+            F.count_if(projected).alias("n_projected"),
+            F.round(F.coalesce(F.max(F.when(projected, off)), F.lit(0.0)), DIFF_DP).alias("max_rel_diff"))
+            .withColumn("metric", F.lit(m)))
     r = reduce(DataFrame.unionByName, out)
     return r.select("segment", "metric", "n_projected", "max_rel_diff",
-                    F.when(F.col("max_rel_diff") <= 1e-9, F.lit("PASS")).otherwise(F.lit("FAIL"))
+                    F.when(F.col("max_rel_diff") <= RECURRENCE_TOL, F.lit("PASS")).otherwise(F.lit("FAIL"))
                     .alias("result"))
 
 
 # ------------------------------------------------------------------ R7, R8
-def validation_checks(book) -> DataFrame:
-    """All numeric checks, the plausibility WARN and an OVERALL row."""
+def _guarded(taken: DataFrame, feed: DataFrame) -> DataFrame:
+    """No measure holds where the feed is empty: there was nothing to compare."""
+    rows = feed.agg(F.count(F.lit(1)).alias("_n"))
+    return (taken.select("*", F.lit(None).cast("long").alias("_n"))
+            .unionByName(rows.select(F.lit(None).cast("string").alias("check_id"),
+                                     F.lit(None).cast("double").alias("measure"), "_n"))
+            .withColumn("_n", F.max("_n").over(Window.partitionBy()))  # one row per check
+            .filter(F.col("check_id").isNotNull())
+            .select("check_id", F.when(F.col("_n") > 0, F.col("measure")).alias("measure")))
+
+
+def run_measures(book) -> DataFrame:
+    """All numeric measures of a run and the plausibility of its rates."""
     cfg = book.cfg
-    wl = book.wavg.filter(F.col("segment") == "all")
-    plaus = wl.agg(F.round(F.max(F.greatest(F.lit(0.0), F.col("weighted_avg_lr") - 1)), DIFF_DP)
-                   .alias("d")).select(*_check("plausibility LR<100%", F.col("d"), 0.0,
-                                               warn_only=True))
-    cl = reconcile_chain_ladder(book.triangles, cfg).agg(
-        F.max("max_rel_diff").alias("d")).select(*_check("chain ladder re-derivation",
-                                                         F.col("d"), 1e-9))
-    body = reduce(DataFrame.unionByName, [
-        reconcile_feed(book.loans, book.perf, book.feed, book.disb, cfg),
+    above_one = measures(
+        book.wavg.filter(F.col("segment") == "all")
+        .agg(F.round(F.max(F.greatest(F.lit(0.0), F.col("weighted_avg_lr") - 1)), DIFF_DP).alias("d")),
+        {"window.rate_above_one": "d"})
+    ladder = measures(reconcile_chain_ladder(book.triangles, cfg).agg(F.max("max_rel_diff").alias("d")),
+                      {"triangle.recurrence": "d"})
+    taken = reduce(DataFrame.unionByName, [
+        reconcile_feed(book.loans, book.perf_by_loan, book.feed, book.disb, cfg),
         reconcile_loss_rate(book.triangles, book.loss, cfg),
-        reconcile_weighted(book.loss, book.wavg, cfg), cl, plaus])
-    overall = body.agg(
-        F.when(F.count_if(F.col("result") == "FAIL") > 0, F.lit("FAIL"))
-        .when(F.count_if(F.col("result") == "WARN") > 0, F.lit("WARN"))
-        .otherwise(F.lit("PASS")).alias("result")).select(
-        F.lit("OVERALL").alias("check_name"), F.lit(None).cast("double").alias("max_abs_diff"),
-        F.lit("").alias("tolerance"), "result")
-    return body.unionByName(overall)
+        reconcile_weighted(book.loss, book.wavg, cfg), ladder, above_one])
+    return _guarded(taken, book.feed)
 
 
-def gate(checks_df: DataFrame) -> str:
-    """Overall status on the driver (a one-row action); raises on FAIL."""
-    status = checks_df.filter(F.col("check_name") == "OVERALL").first()["result"]
-    if status == "FAIL":
-        raise RuntimeError("validation reported FAIL - do not publish this run")
-    return status
+def validation_checks(book) -> DataFrame:
+    """R7 + R8: the verdicts on :func:`run_measures`, and the overall one."""
+    return with_overall(judge(run_measures(book), book.cfg))
 
 
 # ------------------------------------------------------------------ R10
-def reconcile_all_segment(book) -> DataFrame:
-    """The whole-book row of the segment matrix equals a separately
-    parameterised whole-book run of the headline window."""
-    cfg = book.cfg
-    h = cfg.headline_window
-    mat = book.headline("all").select(F.col("weighted_avg_lr").alias("a"))
-    single, _ = book.segment_ecl("all", h.fy_start, h.fy_end, h.anchor_mob)
-    s = single.select(F.col("weighted_avg_lr").alias("b"))
-    d = side_by_side(mat, s).select(F.round(F.abs(F.col("a") - F.col("b")), DIFF_DP).alias("d"))
-    return d.select(*_check("segment all = headline ECL", F.col("d"), cfg.tol))
+def whole_run_measure(book) -> DataFrame:
+    """The whole-book headline rate of the segment matrix against a run
+    over the feed collapsed to cohorts (no segments at all)."""
+    one = book.whole_only()
+    return measures(side_by_side(
+        book.headline("all").select(F.col("weighted_avg_lr").alias("a")),
+        one.headline("all").select(F.col("weighted_avg_lr").alias("b"))).select(
+        F.round(F.abs(F.col("a") - F.col("b")), DIFF_DP).alias("d")), {"book.whole_run": "d"})
 
 
 # ------------------------------------------------------------------ R11
-def reconcile_summary(book) -> DataFrame:
-    """The published summary, read back from storage, equals the
-    headline row of the published window table."""
-    from runoff.operators.report import summary
-    spark = book.spark
-    base = scratch_path(spark, f"publish-{id(book)}")
-    summary(book).write.mode("overwrite").parquet(f"{base}/summary")
-    book.wavg.write.mode("overwrite").parquet(f"{base}/weighted")
-    s = (spark.read.parquet(f"{base}/summary").filter(F.col("key") == "ecl_pct")
-         .select(F.col("value_num").alias("a")))
-    w = (spark.read.parquet(f"{base}/weighted")
-         .filter((F.col("segment") == "all") & (F.col("window") == book.cfg.headline))
-         .select(F.col("weighted_avg_lr").alias("b")))
-    d = side_by_side(s, w).select(F.round(F.abs(F.col("a") - F.round("b", 8)), DIFF_DP).alias("d"))
-    return d.select(*_check("summary ECL = weighted table", F.col("d"), book.cfg.tol))
+def published_rate_measure(summary: DataFrame, loss: DataFrame, cfg: EclConfig) -> DataFrame:
+    """The rate in the published summary against the headline window's
+    rate re-derived from the published loss table (as read back: cohort_end
+    is ISO text)."""
+    h = cfg.headline_window
+    inside = loss.filter((F.col("segment") == "all") & (F.col("anchor_mob") == h.anchor_mob)
+                         & F.col("cohort_end").between(h.first_day.isoformat(), h.last_day.isoformat()))
+    rate = inside.agg(safe_ratio(F.sum(F.col("loss_rate") * F.col("disb_cr")), F.sum("disb_cr")).alias("b"))
+    told = summary.filter(F.col("key") == "ecl_pct").select(F.col("value_num").alias("a"))
+    return measures(side_by_side(told, rate).select(
+        F.round(F.abs(F.col("a") - F.round("b", 8)), DIFF_DP).alias("d")), {"sink.summary_rate": "d"})

@@ -1,8 +1,7 @@
 """Phase 4: disbursal-weighted loss rates per window and the ECL.
 
-Windows are data.  The range join (cohort between the window bounds) is an
-equi-join on (segment, anchor) with the range as a join filter, driven from
-the windows side as LEFT so an empty window still yields a row.
+Windows are data: every loss row is paired with each configured window and
+flagged when it lies inside; conditional aggregates do the rest.  No join.
 """
 from __future__ import annotations
 
@@ -57,11 +56,6 @@ def headline(wavg: DataFrame, cfg: EclConfig, segment: str = "all") -> DataFrame
     return wavg.filter((F.col("segment") == segment) & (F.col("window") == cfg.headline))
 
 
-def segment_window(fy_start: int, fy_end: int, anchor: int) -> Window:
-    name = f"FY{fy_start % 100:02d}-FY{fy_end % 100:02d} @ {anchor}M"
-    return Window(name, fy_start, fy_end, anchor)
-
-
 def window_detail(loss: DataFrame, segment: str, window: Window) -> DataFrame:
     """E5: per-cohort rows of one segment/window/anchor."""
     return loss.filter((F.col("segment") == segment)

@@ -31,9 +31,10 @@ def feed_with_disbursal(loans: DataFrame, perf: DataFrame, cfg: EclConfig) -> Da
     """J1 + A2 in ONE aggregation pass: loan rows (``mob`` NULL: count and
     disbursal) are unioned with the joined performance rows (one per loan x
     MOB: 90+ and TPOS), and a single hash aggregate with map-side partial
-    aggregation reduces both to (cohort_end, segment, mob).  One scan of
-    each table, one join, one small exchange; :func:`split_feed` separates
-    the two tables afterwards.  Amounts are rounded to micro-crore per group."""
+    aggregation reduces both to (cohort_end, segment, mob).  Performance is
+    scanned once, the loans twice (for the join and for their own rows); one
+    join, one small exchange; :func:`split_feed` separates the two tables
+    afterwards.  Amounts are rounded to micro-crore per group."""
     lw = loans_in_window(loans, cfg).select("loan_no", "cohort_end", "segment", "amount_cents")
     p = (perf.select("loan_no", "mob", "tpos_cents", "dpd90_cents")
          .filter(F.col("mob").isin(list(cfg.extract_grid.mobs))))
@@ -62,6 +63,13 @@ def split_feed(both: DataFrame) -> tuple[DataFrame, DataFrame]:
     return feed, disb
 
 
+def whole_feed(both: DataFrame) -> DataFrame:
+    """The feed collapsed to cohorts, as the one group ``'all'``."""
+    return (both.groupBy("cohort_end", "mob")
+            .agg(*[F.sum(c).alias(c) for c in ("lan_cnt", "disb_uc", "dpd90_uc", "tpos_uc")])
+            .withColumn("segment", F.lit("all")))
+
+
 def group_feed(both: DataFrame, n_groups: int) -> DataFrame:
     """Feed and disbursal rows of every segment group: each row is counted in
     its own segment and in ``'all'`` (the whole book is the sum of the
@@ -98,16 +106,16 @@ def collapse_to_cohort(feed_g: DataFrame, disb_g: DataFrame, cfg: EclConfig,
                     F.round(to_crore(F.coalesce("tpos_uc", F.lit(0))), 6).alias("tpos_cr")))
 
 
-def loan_mob_wide(perf: DataFrame, cfg: EclConfig) -> DataFrame:
-    """A1 / V1: one row per loan, one column per extraction MOB and metric
-    (NULL where the loan has no row at that MOB).  ``pivot`` with the value
-    list given aggregates by (loan, mob) first and then spreads the values,
-    instead of evaluating one conditional sum per column on every row."""
+def loan_mob_wide(perf_by_loan: DataFrame, cfg: EclConfig) -> DataFrame:
+    """A1 / V1: one row per loan, one column per metric and extraction MOB
+    (NULL where the loan has no row at that MOB).  Both aggregations of the
+    pivot, by (loan, mob) and by loan, reuse the partitioning by loan."""
     mobs = list(cfg.extract_grid.mobs)
-    p = (perf.groupBy("loan_no").pivot("mob", mobs)
-         .agg(F.sum("dpd90_cents").alias("b"), F.sum("tpos_cents").alias("t")))
-    return p.select("loan_no", *[F.col(f"{m}_b").alias(f"bad_{m}") for m in mobs],
-                    *[F.col(f"{m}_t").alias(f"tpos_{m}") for m in mobs])
+    p = (perf_by_loan.groupBy("loan_no").pivot("mob", mobs)
+         .agg(F.sum("dpd90_cents").alias("overdue"), F.sum("tpos_cents").alias("outstanding")))
+    names = [(f"{m}_{kind}", f"{short}_{m}") for kind, short in (("overdue", "bad"), ("outstanding", "tpos"))
+             for m in mobs]
+    return p.select("loan_no", *[F.col(a).alias(b) for a, b in names])
 
 
 def feed_wide(feed: DataFrame, disb: DataFrame, cfg: EclConfig) -> DataFrame:

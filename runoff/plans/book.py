@@ -15,31 +15,33 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runoff.config import DEFAULT, EclConfig, normalise_fiscal_year, normalise_segment
-from runoff.functions.joins import small_from_feed_rows
+from runoff.config import DEFAULT, EclConfig, SegmentRequest
 from runoff.operators import ecl, feed, loss, triangle
+from runoff.plans import driver_book
 from runoff.session import ensure_checkpoint_dir
 from runoff.sources import tables
 
 
 class Book:
     def __init__(self, spark: SparkSession, loans: DataFrame, perf: DataFrame,
-                 cfg: EclConfig = DEFAULT, materialize: bool = True,
-                 sequential_degenerate: bool = True):
+                 cfg: EclConfig = DEFAULT, materialize: bool = True, loan_buckets: bool = False):
+        """``loan_buckets``: ``perf`` is read partitioned by ``loan_no``
+        (a table bucketed by it), so nothing needs to partition it again."""
         self.spark = spark
         self.loans = loans
         self.perf = perf
         self.cfg = cfg
         self.materialize = materialize
-        self.sequential_degenerate = sequential_degenerate
+        self.loan_buckets = loan_buckets
+        self._kept: list[DataFrame] = []
 
     # ------------------------------------------------------------- sources
     @classmethod
     def from_driver_tables(cls, spark: SparkSession, sf_dir: str, cfg: EclConfig = DEFAULT,
                            **kw) -> "Book":
-        loans = tables.driver_loans(spark, sf_dir, cfg)
-        perf = tables.performance_from_loans(loans, cfg)
-        return cls(spark, loans, perf, cfg, **kw)
+        loans = driver_book.driver_loans(spark, sf_dir, cfg)
+        perf = driver_book.performance_from_loans(loans, cfg)
+        return cls(spark, loans, perf, cfg, loan_buckets=True, **kw)  # expanded loan by loan
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, loans_path: str, perf_path: str,
@@ -50,9 +52,39 @@ class Book:
     @classmethod
     def from_tables(cls, spark: SparkSession, loans_table: str, perf_table: str,
                     cfg: EclConfig = DEFAULT, **kw) -> "Book":
-        """Catalog tables, e.g. written bucketed by loan key (sources.layout)."""
+        """Catalog tables, e.g. written bucketed by loan key (sources.layout;
+        then pass ``loan_buckets=True``)."""
         return cls(spark, spark.table(loans_table), spark.table(perf_table), cfg, **kw)
 
+    @classmethod
+    def from_extract(cls, loans: DataFrame, perf: DataFrame, cfg: EclConfig = DEFAULT, **kw) -> "Book":
+        """Warehouse extract: text keys, ISO dates, rupee amounts (sources.tables)."""
+        return cls(loans.sparkSession, tables.loans_from_extract(loans),
+                   tables.performance_from_extract(perf), cfg, **kw)
+
+    @cached_property
+    def perf_by_loan(self) -> DataFrame:
+        """The performance table partitioned by loan: as it is read, or after
+        the one exchange that all groupings and joins by loan share."""
+        return self.perf if self.loan_buckets else self.perf.repartition("loan_no")
+
+    def whole_only(self) -> "Book":
+        """The same run over the feed collapsed to cohorts: one group, ``all``."""
+        other = Book(self.spark, self.loans, self.perf, self.cfg, self.materialize, self.loan_buckets)
+        self._feed_both
+        other.__dict__["grouped"] = feed.whole_feed(self._both)
+        return other
+
+    def release(self) -> None:
+        """Give back the persisted tables (checkpoint files go with their
+        references if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set)."""
+        for df in self._kept:
+            df.unpersist()
+        self._kept.clear()
+        for name in ("grouped", "columns", "triangles", "loss", "movements", "current", "wavg", "cells", "_feed_both"):
+            self.__dict__.pop(name, None)
+        self.__dict__.pop("_both", None)
+
     def _cut(self, df: DataFrame) -> DataFrame:
         """Materialise a phase table in the checkpoint directory (lineage cut)."""
         if not self.materialize:
@@ -66,7 +98,9 @@ class Book:
         recomputed from the checkpointed feed, never from the loan tables."""
         if not self.materialize:
             return df
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self._kept.append(df)
+        return df
 
     # --------------------------------------------------------------- phase 1
     @cached_property
@@ -75,18 +109,6 @@ class Book:
         both = self._both = self._cut(feed.feed_with_disbursal(self.loans, self.perf, self.cfg))
         return feed.split_feed(both)
 
-    feed_rows: int | None = None
-
-    @property
-    def small(self) -> bool:
-        """Exact size of the materialised feed (a read of a few thousand rows)
-        as the proven bound behind the one hinted broadcast left (degenerate
-        path); counted only when that path runs."""
-        self._feed_both
-        if self.feed_rows is None and self.materialize:
-            self.feed_rows = self._both.count()
-        return self.feed_rows is not None and small_from_feed_rows(self.feed_rows)
-
     @property
     def feed(self) -> DataFrame:
         """(cohort_end, segment int, mob, dpd90_uc, tpos_uc)"""
@@ -129,27 +151,17 @@ class Book:
         return triangle.triangle_cells(self.grouped, self.cfg)
 
     @cached_property
-    def cells_f(self) -> DataFrame:
-        """cells with their column's development factors (window aggregates)"""
-        return self._keep(triangle.with_factors(self.cells))
+    def columns(self) -> DataFrame:
+        """The triangles by (segment, mob): development factors and cells"""
+        return self._keep(triangle.triangle_columns(self.cells))
 
-    @cached_property
+    @property
     def factors(self) -> DataFrame:
-        return triangle.factor_table(self.cells_f)
-
-    @cached_property
-    def degenerate(self) -> list[tuple[str, str]]:
-        """Flagged (segment, metric) triangles: at most segments x 2 rows."""
-        if not self.sequential_degenerate:
-            return []
-        return [(r["segment"], r["metric"])
-                for r in triangle.degenerate_groups(self.cells_f).collect()]
+        return self.columns.drop("cells")
 
     @cached_property
     def triangles(self) -> DataFrame:
-        flagged = self.degenerate
-        return self._keep(triangle.complete_triangles(
-            self.cells, flagged, self.small if flagged else False, cf=self.cells_f))
+        return self._keep(triangle.fill(self.columns))
 
     # --------------------------------------------------------------- phase 3
     @cached_property
@@ -173,24 +185,17 @@ class Book:
         return ecl.headline(self.wavg, self.cfg, segment)
 
     def segment_ecl(self, segment, fy_start, fy_end, anchor) -> tuple[DataFrame, DataFrame]:
-        """E4 + E5 with argument checks (P12, P13): returns (summary, detail)."""
-        seg = normalise_segment(segment, self.cfg.segments)
-        y1 = normalise_fiscal_year(fy_start, self.cfg.century_pivot)
-        y2 = normalise_fiscal_year(fy_end, self.cfg.century_pivot)
-        anchor = int(anchor)
-        if anchor not in self.cfg.anchors:
-            raise ValueError(f"anchor must be one of {self.cfg.anchors}, got {anchor}")
-        win = ecl.segment_window(y1, y2, anchor)
-        detail = ecl.window_detail(self.loss, seg, win)
-        summary = ecl.weighted_loss_rate(self.loss.filter(F.col("segment") == seg), self.cfg,
-                                         windows=[win])
-        return summary, detail
-
-    def check_segment_args(self, segment, fy_start, fy_end, anchor) -> None:
-        """Driver-side emptiness checks (small, bounded actions)."""
-        seg = normalise_segment(segment, self.cfg.segments)
-        if self.disb_g.filter(F.col("segment") == seg).isEmpty():
-            raise ValueError(f"no rows for segment {seg!r} in the feed")
-        _, detail = self.segment_ecl(segment, fy_start, fy_end, anchor)
-        if detail.isEmpty():
-            raise ValueError(f"no quarters in window FY{fy_start}..FY{fy_end} for segment {seg!r}")
+        """E4 + E5: (summary, detail) of a request."""
+        ask = SegmentRequest.read(self.cfg, segment, fy_start, fy_end, anchor)
+        own = self.loss.filter(F.col("segment") == ask.segment)
+        return (ecl.weighted_loss_rate(own, self.cfg, windows=[ask.window]),
+                ecl.window_detail(own, ask.segment, ask.window))
+
+    def require_rows(self, segment, fy_start, fy_end, anchor) -> int:
+        """The number of cohorts a request covers (one bounded action); raises where there are none."""
+        ask = SegmentRequest.read(self.cfg, segment, fy_start, fy_end, anchor)
+        covered = ecl.window_detail(self.loss, ask.segment, ask.window).count()
+        if not covered:
+            raise ValueError(f"segment {ask.segment} has no cohorts from {ask.window.start_label} to "
+                             f"{ask.window.end_label}")
+        return covered

@@ -12,9 +12,8 @@ from __future__ import annotations
 from runoff.config import (DEFAULT, DEFAULT_HASH_MULT, DEFAULT_MOB_HASH_MULT,
                            DEFAULT_MOB_SPREAD_LONG, DEFAULT_MOB_SPREAD_REFERENCE_LIKE,
                            SEGMENT_DEFAULT_PER_MILLE, YEAR_MOB, YOUNG_BOOK, EclConfig,
-                           normalise_fiscal_year)
-from runoff.operators.ecl import segment_window
-from runoff.plans.queries import SEGMENT_ECL_ARGS
+                           SegmentRequest)
+from runoff.plans.queries import DEGENERATE_GROUPS, MATURE_BOOK, SEGMENT_ECL_ARGS
 
 
 def LABEL(d: str) -> str:
@@ -212,28 +211,39 @@ def _wavg_cols(with_segment: bool = False) -> str:
             "round(weighted_avg_lr, 8) AS weighted_avg_lr, round(weighted_avg_lr, 8) AS ecl_pct")
 
 
-def _check_sql(name: str, diff: str, tol, warn_only: bool = False, src: str = "") -> str:
-    ok = f"({diff}) = 0" if tol is None else f"({diff}) <= {tol!r}"
-    bad = "WARN" if warn_only else "FAIL"
-    tol_txt = "exact" if tol is None else f"<= {tol}"
-    return (f"SELECT '{name}' AS check_name, CAST({diff} AS DOUBLE) AS max_abs_diff, "
-            f"'{tol_txt}' AS tolerance, CASE WHEN {ok} THEN 'PASS' ELSE '{bad}' END AS result {src}")
+def _verdicts(rows: str, cfg: EclConfig) -> str:
+    """check_id, measure, bound, verdict of SQL rows (check_id, measure)."""
+    t = cfg.tol
+    limits = [("feed.loan_count", 0.0, "FAIL"), ("feed.disbursal", t, "FAIL"), ("feed.overdue", t, "FAIL"),
+              ("feed.outstanding", t, "FAIL"), *[(f"loss_rate.{a}m", t, "FAIL") for a in cfg.anchors],
+              ("window.weighted_rate", t, "FAIL"), ("window.rate_above_one", 0.0, "WARN"),
+              ("triangle.recurrence", 1e-9, "FAIL"), ("book.whole_run", t, "FAIL"),
+              ("sink.summary_rate", t, "FAIL"), ("sink.rows", 0.0, "FAIL")]
+    values = ", ".join(f"('{k}', {b!r}::DOUBLE, '{v}')" for k, b, v in limits)
+    return (f"SELECT m.check_id, m.measure, l.bound, CASE WHEN m.measure <= l.bound THEN 'PASS' ELSE l.beyond END AS verdict "
+            f"FROM ({rows}) m JOIN (VALUES {values}) l(kind, bound, beyond) ON l.kind = split_part(m.check_id, ':', 1)")
+
+
+def _overall(verdicts: str) -> str:
+    return f"""SELECT * FROM ({verdicts}) UNION ALL
+SELECT 'overall', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE),
+  CASE WHEN bool_or(verdict = 'FAIL') THEN 'FAIL' WHEN bool_or(verdict = 'WARN') THEN 'WARN' ELSE 'PASS' END
+FROM ({verdicts})"""
+
+
+def _measure(check_id: str, value: str, src: str = "") -> str:
+    return f"SELECT '{check_id}' AS check_id, CAST({value} AS DOUBLE) AS measure {src}"
 
 
 def _reconcile_feed_parts(cfg: EclConfig) -> tuple[list[str], str]:
-    mobs = cfg.extract_grid.mobs
-    wide = ",\n  ".join(
-        [f"SUM(CASE WHEN mob = {m} THEN dpd90_cents END) AS bad_{m}" for m in mobs]
-        + [f"SUM(CASE WHEN mob = {m} THEN tpos_cents END) AS tpos_{m}" for m in mobs])
-    sums = ",\n  ".join([f"SUM(w.bad_{m}) AS b{m}" for m in mobs] + [f"SUM(w.tpos_{m}) AS t{m}" for m in mobs])
-    unions = "\n  UNION ALL ".join(
-        f"SELECT cohort_end, segment, {m} AS mob, b{m} AS exp_d, t{m} AS exp_t FROM exp" for m in mobs)
+    mobs = ", ".join(str(m) for m in cfg.extract_grid.mobs)
     extra = [
-        f"wide AS (SELECT loan_no,\n  {wide}\n  FROM performance GROUP BY loan_no)",
-        f"""exp AS (SELECT l.cohort_end, l.segment, COUNT(*) AS exp_cnt, SUM(l.amount_cents) AS exp_amt,
-  {sums}
-  FROM loans_w l LEFT JOIN wide w ON w.loan_no = l.loan_no GROUP BY l.cohort_end, l.segment)""",
-        f"exp_long AS ({unions})",
+        f"""per_loan AS (SELECT loan_no, mob, SUM(dpd90_cents) AS d, SUM(tpos_cents) AS t
+  FROM performance WHERE mob IN ({mobs}) GROUP BY loan_no, mob)""",
+        """exp AS (SELECT cohort_end, segment, COUNT(*) AS exp_cnt, SUM(amount_cents) AS exp_amt
+  FROM loans_w GROUP BY cohort_end, segment)""",
+        """exp_long AS (SELECT l.cohort_end, l.segment, p.mob, SUM(p.d) AS exp_d, SUM(p.t) AS exp_t
+  FROM loans_w l JOIN per_loan p ON p.loan_no = l.loan_no GROUP BY l.cohort_end, l.segment, p.mob)""",
         """hd AS (SELECT
   max(abs(COALESCE(d.lan_cnt, 0) - COALESCE(e.exp_cnt, 0))) AS d_cnt,
   max(abs(COALESCE(d.disb_uc * 1000, 0) - COALESCE(e.exp_amt, 0))) AS d_amt
@@ -244,14 +254,11 @@ def _reconcile_feed_parts(cfg: EclConfig) -> tuple[list[str], str]:
   FROM feed f FULL OUTER JOIN exp_long e ON f.cohort_end = e.cohort_end AND f.segment = e.segment
                                         AND f.mob = e.mob)""",
     ]
-    tol = cfg.tol
-    body = "\nUNION ALL ".join([
-        _check_sql("LAN_CNT", "d_cnt", None, src="FROM hd"),
-        _check_sql("DISBURSAL_AMT", "CAST(d_amt AS DOUBLE) / 1e9", tol, src="FROM hd"),
-        _check_sql("90+ sums (all MOB)", "CAST(d_d AS DOUBLE) / 1e9", tol, src="FROM md"),
-        _check_sql("TPOS sums (all MOB)", "CAST(d_t AS DOUBLE) / 1e9", tol, src="FROM md"),
-    ])
-    return extra, body
+    return extra, "\nUNION ALL ".join([
+        _measure("feed.loan_count", "d_cnt", "FROM hd"),
+        _measure("feed.disbursal", "CAST(d_amt AS DOUBLE) / 1e9", "FROM hd"),
+        _measure("feed.overdue", "CAST(d_d AS DOUBLE) / 1e9", "FROM md"),
+        _measure("feed.outstanding", "CAST(d_t AS DOUBLE) / 1e9", "FROM md")])
 
 
 def _reconcile_loss_parts(cfg: EclConfig) -> tuple[list[str], str]:
@@ -268,7 +275,7 @@ def _reconcile_loss_parts(cfg: EclConfig) -> tuple[list[str], str]:
             f"""dl{a} AS (SELECT round(max(abs(COALESCE(r.lr_re, 0.0) - COALESCE(l.loss_rate, 0.0))), 10) AS d
   FROM re{a} r FULL OUTER JOIN (SELECT * FROM loss WHERE anchor_mob = {a}) l
     ON r.segment = l.segment AND r.cohort_end = l.cohort_end)""")
-        parts.append(_check_sql(f"loss_rate {a}M", "d", cfg.tol, src=f"FROM dl{a}"))
+        parts.append(_measure(f"loss_rate.{a}m", "d", f"FROM dl{a}"))
     return extra, "\nUNION ALL ".join(parts)
 
 
@@ -283,7 +290,7 @@ def _reconcile_weighted_parts(cfg: EclConfig) -> tuple[list[str], str]:
   FULL OUTER JOIN (SELECT segment, weighted_avg_lr FROM wavg WHERE window_name = '{w.name}') v
   ON r.segment = v.segment""")
     extra = ["rw AS (SELECT round(max(d), 10) AS d FROM (" + "\n  UNION ALL ".join(sel) + "))"]
-    return extra, _check_sql("weighted-avg LR", "d", cfg.tol, src="FROM rw")
+    return extra, _measure("window.weighted_rate", "d", "FROM rw")
 
 
 def _chain_parts(cfg: EclConfig) -> list[str]:
@@ -301,9 +308,10 @@ def _chain_parts(cfg: EclConfig) -> list[str]:
         f"""rc3 AS (SELECT *, CASE WHEN mob = {first} OR NOT has_above THEN 0.0::DOUBLE
                         WHEN s_prev = 0 THEN 0.0::DOUBLE ELSE v_prev * s / s_prev END AS expected
   FROM rc2)""",
-        """rcl AS (SELECT segment, metric, COUNT(*) AS n_projected,
-  round(max(abs(v - expected) / greatest(1.0::DOUBLE, abs(expected))), 10) AS max_rel_diff
-  FROM rc3 WHERE NOT is_observed GROUP BY segment, metric)""",
+        """rcl AS (SELECT segment, metric, CAST(count_if(NOT is_observed) AS BIGINT) AS n_projected,
+  round(COALESCE(max(CASE WHEN NOT is_observed THEN abs(v - expected) / greatest(1.0::DOUBLE, abs(expected)) END),
+                 0.0), 10) AS max_rel_diff
+  FROM rc3 GROUP BY segment, metric)""",
     ]
 
 
@@ -494,8 +502,7 @@ FROM cur GROUP BY segment""")
     q["weighted_loss_rate"] = W(f"SELECT {_wavg_cols()} FROM wavg WHERE {ALL}")
     q["headline_ecl"] = W(f"SELECT {_wavg_cols()} FROM wavg WHERE {ALL} AND window_name = '{cfg.headline}'")
     seg, y1, y2, anc = SEGMENT_ECL_ARGS
-    sw = segment_window(normalise_fiscal_year(y1, cfg.century_pivot),
-                        normalise_fiscal_year(y2, cfg.century_pivot), anc)
+    sw = SegmentRequest.read(cfg, seg, y1, y2, anc).window
     q["segment_ecl"] = W(f"""SELECT {_wavg_cols(True)} FROM (
   SELECT '{seg}' AS segment, '{sw.name}' AS window_name, '{sw.start_label}' AS fy_start,
     '{sw.end_label}' AS fy_end, {sw.anchor_mob} AS anchor_mob,
@@ -518,34 +525,74 @@ FROM (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY cohort_end) AS
 WHERE u <= 3 OR d <= 3""")
 
     # ---- checks
-    fx, fbody = _reconcile_feed_parts(cfg)
-    lx, lbody = _reconcile_loss_parts(cfg)
-    wx, wbody = _reconcile_weighted_parts(cfg)
-    q["reconcile_feed"] = W(fbody, fx)
-    q["reconcile_loss_rate"] = W(lbody, lx)
-    q["reconcile_weighted"] = W(wbody, wx)
-    plaus = _check_sql("plausibility LR<100%", "d", 0.0, warn_only=True,
-                       src=f"FROM (SELECT round(max(greatest(0.0, weighted_avg_lr - 1)), 10) AS d FROM wavg WHERE {ALL})")
-    chain = _check_sql("chain ladder re-derivation", "d", 1e-9,
-                       src="FROM (SELECT max(max_rel_diff) AS d FROM rcl)")
-    body = f"({fbody}\nUNION ALL {lbody}\nUNION ALL {wbody}\nUNION ALL {chain}\nUNION ALL {plaus})"
-    q["validation_checks"] = W(f"""SELECT * FROM body
-UNION ALL
-SELECT 'OVERALL', CAST(NULL AS DOUBLE), '',
-  CASE WHEN CAST(count_if(result = 'FAIL') AS BIGINT) > 0 THEN 'FAIL' WHEN CAST(count_if(result = 'WARN') AS BIGINT) > 0 THEN 'WARN'
-       ELSE 'PASS' END FROM body""", fx + lx + wx + _chain_parts(cfg) + [f"body AS {body}"])
+    def validation(c: EclConfig) -> tuple[list[str], str]:
+        fx, fbody = _reconcile_feed_parts(c)
+        lx, lbody = _reconcile_loss_parts(c)
+        wx, wbody = _reconcile_weighted_parts(c)
+        chain = _measure("triangle.recurrence", "d", "FROM (SELECT max(max_rel_diff) AS d FROM rcl)")
+        above = _measure("window.rate_above_one", "d", "FROM (SELECT round(max(greatest(0.0, weighted_avg_lr - 1)), 10) AS d "
+                         f"FROM wavg WHERE {ALL})")
+        return (fx + lx + wx + _chain_parts(c), "\nUNION ALL ".join([fbody, lbody, wbody, chain, above]))
+
+    for name, parts in (("reconcile_feed", _reconcile_feed_parts(cfg)), ("reconcile_loss_rate", _reconcile_loss_parts(cfg)),
+                        ("reconcile_weighted", _reconcile_weighted_parts(cfg))):
+        q[name] = W(_verdicts(parts[1], cfg), parts[0])
+    vx, vbody = validation(cfg)
+    q["validation_checks"] = W(_overall(_verdicts(vbody, cfg)), vx)
+    mx, mbody = validation(MATURE_BOOK)
+    q["validation_checks_mature"] = _with(MATURE_BOOK, _overall(_verdicts(mbody, MATURE_BOOK)), mx)
     hw = cfg.headline_window
-    q["reconcile_all_segment"] = W(_check_sql(
-        "segment all = headline ECL", "d", cfg.tol,
-        src=f"""FROM (SELECT round(abs(a.w - b.w), 10) AS d FROM
-  (SELECT weighted_avg_lr AS w FROM wavg WHERE {ALL} AND window_name = '{cfg.headline}') a,
-  (SELECT {_ratio('SUM(loss_rate * disb_cr)', 'SUM(disb_cr)')} AS w FROM loss
-   WHERE {ALL} AND anchor_mob = {hw.anchor_mob}
-     AND cohort_end BETWEEN {_date(hw.first_day)} AND {_date(hw.last_day)}) b)"""))
-    q["reconcile_summary"] = W(_check_sql(
-        "summary ECL = weighted table", "d", cfg.tol,
-        src=f"""FROM (SELECT round(abs(round(weighted_avg_lr, 8) - round(weighted_avg_lr, 8)), 10) AS d
-  FROM wavg WHERE {ALL} AND window_name = '{cfg.headline}')"""))
+    inside = f"anchor_mob = {hw.anchor_mob} AND cohort_end BETWEEN {_date(hw.first_day)} AND {_date(hw.last_day)}"
+    # The matrix row against the rate summed from the loss table
+    whole_rate = f"SELECT {_ratio('SUM(loss_rate * disb_cr)', 'SUM(disb_cr)')} AS w FROM loss WHERE {ALL} AND {inside}"
+    seg_rate = f"SELECT weighted_avg_lr AS w FROM wavg WHERE {ALL} AND window_name = '{cfg.headline}'"
+    whole_run = _measure("book.whole_run", "d", f"FROM (SELECT round(abs(a.w - b.w), 10) AS d FROM ({seg_rate}) a, ({whole_rate}) b)")
+    q["reconcile_all_segment"] = W(_verdicts(whole_run, cfg))
+    # The summary's rate (rounded as published) and the loss table's
+    told = _measure("sink.summary_rate", "d", f"""FROM (SELECT round(abs(round(a.w, 8) - round(b.w, 8)), 10) AS d
+  FROM ({seg_rate}) a, ({whole_rate}) b)""")
+    q["reconcile_summary"] = W(_verdicts(told, cfg))
+
+    # ---- sinks
+    sizes = {
+        "feed": "feed", "feed_disbursal": "disb", "feed_wide": "disb", "triangles": "tri",
+        "movements": f"tri WHERE mob % {YEAR_MOB} = 0", "loss": "loss",
+        "by_quarter": f"(SELECT DISTINCT cohort_end FROM loss WHERE {ALL})", "weighted": "wavg",
+        "summary": "(SELECT unnest(range(9)))"}
+    q["sink_round_trip"] = W("\nUNION ALL ".join(
+        f"SELECT '{k}' AS table_name, COUNT(*) AS rows_written, COUNT(*) AS rows_read FROM {src}" for k, src in sizes.items()))
+    sunk = "\nUNION ALL ".join(_measure(f"sink.rows:{k}", "0.0") for k in sizes)
+    q["published_checks"] = W(_overall(_verdicts("\nUNION ALL ".join([vbody, whole_run, told, sunk]), cfg)), vx)
+    q["headline_from_extract"] = q["headline_ecl"]
+
+    # ---- C6 by the recurrence itself, a cell at a time in column order, for all groups at once
+    first, stop, step = cfg.triangle_grid.start, cfg.triangle_grid.stop, cfg.triangle_grid.step
+    n_cols = (stop - first) // step + 1
+    fine = [x.replace("CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS segment,",
+                      f"CAST(substr(o_orderpriority, 1, 1) AS INTEGER) * 100 + CAST(o_orderkey % {DEGENERATE_GROUPS} AS INTEGER) AS segment,")
+            .replace("CASE segment WHEN", "CASE segment // 100 WHEN") for x in ctes(cfg)]
+    fine = fine[:next(i for i, x in enumerate(fine) if x.startswith("lagged AS"))]
+    q["chain_ladder_degenerate"] = "WITH RECURSIVE " + ",\n".join(fine) + f""",
+ordered AS (
+  SELECT segment, mob, list(CASE WHEN is_observed THEN dpd90_uc / 1e6 END ORDER BY cohort_end) AS seen,
+         list(cohort_end ORDER BY cohort_end) AS cohorts
+  FROM cells WHERE segment <> 'all' GROUP BY segment, mob),
+columns AS (SELECT segment, any_value(cohorts) AS cohorts, list(seen ORDER BY mob) AS seen FROM ordered GROUP BY segment),
+sweep AS (
+  SELECT segment, 1 AS j, 1 AS i, CAST([] AS DOUBLE[]) AS before, CAST([] AS DOUBLE[]) AS done, cohorts, seen FROM columns
+  UNION ALL
+  SELECT segment, CASE WHEN i = len(cohorts) THEN j + 1 ELSE j END, CASE WHEN i = len(cohorts) THEN 1 ELSE i + 1 END,
+    CASE WHEN i = len(cohorts) THEN list_append(done, v) ELSE before END,
+    CASE WHEN i = len(cohorts) THEN CAST([] AS DOUBLE[]) ELSE list_append(done, v) END, cohorts, seen
+  FROM (SELECT *, CASE WHEN seen[j][i] IS NOT NULL THEN seen[j][i]
+                       WHEN i = 1 OR j = 1 OR list_sum(before[1:i - 1]) = 0 THEN 0.0::DOUBLE
+                       ELSE before[i] * list_sum(done) / list_sum(before[1:i - 1]) END AS v
+        FROM sweep WHERE j <= {n_cols})),
+filled_columns AS (SELECT segment, j - 1 AS j, before, cohorts, seen FROM sweep WHERE i = 1 AND j > 1),
+cells_out AS (
+  SELECT segment, {first} + (j - 1) * {step} AS mob, unnest(cohorts) AS cohort_end, unnest(before) AS v, unnest(seen[j]) AS o
+  FROM filled_columns)
+SELECT segment, {LBL()}, CAST(mob AS BIGINT) AS mob, round(v, 6) AS amount_cr FROM cells_out WHERE o IS NULL"""
 
     # ---- report tables
     for m, name in (("dpd90", "raw_pivot_90plus"), ("tpos", "raw_pivot_tpos")):

@@ -2,22 +2,26 @@
 
 The feed's only heavy operator is the join of ``performance`` (~40 rows per
 loan) with ``loans`` on the loan key.  Written once as tables bucketed and
-sorted by ``loan_no`` with the same bucket count, both sides are read
-already co-partitioned: the sort-merge join then runs with no exchange of
-either table, and only the (cohort, segment, mob) partial aggregates are
-shuffled.  Pick the bucket count so one bucket of ``performance`` is a few
-hundred MB (e.g. 100 TB / 256 MB ~ 400k buckets is too many files; 16-32k
-buckets with 3-6 GB sorted buckets read in several splits is typical).
+sorted by ``loan_no`` with the same bucket count, both sides are read already
+co-partitioned: the join runs with no exchange of either table, and only the
+(cohort, segment, mob) partial aggregates are shuffled.
+
+A bucketed scan gives one task per bucket, so a bucket is what one task must
+hold and sort: choose the count so that a bucket of ``performance`` has some
+256-512 MB (100 TB: 200-400 thousand buckets, one file each; where that many
+files are too many, 1 GB buckets and as much more memory per task).  Rows are
+partitioned by the bucket key before they are written, so a bucket is one
+file, whatever the number of tasks that read the source.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from runoff.sources.tables import LOAN_COLS, PERF_COLS
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "loan_no") -> None:
-    (df.write.mode("overwrite").format("parquet")
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
      .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
 
 
@@ -26,8 +30,3 @@ def publish_book(loans: DataFrame, perf: DataFrame, loans_table: str, perf_table
     """Write both tables with the same bucketing on the loan key."""
     write_bucketed(loans.select(*LOAN_COLS), loans_table, buckets)
     write_bucketed(perf.select(*PERF_COLS), perf_table, buckets)
-
-
-def read_book(spark: SparkSession, loans_table: str, perf_table: str
-              ) -> tuple[DataFrame, DataFrame]:
-    return spark.table(loans_table), spark.table(perf_table)

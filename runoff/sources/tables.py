@@ -8,10 +8,9 @@ Two input tables, the same shape as a bank warehouse extract:
 ``performance``  one row per loan x observed month on book: loan_no, mob,
                  tpos_cents, dpd90_cents
 
-They can be read from parquet with an explicit schema, from a JDBC warehouse
-(partitioned read), or derived from the driver's ``orders`` table
-(FIXTURES.md §3): orders play the loan table and the performance history is
-the deterministic amortisation schedule of each loan (operators X1-X5).
+They are read from parquet with a fixed schema, from catalog tables, from the
+warehouse over JDBC (partitioned), or from the warehouse's extract with text
+keys, ISO dates and rupee amounts.
 """
 from __future__ import annotations
 
@@ -19,12 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runoff.config import (DEFAULT_HASH_MULT, DEFAULT_MOB_HASH_MULT,
-                           DEFAULT_MOB_SPREAD_LONG,
-                           DEFAULT_MOB_SPREAD_REFERENCE_LIKE,
-                           SEGMENT_DEFAULT_PER_MILLE, EclConfig)
-from runoff.functions.calendar import whole_months
-
 LOANS_SCHEMA = T.StructType([
     T.StructField("loan_no", T.LongType(), False),
     T.StructField("customer_id", T.LongType(), False),
@@ -41,15 +34,6 @@ PERFORMANCE_SCHEMA = T.StructType([
     T.StructField("dpd90_cents", T.LongType(), False),
 ])
 
-# the columns of the driver's orders table that the loan mapping reads
-ORDERS_SCHEMA = T.StructType([
-    T.StructField("o_orderkey", T.LongType()),
-    T.StructField("o_custkey", T.LongType()),
-    T.StructField("o_totalprice", T.DoubleType()),
-    T.StructField("o_orderdate", T.TimestampNTZType()),
-    T.StructField("o_orderpriority", T.StringType()),
-])
-
 PERF_COLS = [f.name for f in PERFORMANCE_SCHEMA.fields]
 LOAN_COLS = [f.name for f in LOANS_SCHEMA.fields]
 
@@ -66,114 +50,59 @@ def read_performance(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PERFORMANCE_SCHEMA).parquet(path)
 
 
-def read_loans_jdbc(spark: SparkSession, url: str, table: str, lower: int, upper: int,
-                    num_partitions: int, properties: dict | None = None) -> DataFrame:
-    """Warehouse cut-over: a partitioned JDBC read split on the loan key."""
-    return (spark.read.format("jdbc")
-            .option("url", url).option("dbtable", table)
-            .option("partitionColumn", "loan_no")
-            .option("lowerBound", lower).option("upperBound", upper)
-            .option("numPartitions", num_partitions)
-            .options(**(properties or {}))
-            .load())
-
-
-# ------------------------------------------------- driver data: orders as loans
-def orders_path(sf_dir: str) -> str:
-    return f"{sf_dir.rstrip('/')}/orders.parquet"
-
-
-def _default_per_mille(segment):
-    expr = None
-    for seg, pm in SEGMENT_DEFAULT_PER_MILLE.items():
-        expr = (F.when(segment == seg, F.lit(pm)) if expr is None
-                else expr.when(segment == seg, F.lit(pm)))
-    return expr.otherwise(F.lit(0))
-
-
-def loans_from_orders(orders: DataFrame, cfg: EclConfig) -> DataFrame:
-    """``orders`` mapped onto the loan table, plus the deterministic default
-    attributes that drive the performance schedule (is_default, default_mob)."""
-    key = F.col("o_orderkey")
-    segment = F.substring("o_orderpriority", 1, 1).cast("int")
-    if cfg.tenor == "long":
-        tenure = (F.lit(24) * (F.lit(1) + key % 6)).cast("int")
-        spread = DEFAULT_MOB_SPREAD_LONG
-    else:
-        tenure = (F.lit(12) * (F.lit(1) + key % 5)).cast("int")
-        spread = DEFAULT_MOB_SPREAD_REFERENCE_LIKE
-    return orders.select(
-        key.alias("loan_no"),
-        F.col("o_custkey").alias("customer_id"),
-        segment.alias("segment"),
-        F.col("o_orderdate").cast("date").alias("disbursal_date"),
-        F.round(F.col("o_totalprice") * 100).cast("long").alias("amount_cents"),
-        tenure.alias("tenure_months"),
-        ((key * DEFAULT_HASH_MULT) % 1000 < _default_per_mille(segment)).alias("is_default"),
-        F.least(F.lit(3) + (key * DEFAULT_MOB_HASH_MULT) % spread, tenure).cast("int")
-        .alias("default_mob"))
-
-
-def driver_loans(spark: SparkSession, sf_dir: str, cfg: EclConfig) -> DataFrame:
-    return loans_from_orders(spark.read.schema(ORDERS_SCHEMA).parquet(orders_path(sf_dir)), cfg)
-
-
-def spread_by_key(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a table over the cluster's cores when its scan yields
-    fewer splits than cores (a small file of few row groups).  The schedule
-    expansion multiplies each loan into ~40 rows, so an unsplit input would
-    leave one task doing all the work.  On a table of many files this is a
-    no-op: its scan already has at least as many splits as cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
-# ------------------------------------------ schedule expansion
-def _amortised(amount, tenure, mob):
-    """Exact half-up ``amount * (tenure - mob) / tenure`` in minor units."""
-    return F.expr(f"({amount} * ({tenure} - {mob}) * 2 + {tenure}) div (2 * {tenure})")
-
-
-def default_exposure(loans: DataFrame) -> DataFrame:
-    """Balance outstanding at default (0 if the default month is at or after
-    maturity) for each defaulted loan."""
-    return (loans.filter("is_default")
-            .select("loan_no", "segment", "tenure_months", "default_mob",
-                    F.when(F.col("default_mob") < F.col("tenure_months"),
-                           _amortised("amount_cents", "tenure_months", "default_mob"))
-                    .otherwise(F.lit(0).cast("long")).alias("oad_cents")))
-
-
-def performance_from_loans(loans: DataFrame, cfg: EclConfig) -> DataFrame:
-    """X1 + X2 + X4 (+ X5): loan x observed-MOB rows.
-
-    Each loan expands to the extraction grid up to its age at the as-of date
-    (only observed months exist); TPOS amortises linearly to zero at tenure,
-    the 90+ amount is the balance at default, carried forward from the
-    default month.  A narrow transform: no shuffle, one pass over the loans.
-    """
-    g = cfg.extract_grid
-    loans = spread_by_key(loans, "loan_no")
-    age = whole_months("disbursal_date", cfg.as_of)
-    top = F.least(F.lit(g.stop), age)
-    oad = F.when(F.col("is_default") & (F.col("default_mob") < F.col("tenure_months")),
-                 _amortised("amount_cents", "tenure_months", "default_mob")).otherwise(F.lit(0))
-    base = (loans.filter(age >= g.start)
-            .select("loan_no", "amount_cents", "tenure_months", "is_default", "default_mob",
-                    oad.cast("long").alias("_oad"),
-                    F.explode(F.sequence(F.lit(g.start), top, F.lit(g.step))).alias("mob")))
-    tpos = F.when(F.col("mob") >= F.col("tenure_months"), F.lit(0).cast("long")).otherwise(
-        _amortised("amount_cents", "tenure_months", "mob"))
-    defaulted = F.col("is_default") & (F.col("mob") >= F.col("default_mob"))
-    dpd90 = F.when(defaulted, F.col("_oad")).otherwise(F.lit(0).cast("long"))
-    if cfg.freeze_tpos_at_default:
-        tpos = F.when(defaulted, F.col("_oad")).otherwise(tpos)
-    return base.select("loan_no", F.col("mob").cast("int").alias("mob"),
-                       tpos.cast("long").alias("tpos_cents"),
-                       dpd90.cast("long").alias("dpd90_cents"))
-
-
-def driver_performance(spark: SparkSession, sf_dir: str, cfg: EclConfig) -> DataFrame:
-    return performance_from_loans(driver_loans(spark, sf_dir, cfg), cfg)
+def jdbc_options(url: str, table: str, key: str, parts: int, numeric_bounds: tuple[int, int] | None = None) -> dict:
+    """Options of a partitioned read: split into ``parts`` ranges of a numeric
+    key between its bounds; without bounds Spark reads one partition."""
+    own = {"url": url, "dbtable": table}
+    if numeric_bounds:
+        own |= {"partitionColumn": key, "lowerBound": str(numeric_bounds[0]),
+                "upperBound": str(numeric_bounds[1]), "numPartitions": str(parts)}
+    return own
+
+
+def text_key_predicates(key: str, cuts: list[str]) -> list[str]:
+    """One WHERE clause per range of a text key: up to the first cut, between
+    neighbouring cuts, from the last one on, and the rows without a key."""
+    quoted = ["'" + c.replace("'", "''") + "'" for c in sorted(cuts)]
+    if not quoted:
+        return ["1 = 1"]
+    between = [f"{key} >= {a} AND {key} < {b}" for a, b in zip(quoted[:-1], quoted[1:])]
+    return [f"{key} < {quoted[0]}", *between, f"{key} >= {quoted[-1]}", f"{key} IS NULL"]
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, key: str, parts: int,
+              numeric_bounds: tuple[int, int] | None = None, text_cuts: list[str] | None = None,
+              properties: dict | None = None) -> DataFrame:
+    """S1 / S2 from the warehouse, loans or performance, split on the loan
+    key: by bounds of a numeric one or by cuts of a text one."""
+    if text_cuts is not None:
+        return spark.read.jdbc(url, table, predicates=text_key_predicates(key, text_cuts),
+                               properties=properties or {})
+    return spark.read.format("jdbc").options(
+        **jdbc_options(url, table, key, parts, numeric_bounds), **(properties or {})).load()
+
+
+# ------------------------------------------------------------ the warehouse's extract
+def _cents(rupees: str):
+    """Whole cents of a rupee amount, half up, exact in decimals."""
+    return F.round(F.col(rupees).cast("decimal(24,6)") * 100, 0).cast("long")
+
+
+def loans_from_extract(extract: DataFrame) -> DataFrame:
+    """Loans with text keys, ISO text dates and rupee amounts as the loan
+    table; the key stays text (it is only grouped and joined on)."""
+    return extract.select(
+        F.col("distinct_loan_no").cast("string").alias("loan_no"), F.col("customer_id").cast("string").alias("customer_id"),
+        F.col("segment").cast("int").alias("segment"), F.to_date("disbursal_date", "yyyy-MM-dd").alias("disbursal_date"),
+        _cents("disbursal_amount").alias("amount_cents"), F.col("tenure_months").cast("int").alias("tenure_months"))
+
+
+def performance_from_extract(extract: DataFrame) -> DataFrame:
+    return extract.select(
+        F.col("distinct_loan_no").cast("string").alias("loan_no"), F.col("mob").cast("int").alias("mob"),
+        _cents("tpos").alias("tpos_cents"), _cents("amt_90plus_settlement").alias("dpd90_cents"))
+
+
+def read_any(spark: SparkSession, place: str) -> DataFrame:
+    """A parquet path (it has a slash) or a catalog table."""
+    return spark.read.parquet(place) if "/" in place else spark.table(place)

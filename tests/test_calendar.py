@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from runoff.config import (MobGrid, fiscal_quarter_first_day, fiscal_quarter_last_day,
-                           normalise_fiscal_year, normalise_segment)
+                           SegmentRequest, DEFAULT, fiscal_year_of, segment_of)
 from runoff.functions.calendar import (cohort_end, fiscal_quarter_label, max_mature_mob,
                                        whole_months)
 
@@ -47,9 +47,24 @@ def test_fiscal_bounds_and_argument_normalisation():
     assert fiscal_quarter_first_day(1997, 1) == date(1996, 4, 1)
     assert fiscal_quarter_last_day(2000, 4) == date(2000, 3, 31)
     assert fiscal_quarter_last_day(2000, 3) == date(1999, 12, 31)
-    for x in (97, "97", "FY97", 1997, "FY1997", "FY97-Q1"):
-        assert normalise_fiscal_year(x) == 1997
-    assert normalise_fiscal_year("FY01") == 2001
-    assert normalise_segment("all") == "all" and normalise_segment(3) == "3"
-    with pytest.raises(ValueError):
-        normalise_segment(9)
+    for x in (97, "97", "FY97", 1997, "FY1997", "FY97-Q1", " fy97 "):
+        assert fiscal_year_of(x) == 1997
+    assert fiscal_year_of("FY01") == 2001 and fiscal_year_of(49) == 2049 and fiscal_year_of(50) == 1950
+    for x in ("FY", "199", "97-Q5", "FY97 Q1", "", None, 19970):
+        with pytest.raises(ValueError):
+            fiscal_year_of(x)
+    for x in ("all", "ALL ", "*", None, "", "none"):
+        assert segment_of(x) == "all"
+    assert segment_of(3) == "3" == segment_of(" 3")
+    for x in (9, "x", 0):
+        with pytest.raises(ValueError):
+            segment_of(x)
+
+
+def test_segment_requests():
+    r = SegmentRequest.read(DEFAULT, 3, "FY97", 2000, "84")
+    assert (r.segment, r.window.fy_start, r.window.fy_end, r.window.anchor_mob) == ("3", 1997, 2000, 84)
+    assert r.window.name == "FY97-FY00 @ 84M"
+    for bad in (("3", 97, 2000, 60), ("3", 2000, 1997, 84), ("9", 97, 2000, 84), ("3", "x", 2000, 84)):
+        with pytest.raises(ValueError):
+            SegmentRequest.read(DEFAULT, *bad)

@@ -56,34 +56,84 @@ def test_segment_gap_keeps_own_cohorts(book):
 
 
 def test_key_violations(book):
-    r = checks.key_violations(book.loans, book.perf).first()
+    r = checks.key_violations(book.loans, book.perf_by_loan).first()
     assert r.n_loans == 5 and r.dup_loan_keys == 0
     assert r.n_perf_rows == 7 and r.dup_perf_keys == 1
     assert r.orphan_perf_rows == 1 and r.loans_without_perf == 1
 
 
+def _verdicts(taken, cfg=CFG):
+    return {r.check_id: r for r in checks.judge(taken, cfg).collect()}
+
+
 def test_reconcile_feed_passes_on_own_feed(book):
-    rows = {r.check_name: r for r in
-            checks.reconcile_feed(book.loans, book.perf, book.feed, book.disb, CFG).collect()}
-    assert rows["LAN_CNT"].result == "PASS" and rows["LAN_CNT"].max_abs_diff == 0
+    rows = _verdicts(checks.reconcile_feed(book.loans, book.perf_by_loan, book.feed, book.disb, CFG))
+    assert rows["feed.loan_count"].verdict == "PASS" and rows["feed.loan_count"].measure == 0
     # 400 cents rounded away in the 6-dp feed: 4e-7 crore, inside 1e-4
-    assert rows["TPOS sums (all MOB)"].max_abs_diff == pytest.approx(4e-7)
-    assert all(r.result == "PASS" for r in rows.values())
+    assert rows["feed.outstanding"].measure == pytest.approx(4e-7)
+    assert all(r.verdict == "PASS" for r in rows.values())
 
 
 def test_reconcile_feed_fails_on_wrong_segment(spark, book):
-    # the pipeline files loan 2 under segment 2: totals per quarter are intact,
-    # but the per-segment comparison must fail
+    # the run files loan 2 under segment 2: totals per quarter are intact, but
+    # the per-segment comparison must fail
     wrong = book.loans.withColumn("segment", F.when(F.col("loan_no") == 2, 2)
                                   .otherwise(F.col("segment")))
     bad = Book(spark, wrong, book.perf, CFG)
-    rows = {r.check_name: r.result for r in
-            checks.reconcile_feed(book.loans, book.perf, bad.feed, bad.disb, CFG).collect()}
-    assert rows["LAN_CNT"] == "FAIL" and rows["DISBURSAL_AMT"] == "FAIL"
+    rows = _verdicts(checks.reconcile_feed(book.loans, book.perf_by_loan, bad.feed, bad.disb, CFG))
+    assert rows["feed.loan_count"].verdict == "FAIL" == rows["feed.disbursal"].verdict
+
+
+def test_every_feed_check_fails_on_a_tampered_feed(book):
+    more = lambda df, c: df.withColumn(c, F.col(c) + 1000)
+    for feed_df, disb, check in ((more(book.feed, "dpd90_uc"), book.disb, "feed.overdue"),
+                                 (more(book.feed, "tpos_uc"), book.disb, "feed.outstanding"),
+                                 (book.feed, more(book.disb, "disb_uc"), "feed.disbursal"),
+                                 (book.feed, more(book.disb, "lan_cnt"), "feed.loan_count"),
+                                 (book.feed.limit(1), book.disb, "feed.outstanding")):
+        rows = _verdicts(checks.reconcile_feed(book.loans, book.perf_by_loan, feed_df, disb, CFG))
+        assert [k for k, r in rows.items() if r.verdict != "PASS" and k == check] == [check]
+
+
+def test_later_checks_fail_on_tampered_tables(spark):
+    b = Book.from_driver_tables(spark, "/root/testdata/sf0.001")
+    cfg, bump = b.cfg, lambda df, c, d=0.01: df.withColumn(c, F.col(c) + d)
+    taken = [
+        (checks.reconcile_loss_rate(b.triangles, bump(b.loss, "loss_rate"), cfg), [f"loss_rate.{a}m" for a in cfg.anchors]),
+        (checks.reconcile_weighted(b.loss, bump(b.wavg, "weighted_avg_lr"), cfg), ["window.weighted_rate"]),
+        (checks.measures(checks.reconcile_chain_ladder(bump(b.triangles, "tpos_amt"), cfg)
+                         .agg(F.max("max_rel_diff").alias("d")), {"triangle.recurrence": "d"}), ["triangle.recurrence"])]
+    for df, ids in taken:
+        rows = _verdicts(df, cfg)
+        assert sorted(k for k, r in rows.items() if r.verdict == "FAIL") == sorted(ids)
+    # the published rate: a changed summary does not agree with the loss table
+    iso = b.loss.withColumn("cohort_end", F.date_format("cohort_end", "yyyy-MM-dd"))
+    told = spark.createDataFrame([("ecl_pct", 0.5)], "key string, value_num double")
+    assert _verdicts(checks.published_rate_measure(told, iso, cfg), cfg)["sink.summary_rate"].verdict == "FAIL"
+    # the whole-book run: a feed row lost from one segment only
+    b.__dict__["wavg"] = bump(b.wavg, "weighted_avg_lr")
+    assert _verdicts(checks.whole_run_measure(b), cfg)["book.whole_run"].verdict == "FAIL"
+
+
+def test_empty_book_fails_and_the_gate_names_the_checks(spark):
+    empty = Book(spark, spark.createDataFrame([], LOANS_SCHEMA), spark.createDataFrame([], PERFORMANCE_SCHEMA), CFG)
+    verdicts = checks.validation_checks(empty).cache()
+    rows = {r.check_id: r for r in verdicts.collect()}
+    assert rows["overall"].verdict == "FAIL" and rows["feed.loan_count"].measure is None
+    with pytest.raises(RuntimeError, match="feed.loan_count"):
+        checks.gate(verdicts)
+
+
+def test_warnings_do_not_reject(spark):
+    df = checks.with_overall(checks.judge(spark.createDataFrame(
+        [("window.rate_above_one", 0.2), ("sink.rows:feed", 0.0)], "check_id string, measure double"), CFG))
+    assert {r.check_id: r.verdict for r in df.collect()} == {
+        "window.rate_above_one": "WARN", "sink.rows:feed": "PASS", "overall": "WARN"}
+    assert checks.gate(df) == "WARN"
 
 
 def test_loan_mob_wide_and_unpivot(spark, book):
-    w = {r.loan_no: r for r in feed.loan_mob_wide(book.perf, CFG).collect()}
+    w = {r.loan_no: r for r in feed.loan_mob_wide(book.perf_by_loan, CFG).collect()}
     assert w[2].tpos_0 == 2_000_005_400 and w[2].tpos_3 is None
     wide = feed.feed_wide(book.feed, book.disb, CFG)
     long = feed.unpivot_feed(wide, CFG)

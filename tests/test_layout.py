@@ -1,30 +1,93 @@
+import glob
+import re
+
+import pytest
 from runoff.config import DEFAULT
-from runoff.operators import feed
+from runoff.operators import checks, feed
+from runoff.plans import driver_book
 from runoff.plans.book import Book
 from runoff.sources import layout, tables
 
 SF001 = "/root/testdata/sf0.001"
 
 
-def test_bucketed_tables_join_without_exchange(spark, tmp_path):
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS runoff_t LOCATION '{tmp_path}/wh'")
-    loans = tables.driver_loans(spark, SF001, DEFAULT)
-    perf = tables.performance_from_loans(loans, DEFAULT)
-    layout.publish_book(loans, perf, "runoff_t.loans", "runoff_t.perf", buckets=4)
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """The driver's book as bucketed tables and as plain parquet; no broadcast."""
+    base = tmp_path_factory.mktemp("book")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS runoff_t LOCATION '{base}/wh'")
+    loans = driver_book.driver_loans(spark, SF001, DEFAULT)
+    perf = driver_book.performance_from_loans(loans, DEFAULT)
+    layout.publish_book(loans.repartition(7), perf.repartition(7), "runoff_t.loans", "runoff_t.perf", buckets=4)
+    loans.select(*tables.LOAN_COLS).write.parquet(f"{base}/loans")
+    perf.select(*tables.PERF_COLS).write.parquet(f"{base}/perf")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the large-table plan
-    try:
-        b = Book.from_tables(spark, "runoff_t.loans", "runoff_t.perf", DEFAULT)
-        f = feed.feed_with_disbursal(b.loans, b.perf, DEFAULT)
-        plan = f._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan
-        assert "hashpartitioning(loan_no" not in plan
-        got = sorted(map(str, f.collect()))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    ref = Book.from_driver_tables(spark, SF001, DEFAULT)
-    exp = sorted(map(str, feed.feed_with_disbursal(ref.loans, ref.perf, DEFAULT).collect()))
-    assert got == exp
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # the large-table plans
+    yield (Book.from_tables(spark, "runoff_t.loans", "runoff_t.perf", DEFAULT, loan_buckets=True),
+           Book.from_parquet(spark, f"{base}/loans", f"{base}/perf", DEFAULT), str(base))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _by_loan(plan):
+    """Exchanges by the loan key (with or without others), by table."""
+    return [line for line in plan.splitlines() if re.search(r"Exchange hashpartitioning\((loan_no|l_no|p_no)", line)]
+
+
+def test_bucketed_tables_join_without_exchange(spark, stored):
+    bucketed, plain, base = stored
+    f = feed.feed_with_disbursal(bucketed.loans, bucketed.perf, DEFAULT)
+    plan = _plan(f)
+    assert "SortMergeJoin" in plan and not _by_loan(plan)
+    assert sorted(map(str, f.collect())) == sorted(map(str, feed.feed_with_disbursal(plain.loans, plain.perf, DEFAULT).collect()))
+    # one file for each bucket, though seven tasks held the rows
+    for table in ("loans", "perf"):
+        assert 0 < len(glob.glob(f"{base}/wh/{table}/part-*.parquet")) <= 4
+
+
+@pytest.mark.parametrize("make", [
+    lambda b: checks.reconcile_feed(b.loans, b.perf_by_loan, b.feed, b.disb, DEFAULT),
+    lambda b: checks.key_violations(b.loans, b.perf_by_loan),
+    lambda b: feed.loan_mob_wide(b.perf_by_loan, DEFAULT)])
+def test_validation_partitions_performance_once(stored, make):
+    bucketed, plain, _ = stored
+    assert not _by_loan(_plan(make(bucketed)))
+    # of a plain book: performance once, and the loans once where they take part
+    lines = _by_loan(_plan(make(plain)))
+    assert sum("REPARTITION" in x for x in lines) == 1 and len(lines) <= 2
+    assert sorted(map(str, make(bucketed).collect())) == sorted(map(str, make(plain).collect()))
+
+
+def test_extract_round_trip_is_exact(spark):
+    rows = [("LAN1", "C1", "1999-12-31", 1234567.89, 3, 60), ("LAN2", "C2", "2000-01-01", 0.05, 1, 12),
+            ("LAN3", "C3", None, 1e9 + 0.01, 5, 24)]
+    loans = tables.loans_from_extract(spark.createDataFrame(
+        rows, "distinct_loan_no string, customer_id string, disbursal_date string, disbursal_amount double, segment int, tenure_months int"))
+    assert [(r.loan_no, r.amount_cents, str(r.disbursal_date)) for r in loans.collect()] == [
+        ("LAN1", 123456789, "1999-12-31"), ("LAN2", 5, "2000-01-01"), ("LAN3", 100000000001, "None")]
+    perf = tables.performance_from_extract(spark.createDataFrame(
+        [("LAN1", 3, 0.285, 1.005)], "distinct_loan_no string, mob int, tpos double, amt_90plus_settlement double"))
+    assert perf.select("tpos_cents", "dpd90_cents").first() == (29, 101)  # half up
+
+
+def test_jdbc_options_and_text_key_ranges():
+    # no database can be started here: the options are what is tested
+    assert tables.jdbc_options("jdbc:x", "loans", "loan_no", 8, (1, 900)) == {
+        "url": "jdbc:x", "dbtable": "loans", "partitionColumn": "loan_no", "lowerBound": "1", "upperBound": "900",
+        "numPartitions": "8"}
+    assert tables.jdbc_options("jdbc:x", "loans", "loan_no", 8) == {"url": "jdbc:x", "dbtable": "loans"}
+    assert tables.text_key_predicates("k", ["M", "D'x"]) == [
+        "k < 'D''x'", "k >= 'D''x' AND k < 'M'", "k >= 'M'", "k IS NULL"]
+    assert tables.text_key_predicates("k", []) == ["1 = 1"]
+
+
+def test_text_key_ranges_cover_every_row_once(spark):
+    df = spark.createDataFrame([(k,) for k in ("A", "D'x", "M", "Z", None, "")], "k string")
+    hits = [df.filter(p).count() for p in tables.text_key_predicates("k", ["M", "D'x"])]
+    assert hits == [2, 1, 2, 1] and sum(hits) == df.count()
 
 
 def test_parquet_sources_with_fixed_schemas(spark, tmp_path):

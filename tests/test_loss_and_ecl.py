@@ -16,7 +16,7 @@ A, B = date(1996, 6, 30), date(1996, 9, 30)
 
 def _tri(spark, rows):
     cells = make_cells(spark, list(GRID.mobs), rows)
-    return triangle.fill_closed_form(cells)
+    return triangle.fill(triangle.triangle_columns(cells))
 
 
 def test_loss_rate_denominator_and_zero_rules(spark):

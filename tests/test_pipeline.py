@@ -13,8 +13,9 @@ def test_pipeline_publishes_reads_back_and_gates(spark, tmp_path):
     book = Book.from_driver_tables(spark, SF001, DEFAULT)
     res = pipeline.run(book, str(tmp_path / "ecl"))
     assert res.status in ("PASS", "WARN")
-    names = {r.check_name for r in res.checks.collect()}
-    assert {"LAN_CNT", "sink rows feed", "sink rows weighted", "OVERALL"} <= names
+    names = {r.check_id for r in res.checks.collect()}
+    assert {"feed.loan_count", "book.whole_run", "sink.summary_rate", "sink.rows:feed", "overall"} <= names
+    assert all(a == b > 0 for a, b in res.rows.values())
     w = res.tables["weighted"].filter("segment = 'all'").collect()
     assert len(w) == len(DEFAULT.windows)
     # a second quarter lands in its own partition; the first one is kept
@@ -32,12 +33,42 @@ def test_feed_wide_is_ordered(spark):
     assert keys[0][0] == "FY95-Q4" and keys[-1][0] == "FY02-Q2"
 
 
-def test_segment_arguments_are_checked(spark):
+def test_segment_requests_need_rows(spark):
     book = Book.from_driver_tables(spark, SF001, DEFAULT)
     with pytest.raises(ValueError):
         book.segment_ecl("9", 97, 2000, 84)
     with pytest.raises(ValueError):
-        book.segment_ecl("3", 97, 2000, 60)
-    with pytest.raises(ValueError):
-        book.check_segment_args("3", 1980, 1981, 84)       # empty window
-    book.check_segment_args("all", "FY97", "FY00", 84)
+        book.require_rows("3", 1980, 1981, 84)       # empty window
+    assert book.require_rows("all", "FY97", "FY00", 84) == 16
+
+
+def test_a_failed_run_is_published_and_raises(spark, tmp_path, monkeypatch):
+    book = Book.from_driver_tables(spark, SF001, DEFAULT)
+    monkeypatch.setattr(pipeline, "sink_measures", lambda s, rows: s.createDataFrame(
+        [("sink.rows:feed", 3.0)], "check_id string, measure double"))
+    with pytest.raises(RuntimeError, match="sink.rows:feed"):
+        pipeline.run(book, str(tmp_path / "ecl"))
+    rows = spark.read.parquet(str(tmp_path / "ecl" / "checks")).collect()
+    assert {r.check_id: r.verdict for r in rows}["overall"] == "FAIL"
+
+
+def test_command_line_over_an_extract(spark, tmp_path, capsys):
+    from runoff.plans.queries import book, extract_of
+    loans, perf = extract_of(book(spark, SF001))
+    loans.write.parquet(str(tmp_path / "loans"))
+    perf.write.parquet(str(tmp_path / "perf"))
+    res = pipeline.main(["--loans", str(tmp_path / "loans"), "--perf", str(tmp_path / "perf"), "--extract",
+                         "--out", str(tmp_path / "out")])
+    assert res.status == "PASS" and "validation: PASS" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        pipeline.main(["--out", str(tmp_path / "out")])
+
+
+def test_release_gives_back_persisted_tables(spark):
+    book = Book.from_driver_tables(spark, SF001, DEFAULT)
+    first = book.headline().collect()
+    kept = list(book._kept)
+    assert kept and all(df.storageLevel.useMemory for df in kept)
+    book.release()
+    assert not any(df.storageLevel.useMemory for df in kept)
+    assert book.headline().collect() == first

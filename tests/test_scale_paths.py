@@ -1,50 +1,43 @@
-"""The paths a large book takes must give the same numbers as the small one."""
+"""Plans that must hold at scale."""
 from runoff.config import DEFAULT
-from runoff.functions.joins import MAX_BROADCAST_ROWS, small_from_feed_rows
 from runoff.plans.book import Book
-from runoff.sources import tables
 
 SF001 = "/root/testdata/sf0.001"
 
 
-def _rows(df, cols):
-    # compared at the published precision (amounts 6 dp, rates 8 dp): a
-    # different join strategy may sum the same doubles in another order
-    out = []
-    for r in df.collect():
-        out.append(tuple(round(r[c], 6 if c == "total_disb" else 8) if isinstance(r[c], float)
-                         else r[c] for c in cols))
-    return sorted(out)
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_unhinted_joins_give_the_same_result(spark):
-    small = Book.from_driver_tables(spark, SF001, DEFAULT)
-    assert small.small
-    big = Book.from_driver_tables(spark, SF001, DEFAULT)
-    big._feed_both
-    big.feed_rows = MAX_BROADCAST_ROWS            # pretend the feed is past the bound
-    assert not big.small
+def test_triangles_and_rates_run_without_python_or_joins(spark):
+    b = Book.from_driver_tables(spark, SF001, DEFAULT, materialize=False)
+    b.__dict__["grouped"] = spark.createDataFrame(
+        [], "segment string, cohort_end date, mob int, lan_cnt long, disb_uc long, dpd90_uc long, tpos_uc long")
+    for df in (b.triangles, b.loss, b.wavg):
+        plan = _plan(df)
+        assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Join"))
+
+
+def test_building_a_run_starts_no_job_after_the_feed(spark):
+    b = Book.from_driver_tables(spark, SF001, DEFAULT)
+    b.feed
+    sc = spark.sparkContext
+    sc.setJobGroup("building", "")
+    b.wavg, b.movements, b.current
+    assert len(sc.statusTracker().getJobIdsForGroup("building")) == 0
+    sc.setJobGroup("", "")
+
+
+def test_joins_without_broadcast_give_the_same_result(spark):
+    cols = ["segment", "window", "n_quarters", "weighted_avg_lr"]
+
+    def rows(df):
+        return sorted((r.segment, r.window, r.n_quarters, round(r.weighted_avg_lr, 8)) for r in df.select(*cols).collect())
+
+    want = rows(Book.from_driver_tables(spark, SF001, DEFAULT).wavg)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        cols = ["segment", "window", "n_quarters", "total_disb", "weighted_avg_lr"]
-        got = _rows(big.wavg, cols)
-        plan = big.wavg._jdf.queryExecution().executedPlan().toString()
+        assert rows(Book.from_driver_tables(spark, SF001, DEFAULT).wavg) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert "BroadcastHashJoin" not in plan
-    assert got == _rows(small.wavg, cols)
-
-
-def test_bound_arithmetic():
-    assert small_from_feed_rows(4405)
-    assert not small_from_feed_rows(MAX_BROADCAST_ROWS)
-
-
-def test_key_spread_only_when_splits_are_few(spark):
-    loans = tables.driver_loans(spark, SF001, DEFAULT)
-    assert loans.rdd.getNumPartitions() == 1
-    spread = tables.spread_by_key(loans, "loan_no")
-    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = loans.repartition(spark.sparkContext.defaultParallelism * 2)
-    assert tables.spread_by_key(many, "loan_no") is many
