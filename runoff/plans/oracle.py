@@ -570,7 +570,7 @@ WHERE u <= 3 OR d <= 3""")
     n_cols = (stop - first) // step + 1
     fine = [x.replace("CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS segment,",
                       f"CAST(substr(o_orderpriority, 1, 1) AS INTEGER) * 100 + CAST(o_orderkey % {DEGENERATE_GROUPS} AS INTEGER) AS segment,")
-            .replace("CASE segment WHEN", "CASE segment // 100 WHEN") for x in ctes(cfg)]
+            .replace("CASE segment WHEN", "CASE segment // 100 WHEN") for x in ctes(YOUNG_BOOK)]
     fine = fine[:next(i for i, x in enumerate(fine) if x.startswith("lagged AS"))]
     q["chain_ladder_degenerate"] = "WITH RECURSIVE " + ",\n".join(fine) + f""",
 ordered AS (

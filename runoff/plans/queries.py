@@ -309,14 +309,15 @@ def q_chain_ladder_sequential(spark, sf_dir):
     return s.select("segment", "metric", *_labels(), _big("mob"), _a("amount", "amount_cr"))
 
 
-#: Loans are split into so many groups per segment, small enough that columns
-#: occur whose mature cohorts have no 90+ amount before it appears.
-DEGENERATE_GROUPS = 40
+#: Loans of the young book are split into so many groups per segment, small
+#: enough that columns occur whose mature cohorts have no 90+ amount before
+#: they have one, above immature cohorts that do.
+DEGENERATE_GROUPS = 4
 
 
 def q_chain_ladder_degenerate(spark, sf_dir):
     """C6 where the factor switches on within a column: small loan groups."""
-    b = book(spark, sf_dir)
+    b = book(spark, sf_dir, YOUNG_BOOK)
     group = (F.col("segment") * 100 + F.col("loan_no") % DEGENERATE_GROUPS).cast("int")
     fine = Book(spark, b.loans.withColumn("segment", group), b.perf, b.cfg, loan_buckets=True)
     t = _by_metric(fine.triangles.filter("segment <> 'all' and not is_observed")).filter("metric = 'dpd90'")

@@ -79,7 +79,7 @@ def test_mature_book_projects_nothing(spark):
 
 def test_small_groups_do_switch_on(spark):
     """The degenerate query has cells that a ratio per column would leave at 0."""
-    b = queries.book(spark, SF01)
+    b = queries.book(spark, SF01, queries.YOUNG_BOOK)
     group = (F.col("segment") * 100 + F.col("loan_no") % queries.DEGENERATE_GROUPS).cast("int")
     fine = Book(spark, b.loans.withColumn("segment", group), b.perf, b.cfg, loan_buckets=True)
     on = fine.columns.filter("degenerate_dpd90").select("segment", "mob")
