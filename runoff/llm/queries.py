@@ -155,8 +155,8 @@ ORACLES = {
     "op9_subspace_join": """
 WITH RECURSIVE v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 u AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS norm FROM v),
 link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
          WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.95),
@@ -193,7 +193,7 @@ s AS (
   SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
                       WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
                       ELSE list_distinct(list_transform(range(1, len(ws) - 3),
-                                                        i -> array_to_string(ws[i:i + 4], ' '))) END AS sh
+                                                        lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh
   FROM w),
 t AS (SELECT doc_id, unnest(sh) AS tok FROM s),
 size AS (SELECT doc_id, len(sh)::BIGINT AS n FROM s),
