@@ -55,7 +55,7 @@ from runoff.llm.words import BASE, U, mix, set_signature, text_shingles
 #: Shingles that are handled apart as hot ones; bounds what is broadcast to 1 MB.
 HOT = 65536
 #: Shingles and documents of a window.
-WINDOW_TOKENS, WINDOW_DOCS = 2_000_000, 60_000
+WINDOW_TOKENS, WINDOW_DOCS = 1_000_000, 60_000
 #: Shingles of a verification task.
 TASK_TOKENS = 2_000_000
 LOW = U((1 << 48) - 1)
