@@ -8,9 +8,11 @@ The expected grade and the tail probability P(grade = 2) follow; a document
 stays if its tail probability is at least ``keep_from``.
 
 Training takes a bounded sample of labelled documents (``train_rows``, those
-whose hashed ids are least); features that tell no grade from the others
-(|z| below ``SCREEN``, at most ``FEATURES`` stay) weigh nothing, so a long
-text is not moved by its many ordinary words.  Every document is scored over
+whose hashed ids are least).  Spark counts each feature's documents by grade;
+features that tell no grade from the others (|z| below ``SCREEN``, at most
+``FEATURES`` stay) weigh nothing, so a long text is not moved by its many
+ordinary words, and the driver gets at most ``train_rows`` x ``FEATURES``
+numbers, however long the texts are.  Every document is scored over
 its whole text, in one pass without a shuffle.
 
 Defined cases: null and empty texts have no words and an empty text's style;
@@ -27,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from runoff.llm.common import written
 from runoff.llm.words import text_segments
 
 TRAIN_ROWS = 16_000
 BUCKETS = 1 << 18
-FEATURES, SCREEN = 512, 5.0
+FEATURES, SCREEN = 384, 5.0
 GRADES = 3
 #: Bytes that part words: all ASCII but letters, digits and '.
 APART = np.array([b < 128 and not (chr(b).isalnum() or chr(b) == "'") for b in range(256)])
@@ -89,27 +92,43 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -500, 500)))
 
 
-def fit(grades: np.ndarray, features: list[np.ndarray], steps: int = 400, l2: float = 0.02) -> OrdinalModel:
-    """Maximum likelihood with an L2 penalty, by Adam on the full sample."""
+def _z(has, of, rest, of_rest):
+    """How far the shares of documents with a feature lie apart in a grade
+    (``of`` of ``has``) and in the others; works on arrays and on columns."""
+    share = (of + of_rest) / (has + rest)
+    spread = share * (1 - share) * (1 / has + 1 / rest)
+    return (of / has - of_rest / rest) ** 2 / (spread + 1e-12)
+
+
+def screened(grades: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
+    """The features that tell some grade from the others, at most FEATURES."""
+    n = len(grades)
+    col = np.concatenate(features) if n else np.zeros(0, np.int32)
+    by = np.array([np.bincount(col[np.repeat(grades == g, [len(f) for f in features])], minlength=N_FEATURES)
+                   for g in range(GRADES)])
+    has = np.bincount(grades, minlength=GRADES)
+    z = np.zeros(N_FEATURES)
+    for g in range(GRADES):
+        if 0 < has[g] < n:
+            z = np.maximum(z, _z(has[g], by[g], n - has[g], by.sum(0) - by[g]))
+    top = np.lexsort((np.arange(N_FEATURES), -z))[:FEATURES]
+    return np.sort(top[z[top] >= SCREEN ** 2])
+
+
+def fit(grades: np.ndarray, features: list[np.ndarray], top: np.ndarray | None = None, steps: int = 400,
+        l2: float = 0.02) -> OrdinalModel:
+    """Maximum likelihood with an L2 penalty, by Adam on the full sample;
+    ``top``: the features that may weigh (default: the screened ones)."""
     n = len(grades)
     if not n:
         return OrdinalModel(np.zeros(N_FEATURES, np.float32), np.full(GRADES - 1, -500.0))
+    top = screened(grades, features) if top is None else top
     row = np.repeat(np.arange(n), [len(f) for f in features])
     col = np.concatenate(features)
-    z = np.zeros(N_FEATURES)
-    share = np.bincount(col, minlength=N_FEATURES) / n
-    for g in range(GRADES):
-        has = int((grades == g).sum())
-        if 0 < has < n:
-            of = np.bincount(col[grades[row] == g], minlength=N_FEATURES)
-            p, q = of / has, (share * n - of) / (n - has)
-            z = np.maximum(z, np.abs(p - q) / np.sqrt(np.maximum(share * (1 - share), 1 / n) * (1 / has + 1 / (n - has))))
-    top = np.argsort(-z, kind="stable")[:FEATURES]
-    top = np.sort(top[z[top] >= SCREEN])
     at = np.full(N_FEATURES, -1)
     at[top] = np.arange(len(top))
     used = at[col] >= 0
-    x = np.zeros((n, len(top)))
+    x = np.zeros((n, len(top)), np.float32)
     x[row[used], at[col[used]]] = 1
     share = np.array([np.mean(grades <= k) for k in range(GRADES - 1)]).clip(0.5 / n, 1 - 0.5 / n)
     cut = np.log(share / (1 - share))
@@ -120,13 +139,13 @@ def fit(grades: np.ndarray, features: list[np.ndarray], steps: int = 400, l2: fl
     for t in range(1, steps + 1):
         w, gaps = params[:k], np.exp(params[k + 1:])
         th = params[k] + np.concatenate([[0], np.cumsum(gaps)])
-        below = 1 / (1 + np.exp(np.clip(x @ w - np.concatenate([[-500], th, [500]])[:, None], -500, 500)))
+        below = 1 / (1 + np.exp(np.clip(x @ w.astype(np.float32) - np.concatenate([[-500], th, [500]])[:, None], -500, 500)))
         below[0], below[-1] = 0, 1
         hi, lo = below[grades + 1, np.arange(n)], below[grades, np.arange(n)]
         p = np.maximum(hi - lo, 1e-12)
         dhi, dlo = hi * (1 - hi) / p, lo * (1 - lo) / p
         grad = np.zeros_like(params)
-        grad[:k] = x.T @ (dhi - dlo) / n + l2 * w / np.sqrt(n)
+        grad[:k] = x.T @ (dhi - dlo).astype(np.float32) / n + l2 * w / np.sqrt(n)
         g_th = np.array([-(dhi[grades == j].sum() - dlo[grades == j + 1].sum()) for j in range(GRADES - 1)]) / n
         grad[k] = g_th.sum()
         grad[k + 1:] = np.cumsum(g_th[::-1])[::-1][1:] * gaps
@@ -137,17 +156,51 @@ def fit(grades: np.ndarray, features: list[np.ndarray], steps: int = 400, l2: fl
     return OrdinalModel(weights, params[k] + np.concatenate([[0], np.cumsum(np.exp(params[k + 1:]))]))
 
 
+def _counted(batches):
+    """Documents by feature and grade in a task."""
+    total = None
+    for b in batches:
+        for g, raw in zip(b.column("grade").to_pylist(), b.column("features")):
+            if total is None:
+                total = np.zeros((GRADES, N_FEATURES), np.int64)
+            total[g, np.frombuffer(raw.as_buffer(), np.int32)] += 1
+    if total is not None:
+        some = np.flatnonzero(total.any(0))
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *[pa.array(t[some]) for t in total]],
+                                         names=["feature", *[f"g{g}" for g in range(GRADES)]])
+
+
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> OrdinalModel:
     """The model from a sample of at most ``train_rows`` labelled documents;
     the sampled labels are broadcast (their number is the bound)."""
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
-    sample = (labels.where("doc_id is not null and quality is not null and toxic is not null")
+    picked = (labels.where("doc_id is not null and quality is not null and toxic is not null")
               .groupBy(F.col("doc_id").alias("_label")).agg(F.min(grade).alias("grade"))
               .orderBy(F.xxhash64("_label"), "_label").limit(train_rows))
-    rows = (docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_label"))
-            .select("grade", "text").mapInArrow(_sample_features, "grade int, features binary")
+    sample = written(docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_label"))
+                     .select("grade", "text").mapInArrow(_sample_features, "grade int, features binary"), "sample")
+    has = {r["grade"]: r["n"] for r in sample.groupBy("grade").agg(F.count("*").alias("n")).collect()}
+    n = sum(has.values())
+    counts = (sample.mapInArrow(_counted, "feature int, " + ", ".join(f"g{g} long" for g in range(GRADES)))
+              .groupBy("feature").agg(*[F.sum(f"g{g}").alias(f"g{g}") for g in range(GRADES)]))
+    every = sum(F.col(f"g{g}") for g in range(GRADES))
+    apart = [_z(F.lit(has[g]), F.col(f"g{g}"), F.lit(n - has[g]), every - F.col(f"g{g}"))
+             for g in range(GRADES) if 0 < has.get(g, 0) < n]
+    top = np.zeros(0, np.int64)
+    if apart:
+        z = F.greatest(*apart) if len(apart) > 1 else apart[0]
+        best = counts.select("feature", z.alias("z")).where(F.col("z") >= SCREEN ** 2)
+        top = np.sort(np.array([r["feature"] for r in best.orderBy(F.desc("z"), "feature").limit(FEATURES).collect()], np.int64))
+
+    def only_top(batches):
+        for b in batches:
+            found = [np.intersect1d(np.frombuffer(x.as_buffer(), np.int32), top).astype(np.int32).tobytes()
+                     for x in b.column("features")]
+            yield pa.RecordBatch.from_arrays([b.column("grade"), pa.array(found, pa.binary())], names=["grade", "features"])
+
+    rows = (sample.mapInArrow(only_top, "grade int, features binary")
             .orderBy("grade", "features").limit(2 * train_rows).collect())
-    return fit(np.array([r["grade"] for r in rows], np.int64), [np.frombuffer(r["features"], np.int32) for r in rows])
+    return fit(np.array([r["grade"] for r in rows], np.int64), [np.frombuffer(r["features"], np.int32) for r in rows], top)
 
 
 def scores(docs: DataFrame, model: OrdinalModel, keep_from: float = 0.5) -> DataFrame:
