@@ -67,11 +67,6 @@ def _grid(z: np.ndarray, radius: float, dims: int):
     return np.floor((z - half) / width).astype(np.int32), np.floor((z + half) / width).astype(np.int32)
 
 
-_CELLS = pa.schema([("dim", pa.int32()), ("block", pa.int32()), ("cell", pa.binary()), ("id", pa.int64()),
-                    ("copies", pa.int64()), ("vec", pa.list_(pa.float64()))])
-_CELLS_SQL = "dim int, block int, cell binary, id long, copies long, vec array<double>"
-
-
 def _cells(cosine: float, dims: int, slim: bool):
     def run(batches):
         for b in batches:
@@ -91,13 +86,13 @@ def _cells(cosine: float, dims: int, slim: bool):
                     raw = cell.astype("<i4").tobytes()
                     size = 4 * cell.shape[1]
                     keys = [raw[i * size:(i + 1) * size] for i in range(n)]
-                    vec = pa.ListArray.from_arrays(
-                        np.arange(n + 1, dtype=np.int32) * (0 if slim else d),
-                        pa.array(np.zeros(0) if slim else x[at].ravel(), pa.float64()))
+                    columns = [pa.array(np.full(n, d, np.int32)), pa.array(np.full(n, t, np.int32)),
+                               pa.array(keys, pa.binary())]
+                    if not slim:
+                        columns += [pa.array(ids[rows][at]), pa.array(copies[rows][at]),
+                                    b.column("vec").take(pa.array(rows[at]))]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, d, np.int32)), pa.array(np.full(n, t, np.int32)),
-                         pa.array(keys, pa.binary()), pa.array(ids[rows][at]), pa.array(copies[rows][at]), vec],
-                        schema=_CELLS)
+                        columns, names=["dim", "block", "cell", "id", "copies", "vec"][:len(columns)])
     return run
 
 
@@ -109,14 +104,14 @@ def _joined(x: np.ndarray, side: np.ndarray, cosine: float, block: int, cell: np
     budgets = [_budget(cosine, d, p) for p in parts]
     a, e = parts[block]
     low, _ = _grid(z[:, a:e], math.sqrt(budgets[block]), len(cell))
-    zb = np.ascontiguousarray(z[:, a:e], np.float32)
-    norm = (zb * zb).sum(1)
+    # one product gives all squared distances: |u|^2 + |v|^2 - 2 u v
+    zb, square, one = z[:, a:e], (z[:, a:e] ** 2).sum(1)[:, None], np.ones((len(z), 1))
+    left, right = np.hstack([-2 * zb, square, one]).astype(np.float32), np.hstack([zb, one, square]).astype(np.float32).T
     limit = np.float32(budgets[block] + 1e-5)
     two = side.min() != side.max()
     first, second = [], []
     for i in range(0, len(x), 256):
-        near = norm[i:i + 256, None] + norm[None, i:] - 2 * (zb[i:i + 256] @ zb[i:].T) <= limit
-        p, q = np.nonzero(near)
+        p, q = np.nonzero(left[i:i + 256] @ right[:, i:] <= limit)
         keep = q > p
         p, q = p[keep] + i, q[keep] + i
         if two:
@@ -172,9 +167,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     dims = max(0, math.ceil(math.log(max(n, 1) / CELL) / math.log(1 / SHRINK)))
     source = classes.select("id", "copies", "vec")
     keys = ["dim", "block", "cell"]
-    sizes = (source.mapInArrow(_cells(cosine, dims, True), _CELLS_SQL).groupBy(*keys)
+    sizes = (source.mapInArrow(_cells(cosine, dims, True), "dim int, block int, cell binary").groupBy(*keys)
              .agg(F.ceil(F.count("*") / CELL).cast("int").alias("pieces")))
-    member = (source.mapInArrow(_cells(cosine, dims, False), _CELLS_SQL).join(sizes, keys)
+    kind = classes.schema["vec"].dataType.simpleString()
+    member = (source.mapInArrow(_cells(cosine, dims, False), f"dim int, block int, cell binary, id long, copies long, vec {kind}")
+              .join(sizes, keys)
               .withColumn("piece", F.expr("int(pmod(xxhash64(id), pieces))"))
               .withColumn("other", F.explode(F.expr("sequence(0, pieces - 1)")))
               .select(*keys, "id", "copies", "vec", F.least("piece", "other").alias("i"),
