@@ -8,25 +8,27 @@ The expected grade and the tail probability P(grade = 2) follow; a document
 stays if its tail probability is at least ``keep_from``.
 
 Training takes a bounded sample of labelled documents (``train_rows``, those
-whose hashed ids are least).  Spark counts each feature's documents by grade;
-features that tell no grade from the others (|z| below ``SCREEN``, at most
-``FEATURES`` stay) weigh nothing, so a long text is not moved by its many
-ordinary words, and the driver gets at most ``train_rows`` x ``FEATURES``
-numbers, however long the texts are.  Every document is scored over
-its whole text, in one pass without a shuffle.
+whose hashed ids are least); Spark counts each one's rows by feature.  Every
+feature of the sample weighs.  The less its shares of documents by grade lie
+apart, the higher its penalty, so a long text is not moved by its many
+ordinary words.  The driver keeps the sparse sample in scratch files and
+reads them piece by piece, however long the texts are.  Every document is
+scored over its whole text, in one pass without a shuffle.
 
 Defined cases: null and empty texts have no words and an empty text's style;
 labels with a null in either column, and labels without a document, are not
-used; several labels or rows of a document count with the lowest grade; no
-usable labels keep everything (tail probability 1); repeated rows get equal
+used; several labels of a document count as the lowest grade, several rows of it
+as one document, the mean of their features; no usable labels keep everything (tail probability 1); repeated rows get equal
 scores; an empty table gives no rows; extra columns are not read (scores) or
 kept (filter).
 """
 from __future__ import annotations
 
+from tempfile import TemporaryFile
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runoff.llm.common import written
@@ -34,8 +36,11 @@ from runoff.llm.words import text_segments
 
 TRAIN_ROWS = 16_000
 BUCKETS = 1 << 18
-FEATURES, SCREEN = 384, 5.0
 GRADES = 3
+#: A feature with z of CLEAR or more has penalty L2; at less it grows by (CLEAR / z) ** STEEP, z from 1.
+L2, CLEAR, STEEP = 0.02, 5.0, 6
+#: (document, feature) pairs handled at a time.
+PART = 1 << 20
 #: Bytes that part words: all ASCII but letters, digits and '.
 APART = np.array([b < 128 and not (chr(b).isalnum() or chr(b) == "'") for b in range(256)])
 #: Byte classes whose shares are style measures: symbols, punctuation, upper case, digits, beyond ASCII.
@@ -70,15 +75,44 @@ def _features(column: pa.Array):
 N_FEATURES = BUCKETS + STYLES * len(BINS)
 
 
-def _sample_features(batches):
+#: Stands for the row itself among a row's features.
+ROW = -1
+
+
+def _seen(batches):
+    """A task's rows by (slot, feature), those by (slot, ROW) too; sent on
+    whenever ``PART`` pairs have come together."""
+    keys, counts, size = [], [], 0
+
+    def sent():
+        key, at = np.unique(np.concatenate(keys), return_inverse=True)
+        n = np.bincount(at, np.concatenate(counts)).astype(np.int64)
+        slot, feature = np.divmod(key, N_FEATURES + 1)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(slot.astype(np.int32)), pa.array((feature + ROW).astype(np.int32)), pa.array(n)],
+            names=["slot", "feature", "n"])
+
     for b in batches:
-        grades = b.column("grade").to_pylist()
+        slots = b.column("slot").to_numpy().astype(np.int64) * (N_FEATURES + 1)
         for i, k, row, feature in _features(b.column("text")):
-            order = np.argsort(row, kind="stable")
-            parts = np.split(feature[order].astype(np.int32), np.searchsorted(row[order], np.arange(1, k)))
+            key, n = np.unique(np.concatenate([slots[i + row] + feature - ROW, slots[i:i + k]]), return_counts=True)
+            keys.append(key)
+            counts.append(n)
+            size += len(key)
+            if size > PART:
+                yield sent()
+                keys, counts, size = [], [], 0
+    if size:
+        yield sent()
+
+
+def _packed(batches):
+    """A row of bytes for each batch."""
+    for b in batches:
+        if b.num_rows:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(grades[i:i + k], pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())],
-                names=["grade", "features"])
+                [pa.array([b.column(c).to_numpy().astype(np.int32 if c != "n" else np.int64).tobytes()], pa.binary())
+                 for c in b.schema.names], names=b.schema.names)
 
 
 class OrdinalModel:
@@ -92,115 +126,111 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -500, 500)))
 
 
-def _z(has, of, rest, of_rest):
-    """How far the shares of documents with a feature lie apart in a grade
-    (``of`` of ``has``) and in the others; works on arrays and on columns."""
-    share = (of + of_rest) / (has + rest)
-    spread = share * (1 - share) * (1 / has + 1 / rest)
-    return (of / has - of_rest / rest) ** 2 / (spread + 1e-12)
-
-
-def screened(grades: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
-    """The features that tell some grade from the others, at most FEATURES."""
-    n = len(grades)
-    col = np.concatenate(features) if n else np.zeros(0, np.int32)
-    by = np.array([np.bincount(col[np.repeat(grades == g, [len(f) for f in features])], minlength=N_FEATURES)
-                   for g in range(GRADES)])
-    has = np.bincount(grades, minlength=GRADES)
-    z = np.zeros(N_FEATURES)
+def _penalties(grades: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """Each feature's penalty, in parts of L2, by how far the shares of
+    documents with it (``by`` grade) lie apart in some grade and the others."""
+    n, has, z = len(grades), np.bincount(grades, minlength=GRADES), np.zeros(by.shape[1])
     for g in range(GRADES):
         if 0 < has[g] < n:
-            z = np.maximum(z, _z(has[g], by[g], n - has[g], by.sum(0) - by[g]))
-    top = np.lexsort((np.arange(N_FEATURES), -z))[:FEATURES]
-    return np.sort(top[z[top] >= SCREEN ** 2])
-
-
-def fit(grades: np.ndarray, features: list[np.ndarray], top: np.ndarray | None = None, steps: int = 400,
-        l2: float = 0.02) -> OrdinalModel:
-    """Maximum likelihood with an L2 penalty, by Adam on the full sample;
-    ``top``: the features that may weigh (default: the screened ones)."""
+            rest = n - has[g]
+            share = by.sum(0) / n
+            spread = share * (1 - share) * (1 / has[g] + 1 / rest)
+            z = np.maximum(z, np.abs(by[g] / has[g] - (by.sum(0) - by[g]) / rest) / np.sqrt(spread + 1e-12))
+    return (CLEAR / np.clip(z, 1, CLEAR)) ** STEEP
+
+
+def fit(grades: np.ndarray, features: list[np.ndarray], steps: int = 400, l2: float = L2) -> OrdinalModel:
+    """The model of documents with these ``features``."""
+    row = np.repeat(np.arange(len(grades), dtype=np.int32), [len(f) for f in features])
+    col = np.concatenate([np.zeros(0, np.int32), *features]).astype(np.int32)
+    return _fit(grades, row, col, np.ones(len(col), np.float32), steps, l2)
+
+
+def _fit(grades: np.ndarray, row: np.ndarray, col: np.ndarray, share: np.ndarray, steps: int = 400,
+         l2: float = L2) -> OrdinalModel:
+    """Maximum likelihood with an L2 penalty, by Adam on the full sample, whose
+    document ``row`` has feature ``col`` in ``share`` of its rows (``col`` is
+    overwritten).  Every feature of the sample weighs; one that all documents
+    have is left at 0, its optimum, as the thresholds do the same free of penalty."""
     n = len(grades)
     if not n:
         return OrdinalModel(np.zeros(N_FEATURES, np.float32), np.full(GRADES - 1, -500.0))
-    top = screened(grades, features) if top is None else top
-    row = np.repeat(np.arange(n), [len(f) for f in features])
-    col = np.concatenate(features)
-    at = np.full(N_FEATURES, -1)
-    at[top] = np.arange(len(top))
-    used = at[col] >= 0
-    x = np.zeros((n, len(top)), np.float32)
-    x[row[used], at[col[used]]] = 1
-    share = np.array([np.mean(grades <= k) for k in range(GRADES - 1)]).clip(0.5 / n, 1 - 0.5 / n)
-    cut = np.log(share / (1 - share))
+    parts = [slice(i, i + PART) for i in range(0, len(col), PART)]
+    by = sum((np.bincount(grades[row[s]] * N_FEATURES + col[s], share[s], GRADES * N_FEATURES) for s in parts),
+             np.zeros(GRADES * N_FEATURES)).reshape(GRADES, N_FEATURES)
+    held = by.sum(0)
+    top = np.flatnonzero((held > 0) & (held < n))
+    k = len(top)
+    # params are the weights over their scales, so that the penalty of all is L2
+    scale = np.append(1 / np.sqrt(_penalties(grades, by[:, top])), 0)
+    at = np.full(N_FEATURES, k, np.int32)  # k: no weight
+    at[top] = np.arange(k)
+    for s in parts:
+        col[s] = at[col[s]]
+    part = np.array([np.mean(grades <= j) for j in range(GRADES - 1)]).clip(0.5 / n, 1 - 0.5 / n)
+    cut = np.log(part / (1 - part))
     # thresholds as the first and the logs of the steps between them keep their order
-    params = np.concatenate([np.zeros(len(top)), [cut[0]], np.log(np.maximum(np.diff(cut), 0.1))])
+    params = np.concatenate([np.zeros(k), [cut[0]], np.log(np.maximum(np.diff(cut), 0.1))])
     m, v = np.zeros_like(params), np.zeros_like(params)
-    k = len(top)
     for t in range(1, steps + 1):
-        w, gaps = params[:k], np.exp(params[k + 1:])
+        w, gaps = np.append(params[:k], 0) * scale, np.exp(params[k + 1:])
         th = params[k] + np.concatenate([[0], np.cumsum(gaps)])
-        below = 1 / (1 + np.exp(np.clip(x @ w.astype(np.float32) - np.concatenate([[-500], th, [500]])[:, None], -500, 500)))
+        score = sum((np.bincount(row[s], w[col[s]] * share[s], n) for s in parts), np.zeros(n))
+        below = 1 / (1 + np.exp(np.clip(score - np.concatenate([[-500], th, [500]])[:, None], -500, 500)))
         below[0], below[-1] = 0, 1
         hi, lo = below[grades + 1, np.arange(n)], below[grades, np.arange(n)]
         p = np.maximum(hi - lo, 1e-12)
         dhi, dlo = hi * (1 - hi) / p, lo * (1 - lo) / p
         grad = np.zeros_like(params)
-        grad[:k] = x.T @ (dhi - dlo).astype(np.float32) / n + l2 * w / np.sqrt(n)
+        slope = dhi - dlo
+        grad[:k] = sum((np.bincount(col[s], slope[row[s]] * share[s], k + 1) for s in parts), np.zeros(k + 1))[:k] * scale[:k] / n
+        grad[:k] += l2 * params[:k] / np.sqrt(n)
         g_th = np.array([-(dhi[grades == j].sum() - dlo[grades == j + 1].sum()) for j in range(GRADES - 1)]) / n
         grad[k] = g_th.sum()
         grad[k + 1:] = np.cumsum(g_th[::-1])[::-1][1:] * gaps
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad ** 2
         params = params - 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
     weights = np.zeros(N_FEATURES, np.float32)
-    weights[top] = params[:k]
+    weights[top] = params[:k] * scale[:k]
     return OrdinalModel(weights, params[k] + np.concatenate([[0], np.cumsum(np.exp(params[k + 1:]))]))
 
 
-def _counted(batches):
-    """Documents by feature and grade in a task."""
-    total = None
-    for b in batches:
-        for g, raw in zip(b.column("grade").to_pylist(), b.column("features")):
-            if total is None:
-                total = np.zeros((GRADES, N_FEATURES), np.int64)
-            total[g, np.frombuffer(raw.as_buffer(), np.int32)] += 1
-    if total is not None:
-        some = np.flatnonzero(total.any(0))
-        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *[pa.array(t[some]) for t in total]],
-                                         names=["feature", *[f"g{g}" for g in range(GRADES)]])
-
-
 def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> OrdinalModel:
     """The model from a sample of at most ``train_rows`` labelled documents;
     the sampled labels are broadcast (their number is the bound)."""
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).otherwise(2)
-    picked = (labels.where("doc_id is not null and quality is not null and toxic is not null")
-              .groupBy(F.col("doc_id").alias("_label")).agg(F.min(grade).alias("grade"))
-              .orderBy(F.xxhash64("_label"), "_label").limit(train_rows))
-    sample = written(docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_label"))
-                     .select("grade", "text").mapInArrow(_sample_features, "grade int, features binary"), "sample")
-    has = {r["grade"]: r["n"] for r in sample.groupBy("grade").agg(F.count("*").alias("n")).collect()}
-    n = sum(has.values())
-    counts = (sample.mapInArrow(_counted, "feature int, " + ", ".join(f"g{g} long" for g in range(GRADES)))
-              .groupBy("feature").agg(*[F.sum(f"g{g}").alias(f"g{g}") for g in range(GRADES)]))
-    every = sum(F.col(f"g{g}") for g in range(GRADES))
-    apart = [_z(F.lit(has[g]), F.col(f"g{g}"), F.lit(n - has[g]), every - F.col(f"g{g}"))
-             for g in range(GRADES) if 0 < has.get(g, 0) < n]
-    top = np.zeros(0, np.int64)
-    if apart:
-        z = F.greatest(*apart) if len(apart) > 1 else apart[0]
-        best = counts.select("feature", z.alias("z")).where(F.col("z") >= SCREEN ** 2)
-        top = np.sort(np.array([r["feature"] for r in best.orderBy(F.desc("z"), "feature").limit(FEATURES).collect()], np.int64))
-
-    def only_top(batches):
-        for b in batches:
-            found = [np.intersect1d(np.frombuffer(x.as_buffer(), np.int32), top).astype(np.int32).tobytes()
-                     for x in b.column("features")]
-            yield pa.RecordBatch.from_arrays([b.column("grade"), pa.array(found, pa.binary())], names=["grade", "features"])
-
-    rows = (sample.mapInArrow(only_top, "grade int, features binary")
-            .orderBy("grade", "features").limit(2 * train_rows).collect())
-    return fit(np.array([r["grade"] for r in rows], np.int64), [np.frombuffer(r["features"], np.int32) for r in rows], top)
+    order = [F.xxhash64("_label"), F.col("_label")]
+    picked = written(labels.where("doc_id is not null and quality is not null and toxic is not null")
+                     .groupBy(F.col("doc_id").alias("_label")).agg(F.min(grade).alias("grade"))
+                     .orderBy(*order).limit(train_rows)
+                     .withColumn("slot", F.row_number().over(Window.orderBy(*order)) - 1), "labels")
+    seen = (docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_label"))
+            .select("slot", "text").mapInArrow(_seen, "slot int, feature int, n long"))
+    sample = written(seen.groupBy("slot", "feature").agg(F.sum("n").alias("n")), "sample")
+    ranges = 1 + sample.count() // PART
+    rows = (sample.repartitionByRange(ranges, "slot", "feature").sortWithinPartitions("slot", "feature")
+            .mapInArrow(_packed, "slot binary, feature binary, n binary"))
+    with TemporaryFile() as slots, TemporaryFile() as cols, TemporaryFile() as shares:
+        found, total = [], 0
+        for r in rows.toLocalIterator():
+            slot, feature, n = (np.frombuffer(r[c], t) for c, t in
+                                (("slot", np.int32), ("feature", np.int32), ("n", np.int64)))
+            # a document's number of rows comes first, under ROW
+            new = feature == ROW
+            found += zip(slot[new].tolist(), n[new].tolist())
+            document = len(found) - new.sum() + np.cumsum(new) - 1
+            of = np.array([c for _, c in found[document[0]:]])[document - document[0]]
+            slots.write(document[~new].astype(np.int32).tobytes())
+            cols.write(feature[~new].tobytes())
+            shares.write((n / of)[~new].astype(np.float32).tobytes())
+            total += int((~new).sum())
+        if not found:
+            return fit(np.zeros(0, np.int64), [])
+        grades = {r["slot"]: r["grade"] for r in picked.select("slot", "grade").collect()}
+        for f in (slots, cols, shares):
+            f.flush()
+        return _fit(np.array([grades[s] for s, _ in found], np.int64), np.memmap(slots, np.int32, "r", shape=total),
+                    np.memmap(cols, np.int32, "r+", shape=total), np.memmap(shares, np.float32, "r", shape=total))
 
 
 def scores(docs: DataFrame, model: OrdinalModel, keep_from: float = 0.5) -> DataFrame:

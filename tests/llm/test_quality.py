@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,3 +89,16 @@ def test_features_cover_whole_texts(monkeypatch):
     found = {f for _, _, _, feature in Q._features(pa.array([text, "zzz", None])) for f in feature.tolist()}
     rows = [set(feature[row == r].tolist()) for _, _, row, feature in Q._features(pa.array([text, "zzz"])) for r in range(2)]
     assert len(found) > 3 and any(f < Q.BUCKETS for f in rows[0] & rows[1])
+
+
+def test_every_word_weighs(spark):
+    """Far more telling words than the 384 that once had a weight; a word of one document has one too."""
+    n = 10_400
+    rows = [(i, f"w{i % 400} v{i % 400} " + ("only" if i == 7 else "text")) for i in range(n)]
+    d = docs(spark, rows)
+    model = Q.train(d, labels(spark, [(i, int(i % 400 >= 200), 0) for i in range(n)]))
+    out = Q.scores(d.select("doc_id", "text"), model).collect()
+    assert len(out) == n and all(r.keep == (r.doc_id % 400 >= 200) for r in out)
+    words = {f for _, _, _, found in Q._features(pa.array([f"w{i} v{i}" for i in range(400)] + ["only"]))
+             for f in found.tolist() if f < Q.BUCKETS}
+    assert len(words) > 790 and all(model.weights[f] != 0 for f in words)
