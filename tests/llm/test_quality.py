@@ -102,3 +102,16 @@ def test_every_word_weighs(spark):
     words = {f for _, _, _, found in Q._features(pa.array([f"w{i} v{i}" for i in range(400)] + ["only"]))
              for f in found.tolist() if f < Q.BUCKETS}
     assert len(words) > 790 and all(model.weights[f] != 0 for f in words)
+
+
+def test_repeated_rows_count_once(spark):
+    """Rows beyond twice train_rows once fell off, good ones first."""
+    once = [(i, "fine words here" if i % 2 else "bad words here") for i in range(60)]
+    hot = [(60, f"bad words again {i % 50}") for i in range(500)]
+    some = labels(spark, [(i, i % 2, 0) for i in range(60)] + [(60, 0, 1)])
+    d = docs(spark, once)
+    model = Q.train(docs(spark, once + hot), some, 61)
+    assert {(r.doc_id % 2, r.keep) for r in Q.scores(d.select("doc_id", "text"), model).collect()} == {(0, False), (1, True)}
+    # three times the rows give the same model
+    one, three = Q.train(d, some, 60), Q.train(docs(spark, once * 3), some, 60)
+    assert np.allclose(one.weights, three.weights) and np.allclose(one.thresholds, three.thresholds)
