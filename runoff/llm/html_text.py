@@ -70,9 +70,17 @@ LABELLED = (
     (1, 0.0, 5, 0.0, 2, 0.0, 0, 1, 0, 1), (6, 0.0, 2, 0.0, 2, 0.0, 0, 1, 0, 1),
     (3, 0.3, 2, 0.0, 4, 0.0, 0, 1, 0, 1), (8, 0.0, 3, 0.3, 5, 0.0, 0, 1, 0, 1),
     (2, 0.0, 6, 0.0, 4, 0.0, 0, 1, 0, 1), (4, 0.0, 5, 0.3, 1, 0.0, 0, 1, 0, 1),
-    # in the article: lists of links
-    (3, 1.0, 4, 1.0, 5, 1.0, 0, 1, 0, 0), (4, 1.0, 2, 1.0, 3, 1.0, 0, 1, 0, 0),
-    (6, 1.0, 3, 1.0, 0, 0.0, 0, 1, 0, 0), (5, 0.9, 8, 1.0, 2, 1.0, 0, 1, 0, 0),
+    # in the article: marked menus, and text beside them
+    (1, 1.0, 0, 0.0, 4, 0.0, 0, 1, 1, 0), (2, 1.0, 1, 1.0, 3, 1.0, 0, 1, 1, 0), (4, 1.0, 30, 0.0, 20, 0.0, 0, 1, 1, 0),
+    (4, 0.0, 1, 1.0, 3, 0.0, 0, 1, 0, 1), (4, 0.0, 2, 1.0, 0, 0.0, 0, 1, 0, 1), (9, 0.0, 3, 1.0, 12, 0.0, 0, 1, 0, 1),
+    # in the article: text before and between links
+    (4, 0.0, 2, 0.0, 3, 1.0, 0, 1, 0, 1), (5, 0.0, 3, 0.0, 4, 1.0, 0, 1, 0, 1), (3, 0.0, 1, 0.0, 2, 1.0, 1, 1, 0, 1),
+    (8, 0.0, 2, 1.0, 3, 1.0, 0, 1, 0, 1), (5, 0.0, 0, 0.0, 2, 1.0, 0, 1, 0, 1), (4, 0.0, 3, 1.0, 4, 1.0, 0, 1, 0, 1),
+    (6, 0.2, 3, 1.0, 2, 1.0, 0, 1, 0, 1), (7, 0.3, 4, 1.0, 5, 1.0, 0, 1, 0, 1), (10, 0.0, 1, 1.0, 1, 1.0, 0, 1, 0, 1),
+    # in the article: lists of links, such as references, and their headings
+    (1, 0.0, 20, 0.0, 3, 1.0, 1, 1, 0, 1), (2, 0.0, 1, 0.0, 2, 1.0, 1, 1, 0, 1), (3, 0.0, 5, 0.0, 4, 1.0, 0, 1, 0, 1),
+    (3, 1.0, 4, 1.0, 5, 1.0, 0, 1, 0, 1), (4, 1.0, 2, 1.0, 3, 1.0, 0, 1, 0, 1),
+    (6, 1.0, 3, 1.0, 0, 0.0, 0, 1, 0, 1), (5, 0.9, 8, 1.0, 2, 1.0, 0, 1, 0, 1),
     # pages without an article: long text with few links, and its headings
     (45, 0.0, 6, 0.0, 50, 0.0, 0, 0, 0, 1), (80, 0.1, 30, 0.0, 20, 0.0, 0, 0, 0, 1),
     (22, 0.0, 40, 0.0, 35, 0.0, 0, 0, 0, 1), (160, 0.02, 1, 1.0, 90, 0.0, 0, 0, 0, 1),
@@ -80,16 +88,23 @@ LABELLED = (
     (6, 0.0, 2, 1.0, 60, 0.0, 1, 0, 0, 1), (4, 0.0, 50, 0.0, 40, 0.0, 1, 0, 0, 1),
     (9, 0.0, 70, 0.0, 60, 0.0, 0, 0, 0, 1), (5, 0.0, 45, 0.0, 55, 0.0, 0, 0, 0, 1),
     (3, 0.0, 20, 0.0, 30, 0.0, 0, 0, 0, 1), (60, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1),
-    # pages without an article: short text among links or at the page's ends
+    # pages without an article: short paragraphs and headings among their like
+    (4, 0.0, 2, 0.0, 3, 0.0, 0, 0, 0, 1), (2, 0.0, 5, 1.0, 4, 0.0, 1, 0, 0, 1), (3, 0.0, 3, 0.0, 4, 0.0, 0, 0, 0, 1),
+    (5, 0.0, 6, 0.0, 0, 0.0, 0, 0, 0, 1), (6, 0.0, 0, 0.0, 5, 0.0, 0, 0, 0, 1), (2, 0.0, 2, 0.0, 2, 0.0, 0, 0, 0, 1),
+    (7, 0.0, 1, 1.0, 6, 0.0, 0, 0, 0, 1), (6, 0.0, 5, 0.0, 1, 1.0, 0, 0, 0, 1), (5, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1),
+    (9, 0.0, 8, 0.0, 7, 0.0, 0, 0, 0, 1), (1, 0.0, 4, 0.0, 3, 0.0, 0, 0, 0, 1), (4, 0.0, 3, 1.0, 8, 0.0, 0, 0, 0, 1),
+    (8, 0.0, 9, 0.0, 2, 1.0, 0, 0, 0, 1), (3, 0.0, 0, 0.0, 6, 0.0, 1, 0, 0, 1), (1, 0.0, 1, 1.0, 2, 0.0, 1, 0, 0, 1),
+    (3, 0.0, 1, 1.0, 5, 0.0, 1, 0, 0, 1), (2, 0.0, 3, 1.0, 9, 0.0, 1, 0, 0, 1), (12, 0.0, 4, 0.0, 10, 0.0, 0, 0, 0, 1),
+    # pages without an article: short text among links or beside them at the page's ends
+    (1, 0.0, 0, 0.0, 2, 1.0, 0, 0, 0, 0), (2, 0.0, 1, 1.0, 4, 1.0, 0, 0, 0, 0), (1, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 0),
     (5, 0.0, 1, 1.0, 3, 1.0, 0, 0, 0, 0), (3, 0.0, 0, 0.0, 1, 1.0, 0, 0, 0, 0),
     (7, 0.3, 4, 1.0, 0, 0.0, 0, 0, 0, 0), (6, 0.0, 3, 0.5, 2, 0.0, 0, 0, 0, 0),
-    (4, 0.0, 2, 0.0, 3, 0.0, 0, 0, 0, 0), (2, 0.0, 5, 1.0, 4, 0.0, 1, 0, 0, 0),
-    (30, 0.8, 12, 0.9, 20, 0.7, 0, 0, 0, 0), (20, 0.7, 40, 0.0, 15, 0.9, 0, 0, 0, 0),
+        (30, 0.8, 12, 0.9, 20, 0.7, 0, 0, 0, 0), (20, 0.7, 40, 0.0, 15, 0.9, 0, 0, 0, 0),
     (12, 0.6, 3, 1.0, 5, 1.0, 0, 0, 0, 0), (50, 0.9, 2, 1.0, 60, 0.9, 0, 0, 0, 0),
 )
 
 # elements whose content is no text
-_RAW = "script|style|noscript|template|textarea|select|option|button|svg|math|iframe|object|canvas|title"
+_RAW = "script|style|noscript|template|textarea|select|datalist|button|svg|math|iframe|object|canvas|title"
 _BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt
     fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav
     ol p pre section summary table tbody td tfoot th thead tr ul""".split())

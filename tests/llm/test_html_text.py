@@ -79,3 +79,18 @@ def test_rows(spark):
     assert out.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted((str(r.page_id), r.n_chars) for r in out.collect()) == [("1", 0)] * 2 + [("2", 199_999)] * 2 + [("None", 1)] * 2
     assert H.extract_text(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>Before.</p><datalist><option value=Oslo><option value=Bergen></datalist><p>After it.</p></article>",
+     "Before. After it."),
+    ("<article><p>Before.</p><select><option>A<option>B</select><p>After it.</p></article>", "Before. After it."),
+    ("<article><p>Before.</p><datalist><option>Oslo</datalist><option>odd<p>After it.</p></article>", "Before. odd After it."),
+    ("<article><p>Text.</p><h2>References</h2><ul><li><a href=a>First source</a><li><a href=b>Second source here</a>"
+     "<li><a href=c>Third</a></ul></article>", "Text. References First source Second source here Third"),
+    ("<body><p>Short one.</p><p>And another here.</p><p>The last.</p></body>", "Short one. And another here. The last."),
+    ("<body><ul><li><a href=a>A</a><li><a href=b>B</a></ul><h1>Title</h1><p>Short one.</p><p>Two words.</p></body>",
+     "Title Short one. Two words."),
+])
+def test_whole_article(page, text):
+    assert H.main_text(page, TREE) == text
