@@ -4,8 +4,9 @@ A page is cut into flat text blocks at block-level tags.  Each block has its
 number of words and link density, those of the blocks before and after it,
 and three marks: heading, place (inside the page's article or main element,
 outside of it, or the page has none) and boilerplate (inside an element whose
-tag, class, id or role says menu, header, footer, advert, form, comments or
-the like).  A decision tree, trained when the job starts on the small
+tag, or a whole name in its class, id or role, says menu, header, footer,
+advert, form, comments or the like; not for an article or main opened inside of
+such a name or form, if it is the page's first).  A decision tree, trained when the job starts on the small
 labelled table below, classifies the blocks; the content blocks, joined by a
 space, are the page's text.
 
@@ -111,11 +112,17 @@ _BLOCK = frozenset("""address article aside blockquote body caption center dd de
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ASIDE = frozenset("nav header footer aside form dialog menu fieldset".split())
+# those whose articles are theirs, not the page's
+_FIXED = frozenset("nav header footer aside dialog menu".split())
+# class, id and role names made of these words ...
 _MARK = re.compile(
-    r"(?<![a-z])(ads?|advert\w*|banner|promo\w*|sponsor\w*|sidebar\w*|side-?bar|rail|menu\w*|nav|navbar|navigation|"
+    r"ads?|advert\w*|banner|promo\w*|sponsor\w*|sidebar\w*|rail|menu\w*|nav|navbar|navigation|"
     r"header|masthead|footer|cookies?|notices?|consent|gdpr|popup|modal|alert|newsletter|subscri\w*|signup|login|"
     r"comments?|commentlist|disqus|replies|respond|reactions|share|sharing|social|related|recommend\w*|breadcrumbs?|"
-    r"widget|pagination|pager|toolbar|copyright|disclaimer|banner|complementary|contentinfo|search)(?![a-z])")
+    r"widgets?|pagination|pager|toolbar|copyright|disclaimer|complementary|contentinfo|search")
+# ... and of these, which say where or in what shape
+_PLAIN = frozenset("""site page main global left right top bottom side primary secondary area bar box block
+    buttons container form icons inner item items left links list outer panel posts section slot unit wrap wrapper""".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     rf"|<(?P<raw>{_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:/>|>.*?(?:</(?P=raw)\s*[^>]*>|\Z))"
@@ -124,26 +131,40 @@ _TOKEN = re.compile(
 _ATTR = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
+def _marks(names: str) -> bool:
+    """Whether one of the names says boilerplate as a whole: has-sidebar,
+    ad-free and related-work do not, sidebar-left and cookie-notice do."""
+    for name in names.split():
+        parts = [p for p in re.split(r"[\W\d_]+", name) if p]
+        marks = [bool(_MARK.fullmatch(p)) for p in parts]
+        if any(marks) and all(m or p in _PLAIN for m, p in zip(marks, parts)) or "".join(parts) == "sidebar":
+            return True
+    return False
+
+
 def blocks(page: str | None) -> list[tuple]:
     """(text, words, link density, heading, in article, boilerplate) of the
     page's non-empty blocks, in page order."""
     page = page or ""
     out, parts, stack = [], [], []
     linked = articles = marked = links = headings = 0
+    # marks opened before the page's first article or main are layout around it and do not reach into it
+    around, opened = 0, False
 
     def flush():
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
             n = text.count(" ") + 1
-            out.append((text, n, min(1.0, linked / n), int(headings > 0), int(articles > 0), int(marked > 0)))
+            out.append((text, n, min(1.0, linked / n), int(headings > 0), int(articles > 0), int(marked + around > 0)))
         parts.clear()
         linked = 0
 
     def drop(entry):
-        nonlocal articles, marked, headings
+        nonlocal articles, marked, headings, around
         articles -= entry[1]
         marked -= entry[2]
+        around += entry[3]
         headings -= entry[0] in _HEADING
 
     def add(text):
@@ -182,8 +203,16 @@ def blocks(page: str | None) -> list[tuple]:
                 while stack and stack[-1][0] in ("p", *_HEADING) and (tag in _HEADING or stack[-1][0] == "p"):
                     drop(stack.pop())
                 words = " ".join(x for a in _ATTR.findall(m["attrs"]) for x in a if x).lower()
-                entry = (tag, int(tag in ("article", "main")), int(tag in _ASIDE or bool(
-                    words and tag not in ("html", "body", "article", "main") and _MARK.search(words))))
+                article = tag in ("article", "main")
+                mark = tag in _ASIDE or tag not in ("html", "body") and not article and _marks(words)
+                if article:
+                    entry = (tag, 1, 0, around)
+                    around, opened = 0, True
+                elif mark and not opened and tag not in _FIXED:
+                    entry = (tag, 0, 0, -1)
+                    around += 1
+                else:
+                    entry = (tag, 0, int(mark), 0)
                 stack.append(entry)
                 articles += entry[1]
                 marked += entry[2]

@@ -81,6 +81,22 @@ def test_rows(spark):
     assert H.extract_text(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("wrapper", ['div class="layout has-sidebar"', 'div class="content no-sidebar"', 'div class="ad-free"',
+                                     'div id="page" class="header-fixed"', 'section id="related-work"',
+                                     'div class="header"', "form"])
+def test_marks_around_the_article(wrapper):
+    tag = wrapper.split()[0]
+    page = (f"<body><{wrapper}><div class=ad>Buy now.</div><article><h1>A title</h1><p>Its text.</p>"
+            "<div class='sidebar-left'>Aside.</div></article><article><p>More text.</p></article>"
+            f"<div class=comments><article><p>First!</p></article></div></{tag}></body>")
+    assert H.main_text(page, TREE) == "A title Its text. More text."
+
+
+def test_marks_are_whole_names_inside_the_article():
+    page = "<article><p>Text.</p><section id='related-work'><h2>Related work</h2><p>Others did it.</p></section></article>"
+    assert H.main_text(page, TREE) == "Text. Related work Others did it."
+
+
 @pytest.mark.parametrize("page, text", [
     ("<article><p>Before.</p><datalist><option value=Oslo><option value=Bergen></datalist><p>After it.</p></article>",
      "Before. After it."),
