@@ -14,8 +14,8 @@ vectors, so that cells keep their size; a cell of more than ``CELL`` vectors
 a task of its own.  In a task, candidates within the block's budget are
 verified exactly, in double precision on the original vectors; a pair counts
 only in its first block within budget and its first shared cell, so there is
-no set of pairs to remove repetitions from: tasks return link counts and the
-spanning edges of what they linked, a row for each vector.
+no set of pairs to remove repetitions from: tasks fold pairs into link counts
+and roots as they find them, and return those, a row for each vector.
 
 Equal vectors are one class with its number of rows.
 
@@ -39,6 +39,8 @@ from runoff.llm.vectors import by_length, matrix, rotation, usable
 
 BLOCKS = 4
 CELL = 20_000
+#: Candidate pairs verified at a time, and pairs held until they are folded.
+PAIRS, HELD = 100_000, 500_000
 #: What a further grid dimension leaves of a cell, roughly.
 SHRINK = 0.6
 SEED = 9
@@ -97,7 +99,7 @@ def _cells(cosine: float, dims: int, slim: bool):
 
 
 def _joined(x: np.ndarray, side: np.ndarray, cosine: float, block: int, cell: np.ndarray):
-    """The pairs of a task's vectors (rows of ``x``) that it counts."""
+    """Yields the pairs of a task's vectors (rows of ``x``) that it counts, some ``HELD`` at a time."""
     d = x.shape[1]
     unit = _unit(x)
     z, parts = unit @ rotation(d, SEED), _split(d)
@@ -109,7 +111,7 @@ def _joined(x: np.ndarray, side: np.ndarray, cosine: float, block: int, cell: np
     left, right = np.hstack([-2 * zb, square, one]).astype(np.float32), np.hstack([zb, one, square]).astype(np.float32).T
     limit = np.float32(budgets[block] + 1e-5)
     two = side.min() != side.max()
-    first, second = [], []
+    first, second, held = [], [], 0
     for i in range(0, len(x), 256):
         p, q = np.nonzero(left[i:i + 256] @ right[:, i:] <= limit)
         keep = q > p
@@ -117,8 +119,8 @@ def _joined(x: np.ndarray, side: np.ndarray, cosine: float, block: int, cell: np
         if two:
             keep = side[p] != side[q]
             p, q = p[keep], q[keep]
-        for s in range(0, len(p), 100_000):
-            u, v = p[s:s + 100_000], q[s:s + 100_000]
+        for s in range(0, len(p), PAIRS):
+            u, v = p[s:s + PAIRS], q[s:s + PAIRS]
             ok = np.einsum("ij,ij->i", unit[u], unit[v]) >= cosine
             u, v = u[ok], v[ok]
             gap = (z[u] - z[v]) ** 2
@@ -128,8 +130,24 @@ def _joined(x: np.ndarray, side: np.ndarray, cosine: float, block: int, cell: np
             ok &= (np.maximum(low[u], low[v]) == cell).all(1)
             first.append(u[ok])
             second.append(v[ok])
-    none = np.zeros(0, np.int64)
-    return np.concatenate([none, *first]), np.concatenate([none, *second])
+            held += len(first[-1])
+            if held >= HELD:
+                yield np.concatenate(first), np.concatenate(second)
+                first, second, held = [], [], 0
+    if held:
+        yield np.concatenate(first), np.concatenate(second)
+
+
+def _rooted(root: np.ndarray, p: np.ndarray, q: np.ndarray):
+    """Joins the sets of ``p`` and ``q`` in ``root``, where each points at its set's least."""
+    p, q = root[p], root[q]
+    while (p != q).any():
+        apart = p != q
+        p, q = p[apart], q[apart]
+        np.minimum.at(root, np.maximum(p, q), np.minimum(p, q))
+        while (root != root[root]).any():
+            root[:] = root[root]
+        p, q = root[p], root[q]
 
 
 _FOUND = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
@@ -140,14 +158,11 @@ def _link(cosine: float):
         ids, copies = table.column("id").to_numpy(), table.column("copies").to_numpy()
         cell = np.frombuffer(table.column("cell")[0].as_py(), "<i4")
         x = matrix(table.column("vec"), table.column("dim")[0].as_py())
-        p, q = _joined(x, table.column("side").to_numpy(), cosine, table.column("block")[0].as_py(), cell)
-        links = (np.bincount(p, copies[q], len(ids)) + np.bincount(q, copies[p], len(ids))).astype(np.int64)
-        root, before = np.arange(len(ids)), None
-        while before is None or (root != before).any():
-            before = root.copy()
-            np.minimum.at(root, p, root[q])
-            np.minimum.at(root, q, root[p])
-            root = root[root]
+        links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        # pairs are folded into counts and roots as they are found, never held together
+        for p, q in _joined(x, table.column("side").to_numpy(), cosine, table.column("block")[0].as_py(), cell):
+            links += (np.bincount(p, copies[q], len(ids)) + np.bincount(q, copies[p], len(ids))).astype(np.int64)
+            _rooted(root, p, q)
         some = links > 0
         return pa.Table.from_arrays([pa.array(ids[some]), pa.array(links[some]), pa.array(ids[root[some]])], schema=_FOUND)
     return run

@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,3 +131,21 @@ def test_search_query_recall(spark):
     for r in QUERIES["op3_collision_search"](spark, SF).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
     assert recall(got, want) >= 0.9 and all(len(v) == 20 for v in got.values())
+
+
+def test_join_holds_no_pairs():
+    """A cell of near copies: the pairs a task finds are folded, not kept (8 million are 128 MB)."""
+    n = 4000
+    x = np.array([1.0] + [0.0] * 7) + 1e-3 * np.random.default_rng(3).standard_normal((n, 8))
+    cell = S._grid(S._unit(x) @ S.rotation(8, S.SEED), 1.0, 0)[0][0].tobytes()
+    table = pa.table({"id": np.arange(n) + 5, "copies": np.full(n, 2), "cell": pa.array([cell] * n, pa.binary()),
+                      "vec": x.tolist(), "dim": np.full(n, 8, np.int32), "block": np.zeros(n, np.int32),
+                      "side": np.zeros(n, np.int32)})
+    tracemalloc.start()
+    try:
+        found = S._link(0.95)(table)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found["links"].to_pylist() == [2 * (n - 1)] * n and set(found["root"].to_pylist()) == {5}
+    assert peak < 16 * n * (n - 1) // 2
