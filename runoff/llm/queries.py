@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from runoff.llm import (
     collision_search,
     edit_counts,
+    histogram_packing,
     html_text,
     mixing,
     ngram_join,
@@ -139,8 +140,17 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), RULES).drop("url")
 
 
-QUERIES = {f.__name__: f for f in (op1_source_mixing, op2_html_text, op3_collision_search, op4_ngram_join, op5_tool_calls, op6_edit_counts, op7_quality_classifier,
-                                  op8_best_fit_packing, op9_subspace_join, op10_url_filter)}
+def op13_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = histogram_packing.token_pieces(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return histogram_packing.pack(pieces).drop("ids")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_source_mixing, op2_html_text, op3_collision_search, op4_ngram_join, op5_tool_calls, op6_edit_counts,
+    op7_quality_classifier, op8_best_fit_packing, op9_subspace_join, op10_url_filter, op13_histogram_packing)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

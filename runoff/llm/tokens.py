@@ -13,7 +13,11 @@ import sys
 import types
 import zlib
 from array import array
+from itertools import chain
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: A worker starts anew when it remembers twice as many chunks and pieces (some 150 MB).
@@ -104,3 +108,159 @@ class WordEncoder:
 
 def word_encoder(spec: str) -> WordEncoder:
     return per_process(("word", zlib.crc32(spec.encode())), lambda: WordEncoder(spec))
+
+
+#: Bytes of text encoded at a time, and what a worker remembers at most: pieces, and bytes of pieces and ids.
+SEGMENT = 4 << 20
+PIECES, PIECE_BYTES = 300_000, 16 << 20
+_SPACE, _LETTER, _DIGIT, _MARK, _ODD = range(5)
+_QUOTE = 39
+
+
+def _byte_classes() -> np.ndarray:
+    out = np.full(256, _ODD, np.uint8)
+    out[33:127] = _MARK
+    out[[32, *range(9, 14)]] = _SPACE
+    out[48:58] = _DIGIT
+    out[65:91] = out[97:123] = _LETTER
+    return out
+
+
+_CLASS = _byte_classes()
+_ACCENT = np.zeros(256, bool)  # second bytes of the letters from À to ÿ
+_ACCENT[128:192] = True
+_ACCENT[[0x97, 0xB7]] = False
+
+
+class ColumnEncoder(WordEncoder):
+    """As WordEncoder, a text column at a time: a segment of rows is cut into
+    pieces by byte class, its *distinct* pieces are looked up or tokenised
+    once, and all ids are taken by index.
+
+    Chunks between white space that hold an apostrophe or a character beyond
+    Latin-1 letters are one piece each and take the slow way.  What is
+    remembered is bounded in pieces and in bytes; beyond that only the pieces
+    of the present segment, the frequent ones among them, are kept.
+    """
+
+    def __init__(self, spec: str):
+        super().__init__(spec)
+        self._keep(pa.array([], pa.binary()), np.zeros(1, np.int64), np.zeros(0, np.uint32))
+
+    def _keep(self, pieces: pa.BinaryArray, start: np.ndarray, ids: np.ndarray) -> None:
+        self.known, self.start, self.ids = pieces, start, ids
+
+    def rows(self, column: pa.Array):
+        """Yields (row, ids as uint32 array) for every row; null: no ids."""
+        if self.split is None:
+            for r, text in enumerate(column.to_pylist()):
+                ids = self.whole.encode(text, add_special_tokens=False).ids if text else []
+                yield r, np.array(ids, np.uint32)
+            return
+        column = column.cast(pa.large_string()).fill_null("")
+        _, offsets, data = column.buffers()
+        off = np.frombuffer(offsets, np.int64, len(column) + 1, 8 * column.offset)
+        raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+        i = 0
+        while i < len(column):
+            j = max(i + 1, int(np.searchsorted(off, off[i] + SEGMENT, "right")) - 1)
+            if off[j] - off[i] <= SEGMENT:
+                ids, cut = self._segment(raw[off[i]:off[j]], off[i:j + 1] - off[i])
+                for r in range(j - i):
+                    yield i + r, ids[cut[r]:cut[r + 1]]
+            else:
+                yield i, np.concatenate([self._segment(part, np.array([0, len(part)]))[0]
+                                         for part in self._parts(raw[off[i]:off[j]])])
+            i = j
+
+    @staticmethod
+    def _parts(text: np.ndarray):
+        """A long text in parts of some ``SEGMENT`` bytes, cut at white space."""
+        at = 0
+        while at < len(text):
+            to = min(at + SEGMENT, len(text))
+            while to < len(text):
+                found = np.flatnonzero(_CLASS[text[to:to + SEGMENT]] == _SPACE)
+                if len(found):
+                    to += int(found[0])
+                    break
+                to = min(to + SEGMENT, len(text))
+            yield text[at:to]
+            at = to
+
+    def _segment(self, b: np.ndarray, cuts: np.ndarray):
+        """(ids, offsets of ids at ``cuts``) of the rows in bytes ``b``."""
+        if not len(b):
+            return np.zeros(0, np.uint32), np.zeros(len(cuts), np.int64)
+        kind = _CLASS[b]
+        lead = np.flatnonzero(b[:-1] == 0xC3)
+        lead = lead[_ACCENT[b[lead + 1]]]
+        kind[lead] = kind[lead + 1] = _LETTER
+        word = kind != _SPACE
+        begins = word.copy()
+        begins[1:] &= ~word[:-1]
+        inner = cuts[(cuts > 0) & (cuts < len(b))]
+        begins[inner] = word[inner]
+        other = np.ones(len(b), bool)
+        other[1:] = kind[1:] != kind[:-1]
+        other |= kind == _DIGIT
+        text = b.copy()
+        upper = (b >= 65) & (b <= 90)
+        accents = lead[b[lead + 1] < 0x9F] + 1
+        odd = np.flatnonzero((kind == _ODD) | (b == _QUOTE))
+        if len(odd):
+            chunk = np.cumsum(begins, dtype=np.int32)
+            strange = np.zeros(int(chunk[-1]) + 1, bool)
+            strange[chunk[odd]] = True
+            plain = ~strange[chunk]
+            other &= plain
+            upper &= plain
+            accents = accents[plain[accents]]
+        text[upper] += 32
+        text[accents] += 32
+        begins |= other & word
+        at = np.flatnonzero(begins)
+        packed = text[word]
+        ends = np.empty(len(at) + 1, np.int32)
+        ends[:-1] = np.flatnonzero(begins[word])
+        ends[-1] = len(packed)
+        pieces = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends), pa.py_buffer(packed)])
+        coded = pieces.dictionary_encode()
+        code = self._codes(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+        n = self.start[code + 1] - self.start[code]
+        total = np.zeros(len(n) + 1, np.int64)
+        np.cumsum(n, out=total[1:])
+        take = np.repeat(self.start[code] - total[:-1], n)
+        take += np.arange(len(take))
+        return self.ids[take], total[np.searchsorted(at, cuts)]
+
+    def _codes(self, distinct: pa.BinaryArray) -> np.ndarray:
+        """Numbers of ``distinct`` pieces among the known; makes the missing."""
+        if len(self.known) > PIECES or self.known.nbytes + self.ids.nbytes > PIECE_BYTES:
+            kept = pc.index_in(self.known, value_set=distinct).is_valid().to_numpy(zero_copy_only=False)
+            kept = np.flatnonzero(kept)
+            n = self.start[kept + 1] - self.start[kept]
+            start = np.r_[0, np.cumsum(n)]
+            take = np.repeat(self.start[kept] - start[:-1], n) + np.arange(start[-1])
+            self._keep(self.known.take(pa.array(kept)), start, self.ids[take])
+        code = pc.index_in(distinct, value_set=self.known)
+        missing = code.is_null()
+        out = code.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = distinct.filter(missing)
+        if len(new):
+            out[missing.to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(new))
+            made = [self._made(p) for p in new.to_pylist()]
+            start = np.r_[self.start, self.start[-1] + np.cumsum([len(m) for m in made])]
+            flat = np.fromiter(chain.from_iterable(made), np.uint32, int(start[-1] - self.start[-1]))
+            self._keep(pa.concat_arrays([self.known, new]), start, np.concatenate([self.ids, flat]))
+        return out
+
+    def _made(self, piece: bytes) -> list[int]:
+        text = piece.decode()
+        if _QUOTE in piece or not _PLAIN.fullmatch(text):
+            return self.whole.encode(text, add_special_tokens=False).ids
+        return [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(self.chars))]
+
+
+def column_encoder(spec: str) -> ColumnEncoder:
+    return per_process(("column", zlib.crc32(spec.encode())), lambda: ColumnEncoder(spec))

@@ -4,13 +4,15 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from runoff.llm import packing
 from runoff.llm.queries import QUERIES
-from runoff.llm.tokens import WordEncoder
+from runoff.llm import tokens
+from runoff.llm.tokens import ColumnEncoder, WordEncoder
 from tests.llm.helpers import SF, docs
 
 PATH = P.path("word_bpe_49k.json")
@@ -25,12 +27,30 @@ def tokenizer():
 
 def test_encoder_equals_the_library(tokenizer):
     enc = WordEncoder(open(PATH, encoding="utf-8").read())
+    for text in odd_texts():
+        assert np.frombuffer(enc.encode(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def odd_texts():
     rng = random.Random(1)
     parts = ["Hello", "it's", "WE'LL", "don't!", "42nd", "naïve", "ÜBER", "Σίσυφος", "ΟΔΟΣ", "日本語", "éte", " ",
              "\x1c", " ", "\x85", "½", "ª", "<|endoftext|>", "😀", "́", "İstanbul", "ﬁ", "$%&", "''s", " ", "\n", "\t", ""]
-    for _ in range(300):
-        text = "".join(rng.choice(parts) + rng.choice(["", " ", "  ", "\n"]) for _ in range(rng.randrange(12)))
-        assert np.frombuffer(enc.encode(text.encode()), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+    return ["".join(rng.choice(parts) + rng.choice(["", " ", "  ", "\n"]) for _ in range(rng.randrange(12)))
+            for _ in range(300)]
+
+
+@pytest.mark.parametrize("segment,pieces", [(1 << 20, 10**6), (40, 20)])
+def test_column_encoder_equals_the_library(tokenizer, monkeypatch, segment, pieces):
+    """Also with segments smaller than rows, and pieces forgotten all the time."""
+    monkeypatch.setattr(tokens, "SEGMENT", segment)
+    monkeypatch.setattr(tokens, "PIECES", pieces)
+    texts = odd_texts() + [None, "", "  ", "J̌A̧ ÀÉ×÷ßÿ", "a" * 300]
+    texts += [t for t in texts if t][:50] + [" ".join(t for t in texts if t)]
+    enc = ColumnEncoder(open(PATH, encoding="utf-8").read())
+    column = pa.array(["x", *texts])[1:]
+    got = {r: ids.tolist() for r, ids in enc.rows(column)}
+    assert got == {r: tokenizer.encode(t or "", add_special_tokens=False).ids for r, t in enumerate(texts)}
+    assert len(enc.known) <= pieces + max(len(set((t or "").split())) for t in texts) * 3
 
 
 def check(rows, n_tokens):
