@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runoff.llm.common import tasks, with_start
-from runoff.llm.tokens import word_encoder
+from runoff.llm.tokens import column_encoder
 
 CAPACITY = 2048
 #: Bytes of ids in an Arrow batch.
@@ -37,12 +37,13 @@ def _cut(spec, capacity: int, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]):
-        enc = word_encoder(spec.value)
+        enc = column_encoder(spec.value)
         names = ["doc_id", "piece", "start", "length", "ids"]
         rows, held = [], 0
         for b in batches:
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text")):
-                ids = (enc.encode(text.as_buffer().to_pybytes()) if text.is_valid else b"") + end
+            docs = b.column("doc_id").to_pylist()
+            for r, found in enc.rows(b.column("text")):
+                doc, ids = docs[r], found.astype("<u4", copy=False).tobytes() + end
                 for p, at in enumerate(range(0, len(ids), 4 * capacity)):
                     body = ids[at:at + 4 * capacity]
                     rows.append((doc, p, at // 4, len(body) // 4, body))
