@@ -15,6 +15,7 @@ from runoff.llm import (
     mixing,
     ngram_join,
     packing,
+    periodic_runs,
     quality,
     subspace_join,
     tool_calls,
@@ -140,6 +141,33 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), RULES).drop("url")
 
 
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id and text of ``docs``; a tenth of the documents, chosen by a hash
+    of the id, repeat a stretch of their words from some word on to the end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    ws = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    words = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, ws).alias("ws"))
+    n = F.size("ws").cast("long")
+    first = words.select("doc_id", "text", "g", "ws", n.alias("n"), F.when(n > 0, F.col("g") % n).alias("a"))
+    placed = first.withColumn("p", F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)) + 1)
+    at = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.get(
+        "ws", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return placed.select("doc_id", F.when(F.col("n") > 0, F.array_join(at, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(planted_runs(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    # by start, then period, so the first of equally strong runs stays
+    top = F.aggregate("runs", F.get("runs", F.lit(0)), lambda best, r: F.when(
+        r["length"] * best["period"] > best["length"] * r["period"], r).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("top", top).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "top.start", "top.length", "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def op13_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -150,7 +178,8 @@ def op13_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_html_text, op3_collision_search, op4_ngram_join, op5_tool_calls, op6_edit_counts,
-    op7_quality_classifier, op8_best_fit_packing, op9_subspace_join, op10_url_filter, op13_histogram_packing)}
+    op7_quality_classifier, op8_best_fit_packing, op9_subspace_join, op10_url_filter, op12_periodic_runs,
+    op13_histogram_packing)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
