@@ -12,6 +12,7 @@ from runoff.llm import (
     edit_counts,
     histogram_packing,
     html_text,
+    merkle,
     mixing,
     ngram_join,
     packing,
@@ -141,6 +142,16 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), RULES).drop("url")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = [F.col(c) for c in docs.columns]
+    tampered = merkle.digest(*[f + 1 if c == "n_chars" else f for c, f in zip(docs.columns, fields)])
+    shown = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, tampered)
+    found = merkle.manifest(docs, F.col("lang"), F.col("doc_id"), merkle.digest(*fields), shown)
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"),
+                        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 def planted_runs(docs: DataFrame) -> DataFrame:
     """doc_id and text of ``docs``; a tenth of the documents, chosen by a hash
     of the id, repeat a stretch of their words from some word on to the end."""
@@ -178,8 +189,8 @@ def op13_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_source_mixing, op2_html_text, op3_collision_search, op4_ngram_join, op5_tool_calls, op6_edit_counts,
-    op7_quality_classifier, op8_best_fit_packing, op9_subspace_join, op10_url_filter, op12_periodic_runs,
-    op13_histogram_packing)}
+    op7_quality_classifier, op8_best_fit_packing, op9_subspace_join, op10_url_filter, op11_merkle_manifest,
+    op12_periodic_runs, op13_histogram_packing)}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -188,9 +199,50 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {**QUERIES, "pipeline": corpus_pipeline.run}
 
 
+_FIELD = "coalesce(strlen({0}::VARCHAR) || ':' || {0}, '-')"
+_CRC32 = """xor(list_reduce(list_transform(range(8 * length({0})), lambda i: CASE WHEN i % 8 = 0
+  THEN ord(substr({0}, i // 8 + 1, 1)) ELSE 0 END), lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1)),
+  4294967295::BIGINT), 4294967295::BIGINT)"""
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{n_chars}", "text")) + ")"
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES = {
+    "op11_merkle_manifest": rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, {_LEAF.format(n_chars="n_chars")} AS leaf, CASE WHEN {_CRC32.format("doc_id::VARCHAR")} % 7 = 0
+    THEN {_LEAF.format(n_chars="(n_chars + 1)")} ELSE {_LEAF.format(n_chars="n_chars")} END AS shown FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+             count(*) OVER (PARTITION BY lang) AS n FROM d),
+t(lang, level, i, n, h) AS (
+  SELECT lang, 0, i, n, leaf FROM r
+  UNION ALL
+  SELECT lang, level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM t WHERE n > 1
+  GROUP BY lang, level, i // 2, n),
+top AS (SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS j FROM t WHERE n = 1),
+u(level, i, n, h) AS (
+  SELECT 0, j, count(*) OVER (), subroot FROM top
+  UNION ALL
+  SELECT level + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM u WHERE n > 1
+  GROUP BY level, i // 2, n),
+step AS (
+  SELECT r.lang, r.i, t.level, string_agg(t.h, '') FILTER (t.i < r.i >> t.level) AS l,
+         string_agg(t.h, '') FILTER (t.i > r.i >> t.level) AS r
+  FROM r JOIN t ON r.lang IS NOT DISTINCT FROM t.lang AND t.n > 1 AND t.i // 2 = r.i >> (t.level + 1) GROUP BY ALL
+  UNION ALL
+  SELECT r.lang, r.i, 1000 + u.level, string_agg(u.h, '') FILTER (u.i < top.j >> u.level),
+         string_agg(u.h, '') FILTER (u.i > top.j >> u.level)
+  FROM r JOIN top ON r.lang IS NOT DISTINCT FROM top.lang JOIN u ON u.n > 1 AND u.i // 2 = top.j >> (u.level + 1)
+  GROUP BY ALL),
+path AS (
+  SELECT lang, i, list({{'h': '', 'l': coalesce(l, ''), 'r': coalesce(r, '')}} ORDER BY level) AS steps FROM step GROUP BY lang, i),
+folded AS (
+  SELECT r.doc_id, r.lang, r.leaf, array_to_string(list_transform(coalesce(steps, []), lambda x: x.l || x.r), '') AS proof,
+         list_reduce(coalesce(steps, []), lambda a, x: {{'h': sha256(x.l || a.h || x.r), 'l': '', 'r': ''}},
+                     {{'h': shown, 'l': '', 'r': ''}}).h AS folded_root
+  FROM r LEFT JOIN path ON r.lang IS NOT DISTINCT FROM path.lang AND r.i = path.i)
+SELECT doc_id, leaf, top.subroot, u.h AS root, sha256(proof) AS proof_sha256, folded_root, folded_root = u.h AS verified
+FROM folded JOIN top ON folded.lang IS NOT DISTINCT FROM top.lang JOIN u ON u.n = 1""",
     "op9_subspace_join": """
 WITH RECURSIVE v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
