@@ -6,21 +6,42 @@ the disbursal rows come out of one pass and are materialised once with
 ``checkpoint()`` into the session's checkpoint directory (a shared, reliable folder on a cluster):
 that cuts lineage, so an executor lost in a later phase never re-runs the
 loan-level join, and every later phase reads a table of a few thousand rows.
+
+A book can also begin at the published tables of a run (``from_published``,
+``restore``): phases that it has are read, the later ones computed from them,
+and neither loans nor performance are touched.
 """
 from __future__ import annotations
 
+import copy
+from datetime import date
 from functools import cached_property
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runoff.config import DEFAULT, EclConfig, SegmentRequest
 from runoff.operators import ecl, feed, loss, triangle
 from runoff.plans import driver_book
+from runoff.plans.store import Store, config_from_text, input_state
 from runoff.session import ensure_checkpoint_dir
 from runoff.sources import tables
 
+#: The published tables that phases can begin at, as they are stored (the cohort as ISO text).
+STATE = {
+    "feed": "fy_quarter string, cohort_end string, segment int, mob int, dpd90_uc long, tpos_uc long",
+    "feed_disbursal": "fy_quarter string, cohort_end string, segment int, lan_cnt long, disb_uc long",
+    "triangles": ("segment string, fy_quarter string, cohort_end string, mob int, is_observed boolean, disb_cr double, "
+                  "dpd90_amt double, dpd90_rate double, tpos_amt double, tpos_rate double, lan_cnt long, disb_uc long, "
+                  "max_mature_mob int, dpd90_uc long, tpos_uc long"),
+    "loss": ("segment string, fy_quarter string, cohort_end string, anchor_mob int, disb_cr double, ninety_plus double, "
+             "tpos_sum double, denominator double, loss_rate double, anchor_observed boolean"),
+    "weighted": ("segment string, window string, fy_start string, fy_end string, anchor_mob int, n_quarters long, "
+                 "n_observed_at_anchor long, total_disb double, simple_avg_lr double, weighted_avg_lr double, ecl_pct double"),
+}
+
 
 class Book:
     def __init__(self, spark: SparkSession, loans: DataFrame, perf: DataFrame,
@@ -62,6 +83,43 @@ class Book:
         return cls(loans.sparkSession, tables.loans_from_extract(loans),
                    tables.performance_from_extract(perf), cfg, **kw)
 
+    @classmethod
+    def from_published(cls, spark: SparkSession, out: str, as_of: date, run: str | None = None, **kw) -> "Book":
+        """The accepted run of a quarter (or the named run), from its
+        published tables, with the configuration that it had.  A phase it has
+        no table of is computed from the one before; without a feed there is
+        nothing to begin at."""
+        store = Store(spark, out, as_of)
+        own = store.accepted() if run is None else next((r for r in store.runs() if r.name == run), None)
+        if own is None or not {"feed", "feed_disbursal"} <= set(own.tables):
+            raise LookupError(f"run {run} of {as_of} under {out} has no complete feed")
+        book = cls(spark, None, None, config_from_text(own.config), **kw)
+        book.restore({name: store.read(name, T.StructType.fromDDL(kind), own)
+                      for name, kind in STATE.items() if name in own.tables})
+        return book
+
+    def restore(self, published: dict[str, DataFrame]) -> None:
+        """Phases begin at these published tables (names as in ``STATE``)."""
+        def dated(name):
+            return published[name].withColumn("cohort_end", F.to_date("cohort_end")).drop("fy_quarter")
+
+        if {"feed", "feed_disbursal"} <= set(published):
+            # back to the shape that the one loan-level job has
+            mobs, loans = dated("feed"), dated("feed_disbursal")
+            self._both = mobs.unionByName(loans, allowMissingColumns=True).select(
+                "cohort_end", "segment", "mob", "lan_cnt", "disb_uc", "dpd90_uc", "tpos_uc")
+            self.__dict__["_feed_both"] = feed.split_feed(self._both)
+        for name, phase in (("triangles", "triangles"), ("loss", "loss")):
+            if name in published:
+                self.__dict__[phase] = dated(name)
+        if "weighted" in published:
+            self.__dict__["wavg"] = published["weighted"]
+
+    @cached_property
+    def input_state(self) -> str | None:
+        """What the input files look like (``plans.store``), to know a run again."""
+        return input_state(self.spark, self.loans, self.perf)
+
     @cached_property
     def perf_by_loan(self) -> DataFrame:
         """The performance table partitioned by loan: as it is read, or after
@@ -75,6 +133,11 @@ class Book:
         other.__dict__["grouped"] = feed.whole_feed(self._both)
         return other
 
+    def fork(self) -> "Book":
+        """A book with the same phases, which can be restored to others; what
+        either persists is given back by the one it was forked from."""
+        return copy.copy(self)
+
     def release(self) -> None:
         """Give back the persisted tables (checkpoint files go with their
         references if ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set)."""

@@ -564,6 +564,11 @@ WHERE u <= 3 OR d <= 3""")
     sunk = "\nUNION ALL ".join(_measure(f"sink.rows:{k}", "0.0") for k in sizes)
     q["published_checks"] = W(_overall(_verdicts("\nUNION ALL ".join([vbody, whole_run, told, sunk]), cfg)), vx)
     q["headline_from_extract"] = q["headline_ecl"]
+    q["resume_from_published"] = q["segment_ecl_matrix"]
+    rate = f"(SELECT round(weighted_avg_lr, 8) FROM wavg WHERE {ALL} AND window_name = '{hw.name}')"
+    q["accepted_quarter"] = W(f"""SELECT CAST(1 AS BIGINT) AS run, 'accepted' AS verdict, '' AS failed, {rate} AS ecl_pct,
+  true AS is_the_quarter
+UNION ALL SELECT 2, 'rejected', 'feed.loan_count', {rate}, false""")
 
     # ---- C6 by the recurrence itself, a cell at a time in column order, for all groups at once
     first, stop, step = cfg.triangle_grid.start, cfg.triangle_grid.stop, cfg.triangle_grid.step

@@ -1,12 +1,12 @@
-"""The whole quarterly run: compute, publish phase tables, validate, gate.
+"""The whole quarterly run: compute, stage phase tables, validate, accept.
 
-Each phase table is written once as parquet under
-``<out>/<table>/as_of=<date>/`` (dynamic partition overwrite: a new as-of date
-adds a partition, a repeated quarter replaces only its own).  Its rows are
-counted while they are written and again when they are read back (S3, S4,
-S7); the published summary is held against the published loss table (R11).
-The checks are published with the rest (S5), then a FAIL raises, so the
-evidence is kept (R8).
+The phase tables are staged beside those of other runs (``plans.store``):
+their rows are counted while they are written and again when they are read
+back (S3, S4, S7), and the staged summary is held against the staged loss
+table (R11).  The checks are staged with the rest (S5).  Only a run without a
+FAIL is accepted, by one entry of the journal; a FAIL raises and leaves the
+accepted quarter as it was, with the evidence beside it (R8).  A run that was
+interrupted goes on with the tables that it has.
 
 On a cluster, with the master and resources that spark-submit gives:
 
@@ -23,13 +23,13 @@ from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from runoff.config import DEFAULT
 from runoff.operators import checks, feed, report, triangle
-from runoff.plans.book import Book
+from runoff.plans.book import STATE, Book
+from runoff.plans.store import ACCEPTED, REJECTED, Run, Store
 from runoff.sources.tables import read_any
 
 
@@ -39,54 +39,57 @@ class RunResult:
     tables: dict[str, DataFrame]       # read back from storage
     checks: DataFrame
     rows: dict[str, tuple[int, int]]   # written, read back
+    run: str                           # its name in the journal
 
 
-def phase_tables(book: Book) -> dict[str, DataFrame]:
+#: What each phase of a run leaves behind; a run can start again after any of them.
+PHASES = {"feed": ("feed", "feed_disbursal", "feed_wide"), "triangles": ("triangles", "movements"),
+          "loss": ("loss", "by_quarter"), "weighted": ("weighted", "summary")}
+
+
+def phase_tables(book: Book, phase: str | None = None) -> dict[str, DataFrame]:
+    """The tables of one phase, or of all."""
     cfg = book.cfg
     lab = triangle.label_cols
-    tri = triangle.with_rates(book.triangles)
-    return {
-        "feed": book.feed.select(*lab(), "segment", "mob", "dpd90_uc", "tpos_uc"),
-        "feed_disbursal": book.disb.select(*lab(), "segment", "lan_cnt", "disb_uc"),
-        "feed_wide": feed.feed_wide(book.feed, book.disb, cfg),
-        "triangles": tri.select("segment", *lab(), "mob", "is_observed", "disb_cr",
-                                "dpd90_amt", "dpd90_rate", "tpos_amt", "tpos_rate"),
-        "movements": book.movements.select("segment", *lab(), "mob", "disb_cr", "tpos_amt",
-                                           "tpos_pct", "dpd90_amt", "dpd90_pct"),
-        "loss": book.loss.select("segment", *lab(), "anchor_mob", "disb_cr", "ninety_plus",
-                                 "tpos_sum", "denominator", "loss_rate", "anchor_observed"),
-        "by_quarter": report.loss_rate_report(book.loss.filter("segment = 'all'"),
-                                              book.current.filter("segment = 'all'"), cfg),
-        "weighted": book.wavg,
-        "summary": report.summary(book),
+    make = {
+        "feed": lambda: book.feed.select(*lab(), "segment", "mob", "dpd90_uc", "tpos_uc"),
+        "feed_disbursal": lambda: book.disb.select(*lab(), "segment", "lan_cnt", "disb_uc"),
+        "feed_wide": lambda: feed.feed_wide(book.feed, book.disb, cfg),
+        "triangles": lambda: triangle.with_rates(book.triangles).select(
+            "segment", *lab(), "mob", "is_observed", "disb_cr", "dpd90_amt", "dpd90_rate", "tpos_amt", "tpos_rate",
+            "lan_cnt", "disb_uc", "max_mature_mob", "dpd90_uc", "tpos_uc"),
+        "movements": lambda: book.movements.select("segment", *lab(), "mob", "disb_cr", "tpos_amt",
+                                                   "tpos_pct", "dpd90_amt", "dpd90_pct"),
+        "loss": lambda: book.loss.select("segment", *lab(), "anchor_mob", "disb_cr", "ninety_plus", "tpos_sum",
+                                         "denominator", "loss_rate", "anchor_observed"),
+        "by_quarter": lambda: report.loss_rate_report(book.loss.filter("segment = 'all'"),
+                                                      book.current.filter("segment = 'all'"), cfg),
+        "weighted": lambda: book.wavg,
+        "summary": lambda: report.summary(book),
     }
+    return {name: make[name]() for p in PHASES if phase in (None, p) for name in PHASES[p]}
 
 
-def write_table(df: DataFrame, path: str, as_of: str) -> int:
-    """Writes a quarter's rows and returns how many they were."""
-    seen = Observation()
-    (df.observe(seen, F.count(F.lit(1)).alias("n")).withColumn("as_of", F.lit(as_of))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("as_of").parquet(path))
-    return seen.get["n"]
-
-
-def read_table(spark: SparkSession, path: str, schema: T.StructType, as_of: str) -> DataFrame:
-    """S3: a quarter's rows, by their known schema; partition pruning lists
-    and reads this quarter's directory only."""
-    whole = T.StructType([*schema.fields, T.StructField("as_of", T.StringType())])
-    return spark.read.schema(whole).parquet(path).filter(F.col("as_of") == as_of).drop("as_of")
+def stage(book: Book, store: Store, run: Run, until: str | None = None) -> tuple[dict[str, DataFrame], dict[str, tuple[int, int]]]:
+    """The phase tables staged and read back, phase by phase, to ``until`` or
+    the end; rows written and read, by table.  Each phase goes on from the
+    staged tables of those before it, so ``book`` is restored to them."""
+    back, rows = {}, {}
+    for phase in PHASES:
+        tables = phase_tables(book, phase)
+        written = store.stage(run, tables)
+        back |= {name: store.read(name, df.schema, run) for name, df in tables.items()}
+        rows |= {name: (written[name], back[name].count()) for name in tables}
+        book.restore({name: back[name] for name in tables if name in STATE})
+        if phase == until:
+            break
+    return back, rows
 
 
 def publish(book: Book, out: str) -> tuple[dict[str, DataFrame], dict[str, tuple[int, int]]]:
-    """The phase tables written and read back; rows written and read, by table."""
-    as_of = book.cfg.as_of.isoformat()
-    back, rows = {}, {}
-    for name, df in phase_tables(book).items():
-        written = write_table(df, f"{out}/{name}", as_of)
-        back[name] = read_table(book.spark, f"{out}/{name}", df.schema, as_of)
-        rows[name] = (written, back[name].count())
-    return back, rows
+    """The phase tables of a new run, staged and read back."""
+    store = Store(book.spark, out, book.cfg)
+    return stage(book.fork(), store, store.take_up(book.cfg, None))
 
 
 def sink_measures(spark: SparkSession, rows: dict[str, tuple[int, int]]) -> DataFrame:
@@ -96,17 +99,26 @@ def sink_measures(spark: SparkSession, rows: dict[str, tuple[int, int]]) -> Data
 
 
 def run(book: Book, out: str, gate: bool = True) -> RunResult:
+    """Stages, validates and accepts a run, or goes on with the unfinished one
+    of the same configuration and input.  ``gate``: whether a FAIL raises; it
+    is never accepted."""
     spark, cfg = book.spark, book.cfg
-    out, as_of = out.rstrip("/"), cfg.as_of.isoformat()
-    back, rows = publish(book, out)
+    store = Store(spark, out, cfg)
+    own = store.take_up(cfg, book.input_state)
+    book = book.fork()
+    book.restore({name: store.read(name, T.StructType.fromDDL(STATE[name]), own) for name in STATE if name in own.tables})
+    back, rows = stage(book, store, own)
     taken = reduce(DataFrame.unionByName, [
         checks.run_measures(book), checks.whole_run_measure(book),
         checks.published_rate_measure(back["summary"], back["loss"], cfg), sink_measures(spark, rows)])
     verdicts = checks.with_overall(checks.judge(taken, cfg))
-    write_table(verdicts, f"{out}/checks", as_of)
-    published = read_table(spark, f"{out}/checks", verdicts.schema, as_of)
-    status = checks.gate(published) if gate else published.filter("check_id = 'overall'").first()["verdict"]
-    return RunResult(status, back, published, rows)
+    store.stage(own, {"checks": verdicts})
+    published = store.read("checks", verdicts.schema, own)
+    status = published.filter("check_id = 'overall'").first()["verdict"]
+    store.note(own, REJECTED if status == "FAIL" else ACCEPTED)
+    if gate:
+        checks.gate(published)
+    return RunResult(status, back, published, rows, own.name)
 
 
 def main(argv=None) -> RunResult:

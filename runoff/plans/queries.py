@@ -17,10 +17,12 @@ from pyspark.sql import functions as F
 from runoff.config import DEFAULT, YEAR_MOB, YOUNG_BOOK, EclConfig
 from runoff.functions.calendar import (cohort_end, fiscal_quarter_label,
                                        fiscal_quarter_no, fiscal_year, iso)
+from runoff.functions.joins import side_by_side
 from runoff.functions.numeric import safe_ratio, to_crore
 from runoff.operators import checks, feed, loss, report, triangle
 from runoff.plans import driver_book, pipeline
 from runoff.plans.book import Book
+from runoff.plans.store import Store
 from runoff.session import scratch_path
 
 A6 = 6   # crore amounts
@@ -492,6 +494,37 @@ def q_published_checks(spark, sf_dir):
     return pipeline.run(book(spark, sf_dir), _scratch(spark, "run")).checks
 
 
+def q_resume_from_published(spark, sf_dir):
+    """S3: the segment matrix of a book that begins at the triangles that an
+    interrupted run left."""
+    b, out = book(spark, sf_dir), _scratch(spark, "interrupted")
+    store = Store(spark, out, b.cfg)
+    run = store.take_up(b.cfg, None)
+    pipeline.stage(b.fork(), store, run, until="triangles")
+    return Book.from_published(spark, out, b.cfg.as_of, run.name).wavg.select(*_wavg_cols(with_segment=True))
+
+
+def q_accepted_quarter(spark, sf_dir):
+    """The runs of a quarter as the journal has them, where the
+    second one's loan counts are wrong: it leaves the accepted one in place."""
+    b, out = book(spark, sf_dir), _scratch(spark, "quarter")
+    wrong = b.fork()
+    tables = pipeline.phase_tables(b, "feed")
+    wrong.restore({"feed": tables["feed"],
+                   "feed_disbursal": tables["feed_disbursal"].withColumn("lan_cnt", F.col("lan_cnt") + 1)})
+    results = [pipeline.run(x, out, gate=False) for x in (b, wrong)]
+    store = Store(spark, out, b.cfg)
+    runs, quarter = {r.name: r for r in store.runs()}, store.accepted().name
+    told = []
+    for n, result in enumerate(results, 1):
+        failed = F.array_sort(F.collect_set(F.when(F.expr("verdict = 'FAIL' and check_id <> 'overall'"), F.col("check_id"))))
+        summary = result.tables["summary"].filter("key = 'ecl_pct'").select(F.col("value_num").alias("ecl_pct"))
+        told.append(side_by_side(result.checks.agg(F.concat_ws(",", failed).alias("failed")), summary).select(
+            F.lit(n).cast("long").alias("run"), F.lit(runs[result.run].verdict).alias("verdict"), "failed", "ecl_pct",
+            F.lit(result.run == quarter).alias("is_the_quarter")))
+    return told[0].unionByName(told[1])
+
+
 # ---------------------------------------------------------- the extract
 def extract_of(b: Book) -> tuple[DataFrame, DataFrame]:
     """The book in the shape of the warehouse's extract."""
