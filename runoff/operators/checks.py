@@ -11,7 +11,7 @@ nothing to compare) is beyond every bound.
 Amount differences are taken in exact integer minor units and converted to
 crore once, so they do not depend on summation order.
 
-The performance table is read by loan.  Callers pass it partitioned by
+The reconciliation reads performance by loan.  Callers pass it partitioned by
 ``loan_no`` (``Book.perf_by_loan``: one exchange of a plain table, none of a
 bucketed one); all groupings and joins here reuse that.
 """
@@ -49,6 +49,7 @@ def definitions(cfg: EclConfig) -> dict[str, tuple[float, str]]:
         "book.whole_run": (cfg.tol, "FAIL"),
         "sink.summary_rate": (cfg.tol, "FAIL"),
         "sink.rows": (0.0, "FAIL"),
+        "source.rejected_rows": (0.0, "WARN"),
     }
 
 
@@ -99,24 +100,63 @@ def _any_null(columns, fields):
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns if c in fields])
 
 
-def key_violations(loans: DataFrame, perf_by_loan: DataFrame) -> DataFrame:
+#: MOBs that a loan's rows note as bits: BITS longs of 63.
+BITS = 3
+
+
+def rows_by_loan(keyed: DataFrame) -> DataFrame:
+    """One row per loan (p_no): rows, rows with NULL fields, and how many
+    different MOBs there are, as far as bits can tell; ``p_odd``: rows whose
+    MOB has no bit.  All of it merges map-side, so a loan key that a third of
+    all rows repeat is a row a task in the one exchange."""
+    mob = F.col("mob")
+    bits = [F.bit_or(F.expr(f"CASE WHEN mob >= {63 * i} AND mob < {63 * (i + 1)} THEN shiftleft(1L, mob - {63 * i}) "
+                            "ELSE 0L END")).alias(f"_b{i}") for i in range(BITS)]
+    per = keyed.groupBy(F.col("loan_no").alias("p_no")).agg(
+        F.count(F.lit(1)).alias("p_rows"), F.count_if(_any_null(PERF_FIELDS, PERF_FIELDS)).alias("p_nulls"),
+        F.count_if(mob.isNull() | ~mob.between(0, 63 * BITS - 1)).alias("p_odd"), *bits)
+    return per.select("p_no", "p_rows", "p_nulls", "p_odd",
+                      reduce(lambda x, y: x + y, [F.bit_count(f"_b{i}") for i in range(BITS)]).alias("p_mobs"))
+
+
+def key_violations(loans: DataFrame, perf: DataFrame, rejects: DataFrame | None = None) -> DataFrame:
     """Source constraints as a data-quality report (one row): both tables are
-    reduced to a row for each loan and meet once."""
-    by_key = (perf_by_loan.groupBy("loan_no", "mob")
-              .agg(F.count(F.lit(1)).alias("n"), F.count_if(_any_null(PERF_FIELDS, PERF_FIELDS)).alias("nulls")))
-    perf = by_key.groupBy(F.col("loan_no").alias("p_no")).agg(
-        F.sum("n").alias("p_rows"), F.count_if(F.col("n") > 1).alias("p_dup"), F.sum("nulls").alias("p_nulls"))
+    reduced to a row for each loan and meet once.
+
+    It must survive what it reports.  Rows without a loan key are counted
+    apart, by MOB.  Repeated (loan, MOB) keys can only be where a loan has
+    fewer MOBs than rows: just those loans' rows are read again and counted by
+    both keys (none, where the constraint holds).  Every aggregate combines
+    before its exchange.  ``rejects`` (``sources.tables``) are counted too."""
+    keyed, unkeyed = (perf.filter(F.col("loan_no").isNotNull()), perf.filter(F.col("loan_no").isNull()))
+    per = rows_by_loan(keyed)
+    suspects = per.filter((F.col("p_rows") - F.col("p_odd") != F.col("p_mobs")) | (F.col("p_odd") > 1)).select("p_no")
+    more_than_one = F.count_if(F.col("n") > 1)
+    repeated = (keyed.join(suspects, F.col("loan_no") == F.col("p_no"), "left_semi")
+                .groupBy("loan_no", "mob").agg(F.count(F.lit(1)).alias("n")))
+    without = unkeyed.groupBy("mob").agg(F.count(F.lit(1)).alias("n"))
     loan = loans.groupBy(F.col("loan_no").alias("l_no")).agg(
         F.count(F.lit(1)).alias("l_rows"), F.count_if(_any_null(loans.columns, LOAN_FIELDS)).alias("l_nulls"))
     # a NULL key is equal to no key: both sides keep it as unmatched
-    both = loan.join(perf, F.col("l_no") == F.col("p_no"), "full_outer")
+    both = loan.join(per, F.col("l_no") == F.col("p_no"), "full_outer")
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
-    return both.agg(
-        total("l_rows").alias("n_loans"), F.count_if(F.col("l_rows") > 1).alias("dup_loan_keys"),
-        total("l_nulls").alias("null_loan_fields"), total("p_rows").alias("n_perf_rows"),
-        total("p_dup").alias("dup_perf_keys"), total("p_nulls").alias("null_perf_fields"),
-        total(F.when(F.col("l_rows").isNull(), F.col("p_rows"))).alias("orphan_perf_rows"),
-        total(F.when(F.col("p_rows").isNull(), F.col("l_rows"))).alias("loans_without_perf"))
+    parts = [
+        both.agg(
+            total("l_rows").alias("n_loans"), F.count_if(F.col("l_rows") > 1).alias("dup_loan_keys"),
+            total("l_nulls").alias("null_loan_fields"), total("p_rows").alias("_rows"),
+            total("p_nulls").alias("_nulls"), total(F.when(F.col("l_rows").isNull(), F.col("p_rows"))).alias("_orphans"),
+            total(F.when(F.col("p_rows").isNull(), F.col("l_rows"))).alias("loans_without_perf")),
+        repeated.agg(more_than_one.alias("_repeated")),
+        without.agg(total("n").alias("_without"), more_than_one.alias("_repeated_without"))]
+    told = ["n_loans", "dup_loan_keys", "null_loan_fields", (F.col("_rows") + F.col("_without")).alias("n_perf_rows"),
+            (F.col("_repeated") + F.col("_repeated_without")).alias("dup_perf_keys"),
+            (F.col("_nulls") + F.col("_without")).alias("null_perf_fields"),
+            (F.col("_orphans") + F.col("_without")).alias("orphan_perf_rows"), "loans_without_perf"]
+    if rejects is not None:
+        parts.append(rejects.agg(*[F.count_distinct(F.when(F.col("table_name") == t, F.col("row_id"))).alias(f"rejected_{t}_rows")
+                                   for t in ("loans", "performance")]))
+        told += ["rejected_loans_rows", "rejected_performance_rows"]
+    return side_by_side(*parts).select(*told)
 
 
 # ------------------------------------------------------------ A10, A11

@@ -54,6 +54,7 @@ class Book:
         self.cfg = cfg
         self.materialize = materialize
         self.loan_buckets = loan_buckets
+        self.rejects: DataFrame | None = None
         self._kept: list[DataFrame] = []
 
     # ------------------------------------------------------------- sources
@@ -79,9 +80,11 @@ class Book:
 
     @classmethod
     def from_extract(cls, loans: DataFrame, perf: DataFrame, cfg: EclConfig = DEFAULT, **kw) -> "Book":
-        """Warehouse extract: text keys, ISO dates, rupee amounts (sources.tables)."""
-        return cls(loans.sparkSession, tables.loans_from_extract(loans),
-                   tables.performance_from_extract(perf), cfg, **kw)
+        """Warehouse extract: text keys, ISO dates, rupee amounts
+        (sources.tables); ``rejects`` are the rows that could not be read."""
+        book = cls(loans.sparkSession, tables.loans_from_extract(loans), tables.performance_from_extract(perf), cfg, **kw)
+        book.rejects = tables.rejected_rows(loans, perf)
+        return book
 
     @classmethod
     def from_published(cls, spark: SparkSession, out: str, as_of: date, run: str | None = None, **kw) -> "Book":
@@ -123,8 +126,10 @@ class Book:
     @cached_property
     def perf_by_loan(self) -> DataFrame:
         """The performance table partitioned by loan: as it is read, or after
-        the one exchange that all groupings and joins by loan share."""
-        return self.perf if self.loan_buckets else self.perf.repartition("loan_no")
+        the one exchange that all groupings and joins by loan share.  Rows
+        without a key are no loan's, and would all go to one task."""
+        keyed = self.perf.filter(F.col("loan_no").isNotNull())
+        return keyed if self.loan_buckets else keyed.repartition("loan_no")
 
     def whole_only(self) -> "Book":
         """The same run over the feed collapsed to cohorts: one group, ``all``."""

@@ -13,7 +13,7 @@ from runoff.config import (DEFAULT, DEFAULT_HASH_MULT, DEFAULT_MOB_HASH_MULT,
                            DEFAULT_MOB_SPREAD_LONG, DEFAULT_MOB_SPREAD_REFERENCE_LIKE,
                            SEGMENT_DEFAULT_PER_MILLE, YEAR_MOB, YOUNG_BOOK, EclConfig,
                            SegmentRequest)
-from runoff.plans.queries import DEGENERATE_GROUPS, MATURE_BOOK, SEGMENT_ECL_ARGS
+from runoff.plans.queries import DAMAGED, DEGENERATE_GROUPS, MATURE_BOOK, SEGMENT_ECL_ARGS
 
 
 def LABEL(d: str) -> str:
@@ -570,6 +570,29 @@ WHERE u <= 3 OR d <= 3""")
   true AS is_the_quarter
 UNION ALL SELECT 2, 'rejected', 'feed.loan_count', {rate}, false""")
 
+    # ---- a damaged extract: what is left of both tables, and what is not
+    d = DAMAGED
+    bad_loan = f"(loan_no % {d['date']} = 0 OR loan_no % {d['amount']} = 0)"
+    bad_perf = f"(loan_no % {d['tpos']} = 0 AND mob = {YEAR_MOB})"
+    rejected = [("loans", "disbursal_date", "2020-13-45", "not a date", f"loan_no % {d['date']} = 0"),
+                ("loans", "disbursal_amount", "12,5", "not an amount", f"loan_no % {d['amount']} = 0"),
+                ("performance", "tpos", "n/a", "not an amount", bad_perf)]
+    q["rejected_rows"] = W("\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{f}' AS field, '{raw}' AS raw, '{why}' AS reason, COUNT(*) AS n_rows, "
+        f"COUNT(DISTINCT loan_no) AS n_loans FROM {t} WHERE {cond} HAVING COUNT(*) > 0" for t, f, raw, why, cond in rejected))
+    left = [x.replace("  FROM orders)", "  FROM orders), loans AS (SELECT * FROM all_loans WHERE NOT " + bad_loan + ")")
+            .replace("loans AS (\n", "all_loans AS (\n", 1) if x.startswith("loans AS") else
+            x.replace("FROM loans)", "FROM all_loans)") if x.startswith("loans_x AS") else
+            x.replace("performance AS (\n", "all_performance AS (\n")
+            + f",\nperformance AS (SELECT * FROM all_performance WHERE NOT {bad_perf})" if x.startswith("performance AS") else x
+            for x in ctes(cfg)]
+    q["headline_from_damaged_extract"] = "WITH " + ",\n".join(left) + "\n" + (
+        f"SELECT {_wavg_cols()} FROM wavg WHERE {ALL} AND window_name = '{cfg.headline}'")
+    q["dq_damaged_extract"] = "WITH " + ",\n".join(left) + "\n" + q["dq_key_violations"][
+        q["dq_key_violations"].index("SELECT\n  (SELECT COUNT(*) FROM loans) AS n_loans"):] + f""",
+  (SELECT COUNT(*) FROM all_loans WHERE {bad_loan}) AS rejected_loans_rows,
+  (SELECT COUNT(*) FROM all_performance WHERE {bad_perf}) AS rejected_performance_rows"""
+
     # ---- C6 by the recurrence itself, a cell at a time in column order, for all groups at once
     first, stop, step = cfg.triangle_grid.start, cfg.triangle_grid.stop, cfg.triangle_grid.step
     n_cols = (stop - first) // step + 1

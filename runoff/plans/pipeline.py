@@ -24,6 +24,7 @@ from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from runoff.config import DEFAULT
@@ -67,7 +68,10 @@ def phase_tables(book: Book, phase: str | None = None) -> dict[str, DataFrame]:
         "weighted": lambda: book.wavg,
         "summary": lambda: report.summary(book),
     }
-    return {name: make[name]() for p in PHASES if phase in (None, p) for name in PHASES[p]}
+    out = {name: make[name]() for p in PHASES if phase in (None, p) for name in PHASES[p]}
+    if book.rejects is not None and phase in (None, "feed"):
+        out["rejected_rows"] = book.rejects
+    return out
 
 
 def stage(book: Book, store: Store, run: Run, until: str | None = None) -> tuple[dict[str, DataFrame], dict[str, tuple[int, int]]]:
@@ -98,6 +102,12 @@ def sink_measures(spark: SparkSession, rows: dict[str, tuple[int, int]]) -> Data
                                  "check_id string, measure double")
 
 
+def rejected_measure(rejects: DataFrame) -> DataFrame:
+    """Rows of the extract that were not taken."""
+    rows = rejects.agg(F.count_distinct("table_name", "row_id").alias("n"))
+    return checks.measures(rows, {"source.rejected_rows": "n"})
+
+
 def run(book: Book, out: str, gate: bool = True) -> RunResult:
     """Stages, validates and accepts a run, or goes on with the unfinished one
     of the same configuration and input.  ``gate``: whether a FAIL raises; it
@@ -110,7 +120,8 @@ def run(book: Book, out: str, gate: bool = True) -> RunResult:
     back, rows = stage(book, store, own)
     taken = reduce(DataFrame.unionByName, [
         checks.run_measures(book), checks.whole_run_measure(book),
-        checks.published_rate_measure(back["summary"], back["loss"], cfg), sink_measures(spark, rows)])
+        checks.published_rate_measure(back["summary"], back["loss"], cfg), sink_measures(spark, rows),
+        *([rejected_measure(back["rejected_rows"])] if "rejected_rows" in back else [])])
     verdicts = checks.with_overall(checks.judge(taken, cfg))
     store.stage(own, {"checks": verdicts})
     published = store.read("checks", verdicts.schema, own)

@@ -129,7 +129,7 @@ def q_tpos_frozen(spark, sf_dir):
 
 def q_dq_key_violations(spark, sf_dir):
     b = book(spark, sf_dir)
-    return checks.key_violations(b.loans, b.perf_by_loan)
+    return checks.key_violations(b.loans, b.perf)
 
 
 # ---------------------------------------------------------- calendar
@@ -544,6 +544,43 @@ def q_headline_from_extract(spark, sf_dir):
     return Book.from_extract(*extract_of(b), b.cfg).headline().select(*_wavg_cols())
 
 
+#: Which loans' text is damaged: one in so many has a wrong date, amount, or TPOS at month 12.
+DAMAGED = {"date": 97, "amount": 89, "tpos": 101}
+
+
+def damaged_extract(b: Book) -> tuple[DataFrame, DataFrame]:
+    """The extract with text that cannot be read."""
+    loans, perf = extract_of(b)
+    n = F.substring("distinct_loan_no", 4, 20).cast("long")
+    loans = loans.withColumns({
+        "disbursal_date": F.when(n % DAMAGED["date"] == 0, F.lit("2020-13-45")).otherwise(F.col("disbursal_date")),
+        "disbursal_amount": F.when(n % DAMAGED["amount"] == 0, F.lit("12,5"))
+        .otherwise(F.col("disbursal_amount").cast("string"))})
+    perf = perf.withColumn("tpos", F.when((n % DAMAGED["tpos"] == 0) & (F.col("mob") == YEAR_MOB), F.lit("n/a"))
+                           .otherwise(F.col("tpos").cast("string")))
+    return loans, perf
+
+
+def q_rejected_rows(spark, sf_dir):
+    """What is not taken of a damaged extract, by field and reason."""
+    b = book(spark, sf_dir)
+    return (Book.from_extract(*damaged_extract(b), b.cfg).rejects.groupBy("table_name", "field", "raw", "reason")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("loan_no").alias("n_loans")))
+
+
+def q_headline_from_damaged_extract(spark, sf_dir):
+    """The rows of a damaged extract that can be read give the headline."""
+    b = book(spark, sf_dir)
+    return Book.from_extract(*damaged_extract(b), b.cfg).headline().select(*_wavg_cols())
+
+
+def q_dq_damaged_extract(spark, sf_dir):
+    """The report on a damaged extract, rejected rows included."""
+    b = book(spark, sf_dir)
+    own = Book.from_extract(*damaged_extract(b), b.cfg)
+    return checks.key_violations(own.loans, own.perf, own.rejects)
+
+
 # ------------------------------------------------------------ report
 def q_raw_pivot_90plus(spark, sf_dir):
     b = book(spark, sf_dir)

@@ -10,11 +10,13 @@ Two input tables, the same shape as a bank warehouse extract:
 
 They are read from parquet with a fixed schema, from catalog tables, from the
 warehouse over JDBC (partitioned), or from the warehouse's extract with text
-keys, ISO dates and rupee amounts.
+keys, ISO dates and rupee amounts.  An extract's row with a date, number or
+amount that cannot be read does not end the run: it is kept apart with the
+reason (``rejected_rows``), and the run goes on with the others.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,24 +85,71 @@ def read_jdbc(spark: SparkSession, url: str, table: str, key: str, parts: int,
 
 
 # ------------------------------------------------------------ the warehouse's extract
-def _cents(rupees: str):
+def _whole_number(c: Column) -> Column:
+    exact = c.try_cast("decimal(20,6)")
+    return F.when(exact == F.floor(exact), exact).try_cast("int")
+
+
+def _cents(c: Column) -> Column:
     """Whole cents of a rupee amount, half up, exact in decimals."""
-    return F.round(F.col(rupees).cast("decimal(24,6)") * 100, 0).cast("long")
+    return F.round(c.try_cast("decimal(24,6)") * 100, 0).try_cast("long")
+
+
+#: How a field's text is read, and what is wrong with text that cannot be.
+KINDS = {
+    "text": (lambda c: c.cast("string"), "not a text"),
+    "number": (_whole_number, "not a whole number"),
+    "date": (lambda c: F.try_to_date(c.cast("string"), "yyyy-MM-dd"), "not a date"),
+    "amount": (_cents, "not an amount"),
+}
+#: (field, column of the extract, kind)
+LOANS_EXTRACT = (
+    ("loan_no", "distinct_loan_no", "text"), ("customer_id", "customer_id", "text"), ("segment", "segment", "number"),
+    ("disbursal_date", "disbursal_date", "date"), ("amount_cents", "disbursal_amount", "amount"),
+    ("tenure_months", "tenure_months", "number"))
+PERFORMANCE_EXTRACT = (
+    ("loan_no", "distinct_loan_no", "text"), ("mob", "mob", "number"), ("tpos_cents", "tpos", "amount"),
+    ("dpd90_cents", "amt_90plus_settlement", "amount"))
+
+
+def _parsed(extract: DataFrame, fields) -> DataFrame:
+    """The fields as they can be read (the rest NULL), and ``_bad``: those
+    that have text which cannot.  A field without text is NULL and not bad."""
+    read = {field: KINDS[kind][0](F.col(source)) for field, source, kind in fields}
+    bad = F.array(*[F.when(F.col(source).isNotNull() & read[field].isNull(), F.struct(
+        F.lit(source).alias("field"), F.col(source).cast("string").alias("raw"), F.lit(KINDS[kind][1]).alias("reason")))
+        for field, source, kind in fields])
+    return extract.select(*[c.alias(field) for field, c in read.items()], F.array_compact(bad).alias("_bad"))
+
+
+def _valid(extract: DataFrame, fields) -> DataFrame:
+    return _parsed(extract, fields).filter(F.size("_bad") == 0).drop("_bad")
 
 
 def loans_from_extract(extract: DataFrame) -> DataFrame:
     """Loans with text keys, ISO text dates and rupee amounts as the loan
-    table; the key stays text (it is only grouped and joined on)."""
-    return extract.select(
-        F.col("distinct_loan_no").cast("string").alias("loan_no"), F.col("customer_id").cast("string").alias("customer_id"),
-        F.col("segment").cast("int").alias("segment"), F.to_date("disbursal_date", "yyyy-MM-dd").alias("disbursal_date"),
-        _cents("disbursal_amount").alias("amount_cents"), F.col("tenure_months").cast("int").alias("tenure_months"))
+    table; the key stays text (it is only grouped and joined on).  Rows with
+    a field that cannot be read are left to :func:`rejected_rows`."""
+    return _valid(extract, LOANS_EXTRACT)
 
 
 def performance_from_extract(extract: DataFrame) -> DataFrame:
-    return extract.select(
-        F.col("distinct_loan_no").cast("string").alias("loan_no"), F.col("mob").cast("int").alias("mob"),
-        _cents("tpos").alias("tpos_cents"), _cents("amt_90plus_settlement").alias("dpd90_cents"))
+    return _valid(extract, PERFORMANCE_EXTRACT)
+
+
+def rejected_rows(loans: DataFrame, perf: DataFrame) -> DataFrame:
+    """The rows of both extracts that are not taken: table_name, row_id (of
+    the row, whatever its key), loan_no, field, raw text and reason, a row for
+    each field that cannot be read."""
+    def of(name: str, extract: DataFrame, fields) -> DataFrame:
+        source = [F.col(c).cast("string") for _, c, _ in fields]
+        # equal rows are told apart by place only, and stay apart
+        tagged = _parsed(extract.withColumn("_id", F.concat_ws(":", F.xxhash64(*source), F.monotonically_increasing_id())),
+                         (*fields, ("row_id", "_id", "text")))
+        return (tagged.filter(F.size("_bad") > 0).select("row_id", "loan_no", F.explode("_bad").alias("b"))
+                .select(F.lit(name).alias("table_name"), "row_id", "loan_no", "b.*"))
+
+    return of("loans", loans, LOANS_EXTRACT).unionByName(of("performance", perf, PERFORMANCE_EXTRACT))
 
 
 def read_any(spark: SparkSession, place: str) -> DataFrame:

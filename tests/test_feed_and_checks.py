@@ -1,3 +1,4 @@
+from collections import Counter
 from datetime import date
 
 import pytest
@@ -56,12 +57,37 @@ def test_segment_gap_keeps_own_cohorts(book):
 
 
 def test_key_violations(book):
-    r = checks.key_violations(book.loans, book.perf_by_loan).first()
+    r = checks.key_violations(book.loans, book.perf).first()
     assert r.n_loans == 5 and r.dup_loan_keys == 0
     assert r.n_perf_rows == 7 and r.dup_perf_keys == 1
     assert r.orphan_perf_rows == 1 and r.loans_without_perf == 1
 
 
+def test_key_violations_survive_what_they_report(spark):
+    """Two thirds of all rows have no key or one key; MOBs beyond the bits, NULL MOBs and NULL fields."""
+    keys = [(None, i % 50, 1, 1) for i in range(3000)] + [(7, i % 40, 1, None) for i in range(3000)]
+    keys += [(i, 3 * j, 5, 0) for i in range(100, 150) for j in range(41)]
+    keys += [(200, -1, 1, 1), (200, -1, 1, 1), (201, -1, 1, 1), (201, 5000, 1, 1), (202, None, 1, 1), (202, None, 1, 1),
+             (203, 188, 1, 1), (203, 188, 1, 1), (203, 189, 1, 1), (204, None, 1, 1)]
+    perf = spark.createDataFrame(keys, "loan_no long, mob int, tpos_cents long, dpd90_cents long").repartition(6)
+    loans = spark.createDataFrame([(7, 1, 1, date(2000, 1, 1), 5, 12)] * 2 + [(None, 1, 1, date(2000, 1, 1), 5, 12)] * 3
+                                  + [(i, 1, 1, date(2000, 1, 1), 5, 12) for i in range(100, 140)],
+                                  "loan_no long, customer_id long, segment int, disbursal_date date, amount_cents long, tenure_months int")
+    pairs = Counter(k[:2] for k in keys)
+    known = {7, *range(100, 140)}
+    want = dict(n_loans=45, dup_loan_keys=2, null_loan_fields=3, n_perf_rows=len(keys),
+                dup_perf_keys=sum(n > 1 for n in pairs.values()), null_perf_fields=sum(None in k for k in keys),
+                orphan_perf_rows=sum(k[0] not in known for k in keys), loans_without_perf=3)
+    report = checks.key_violations(loans, perf)
+    assert report.first().asDict() == want
+    # a hot key is combined before the one exchange: a partial aggregate lies right under it
+    plan = checks.rows_by_loan(perf)._jdf.queryExecution().executedPlan().toString().splitlines()
+    at = [i for i, x in enumerate(plan) if "Exchange hashpartitioning" in x]
+    assert len(at) == 1 and "HashAggregate" in plan[at[0] + 1] and "partial_bit_or" in plan[at[0] + 1]
+    by_loan = checks.rows_by_loan(perf.filter("loan_no is not null"))
+    assert by_loan.count() == len({k[0] for k in keys} - {None})
+
+
 def _verdicts(taken, cfg=CFG):
     return {r.check_id: r for r in checks.judge(taken, cfg).collect()}
 

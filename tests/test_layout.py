@@ -1,5 +1,6 @@
 import glob
 import re
+from datetime import date
 
 import pytest
 from runoff.config import DEFAULT
@@ -50,7 +51,6 @@ def test_bucketed_tables_join_without_exchange(spark, stored):
 
 @pytest.mark.parametrize("make", [
     lambda b: checks.reconcile_feed(b.loans, b.perf_by_loan, b.feed, b.disb, DEFAULT),
-    lambda b: checks.key_violations(b.loans, b.perf_by_loan),
     lambda b: feed.loan_mob_wide(b.perf_by_loan, DEFAULT)])
 def test_validation_partitions_performance_once(stored, make):
     bucketed, plain, _ = stored
@@ -61,6 +61,38 @@ def test_validation_partitions_performance_once(stored, make):
     assert sorted(map(str, make(bucketed).collect())) == sorted(map(str, make(plain).collect()))
 
 
+def test_key_report_exchanges_combined_rows(stored):
+    """Loan by loan, a bucketed table needs no exchange; a plain one's rows are combined before it."""
+    bucketed, plain, _ = stored
+    report = lambda b: checks.key_violations(b.loans, b.perf)
+    assert not _by_loan(_plan(checks.rows_by_loan(bucketed.perf))) and "REPARTITION" not in _plan(report(plain))
+    assert report(bucketed).first() == report(plain).first()
+
+
+def test_unreadable_fields_are_rejected_with_their_reason(spark):
+    loans = spark.createDataFrame(
+        [("A", "c", "1999-12-31", "1.5", "3", "60"), ("B", "c", "2020-13-45", "12,5", "3", "60"),
+         ("C", "c", None, "1e3", "x", "60.5"), (None, None, "31/12/1999", "99999999999999999999", "3.0", ""),
+         ("B", "c", "2020-13-45", "12,5", "3", "60")],
+        "distinct_loan_no string, customer_id string, disbursal_date string, disbursal_amount string, segment string, tenure_months string")
+    perf = spark.createDataFrame([("A", 3, 1.0, float("nan")), ("A", None, 2.0, None)],
+                                 "distinct_loan_no string, mob int, tpos double, amt_90plus_settlement double")
+    assert [tuple(r)[:1] + tuple(r)[2:] for r in tables.loans_from_extract(loans).collect()] == [
+        ("A", 3, date(1999, 12, 31), 150, 60)]
+    assert [tuple(r) for r in tables.performance_from_extract(perf).collect()] == [("A", None, 200, None)]
+    out = tables.rejected_rows(loans, perf).collect()
+    assert sorted((r.table_name, str(r.loan_no), r.field, r.raw, r.reason) for r in out) == sorted(
+        [("loans", "B", "disbursal_date", "2020-13-45", "not a date"), ("loans", "B", "disbursal_amount", "12,5", "not an amount")] * 2
+        + [("loans", "C", "segment", "x", "not a whole number"), ("loans", "C", "tenure_months", "60.5", "not a whole number"),
+           ("loans", "None", "disbursal_date", "31/12/1999", "not a date"),
+           ("loans", "None", "disbursal_amount", "99999999999999999999", "not an amount"),
+           ("loans", "None", "tenure_months", "", "not a whole number"),
+           ("performance", "A", "amt_90plus_settlement", "NaN", "not an amount")])
+    assert len({r.row_id for r in out}) == 5          # alike rows stay two rows
+    empty = tables.rejected_rows(loans.limit(0), perf.limit(0))
+    assert empty.collect() == [] and empty.columns == ["table_name", "row_id", "loan_no", "field", "raw", "reason"]
+
+
 def test_extract_round_trip_is_exact(spark):
     rows = [("LAN1", "C1", "1999-12-31", 1234567.89, 3, 60), ("LAN2", "C2", "2000-01-01", 0.05, 1, 12),
             ("LAN3", "C3", None, 1e9 + 0.01, 5, 24)]

@@ -64,6 +64,16 @@ def test_command_line_over_an_extract(spark, tmp_path, capsys):
         pipeline.main(["--out", str(tmp_path / "out")])
 
 
+def test_a_damaged_extract_is_published_with_a_warning(spark, tmp_path):
+    from runoff.plans.queries import book, damaged_extract
+    damaged = Book.from_extract(*damaged_extract(book(spark, SF001)), DEFAULT)
+    res = pipeline.run(damaged, str(tmp_path / "out"))
+    found = {r.check_id: r for r in res.checks.collect()}
+    n = res.tables["rejected_rows"].select("row_id").distinct().count()
+    assert res.status == "WARN" and found["source.rejected_rows"].measure == n > 0
+    assert found["feed.loan_count"].verdict == "PASS"
+
+
 def test_release_gives_back_persisted_tables(spark):
     book = Book.from_driver_tables(spark, SF001, DEFAULT)
     first = book.headline().collect()
