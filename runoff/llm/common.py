@@ -24,6 +24,18 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def parts_for(spark: SparkSession, size: int) -> int:
+    """Shuffle partitions for ``size`` bytes: 16 MB each up to 8,192 of them,
+    beyond that 256 MB; never fewer than the session's."""
+    return max(tasks(spark), min(-(-size // (16 << 20)), 8192), -(-size // (256 << 20)))
+
+
+def spread(df: DataFrame, parts: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to ``parts`` partitions; left to the session
+    (and to adaptive coalescing) where that has as many."""
+    return df.repartition(parts, *keys) if parts > tasks(df.sparkSession) else df
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node long, component long) for undirected ``edges`` (a long, b long);
     the component is its smallest node.

@@ -26,8 +26,8 @@ Steps, all on Spark:
 * the classes (documents with equal sets) that still have shared shingles in
   their prefix are grouped into candidate clusters, connected by order-1
   prefix tokens; each cluster is joined in one task, or, beyond
-  ``TASK_TOKENS`` tokens, block by block of its members, so that no task
-  grows with a group;
+  ``TASK_TOKENS`` tokens or ``TASK_CLASSES`` classes, block by block of its
+  members, so that no task grows with a group;
 * within a task, union-find skips pairs that are already connected: the
   components stay exact without all pairs of a group of near copies.
 
@@ -49,15 +49,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runoff.llm.common import connected_components, tasks, written
+from runoff.llm.common import connected_components, parts_for, spread, tasks, written
 from runoff.llm.words import BASE, U, mix, set_signature, text_shingles
 
 #: Shingles that are handled apart as hot ones; bounds what is broadcast to 1 MB.
 HOT = 65536
 #: Shingles and documents of a window.
 WINDOW_TOKENS, WINDOW_DOCS = 1_000_000, 60_000
-#: Shingles of a verification task.
-TASK_TOKENS = 2_000_000
+#: Shingles and classes of a verification task.
+TASK_TOKENS, TASK_CLASSES = 2_000_000, 512
 LOW = U((1 << 48) - 1)
 
 
@@ -95,9 +95,10 @@ def _windows(batches, ranges: int):
         yield close()
 
 
-def _scan(ranges: int):
-    """Per text row (id, text_hash, signature, n); and, per window, the ids
-    of shingles that several of its documents hold, with their number."""
+def _scan():
+    """Per text row (id, text_hash, signature, n); and, per window, the
+    fingerprints of shingles that several of its documents hold, with their
+    number."""
     def run(batches):
         def out(kind, a, b, c, n):
             k = len(n)
@@ -108,8 +109,7 @@ def _scan(ranges: int):
         held, size, seen = [], 0, set()
 
         def counts():
-            _, ids = _ranged(np.concatenate(held), ranges)
-            ids, n = np.unique(ids, return_counts=True)
+            ids, n = np.unique(np.concatenate(held), return_counts=True)
             ids, n = ids[n >= 3].view(np.int64), n[n >= 3]
             none = pa.nulls(len(n), pa.int64())
             return out(1, pa.array(ids), none, none, n)
@@ -139,9 +139,9 @@ def _post(ranges: int, hot):
         part = TaskContext.get().partitionId()
         for seq, docs, g, t, h, idx in _windows(batches, ranges):
             w = (part << 24) + seq
-            at = np.searchsorted(ids, t)
+            at = np.searchsorted(ids, h)
             at[at == len(ids)] = 0
-            is_hot = ids[at] == t if len(ids) else np.zeros(len(t), bool)
+            is_hot = ids[at] == h if len(ids) else np.zeros(len(h), bool)
             meta = np.array(docs, np.int64)
             rows = [(-1 - w, w, meta[:, 0].tobytes(), meta[:, 1].tobytes(), b"", b"", b""),
                     (-1 - w, w, b"", b"", idx[is_hot].astype(np.uint16).tobytes(),
@@ -237,7 +237,9 @@ def _orders(tok, df, own, prefix):
 
 
 def link_members(members: list, percent: int) -> list[tuple[int, int]]:
-    """Links that connect the members of a task as all links among them do.
+    """Edges that connect the members of a task as all links among them do:
+    from each to the least signature that links lead to, so that connecting
+    them takes no rounds within a task.
     members: (signature, n, prefix, tokens, frequencies, side); with two
     sides, only members of different sides are compared."""
     members = sorted(members, key=lambda m: (m[1], m[0]))
@@ -259,7 +261,6 @@ def link_members(members: list, percent: int) -> list[tuple[int, int]]:
     label = np.arange(len(members))
     group = {i: [i] for i in range(len(members))}
     mark = np.zeros(len(ids), bool)
-    links = []
     for x in range(len(members)):
         hits = None
         for lists, start, own_prefix in index:
@@ -281,14 +282,14 @@ def link_members(members: list, percent: int) -> list[tuple[int, int]]:
             y = int(hits[0])
             both = int(mark[sets[y]].sum())
             if 100 * both >= percent * (n[x] + n[y] - both):
-                links.append((members[x][0], members[y][0]))
                 a, b = sorted((int(label[x]), int(label[y])), key=lambda k: len(group[k]))
                 label[group[a]] = b
                 group[b] += group.pop(a)
             hits = hits[1:]
             hits = hits[label[hits] != label[x]]
         mark[sets[x]] = False
-    return links
+    stars = ([members[i][0] for i in own] for own in group.values() if len(own) > 1)
+    return [(least, sig) for sigs in stars for least in [min(sigs)] for sig in sigs if sig != least]
 
 
 def _verify(percent: int):
@@ -304,18 +305,20 @@ def jaccard_links(texts: DataFrame, percent: int = 75) -> tuple[DataFrame, DataF
     n), and links (a, b) between signatures that connect the sets just as all
     pairs with Jaccard similarity of at least ``percent`` % do."""
     spark = texts.sparkSession
-    ranges = min(2 * tasks(spark), 1 << 24)
     scanned = written(texts.mapInArrow(
-        _scan(ranges), "kind byte, id long, text_hash long, sig long, n int"), "sets")
+        _scan(), "kind byte, id long, text_hash long, sig long, n int"), "sets")
     rows = scanned.where("kind = 0").drop("kind")
+    # ranges and partitions follow the number of shingles, so that a group keeps its size
+    parts = parts_for(spark, 8 * (rows.agg(F.sum("n")).first()[0] or 0))
+    ranges = min(2 * parts, 1 << 24)
     top = (scanned.where("kind = 1").groupBy("id").agg(F.sum("n").alias("df"))
            .orderBy(F.desc("df"), "id").limit(HOT).collect())
     hot = sorted((r["id"] % (1 << 64), min(r["df"], 2**32 - 1)) for r in top if r["df"] >= 64)
     hot = spark.sparkContext.broadcast((np.array([h[0] for h in hot], U),
                                         np.array([h[1] for h in hot], np.uint32)))
-    shared = (texts.select("text").mapInArrow(_post(ranges, hot), _POST_SQL)
-              .groupBy("g").applyInArrow(_count, _POST_SQL)
-              .groupBy("w").applyInArrow(_prefixes(percent), _CLASS_SQL))
+    posted = texts.select("text").mapInArrow(_post(ranges, hot), _POST_SQL)
+    counted = spread(posted, parts, "g").groupBy("g").applyInArrow(_count, _POST_SQL)
+    shared = spread(counted, parts, "w").groupBy("w").applyInArrow(_prefixes(percent), _CLASS_SQL)
     classes = written(shared.dropDuplicates(["sig"]), "classes")
     # clusters: classes connected through tokens of their order-1 prefixes
     post = classes.select("sig", "prefix", "tok").mapInArrow(_prefix_rows, "tok long, sig long")
@@ -323,18 +326,20 @@ def jaccard_links(texts: DataFrame, percent: int = 75) -> tuple[DataFrame, DataF
     near = post.join(hub, "tok").select("a", F.col("sig").alias("b"))
     cluster = connected_components(near)
     member = classes.join(cluster, F.col("node") == F.col("sig")).drop("node")
-    blocks = member.groupBy("component").agg(
-        F.ceil(F.sum(F.length("tok") / 8) / TASK_TOKENS).cast("int").alias("blocks"))
+    blocks = member.groupBy("component").agg(F.greatest(
+        F.ceil(F.sum(F.length("tok") / 8) / TASK_TOKENS), F.ceil(F.count("*") / TASK_CLASSES)).cast("int").alias("blocks"))
     member = member.join(blocks, "component").withColumn("block", F.expr("pmod(xxhash64(sig), blocks)"))
+    tokens = classes.agg(F.sum(F.length("tok") / 8)).first()[0] or 0
+    groups = max(4 * tasks(spark), int(4 * tokens / TASK_TOKENS))
     small = member.where("blocks = 1").select(
-        F.pmod(F.xxhash64("component"), F.lit(4 * tasks(spark))).alias("c"), F.lit(-1).alias("i"),
+        F.pmod(F.xxhash64("component"), F.lit(groups)).alias("c"), F.lit(-1).alias("i"),
         F.lit(-1).alias("j"), "sig", "n", "prefix", "tok", "df", F.lit(0).alias("side"))
     large = (member.where("blocks > 1")
              .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
              .select(F.col("component").alias("c"), F.least("block", "other").cast("int").alias("i"),
                      F.greatest("block", "other").cast("int").alias("j"), "sig", "n", "prefix", "tok", "df",
                      F.expr("int(block > other)").alias("side")))
-    links = written(small.union(large).groupBy("c", "i", "j")
+    links = written(spread(small.union(large), parts_for(spark, int(12 * tokens)), "c", "i", "j").groupBy("c", "i", "j")
                     .applyInPandas(_verify(percent), "a long, b long"), "links")
     return rows, links
 
