@@ -54,10 +54,29 @@ def test_join_equals_brute_force(spark, monkeypatch):
     rows += ODD + [(800, [1.0, 2.0]), (801, [1.0, 2.1]), (802, [1.0]), (803, [3.0])]
     want = brute_join(rows)
     assert joined(frame(spark, rows)) == want
-    monkeypatch.setattr(S, "CELL", 30)  # more grid dimensions, cells joined piece by piece
+    for cell in (30, 4):  # slabs in one and in two dimensions, cells joined piece by piece
+        monkeypatch.setattr(S, "CELL", cell)
+        assert joined(frame(spark, rows)) == want
+    monkeypatch.setattr(S, "TILE", (7, 9))
+    monkeypatch.setattr(S, "SLABS", 1000)  # too many for any dimension: pieces only
     assert joined(frame(spark, rows)) == want
 
 
+def test_near_cells_equal_brute_force():
+    rng = np.random.default_rng(4)
+    cuts = np.sort(rng.standard_normal((2, S.SLABS - 1)), axis=1)
+    edge = np.hstack([np.full((2, 1), -np.inf), cuts, np.full((2, 1), np.inf)])
+    for budget in (0.0, 0.1, 0.7, 9.0):
+        for cell in range(S.SLABS ** 2):
+            want = []
+            for other in range(S.SLABS ** 2):
+                gaps = [max(0.0, edge[k, o] - edge[k, c + 1], edge[k, c] - edge[k, o + 1])
+                        for k, (c, o) in enumerate(zip(divmod(cell, S.SLABS), divmod(other, S.SLABS)))]
+                if sum(g * g for g in gaps) <= budget:
+                    want.append(other)
+            assert sorted(S.near_cells(cell, cuts, budget)) == want
+
+
 def test_join_query_equals_brute_force(spark):
     rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     got = QUERIES["op9_subspace_join"](spark, SF)
@@ -137,13 +156,13 @@ def test_join_holds_no_pairs():
     """A cell of near copies: the pairs a task finds are folded, not kept (8 million are 128 MB)."""
     n = 4000
     x = np.array([1.0] + [0.0] * 7) + 1e-3 * np.random.default_rng(3).standard_normal((n, 8))
-    cell = S._grid(S._unit(x) @ S.rotation(8, S.SEED), 1.0, 0)[0][0].tobytes()
-    table = pa.table({"id": np.arange(n) + 5, "copies": np.full(n, 2), "cell": pa.array([cell] * n, pa.binary()),
+    zero = np.zeros(n, np.int64)
+    table = pa.table({"id": np.arange(n) + 5, "copies": np.full(n, 2), "low": zero, "high": zero, "i": zero, "j": zero,
                       "vec": x.tolist(), "dim": np.full(n, 8, np.int32), "block": np.zeros(n, np.int32),
                       "side": np.zeros(n, np.int32)})
     tracemalloc.start()
     try:
-        found = S._link(0.95)(table)
+        found = S._link(0.95, 0)(table)
         peak = tracemalloc.get_traced_memory()[1]
     finally:
         tracemalloc.stop()
