@@ -2,8 +2,11 @@
 components and a prefix sum that never puts one hot group into one task."""
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +22,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Gives back the memory that a Python worker has no more use for: workers
+    are used again by later stages, and would keep it beside theirs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if trim is not None:
+        trim(0)
+
+
+def tidied(run):
+    """``run`` (batches to batches), with ``release`` at the end of a task."""
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return whole
+
+
 def tasks(spark: SparkSession) -> int:
     """The session's shuffle parallelism."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -49,13 +49,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runoff.llm.common import connected_components, parts_for, spread, tasks, written
+from runoff.llm.common import connected_components, parts_for, release, spread, tasks, tidied, written
 from runoff.llm.words import BASE, U, mix, set_signature, text_shingles
 
 #: Shingles that are handled apart as hot ones; bounds what is broadcast to 1 MB.
 HOT = 65536
 #: Shingles and documents of a window.
 WINDOW_TOKENS, WINDOW_DOCS = 1_000_000, 60_000
+#: Bytes of a group after which a worker gives memory back.
+LARGE = 4 << 20
 #: Shingles and classes of a verification task.
 TASK_TOKENS, TASK_CLASSES = 2_000_000, 512
 LOW = U((1 << 48) - 1)
@@ -187,6 +189,8 @@ def _count(table: pa.Table) -> pa.Table:
     cut = np.flatnonzero(np.r_[True, w[1:] != w[:-1]]) if len(w) else np.zeros(0, np.int64)
     rows = [(g, int(w[a]), b"", b"", idx[a:z].tobytes(), tok[a:z].tobytes(), df[a:z].tobytes())
             for a, z in zip(cut, np.r_[cut[1:], len(w)])]
+    if table.nbytes > LARGE:
+        release()
     return pa.Table.from_pylist([dict(zip(_POST.names, r)) for r in rows], schema=_POST)
 
 
@@ -209,6 +213,8 @@ def _prefixes(percent: int):
         cut = np.searchsorted(idx, np.arange(len(sig) + 1))
         shared = np.diff(cut)
         prefix = n - (percent * n + 99) // 100 + 1 - (n - shared)
+        if table.nbytes > LARGE:
+            release()
         rows = [{"sig": int(sig[i]), "n": int(n[i]), "prefix": int(prefix[i]),
                  "tok": tok[cut[i]:cut[i + 1]].tobytes(), "df": df[cut[i]:cut[i + 1]].tobytes()}
                 for i in np.flatnonzero(prefix > 0)]
@@ -306,7 +312,7 @@ def jaccard_links(texts: DataFrame, percent: int = 75) -> tuple[DataFrame, DataF
     pairs with Jaccard similarity of at least ``percent`` % do."""
     spark = texts.sparkSession
     scanned = written(texts.mapInArrow(
-        _scan(), "kind byte, id long, text_hash long, sig long, n int"), "sets")
+        tidied(_scan()), "kind byte, id long, text_hash long, sig long, n int"), "sets")
     rows = scanned.where("kind = 0").drop("kind")
     # ranges and partitions follow the number of shingles, so that a group keeps its size
     parts = parts_for(spark, 8 * (rows.agg(F.sum("n")).first()[0] or 0))
@@ -316,12 +322,12 @@ def jaccard_links(texts: DataFrame, percent: int = 75) -> tuple[DataFrame, DataF
     hot = sorted((r["id"] % (1 << 64), min(r["df"], 2**32 - 1)) for r in top if r["df"] >= 64)
     hot = spark.sparkContext.broadcast((np.array([h[0] for h in hot], U),
                                         np.array([h[1] for h in hot], np.uint32)))
-    posted = texts.select("text").mapInArrow(_post(ranges, hot), _POST_SQL)
+    posted = texts.select("text").mapInArrow(tidied(_post(ranges, hot)), _POST_SQL)
     counted = spread(posted, parts, "g").groupBy("g").applyInArrow(_count, _POST_SQL)
     shared = spread(counted, parts, "w").groupBy("w").applyInArrow(_prefixes(percent), _CLASS_SQL)
     classes = written(shared.dropDuplicates(["sig"]), "classes")
     # clusters: classes connected through tokens of their order-1 prefixes
-    post = classes.select("sig", "prefix", "tok").mapInArrow(_prefix_rows, "tok long, sig long")
+    post = classes.select("sig", "prefix", "tok").mapInArrow(tidied(_prefix_rows), "tok long, sig long")
     hub = post.groupBy("tok").agg(F.min("sig").alias("a"), F.max("sig").alias("z")).where("a < z")
     near = post.join(hub, "tok").select("a", F.col("sig").alias("b"))
     cluster = connected_components(near)

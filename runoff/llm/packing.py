@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from runoff.llm.common import tasks, with_start
+from runoff.llm.common import tasks, tidied, with_start
 from runoff.llm.tokens import column_encoder
 
 CAPACITY = 2048
@@ -67,7 +67,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
     with open(tokenizer, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        _cut(spec, capacity, end_id), "doc_id long, piece int, start long, length int, ids binary")
+        tidied(_cut(spec, capacity, end_id)), "doc_id long, piece int, start long, length int, ids binary")
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runoff.llm.common import written
+from runoff.llm.common import tidied, written
 from runoff.llm.words import text_segments
 
 TRAIN_ROWS = 16_000
@@ -205,7 +205,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> O
                      .orderBy(*order).limit(train_rows)
                      .withColumn("slot", F.row_number().over(Window.orderBy(*order)) - 1), "labels")
     seen = (docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_label"))
-            .select("slot", "text").mapInArrow(_seen, "slot int, feature int, n long"))
+            .select("slot", "text").mapInArrow(tidied(_seen), "slot int, feature int, n long"))
     sample = written(seen.groupBy("slot", "feature").agg(F.sum("n").alias("n")), "sample")
     ranges = 1 + sample.count() // PART
     rows = (sample.repartitionByRange(ranges, "slot", "feature").sortWithinPartitions("slot", "feature")
@@ -251,7 +251,7 @@ def scores(docs: DataFrame, model: OrdinalModel, keep_from: float = 0.5) -> Data
                 names=[*b.schema.names, "expected_grade", "tail_probability", "keep"])
 
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{kind}, expected_grade double, tail_probability double, keep boolean")
+    return docs.mapInArrow(tidied(run), f"{kind}, expected_grade double, tail_probability double, keep boolean")
 
 
 def select(docs: DataFrame, labels: DataFrame, keep_from: float = 0.5) -> DataFrame:

@@ -74,7 +74,7 @@ def test_stages_take_empty_and_odd_tables(spark):
 
 def test_queries_have_one_name_each():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in names and set(queries.oracle_sql()) <= set(names)
 
 
