@@ -4,9 +4,9 @@ A page is cut into flat text blocks at block-level tags.  Each block has its
 number of words and link density, those of the blocks before and after it,
 and three marks: heading, place (inside the page's article or main element,
 outside of it, or the page has none) and boilerplate (inside an element whose
-tag, or a whole name in its class, id or role, says menu, header, footer,
-advert, form, comments or the like; not for an article or main opened inside of
-such a name or form, if it is the page's first).  A decision tree, trained when the job starts on the small
+tag, or a name in its class, id or role, says menu, header, footer, advert,
+form, comments or the like; not for an article or main opened inside of such a
+name or form, if it is the page's first, and not by a heading's own id).  A decision tree, trained when the job starts on the small
 labelled table below, classifies the blocks; the content blocks, joined by a
 space, are the page's text.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -89,6 +90,9 @@ LABELLED = (
     (6, 0.0, 2, 1.0, 60, 0.0, 1, 0, 0, 1), (4, 0.0, 50, 0.0, 40, 0.0, 1, 0, 0, 1),
     (9, 0.0, 70, 0.0, 60, 0.0, 0, 0, 0, 1), (5, 0.0, 45, 0.0, 55, 0.0, 0, 0, 0, 1),
     (3, 0.0, 20, 0.0, 30, 0.0, 0, 0, 0, 1), (60, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1),
+    # pages without an article: a paragraph that is a link, between long ones
+    (5, 1.0, 60, 0.0, 50, 0.0, 0, 0, 0, 1), (8, 1.0, 45, 0.0, 70, 0.0, 0, 0, 0, 1), (2, 1.0, 80, 0.0, 40, 0.0, 0, 0, 0, 1),
+    (12, 0.9, 35, 0.1, 90, 0.0, 0, 0, 0, 1), (4, 1.0, 120, 0.0, 30, 0.0, 0, 0, 0, 1), (3, 1.0, 30, 0.0, 25, 0.0, 0, 0, 0, 1),
     # pages without an article: short paragraphs and headings among their like
     (4, 0.0, 2, 0.0, 3, 0.0, 0, 0, 0, 1), (2, 0.0, 5, 1.0, 4, 0.0, 1, 0, 0, 1), (3, 0.0, 3, 0.0, 4, 0.0, 0, 0, 0, 1),
     (5, 0.0, 6, 0.0, 0, 0.0, 0, 0, 0, 1), (6, 0.0, 0, 0.0, 5, 0.0, 0, 0, 0, 1), (2, 0.0, 2, 0.0, 2, 0.0, 0, 0, 0, 1),
@@ -100,12 +104,12 @@ LABELLED = (
     (1, 0.0, 0, 0.0, 2, 1.0, 0, 0, 0, 0), (2, 0.0, 1, 1.0, 4, 1.0, 0, 0, 0, 0), (1, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 0),
     (5, 0.0, 1, 1.0, 3, 1.0, 0, 0, 0, 0), (3, 0.0, 0, 0.0, 1, 1.0, 0, 0, 0, 0),
     (7, 0.3, 4, 1.0, 0, 0.0, 0, 0, 0, 0), (6, 0.0, 3, 0.5, 2, 0.0, 0, 0, 0, 0),
-        (30, 0.8, 12, 0.9, 20, 0.7, 0, 0, 0, 0), (20, 0.7, 40, 0.0, 15, 0.9, 0, 0, 0, 0),
+    (30, 0.8, 12, 0.9, 20, 0.7, 0, 0, 0, 0), (20, 0.7, 40, 0.0, 15, 0.9, 0, 0, 0, 0),
     (12, 0.6, 3, 1.0, 5, 1.0, 0, 0, 0, 0), (50, 0.9, 2, 1.0, 60, 0.9, 0, 0, 0, 0),
 )
 
 # elements whose content is no text
-_RAW = "script|style|noscript|template|textarea|select|datalist|button|svg|math|iframe|object|canvas|title"
+_RAW = "script|style|noscript|template|textarea|select|datalist|button|svg|iframe|object|canvas|title"
 _BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt
     fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav
     ol p pre section summary table tbody td tfoot th thead tr ul""".split())
@@ -114,30 +118,39 @@ _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _ASIDE = frozenset("nav header footer aside form dialog menu fieldset".split())
 # those whose articles are theirs, not the page's
 _FIXED = frozenset("nav header footer aside dialog menu".split())
-# class, id and role names made of these words ...
+# words of class, id and role names: these mark a name wherever they stand in it ...
 _MARK = re.compile(
-    r"ads?|advert\w*|banner|promo\w*|sponsor\w*|sidebar\w*|rail|menu\w*|nav|navbar|navigation|"
-    r"header|masthead|footer|cookies?|notices?|consent|gdpr|popup|modal|alert|newsletter|subscri\w*|signup|login|"
-    r"comments?|commentlist|disqus|replies|respond|reactions|share|sharing|social|related|recommend\w*|breadcrumbs?|"
-    r"widgets?|pagination|pager|toolbar|copyright|disclaimer|complementary|contentinfo|search")
-# ... and of these, which say where or in what shape
+    r"ads?|adsby\w*|advert\w*|sponsor\w*|sidebar\w*|menu\w*|nav|navbar|navigation|masthead|footer|cookies?|notices?|"
+    r"consent|gdpr|popup|modal|newsletter|subscri\w*|comments?|commentlist|disqus|breadcrumbs?|pagination|copyright|"
+    r"complementary|contentinfo")
+# ... unless one of these says that it is not there, or something else ...
+_NOT = frozenset("has hoc free no non not with without work works".split())
+# ... these if the rest of the name only says where, of what or in what shape
+_WEAK = re.compile(
+    r"banner|promo\w*|rail|header|alert|signup|login|replies|respond|reactions|share|sharing|social|related|"
+    r"recommend\w*|widgets?|pager|toolbar|disclaimer")
 _PLAIN = frozenset("""site page main global left right top bottom side primary secondary area bar box block
-    buttons container form icons inner item items left links list outer panel posts section slot unit wrap wrapper""".split())
+    buttons container form icons inner item items left links list outer panel posts section slot unit wrap wrapper
+    articles news reader stories user""".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     rf"|<(?P<raw>{_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:/>|>.*?(?:</(?P=raw)\s*[^>]*>|\Z))"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?=>)|[^>]*)(?:>|\Z)",
     re.S | re.I)
-_ATTR = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
 def _marks(names: str) -> bool:
-    """Whether one of the names says boilerplate as a whole: has-sidebar,
-    ad-free and related-work do not, sidebar-left and cookie-notice do."""
+    """Whether one of the names says boilerplate: cookie-notice, post-footer
+    and related-articles do, has-sidebar, ad-free and related-work do not."""
     for name in names.split():
         parts = [p for p in re.split(r"[\W\d_]+", name) if p]
-        marks = [bool(_MARK.fullmatch(p)) for p in parts]
-        if any(marks) and all(m or p in _PLAIN for m, p in zip(marks, parts)) or "".join(parts) == "sidebar":
+        if _NOT.intersection(parts):
+            continue
+        if any(_MARK.fullmatch(p) for p in parts) or "".join(parts) == "sidebar":
+            return True
+        weak = [bool(_WEAK.fullmatch(p)) for p in parts]
+        if any(weak) and all(w or p in _PLAIN for w, p in zip(weak, parts)):
             return True
     return False
 
@@ -147,6 +160,7 @@ def blocks(page: str | None) -> list[tuple]:
     page's non-empty blocks, in page order."""
     page = page or ""
     out, parts, stack = [], [], []
+    open_ = Counter()  # elements on the stack by tag
     linked = articles = marked = links = headings = 0
     # marks opened before the page's first article or main are layout around it and do not reach into it
     around, opened = 0, False
@@ -166,6 +180,7 @@ def blocks(page: str | None) -> list[tuple]:
         marked -= entry[2]
         around += entry[3]
         headings -= entry[0] in _HEADING
+        open_[entry[0]] -= 1
 
     def add(text):
         nonlocal linked
@@ -193,7 +208,7 @@ def blocks(page: str | None) -> list[tuple]:
             flush()
             links = 0
             if m["close"]:
-                if any(e[0] == tag for e in stack):
+                if open_[tag]:
                     while True:
                         entry = stack.pop()
                         drop(entry)
@@ -202,7 +217,9 @@ def blocks(page: str | None) -> list[tuple]:
             elif tag not in _VOID and not m["attrs"].endswith("/"):
                 while stack and stack[-1][0] in ("p", *_HEADING) and (tag in _HEADING or stack[-1][0] == "p"):
                     drop(stack.pop())
-                words = " ".join(x for a in _ATTR.findall(m["attrs"]) for x in a if x).lower()
+                # a heading's id names its section
+                words = " ".join(x for name, *a in _ATTR.findall(m["attrs"]) for x in a
+                                 if x and not (tag in _HEADING and name.lower() == "id")).lower()
                 article = tag in ("article", "main")
                 mark = tag in _ASIDE or tag not in ("html", "body") and not article and _marks(words)
                 if article:
@@ -214,6 +231,7 @@ def blocks(page: str | None) -> list[tuple]:
                 else:
                     entry = (tag, 0, int(mark), 0)
                 stack.append(entry)
+                open_[tag] += 1
                 articles += entry[1]
                 marked += entry[2]
                 headings += tag in _HEADING

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -110,3 +111,40 @@ def test_marks_are_whole_names_inside_the_article():
 ])
 def test_whole_article(page, text):
     assert H.main_text(page, TREE) == text
+
+
+@pytest.mark.parametrize("name", [
+    "reader-comments", "user-comments", "post-comments", "article-comments", "comment-body", "google-ads", "adsbygoogle",
+    "privacy-notice", "cookie-message", "article-footer", "post-footer", "related-articles", "site-header", "top-banner",
+    "side_bar", "newsletter2", "social-share", "social", "ad", "js-cookie-consent"])
+def test_compound_names_of_boilerplate(name):
+    long = " ".join(["word"] * 40)
+    for attr in (f"class='{name}'", f"id='{name}'", f"class='x {name} y'"):
+        junk = f"<div {attr}><p>Junk words here and some more of them.</p></div>"
+        assert H.main_text(f"<article><p>Kept text.</p>{junk}<p>The end.</p></article>", TREE) == "Kept text. The end."
+        assert H.main_text(f"<body><p>{long}</p>{junk}<p>{long}</p></body>", TREE) == f"{long} {long}"
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>Text.</p><h2 id='notices'>Notices</h2><p>More.</p></article>", "Text. Notices More."),
+    ("<article><p>Text.</p><h2 id='search'>Search</h2><h3 id=social>Social</h3><p>More.</p></article>", "Text. Search Social More."),
+    ("<article><p>Text.</p><div class='search'>How to search.</div><p>More.</p></article>", "Text. How to search. More."),
+    ("<article><p>Text.</p><h2 class='ad'>Buy</h2><p>More.</p></article>", "Text. More."),
+    ("<article><p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi></math> here.</p></article>", "Energy is E=m here."),
+    ("<article><p>Text.</p><div class='social-science'><p>On groups.</p></div></article>", "Text. On groups."),
+])
+def test_article_text_that_stays(page, text):
+    assert H.main_text(page, TREE) == text
+
+
+def test_a_paragraph_that_is_a_link_stays_between_long_ones():
+    long = "<p>" + " ".join(["word"] * 50) + "</p>"
+    page = f"<body><ul><li><a href=a>A</a><li><a href=b>B</a></ul>{long}<p><a href=c>Read the whole paper</a></p>{long}</body>"
+    assert "Read the whole paper" in H.main_text(page, TREE) and " A " not in f" {H.main_text(page, TREE)} "
+
+
+def test_deep_nesting_takes_linear_time():
+    page = "<div>" * 100_000 + "</p>" * 100_000 + "<p>x" + "</div></p>" * 50_000
+    began = time.perf_counter()
+    assert H.main_text(page, TREE) == "x"
+    assert len(page) > 1_000_000 and time.perf_counter() - began < 10
