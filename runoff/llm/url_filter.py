@@ -55,6 +55,7 @@ class Trie:
                 for s in segments:
                     paths = paths.setdefault(("dir", s), {})
                 key = ("start", last)
+                paths["longest"] = max(len(last), paths.get("longest", 0))
             else:
                 key = "any"
             if key not in paths or verdict == "block":
@@ -67,7 +68,7 @@ class Trie:
         while path and node is not None:
             end = path.find("/", at)
             segment = path[at:] if end < 0 else path[at:end]
-            for n in range(len(segment) + 1):
+            for n in range(min(len(segment), node.get("longest", -1)) + 1):
                 found = node.get(("start", segment[:n]))
                 if found and (best is None or found > best):
                     best = found

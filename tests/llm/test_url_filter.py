@@ -1,4 +1,5 @@
 import random
+import time
 
 from runoff.llm import url_filter as U
 from runoff.llm.queries import QUERIES, RULES
@@ -46,6 +47,15 @@ def test_query_equals_brute_force(spark):
     assert sorted((r[0], *map(str, r[1:])) for r in got.collect()) == want
 
 
+def test_long_paths_take_no_longer_than_their_length():
+    trie = U.Trie(RULES + [("block", "org", "/" + "x" * 300), ("block", "org", "")])
+    for path in ("/" + "x" * 3_000_000, "/" + "y/" * 300_000, "/e" * 300_000, ""):
+        began = time.perf_counter()
+        got = trie.match("a.org", path)
+        assert time.perf_counter() - began < 3
+        assert got == brute("http://a.org" + path, RULES + [("block", "org", "/" + "x" * 300), ("block", "org", "")])[2:]
+
+
 def test_rows(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://A.ORG", "http://a.org/", "http://é.org/ö?x", "http://" + "a" * 50_000 + ".com/de/"]
     df = spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)] * 2, "page_id long, url string, host string")
