@@ -10,6 +10,9 @@ count in the loan-grain rows.
 """
 from __future__ import annotations
 
+from datetime import date
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,31 +30,65 @@ def loans_in_window(loans: DataFrame, cfg: EclConfig, start=None, end=None) -> D
             .withColumn("cohort_end", cohort_end("disbursal_date")))
 
 
-def feed_with_disbursal(loans: DataFrame, perf: DataFrame, cfg: EclConfig) -> DataFrame:
+def known_rows(perf: DataFrame, cfg: EclConfig, after: date | None = None) -> DataFrame:
+    """The performance rows that a run sees.  A table by period and cohort
+    (``sources.layout.by_period``) is pruned to the periods up to the as-of
+    date and after ``after`` (partitions), and to the cohorts of the disbursal
+    window (row groups); of a plain one all rows count."""
+    if "period" in perf.columns:
+        perf = perf.filter(F.col("period") <= F.lit(cfg.as_of))
+        if after is not None:
+            perf = perf.filter(F.col("period") > F.lit(after))
+    elif after is not None:
+        raise ValueError("only a performance table by period can be read from a date on")
+    if "cohort_end" in perf.columns:
+        perf = perf.filter((F.col("cohort_end") >= F.lit(cfg.start))
+                           & (F.col("cohort_end") <= cohort_end(F.lit(cfg.end_disb))))
+    return (perf.select("loan_no", "mob", "tpos_cents", "dpd90_cents")
+            .filter(F.col("mob").isin(list(cfg.extract_grid.mobs))))
+
+
+SUMS = ["lan_cnt", "amount_cents", "dpd90_cents", "tpos_cents"]
+
+
+def feed_sums(loans: DataFrame, perf: DataFrame, cfg: EclConfig, after: date | None = None) -> DataFrame:
     """J1 + A2 in ONE aggregation pass: loan rows (``mob`` NULL: count and
     disbursal) are unioned with the joined performance rows (one per loan x
     MOB: 90+ and TPOS), and a single hash aggregate with map-side partial
     aggregation reduces both to (cohort_end, segment, mob).  Performance is
     scanned once, the loans twice (for the join and for their own rows); one
-    join, one small exchange; :func:`split_feed` separates the two tables
-    afterwards.  Amounts are rounded to micro-crore per group."""
-    lw = loans_in_window(loans, cfg).select("loan_no", "cohort_end", "segment", "amount_cents")
-    p = (perf.select("loan_no", "mob", "tpos_cents", "dpd90_cents")
-         .filter(F.col("mob").isin(list(cfg.extract_grid.mobs))))
+    join, one small exchange.
+
+    The sums are exact cents, so those of disjoint rows merge to those of all
+    (:func:`merged`).  ``after``: only of the loans disbursed and the
+    performance known since then (which may be of any loan in the window)."""
+    lw = loans_in_window(loans, cfg).select("loan_no", "cohort_end", "segment", "amount_cents", "disbursal_date")
     none_l = F.lit(None).cast("long")
-    perf_rows = (p.join(lw.select("loan_no", "cohort_end", "segment"), "loan_no")
-                 .select("cohort_end", "segment", "mob", none_l.alias("amount_cents"),
-                         F.lit(0).cast("long").alias("one"), "dpd90_cents", "tpos_cents"))
-    loan_rows = lw.select("cohort_end", "segment", F.lit(None).cast("int").alias("mob"),
-                          "amount_cents", F.lit(1).cast("long").alias("one"),
-                          none_l.alias("dpd90_cents"), none_l.alias("tpos_cents"))
-    return (perf_rows.unionByName(loan_rows)
-            .groupBy("cohort_end", "segment", "mob")
-            .agg(F.sum("one").alias("lan_cnt"), F.sum("amount_cents").alias("_a"),
-                 F.sum("dpd90_cents").alias("_d"), F.sum("tpos_cents").alias("_t"))
-            .select("cohort_end", "segment", "mob", "lan_cnt",
-                    micro_crore("_a").alias("disb_uc"),
-                    micro_crore("_d").alias("dpd90_uc"), micro_crore("_t").alias("tpos_uc")))
+    perf_rows = (known_rows(perf, cfg, after).join(lw.select("loan_no", "cohort_end", "segment"), "loan_no")
+                 .select("cohort_end", "segment", "mob", F.lit(0).cast("long").alias("lan_cnt"),
+                         none_l.alias("amount_cents"), "dpd90_cents", "tpos_cents"))
+    own = lw if after is None else lw.filter(F.col("disbursal_date") > F.lit(after))
+    loan_rows = own.select("cohort_end", "segment", F.lit(None).cast("int").alias("mob"),
+                           F.lit(1).cast("long").alias("lan_cnt"), "amount_cents",
+                           none_l.alias("dpd90_cents"), none_l.alias("tpos_cents"))
+    return merged(perf_rows, loan_rows)
+
+
+def merged(*sums: DataFrame) -> DataFrame:
+    """One row per (cohort_end, segment, mob) of all."""
+    return (reduce(DataFrame.unionByName, sums).groupBy("cohort_end", "segment", "mob")
+            .agg(*[F.sum(c).alias(c) for c in SUMS]))
+
+
+def rounded(sums: DataFrame) -> DataFrame:
+    """The sums with amounts rounded to micro-crore per group."""
+    return sums.select("cohort_end", "segment", "mob", "lan_cnt", micro_crore("amount_cents").alias("disb_uc"),
+                       micro_crore("dpd90_cents").alias("dpd90_uc"), micro_crore("tpos_cents").alias("tpos_uc"))
+
+
+def feed_with_disbursal(loans: DataFrame, perf: DataFrame, cfg: EclConfig) -> DataFrame:
+    """Feed and disbursal rows of a book; :func:`split_feed` separates them."""
+    return rounded(feed_sums(loans, perf, cfg))
 
 
 def split_feed(both: DataFrame) -> tuple[DataFrame, DataFrame]:

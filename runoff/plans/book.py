@@ -33,6 +33,8 @@ from runoff.sources import tables
 STATE = {
     "feed": "fy_quarter string, cohort_end string, segment int, mob int, dpd90_uc long, tpos_uc long",
     "feed_disbursal": "fy_quarter string, cohort_end string, segment int, lan_cnt long, disb_uc long",
+    "feed_state": ("fy_quarter string, cohort_end string, segment int, mob int, lan_cnt long, amount_cents long, "
+                   "dpd90_cents long, tpos_cents long"),
     "triangles": ("segment string, fy_quarter string, cohort_end string, mob int, is_observed boolean, disb_cr double, "
                   "dpd90_amt double, dpd90_rate double, tpos_amt double, tpos_rate double, lan_cnt long, disb_uc long, "
                   "max_mature_mob int, dpd90_uc long, tpos_uc long"),
@@ -45,15 +47,19 @@ STATE = {
 
 class Book:
     def __init__(self, spark: SparkSession, loans: DataFrame, perf: DataFrame,
-                 cfg: EclConfig = DEFAULT, materialize: bool = True, loan_buckets: bool = False):
+                 cfg: EclConfig = DEFAULT, materialize: bool = True, loan_buckets: bool = False,
+                 base: tuple[DataFrame, date] | None = None):
         """``loan_buckets``: ``perf`` is read partitioned by ``loan_no``
-        (a table bucketed by it), so nothing needs to partition it again."""
+        (a table bucketed by it), so nothing needs to partition it again.
+        ``base``: the feed's sums at an earlier as-of date; only what became
+        known since then is read for the feed."""
         self.spark = spark
         self.loans = loans
         self.perf = perf
         self.cfg = cfg
         self.materialize = materialize
         self.loan_buckets = loan_buckets
+        self.base = base
         self.rejects: DataFrame | None = None
         self._kept: list[DataFrame] = []
 
@@ -101,6 +107,18 @@ class Book:
                       for name, kind in STATE.items() if name in own.tables})
         return book
 
+    @classmethod
+    def roll_from(cls, spark: SparkSession, out: str, since: date, loans: DataFrame, perf: DataFrame,
+                  cfg: EclConfig, **kw) -> "Book":
+        """The accepted run of an earlier quarter, rolled forward to ``cfg``'s
+        as-of date over a performance table by period (``sources.layout``).
+        Loans keep their date, segment and amount; all else of the
+        configuration must be as it was."""
+        before = cls.from_published(spark, out, since)
+        if before.cfg.with_(as_of=cfg.as_of) != cfg or not since < cfg.as_of:
+            raise ValueError(f"the run of {since} cannot be rolled forward to {cfg.as_of}: its configuration differs")
+        return cls(spark, loans, perf, cfg, base=(before.sums, since), **kw)
+
     def restore(self, published: dict[str, DataFrame]) -> None:
         """Phases begin at these published tables (names as in ``STATE``)."""
         def dated(name):
@@ -112,7 +130,7 @@ class Book:
             self._both = mobs.unionByName(loans, allowMissingColumns=True).select(
                 "cohort_end", "segment", "mob", "lan_cnt", "disb_uc", "dpd90_uc", "tpos_uc")
             self.__dict__["_feed_both"] = feed.split_feed(self._both)
-        for name, phase in (("triangles", "triangles"), ("loss", "loss")):
+        for name, phase in (("feed_state", "sums"), ("triangles", "triangles"), ("loss", "loss")):
             if name in published:
                 self.__dict__[phase] = dated(name)
         if "weighted" in published:
@@ -128,12 +146,15 @@ class Book:
         """The performance table partitioned by loan: as it is read, or after
         the one exchange that all groupings and joins by loan share.  Rows
         without a key are no loan's, and would all go to one task."""
-        keyed = self.perf.filter(F.col("loan_no").isNotNull())
+        perf = self.perf
+        if "period" in perf.columns:
+            perf = perf.filter(F.col("period") <= F.lit(self.cfg.as_of)).select(*tables.PERF_COLS)
+        keyed = perf.filter(F.col("loan_no").isNotNull())
         return keyed if self.loan_buckets else keyed.repartition("loan_no")
 
     def whole_only(self) -> "Book":
         """The same run over the feed collapsed to cohorts: one group, ``all``."""
-        other = Book(self.spark, self.loans, self.perf, self.cfg, self.materialize, self.loan_buckets)
+        other = Book(self.spark, self.loans, self.perf, self.cfg, self.materialize, self.loan_buckets, self.base)
         self._feed_both
         other.__dict__["grouped"] = feed.whole_feed(self._both)
         return other
@@ -149,7 +170,7 @@ class Book:
         for df in self._kept:
             df.unpersist()
         self._kept.clear()
-        for name in ("grouped", "columns", "triangles", "loss", "movements", "current", "wavg", "cells", "_feed_both"):
+        for name in ("grouped", "columns", "triangles", "loss", "movements", "current", "wavg", "cells", "_feed_both", "sums"):
             self.__dict__.pop(name, None)
         self.__dict__.pop("_both", None)
 
@@ -171,10 +192,17 @@ class Book:
         return df
 
     # --------------------------------------------------------------- phase 1
+    @cached_property
+    def sums(self) -> DataFrame:
+        """The one loan-level job: exact sums of feed and disbursal from a
+        single pass, of all rows or of those since ``base``."""
+        state, since = self.base or (None, None)
+        new = feed.feed_sums(self.loans, self.perf, self.cfg, since)
+        return self._cut(new if state is None else feed.merged(state, new))
+
     @cached_property
     def _feed_both(self) -> tuple[DataFrame, DataFrame]:
-        """The one loan-level job: feed and disbursal from a single pass."""
-        both = self._both = self._cut(feed.feed_with_disbursal(self.loans, self.perf, self.cfg))
+        both = self._both = feed.rounded(self.sums)
         return feed.split_feed(both)
 
     @property

@@ -555,7 +555,7 @@ WHERE u <= 3 OR d <= 3""")
 
     # ---- sinks
     sizes = {
-        "feed": "feed", "feed_disbursal": "disb", "feed_wide": "disb", "triangles": "tri",
+        "feed_state": "(SELECT mob FROM feed UNION ALL SELECT NULL FROM disb)", "feed": "feed", "feed_disbursal": "disb", "feed_wide": "disb", "triangles": "tri",
         "movements": f"tri WHERE mob % {YEAR_MOB} = 0", "loss": "loss",
         "by_quarter": f"(SELECT DISTINCT cohort_end FROM loss WHERE {ALL})", "weighted": "wavg",
         "summary": "(SELECT unnest(range(9)))"}
@@ -564,6 +564,7 @@ WHERE u <= 3 OR d <= 3""")
     sunk = "\nUNION ALL ".join(_measure(f"sink.rows:{k}", "0.0") for k in sizes)
     q["published_checks"] = W(_overall(_verdicts("\nUNION ALL ".join([vbody, whole_run, told, sunk]), cfg)), vx)
     q["headline_from_extract"] = q["headline_ecl"]
+    q["roll_forward_feed"] = q["feed_long"]
     q["resume_from_published"] = q["segment_ecl_matrix"]
     rate = f"(SELECT round(weighted_avg_lr, 8) FROM wavg WHERE {ALL} AND window_name = '{hw.name}')"
     q["accepted_quarter"] = W(f"""SELECT CAST(1 AS BIGINT) AS run, 'accepted' AS verdict, '' AS failed, {rate} AS ecl_pct,

@@ -44,7 +44,7 @@ class RunResult:
 
 
 #: What each phase of a run leaves behind; a run can start again after any of them.
-PHASES = {"feed": ("feed", "feed_disbursal", "feed_wide"), "triangles": ("triangles", "movements"),
+PHASES = {"feed": ("feed_state", "feed", "feed_disbursal", "feed_wide"), "triangles": ("triangles", "movements"),
           "loss": ("loss", "by_quarter"), "weighted": ("weighted", "summary")}
 
 
@@ -53,6 +53,7 @@ def phase_tables(book: Book, phase: str | None = None) -> dict[str, DataFrame]:
     cfg = book.cfg
     lab = triangle.label_cols
     make = {
+        "feed_state": lambda: book.sums.select(*lab(), "segment", "mob", *feed.SUMS),
         "feed": lambda: book.feed.select(*lab(), "segment", "mob", "dpd90_uc", "tpos_uc"),
         "feed_disbursal": lambda: book.disb.select(*lab(), "segment", "lan_cnt", "disb_uc"),
         "feed_wide": lambda: feed.feed_wide(book.feed, book.disb, cfg),
@@ -138,6 +139,8 @@ def main(argv=None) -> RunResult:
     ap.add_argument("--perf", help="performance table: parquet path or catalog table")
     ap.add_argument("--extract", action="store_true", help="the tables have the warehouse extract's shape")
     ap.add_argument("--bucketed", action="store_true", help="the tables are bucketed by loan_no")
+    ap.add_argument("--roll-from", type=date.fromisoformat, help="roll the accepted run of this date forward; --perf is "
+                    "a table by period")
     ap.add_argument("--sf-dir", help="instead of a book: folder of the test tables")
     ap.add_argument("--out", required=True, help="folder of the published tables")
     ap.add_argument("--checkpoint", help="shared folder for intermediate tables (else spark.checkpoint.dir)")
@@ -156,6 +159,7 @@ def main(argv=None) -> RunResult:
     else:
         loans, perf = read_any(spark, a.loans), read_any(spark, a.perf)
         book = (Book.from_extract(loans, perf, cfg) if a.extract
+                else Book.roll_from(spark, a.out, a.roll_from, loans, perf, cfg) if a.roll_from
                 else Book(spark, loans, perf, cfg, loan_buckets=a.bucketed))
     result = run(book, a.out)
     result.tables["weighted"].filter("segment = 'all'").show(truncate=False)

@@ -24,12 +24,14 @@ from runoff.plans import driver_book, pipeline
 from runoff.plans.book import Book
 from runoff.plans.store import Store
 from runoff.session import scratch_path
+from runoff.sources import layout
 
 A6 = 6   # crore amounts
 R8 = 8   # rates / factors
 
 # as-of date at which every triangle cell of the driver's orders is observed
 MATURE_BOOK = DEFAULT.with_(as_of=date(2012, 3, 31))
+QUARTER_BEFORE = date(2005, 12, 31)
 _BOOKS: dict = {}
 
 
@@ -184,10 +186,13 @@ def q_mob_grid(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- feed (A1-A4)
+def _feed_long(b: Book) -> DataFrame:
+    return b.feed.select(*_labels(), _big("segment"), _big("mob"),
+                         _a(to_crore("dpd90_uc"), "dpd90_cr"), _a(to_crore("tpos_uc"), "tpos_cr"))
+
+
 def q_feed_long(spark, sf_dir):
-    f = book(spark, sf_dir).feed
-    return f.select(*_labels(), _big("segment"), _big("mob"),
-                    _a(to_crore("dpd90_uc"), "dpd90_cr"), _a(to_crore("tpos_uc"), "tpos_cr"))
+    return _feed_long(book(spark, sf_dir))
 
 
 def q_feed_disbursal(spark, sf_dir):
@@ -504,6 +509,17 @@ def q_resume_from_published(spark, sf_dir):
     return Book.from_published(spark, out, b.cfg.as_of, run.name).wavg.select(*_wavg_cols(with_segment=True))
 
 
+def q_roll_forward_feed(spark, sf_dir):
+    """The feed of the quarter before, rolled forward by the rows
+    that became known since, from a performance table by period."""
+    b, path = book(spark, sf_dir), _scratch(spark, "periods")
+    layout.write_by_period(b.perf, b.loans, path)
+    perf = spark.read.parquet(path)
+    before = Book(spark, b.loans, perf, b.cfg.with_(as_of=QUARTER_BEFORE))
+    rolled = Book(spark, b.loans, perf, b.cfg, base=(before.sums, QUARTER_BEFORE))
+    return _feed_long(rolled)
+
+
 def q_accepted_quarter(spark, sf_dir):
     """The runs of a quarter as the journal has them, where the
     second one's loan counts are wrong: it leaves the accepted one in place."""

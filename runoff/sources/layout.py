@@ -12,11 +12,20 @@ hold and sort: choose the count so that a bucket of ``performance`` has some
 files are too many, 1 GB buckets and as much more memory per task).  Rows are
 partitioned by the bucket key before they are written, so a bucket is one
 file, whatever the number of tasks that read the source.
+
+A quarter adds a thirtieth of the performance rows or less.  Where runs roll
+forward (``Book.roll_from``) or windows leave cohorts out, the table is better
+kept by period: partitioned by the quarter in which a row became known, and
+sorted by the loan's cohort within.  A run then reads only the partitions since
+the last one, and only the row groups of its disbursal window.  (The two
+layouts exclude each other: a bucketed table's files hold all periods.)
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from runoff.functions.calendar import cohort_end
 from runoff.sources.tables import LOAN_COLS, PERF_COLS
 
 
@@ -30,3 +39,20 @@ def publish_book(loans: DataFrame, perf: DataFrame, loans_table: str, perf_table
     """Write both tables with the same bucketing on the loan key."""
     write_bucketed(loans.select(*LOAN_COLS), loans_table, buckets)
     write_bucketed(perf.select(*PERF_COLS), perf_table, buckets)
+
+
+def by_period(perf: DataFrame, loans: DataFrame) -> DataFrame:
+    """Performance with its loan's ``cohort_end``, and ``period``: the end of
+    the quarter in which the row's month on book falls.  Rows without a loan
+    have neither, and no run needs them."""
+    own = loans.select("loan_no", "disbursal_date")
+    known = F.add_months(F.trunc("disbursal_date", "month"), F.col("mob"))
+    return perf.select(*PERF_COLS).join(own, "loan_no").select(
+        *PERF_COLS, cohort_end("disbursal_date").alias("cohort_end"), cohort_end(known).alias("period"))
+
+
+def write_by_period(perf: DataFrame, loans: DataFrame, path: str) -> None:
+    """Written with what tasks hold; a period's rows are dealt by cohort, so a
+    file spans few of them."""
+    (by_period(perf, loans).repartition("period", "cohort_end").sortWithinPartitions("period", "cohort_end", "loan_no")
+     .write.partitionBy("period").parquet(path))
