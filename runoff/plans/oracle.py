@@ -515,6 +515,17 @@ FROM cur GROUP BY segment""")
   round(denominator, 6) AS denominator, round(loss_rate, 8) AS loss_rate, anchor_observed
 FROM loss WHERE segment = '{seg}' AND anchor_mob = {sw.anchor_mob}
   AND cohort_end BETWEEN {_date(sw.first_day)} AND {_date(sw.last_day)}""")
+    q["weighted_over_windows"] = W(f"""SELECT g.segment, strftime(f.first_day, '%Y-%m-%d') || '..' || strftime(f.last_day, '%Y-%m-%d') AS window_name,
+  CAST(g.anchor_mob AS BIGINT) AS anchor_mob, COUNT(l.loss_rate) AS n_quarters,
+  CAST(count_if(l.anchor_observed) AS BIGINT) AS n_observed_at_anchor, round(COALESCE(SUM(l.disb_cr), 0), 6) AS total_disb,
+  round(AVG(l.loss_rate), 7) AS simple_avg_lr,
+  round(CASE WHEN COALESCE(SUM(l.disb_cr), 0) = 0 THEN 0 ELSE SUM(l.loss_rate * l.disb_cr) / SUM(l.disb_cr) END, 7) AS weighted_avg_lr
+FROM (SELECT DISTINCT segment, anchor_mob FROM loss) g
+CROSS JOIN (SELECT first_day, {COHORT_END('q')} AS last_day FROM (
+  SELECT first_day, unnest(generate_series(first_day::TIMESTAMP, {_date(cfg.as_of)}::TIMESTAMP, INTERVAL 3 MONTH)) AS q
+  FROM (SELECT DISTINCT CAST(date_trunc('month', cohort_end) - INTERVAL 2 MONTH AS DATE) AS first_day FROM disb_g WHERE {ALL}))) f
+LEFT JOIN loss l ON l.segment = g.segment AND l.anchor_mob = g.anchor_mob AND l.cohort_end BETWEEN f.first_day AND f.last_day
+GROUP BY g.segment, g.anchor_mob, f.first_day, f.last_day""")
     q["segment_ecl_matrix"] = W(f"SELECT {_wavg_cols(True)} FROM wavg")
     q["cohort_edges"] = W(f"""SELECT {LBL()}, CAST(max_mature_mob AS BIGINT) AS max_mature_mob,
   CASE WHEN u <= 3 THEN 'first' ELSE 'last' END AS edge,

@@ -19,7 +19,7 @@ from runoff.functions.calendar import (cohort_end, fiscal_quarter_label,
                                        fiscal_quarter_no, fiscal_year, iso)
 from runoff.functions.joins import side_by_side
 from runoff.functions.numeric import safe_ratio, to_crore
-from runoff.operators import checks, feed, loss, report, triangle
+from runoff.operators import checks, ecl, feed, loss, report, triangle
 from runoff.plans import driver_book, pipeline
 from runoff.plans.book import Book
 from runoff.plans.store import Store
@@ -416,6 +416,26 @@ def q_weighted_loss_rate(spark, sf_dir):
     return _whole(book(spark, sf_dir).wavg).select(*_wavg_cols())
 
 
+def all_windows(b: Book) -> DataFrame:
+    """Every window from a cohort's quarter to the same or a later one's, at every anchor."""
+    ends = b.disb_g.filter("segment = 'all'").select("cohort_end").distinct()
+    first = ends.select(F.add_months(F.trunc("cohort_end", "month"), -2).alias("first_day"))
+    spans = first.select("first_day", F.explode(F.sequence(
+        "first_day", F.lit(b.cfg.as_of), F.expr("interval 3 months"))).alias("_q")).select(
+            "first_day", cohort_end("_q").alias("last_day"))
+    return spans.select(F.concat_ws("..", iso("first_day"), iso("last_day")).alias("window"), "first_day", "last_day",
+                        F.explode(F.array(*[F.lit(a) for a in b.cfg.anchors])).alias("anchor_mob"))
+
+
+def q_weighted_over_windows(spark, sf_dir):
+    """J4 / E2 for windows from a table: some thousands of them."""
+    b = book(spark, sf_dir)
+    w = ecl.weighted_over_windows(b.loss, all_windows(b))
+    return w.select("segment", F.col("window").alias("window_name"), _big("anchor_mob"), _big("n_quarters"),
+                    _big("n_observed_at_anchor"), _a("total_disb"), F.round("simple_avg_lr", 7).alias("simple_avg_lr"),
+                    F.round("weighted_avg_lr", 7).alias("weighted_avg_lr"))
+
+
 def q_headline_ecl(spark, sf_dir):
     return book(spark, sf_dir).headline().select(*_wavg_cols())
 
