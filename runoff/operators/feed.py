@@ -150,8 +150,7 @@ def loan_mob_wide(perf_by_loan: DataFrame, cfg: EclConfig) -> DataFrame:
     mobs = list(cfg.extract_grid.mobs)
     p = (perf_by_loan.groupBy("loan_no").pivot("mob", mobs)
          .agg(F.sum("dpd90_cents").alias("overdue"), F.sum("tpos_cents").alias("outstanding")))
-    names = [(f"{m}_{kind}", f"{short}_{m}") for kind, short in (("overdue", "bad"), ("outstanding", "tpos"))
-             for m in mobs]
+    names = [(f"{m}_{kind}", f"{kind}_at_{m}") for kind in ("overdue", "outstanding") for m in mobs]
     return p.select("loan_no", *[F.col(a).alias(b) for a, b in names])
 
 

@@ -157,6 +157,7 @@ class Book:
         other = Book(self.spark, self.loans, self.perf, self.cfg, self.materialize, self.loan_buckets, self.base)
         self._feed_both
         other.__dict__["grouped"] = feed.whole_feed(self._both)
+        other._kept = self._kept    # released with this one
         return other
 
     def fork(self) -> "Book":

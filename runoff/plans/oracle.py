@@ -388,9 +388,9 @@ FROM performance GROUP BY mob""")
   round(disb_uc / 1e6, 6) AS disbursal_cr FROM disb""")
     q["loan_mob_wide"] = W("SELECT loan_no,\n  "
                            + _wide_cols(g.mobs, lambda m: f"SUM(CASE WHEN mob = {m} THEN dpd90_cents END)",
-                                        lambda m: f"bad_{m}", "DOUBLE") + ",\n  "
+                                        lambda m: f"overdue_at_{m}", "DOUBLE") + ",\n  "
                            + _wide_cols(g.mobs, lambda m: f"SUM(CASE WHEN mob = {m} THEN tpos_cents END)",
-                                        lambda m: f"tpos_{m}", "DOUBLE")
+                                        lambda m: f"outstanding_at_{m}", "DOUBLE")
                            + "\nFROM performance GROUP BY loan_no")
     fw_cols = ",\n  ".join(
         [f"round(max(CASE WHEN f.mob = {m} THEN f.dpd90_uc END) / 1e6, 6) AS amt_90plus_settlement_{m}mob"

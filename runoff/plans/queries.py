@@ -50,6 +50,12 @@ def book(spark: SparkSession, sf_dir: str, cfg: EclConfig = DEFAULT) -> Book:
     return _BOOKS[key]
 
 
+def _own(b: Book, like: Book) -> Book:
+    """``b``, released with the shared book ``like``."""
+    b._kept = like._kept
+    return b
+
+
 def _scratch(spark, name: str) -> str:
     """A new folder under the session's checkpoint folder."""
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
@@ -326,7 +332,7 @@ def q_chain_ladder_degenerate(spark, sf_dir):
     """C6 where the factor switches on within a column: small loan groups."""
     b = book(spark, sf_dir, YOUNG_BOOK)
     group = (F.col("segment") * 100 + F.col("loan_no") % DEGENERATE_GROUPS).cast("int")
-    fine = Book(spark, b.loans.withColumn("segment", group), b.perf, b.cfg, loan_buckets=True)
+    fine = _own(Book(spark, b.loans.withColumn("segment", group), b.perf, b.cfg, loan_buckets=True), b)
     t = _by_metric(fine.triangles.filter("segment <> 'all' and not is_observed")).filter("metric = 'dpd90'")
     return t.select("segment", *_labels(), _big("mob"), _a("amount", "amount_cr"))
 
@@ -577,7 +583,7 @@ def extract_of(b: Book) -> tuple[DataFrame, DataFrame]:
 def q_headline_from_extract(spark, sf_dir):
     """The headline of the book read through its text-key extract."""
     b = book(spark, sf_dir)
-    return Book.from_extract(*extract_of(b), b.cfg).headline().select(*_wavg_cols())
+    return _own(Book.from_extract(*extract_of(b), b.cfg), b).headline().select(*_wavg_cols())
 
 
 #: Which loans' text is damaged: one in so many has a wrong date, amount, or TPOS at month 12.
@@ -607,7 +613,7 @@ def q_rejected_rows(spark, sf_dir):
 def q_headline_from_damaged_extract(spark, sf_dir):
     """The rows of a damaged extract that can be read give the headline."""
     b = book(spark, sf_dir)
-    return Book.from_extract(*damaged_extract(b), b.cfg).headline().select(*_wavg_cols())
+    return _own(Book.from_extract(*damaged_extract(b), b.cfg), b).headline().select(*_wavg_cols())
 
 
 def q_dq_damaged_extract(spark, sf_dir):

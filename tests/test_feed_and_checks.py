@@ -160,7 +160,7 @@ def test_warnings_do_not_reject(spark):
 
 def test_loan_mob_wide_and_unpivot(spark, book):
     w = {r.loan_no: r for r in feed.loan_mob_wide(book.perf_by_loan, CFG).collect()}
-    assert w[2].tpos_0 == 2_000_005_400 and w[2].tpos_3 is None
+    assert w[2].outstanding_at_0 == 2_000_005_400 and w[2].outstanding_at_3 is None
     wide = feed.feed_wide(book.feed, book.disb, CFG)
     long = feed.unpivot_feed(wide, CFG)
     assert long.filter("metric = 'tpos' and mob = 0").count() == 1
