@@ -11,9 +11,10 @@ Training takes a bounded sample of labelled documents (``train_rows``, those
 whose hashed ids are least); Spark counts each one's rows by feature.  Every
 feature of the sample weighs.  The less its shares of documents by grade lie
 apart, the higher its penalty, so a long text is not moved by its many
-ordinary words.  The driver keeps the sparse sample in scratch files and
-reads them piece by piece, however long the texts are.  Every document is
-scored over its whole text, in one pass without a shuffle.
+ordinary words.  The driver holds the sparse sample, which long texts could
+swell: it ends with the document that would take it over ``MAX_PAIRS`` (document,
+feature) pairs (some 400 MB).  Every document is scored over its whole text, in
+one pass without a shuffle.
 
 Defined cases: null and empty texts have no words and an empty text's style;
 labels with a null in either column, and labels without a document, are not
@@ -24,8 +25,6 @@ kept (filter).
 """
 from __future__ import annotations
 
-from tempfile import TemporaryFile
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -39,8 +38,8 @@ BUCKETS = 1 << 18
 GRADES = 3
 #: A feature with z of CLEAR or more has penalty L2; at less it grows by (CLEAR / z) ** STEEP, z from 1.
 L2, CLEAR, STEEP = 0.02, 5.0, 6
-#: (document, feature) pairs handled at a time.
-PART = 1 << 20
+#: (document, feature) pairs handled at a time, and those that the training sample may have.
+PART, MAX_PAIRS = 1 << 20, 32_000_000
 #: Bytes that part words: all ASCII but letters, digits and '.
 APART = np.array([b < 128 and not (chr(b).isalnum() or chr(b) == "'") for b in range(256)])
 #: Byte classes whose shares are style measures: symbols, punctuation, upper case, digits, beyond ASCII.
@@ -207,30 +206,34 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> O
     seen = (docs.select("doc_id", "text").join(F.broadcast(picked), F.col("doc_id") == F.col("_label"))
             .select("slot", "text").mapInArrow(tidied(_seen), "slot int, feature int, n long"))
     sample = written(seen.groupBy("slot", "feature").agg(F.sum("n").alias("n")), "sample")
-    ranges = 1 + sample.count() // PART
+    total = sample.count()
+    if total > MAX_PAIRS:
+        # documents by their place in the sample, up to the bound; a row of counts for each of at most train_rows
+        upto = F.sum("pairs").over(Window.orderBy("slot"))
+        fit_in = (sample.groupBy("slot").agg(F.count("*").alias("pairs")).withColumn("upto", upto)
+                  .where((F.col("upto") <= MAX_PAIRS) | (F.col("upto") == F.col("pairs"))).select("slot"))
+        sample = written(sample.join(fit_in, "slot"), "sample")
+        total = sample.count()
+    ranges = 1 + total // PART
     rows = (sample.repartitionByRange(ranges, "slot", "feature").sortWithinPartitions("slot", "feature")
             .mapInArrow(_packed, "slot binary, feature binary, n binary"))
-    with TemporaryFile() as slots, TemporaryFile() as cols, TemporaryFile() as shares:
-        found, total = [], 0
-        for r in rows.toLocalIterator():
-            slot, feature, n = (np.frombuffer(r[c], t) for c, t in
-                                (("slot", np.int32), ("feature", np.int32), ("n", np.int64)))
-            # a document's number of rows comes first, under ROW
-            new = feature == ROW
-            found += zip(slot[new].tolist(), n[new].tolist())
-            document = len(found) - new.sum() + np.cumsum(new) - 1
-            of = np.array([c for _, c in found[document[0]:]])[document - document[0]]
-            slots.write(document[~new].astype(np.int32).tobytes())
-            cols.write(feature[~new].tobytes())
-            shares.write((n / of)[~new].astype(np.float32).tobytes())
-            total += int((~new).sum())
-        if not found:
-            return fit(np.zeros(0, np.int64), [])
-        grades = {r["slot"]: r["grade"] for r in picked.select("slot", "grade").collect()}
-        for f in (slots, cols, shares):
-            f.flush()
-        return _fit(np.array([grades[s] for s, _ in found], np.int64), np.memmap(slots, np.int32, "r", shape=total),
-                    np.memmap(cols, np.int32, "r+", shape=total), np.memmap(shares, np.float32, "r", shape=total))
+    row, col, share = np.empty(total, np.int32), np.empty(total, np.int32), np.empty(total, np.float32)
+    found, at = [], 0
+    for r in rows.toLocalIterator():
+        slot, feature, n = (np.frombuffer(r[c], t) for c, t in
+                            (("slot", np.int32), ("feature", np.int32), ("n", np.int64)))
+        # a document's number of rows comes first, under ROW
+        new = feature == ROW
+        found += zip(slot[new].tolist(), n[new].tolist())
+        document = len(found) - new.sum() + np.cumsum(new) - 1
+        of = np.array([c for _, c in found[document[0]:]])[document - document[0]]
+        own = slice(at, at + int((~new).sum()))
+        row[own], col[own], share[own] = document[~new], feature[~new], (n / of)[~new]
+        at = own.stop
+    if not found:
+        return fit(np.zeros(0, np.int64), [])
+    grades = {r["slot"]: r["grade"] for r in picked.select("slot", "grade").collect()}
+    return _fit(np.array([grades[s] for s, _ in found], np.int64), row[:at], col[:at], share[:at])
 
 
 def scores(docs: DataFrame, model: OrdinalModel, keep_from: float = 0.5) -> DataFrame:

@@ -115,3 +115,19 @@ def test_repeated_rows_count_once(spark):
     # three times the rows give the same model
     one, three = Q.train(d, some, 60), Q.train(docs(spark, once * 3), some, 60)
     assert np.allclose(one.weights, three.weights) and np.allclose(one.thresholds, three.thresholds)
+
+
+def test_the_sample_ends_at_its_bound_of_pairs(spark, monkeypatch):
+    """Whole documents in the sample's order, as if the others had no label."""
+    d = docs(spark, [(i, f"common w{i} v{i % 5} " + ("awful" if i % 2 else "fine")) for i in range(60)])
+    rows = [(i, i % 2 ^ 1, 0) for i in range(60)]
+    whole = Q.train(d, labels(spark, rows))
+    monkeypatch.setattr(Q, "MAX_PAIRS", 400)
+    part = Q.train(d, labels(spark, rows))
+    used = np.flatnonzero(part.weights)
+    assert 0 < len(used) < len(np.flatnonzero(whole.weights))
+    order = [r.doc_id for r in labels(spark, rows).orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    for n in range(1, 60):   # some prefix of the order gives the same model
+        some = Q.train(d, labels(spark, [rows[i] for i in order[:n]])) if n in (20, 25, 30) else None
+        if some is not None and len(np.flatnonzero(some.weights)) <= len(used):
+            assert set(np.flatnonzero(some.weights)) <= set(used)
