@@ -49,6 +49,37 @@ class MobGrid:
     def mobs(self) -> tuple[int, ...]:
         return tuple(range(self.start, self.stop + 1, self.step))
 
+    @property
+    def text(self) -> str:
+        return f"{self.start}..{self.stop} step {self.step}"
+
+    def __len__(self) -> int:
+        return len(self.mobs)
+
+
+@dataclass(frozen=True)
+class MobList:
+    """Any months on book, in ascending order; a triangle develops from each
+    to the next, however many months lie between."""
+
+    mobs: tuple[int, ...]
+
+    def __post_init__(self):
+        if not self.mobs or list(self.mobs) != sorted(set(self.mobs)) or self.mobs[0] < 0:
+            raise ValueError(f"months must ascend from 0 or later, without repeats: {self.mobs}")
+
+    @property
+    def start(self) -> int:
+        return self.mobs[0]
+
+    @property
+    def stop(self) -> int:
+        return self.mobs[-1]
+
+    @property
+    def text(self) -> str:
+        return ", ".join(map(str, self.mobs))
+
     def __len__(self) -> int:
         return len(self.mobs)
 
@@ -111,8 +142,8 @@ DEFAULT_WINDOWS = (
 class EclConfig:
     as_of: date = date(2006, 3, 31)
     start: date = date(1995, 1, 1)
-    extract_grid: MobGrid = MobGrid(0, 120, 3)
-    triangle_grid: MobGrid = MobGrid(3, 120, 3)
+    extract_grid: MobGrid | MobList = MobGrid(0, 120, 3)
+    triangle_grid: MobGrid | MobList = MobGrid(3, 120, 3)
     anchors: tuple[int, ...] = (72, 84, 120)
     windows: tuple[Window, ...] = DEFAULT_WINDOWS
     headline: str = "FY97-FY00 @ 84M"
@@ -133,6 +164,12 @@ class EclConfig:
         for a in self.anchors:
             if a % YEAR_MOB or a not in self.triangle_grid.mobs:
                 raise ValueError(f"anchor {a} must be a yearly MOB on the triangle grid")
+        needed = {*self.triangle_grid.mobs} - {*self.extract_grid.mobs}
+        if needed:
+            raise ValueError(f"the triangle's months {sorted(needed)} are not extracted")
+        years = {*range(YEAR_MOB, max(self.anchors, default=0), YEAR_MOB)} - {*self.triangle_grid.mobs}
+        if years:
+            raise ValueError(f"the loss rate's denominator needs the months {sorted(years)} on the triangle grid")
         if self.tenor not in ("long", "reference"):
             raise ValueError("tenor must be 'long' or 'reference'")
 
@@ -158,7 +195,7 @@ YOUNG_BOOK = EclConfig(as_of=date(2001, 9, 30))
 # star or nothing.
 _FISCAL_YEAR = re.compile(r"\s*(?:FY)?(\d{2}|\d{4})(?:-Q[1-4])?\s*", re.IGNORECASE)
 WHOLE_BOOK = "all"
-_WHOLE_BOOK_SPELLINGS = (WHOLE_BOOK, "*", "none", "")
+WHOLE_BOOK_SPELLINGS = (WHOLE_BOOK, "*", "none", "")
 
 
 def fiscal_year_of(spelling, century_pivot: int = 1950) -> int:
@@ -173,7 +210,7 @@ def fiscal_year_of(spelling, century_pivot: int = 1950) -> int:
 
 def segment_of(spelling, segments=SEGMENTS) -> str:
     """A segment's key in the tables: its number as text, or the whole book."""
-    keys = dict.fromkeys(_WHOLE_BOOK_SPELLINGS, WHOLE_BOOK) | {str(s): str(s) for s in segments}
+    keys = dict.fromkeys(WHOLE_BOOK_SPELLINGS, WHOLE_BOOK) | {str(s): str(s) for s in segments}
     text = "" if spelling is None else str(spelling).strip().lower()
     if text not in keys:
         raise ValueError(f"{spelling!r} is no segment of this book; it has {sorted(set(keys.values()))}")

@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from runoff.config import MobGrid
+from runoff.config import MobGrid, MobList
 
 
 def _c(x) -> Column:
@@ -44,9 +44,12 @@ def whole_months(start, end: date) -> Column:
     return (F.lit(end.year) - F.year(s)) * 12 + (F.lit(end.month) - F.month(s))
 
 
-def max_mature_mob(months, grid: MobGrid) -> Column:
+def max_mature_mob(months, grid: MobGrid | MobList) -> Column:
     """Largest grid MOB not above ``months``; -1 when none is."""
     m = _c(months)
+    if isinstance(grid, MobList):
+        reached = F.filter(F.array(*[F.lit(x) for x in grid.mobs]), lambda x: x <= m)
+        return F.when(m.isNotNull(), F.coalesce(F.array_max(reached), F.lit(-1)))
     top = F.least(F.lit(grid.stop),
                   F.lit(grid.start) + F.floor((m - grid.start) / grid.step).cast("int") * grid.step)
     return F.when(m >= grid.start, top).otherwise(F.lit(-1))

@@ -1,9 +1,11 @@
 """Small join-free helpers."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from runoff.config import MobGrid, MobList
+
 
 def side_by_side(*rows: DataFrame) -> DataFrame:
     """Combine single-row aggregates (distinct column names) into one row:
@@ -15,6 +17,11 @@ def side_by_side(*rows: DataFrame) -> DataFrame:
     return u.agg(*[F.max(c).alias(c) for c in cols])
 
 
-def grid_column(start: int, stop: int, step: int):
-    """A config grid as a column to explode: a bounded, narrow fan-out."""
-    return F.explode(F.sequence(F.lit(start), F.lit(stop), F.lit(step)))
+def grid_column(grid: MobGrid | MobList, upto: Column | None = None) -> Column:
+    """A config grid, or its months up to ``upto`` (not below its first), as a
+    column to explode: a bounded, narrow fan-out."""
+    if isinstance(grid, MobGrid):
+        top = F.lit(grid.stop) if upto is None else F.least(F.lit(grid.stop), upto)
+        return F.explode(F.sequence(F.lit(grid.start), top, F.lit(grid.step)))
+    mobs = F.array(*[F.lit(m) for m in grid.mobs])
+    return F.explode(mobs if upto is None else F.filter(mobs, lambda m: m <= upto))

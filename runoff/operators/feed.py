@@ -129,9 +129,8 @@ def collapse_to_cohort(feed_g: DataFrame, disb_g: DataFrame, cfg: EclConfig,
                        segment: str = "all") -> DataFrame:
     """A4: one row per (cohort, extraction MOB) of a group; a MOB no loan
     reached becomes 0 (the reference's pandas sum of all-NULL)."""
-    g = cfg.extract_grid
     d = disb_g.filter(F.col("segment") == segment).select(
-        "*", grid_column(g.start, g.stop, g.step).alias("mob"))
+        "*", grid_column(cfg.extract_grid).alias("mob"))
     f = feed_g.filter(F.col("segment") == segment)
     return (d
             .join(f, ["segment", "cohort_end", "mob"], "left")

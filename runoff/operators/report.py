@@ -83,11 +83,10 @@ def summary(book) -> DataFrame:
                                 F.lit(None).cast("string").alias("value_text"))
     txt = lambda k, v: F.struct(F.lit(k).alias("key"), F.lit(None).cast("double").alias("value_num"),
                                 F.lit(v).alias("value_text"))
-    g = cfg.triangle_grid
     rows = F.array(
         txt("as_of", cfg.as_of.isoformat()),
         num("n_cohorts", F.col("n_cohorts")),
-        txt("mob_grid", f"{g.start}..{g.stop} step {g.step}"),
+        txt("mob_grid", cfg.triangle_grid.text),
         txt("anchors", ", ".join(f"{a}M" for a in cfg.anchors)),
         txt("headline_window", cfg.headline),
         num("weighted_avg_lr", F.round("weighted_avg_lr", 8)),

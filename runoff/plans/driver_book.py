@@ -15,6 +15,7 @@ from runoff.config import (DEFAULT_HASH_MULT, DEFAULT_MOB_HASH_MULT,
                            DEFAULT_MOB_SPREAD_REFERENCE_LIKE,
                            SEGMENT_DEFAULT_PER_MILLE, EclConfig)
 from runoff.functions.calendar import whole_months
+from runoff.functions.joins import grid_column
 
 # the columns of the driver's orders table that the loan mapping reads
 ORDERS_SCHEMA = T.StructType([
@@ -93,13 +94,12 @@ def performance_from_loans(loans: DataFrame, cfg: EclConfig) -> DataFrame:
     # a loan becomes some forty rows: spread the loans first, by the key they are joined on
     loans = loans.repartition("loan_no")
     age = whole_months("disbursal_date", cfg.as_of)
-    top = F.least(F.lit(g.stop), age)
     oad = F.when(F.col("is_default") & (F.col("default_mob") < F.col("tenure_months")),
                  _amortised("amount_cents", "tenure_months", "default_mob")).otherwise(F.lit(0))
     base = (loans.filter(age >= g.start)
             .select("loan_no", "amount_cents", "tenure_months", "is_default", "default_mob",
                     oad.cast("long").alias("_oad"),
-                    F.explode(F.sequence(F.lit(g.start), top, F.lit(g.step))).alias("mob")))
+                    grid_column(g, upto=age).alias("mob")))
     tpos = F.when(F.col("mob") >= F.col("tenure_months"), F.lit(0).cast("long")).otherwise(
         _amortised("amount_cents", "tenure_months", "mob"))
     defaulted = F.col("is_default") & (F.col("mob") >= F.col("default_mob"))

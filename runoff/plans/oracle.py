@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from runoff.config import (DEFAULT, DEFAULT_HASH_MULT, DEFAULT_MOB_HASH_MULT,
                            DEFAULT_MOB_SPREAD_LONG, DEFAULT_MOB_SPREAD_REFERENCE_LIKE,
-                           SEGMENT_DEFAULT_PER_MILLE, YEAR_MOB, YOUNG_BOOK, EclConfig,
+                           SEGMENT_DEFAULT_PER_MILLE, YEAR_MOB, YOUNG_BOOK, EclConfig, MobGrid,
                            SegmentRequest)
-from runoff.plans.queries import DAMAGED, DEGENERATE_GROUPS, MATURE_BOOK, SEGMENT_ECL_ARGS
+from runoff.plans.queries import (DAMAGED, DEGENERATE_GROUPS, MATURE_BOOK, RESTATED, SEGMENT_ECL_ARGS,
+                                  UNEQUAL_BOOK)
 
 
 def LABEL(d: str) -> str:
@@ -58,8 +59,14 @@ def ctes(cfg: EclConfig) -> list[str]:
     if cfg.freeze_tpos_at_default:
         tpos = f"CASE WHEN is_default AND mob >= default_mob THEN oad ELSE {tpos} END"
     months = f"({Y} - year(cohort_end)) * 12 + ({M} - month(cohort_end))"
-    maxmat = (f"CASE WHEN {months} >= {t.start} THEN least({t.stop}, {t.start} + "
-              f"(({months} - {t.start}) // {t.step}) * {t.step}) ELSE -1 END")
+    def series(grid):
+        return (f"generate_series({grid.start}, {grid.stop}, {grid.step})" if isinstance(grid, MobGrid)
+                else f"[{', '.join(map(str, grid.mobs))}]")
+
+    maxmat = f"coalesce((SELECT max(x) FROM (SELECT unnest({series(t)}) AS x) WHERE x <= {months}), -1)"
+    if isinstance(t, MobGrid):
+        maxmat = (f"CASE WHEN {months} >= {t.start} THEN least({t.stop}, {t.start} + "
+                  f"(({months} - {t.start}) // {t.step}) * {t.step}) ELSE -1 END")
     emobs = ", ".join(str(m) for m in g.mobs)
     anchors = ", ".join(str(a) for a in cfg.anchors)
     wins = ", ".join(
@@ -85,8 +92,7 @@ def ctes(cfg: EclConfig) -> list[str]:
         f"""performance AS (
   SELECT loan_no, CAST(mob AS INTEGER) AS mob, CAST({tpos} AS BIGINT) AS tpos_cents,
          CAST(CASE WHEN is_default AND mob >= default_mob THEN oad ELSE 0 END AS BIGINT) AS dpd90_cents
-  FROM (SELECT *, unnest(generate_series({g.start}, least({g.stop}, age), {g.step})) AS mob
-        FROM perf_base WHERE age >= {g.start}))""",
+  FROM (SELECT *, unnest({series(g)}) AS mob FROM perf_base) WHERE mob <= age)""",
         f"""loans_w AS (
   SELECT loan_no, segment, amount_cents, disbursal_date, {COHORT_END('disbursal_date')} AS cohort_end
   FROM loans WHERE disbursal_date BETWEEN {_date(cfg.start)} AND {_date(cfg.end_disb)})""",
@@ -113,7 +119,7 @@ def ctes(cfg: EclConfig) -> list[str]:
   FROM disb GROUP BY cohort_end)""",
         f"""cal AS (
   SELECT *, {months} AS months_on_book, {maxmat} AS max_mature_mob FROM disb_g)""",
-        f"""tgrid AS (SELECT CAST(unnest(generate_series({t.start}, {t.stop}, {t.step})) AS INTEGER) AS mob)""",
+        f"""tgrid AS (SELECT CAST(unnest({series(t)}) AS INTEGER) AS mob)""",
         """cells AS (
   SELECT c.segment, c.cohort_end, g.mob, c.lan_cnt, c.disb_uc, c.max_mature_mob,
          g.mob <= c.max_mature_mob AS is_observed,
@@ -526,6 +532,65 @@ CROSS JOIN (SELECT first_day, {COHORT_END('q')} AS last_day FROM (
   FROM (SELECT DISTINCT CAST(date_trunc('month', cohort_end) - INTERVAL 2 MONTH AS DATE) AS first_day FROM disb_g WHERE {ALL}))) f
 LEFT JOIN loss l ON l.segment = g.segment AND l.anchor_mob = g.anchor_mob AND l.cohort_end BETWEEN f.first_day AND f.last_day
 GROUP BY g.segment, g.anchor_mob, f.first_day, f.last_day""")
+    q["cohort_calendar_unequal"] = _with(UNEQUAL_BOOK, f"""SELECT segment, {LBL()}, CAST(months_on_book AS BIGINT) AS months_on_book,
+  CAST(max_mature_mob AS BIGINT) AS max_mature_mob FROM cal""")
+    q["chain_ladder_unequal"] = _with(UNEQUAL_BOOK, f"""SELECT segment, {LBL()}, CAST(mob AS BIGINT) AS mob, is_observed,
+  round(dpd90_amt, 6) AS dpd90_amt, round(tpos_amt, 6) AS tpos_amt, round({_rate('dpd90_amt')}, 8) AS dpd90_rate FROM tri""")
+    q["segment_ecl_unequal"] = _with(UNEQUAL_BOOK, f"SELECT {_wavg_cols(True)} FROM wavg")
+
+    # ---- requests: each kind's arguments as they are meant, not parsed
+    fy = "CASE WHEN month(cohort_end) >= 4 THEN year(cohort_end) + 1 ELSE year(cohort_end) END"
+    kinds = [("segment", "fy", "2001", "84", "''"), ("segment", "year(cohort_end)", "fy", "72", "''"),
+             ("CASE WHEN segment = 'all' THEN 'all' END", "fy", "fy", "120", "CASE WHEN segment <> 'all' THEN 'no such segment' ELSE '' END"),
+             ("segment", "2001", "fy", "month(cohort_end) * 12",
+              f"CASE WHEN month(cohort_end) * 12 IN ({', '.join(map(str, cfg.anchors))}) THEN '' ELSE 'no anchor' END"),
+             ("NULL", "NULL", "NULL", "NULL", "'no such segment; no first fiscal year; no last fiscal year; no anchor'"),
+             ("segment", "fy + 40", "fy + 41", "84", "''")]
+    asked = "\n  UNION ALL ".join(
+        f"SELECT cohort_end, segment AS of, {i} AS kind, {k} AS key, {a} AS y1, {z} AS y2, {m} AS anchor, {wrong} AS wrong "
+        f"FROM (SELECT *, {fy} AS fy FROM disb_g)" for i, (k, a, z, m, wrong) in enumerate(kinds))
+    q["segment_requests"] = W(f"""SELECT {LABEL('cohort_end')} AS cohort, of, CAST(kind AS BIGINT) AS kind, key,
+  CASE WHEN problem = '' THEN n ELSE 0 END AS n_quarters, CASE WHEN problem = '' THEN round(rate, 7) END AS weighted_avg_lr,
+  nullif(problem, '') AS problem
+FROM (SELECT *, CASE WHEN wrong <> '' OR y1 > y2 THEN concat_ws('; ', nullif(wrong, ''), CASE WHEN y1 > y2 THEN 'ends before it begins' END)
+                     WHEN n = 0 THEN 'covers no cohorts' ELSE '' END AS problem
+      FROM (SELECT a.cohort_end, a.of, a.kind, a.key, a.y1, a.y2, a.wrong, COUNT(l.loss_rate) AS n,
+              CASE WHEN COALESCE(SUM(l.disb_cr), 0) = 0 THEN 0 ELSE SUM(l.loss_rate * l.disb_cr) / SUM(l.disb_cr) END AS rate
+            FROM asked a LEFT JOIN loss l ON l.segment = a.key AND l.anchor_mob = a.anchor
+              AND l.cohort_end > make_date(CAST(a.y1 - 1 AS BIGINT), 3, 31) AND l.cohort_end <= make_date(CAST(a.y2 AS BIGINT), 3, 31)
+            GROUP BY ALL))""", [f"asked AS ({asked})"])
+
+    # ---- R9: one MOB of the feed, of the sources, and of a second copy of performance
+    r = RESTATED
+    spot = [f"""restated AS (
+  SELECT loan_no, mob, tpos_cents, dpd90_cents + CASE WHEN (loan_no % {r['amount']} = 0 AND mob = {YEAR_MOB}) OR (loan_no % {r['later']} = 0
+    AND mob = {2 * YEAR_MOB}) THEN 100000000 ELSE 0 END AS dpd90_cents
+  FROM (SELECT *, unnest(CASE WHEN mob <> {YEAR_MOB} THEN [1] WHEN loan_no % {r['gone']} = 0 THEN [] WHEN loan_no % {r['twice']} = 0
+    THEN [1, 1] ELSE [1] END) FROM performance))"""]
+
+    def at_one_mob(source: str) -> str:
+        return f"""(SELECT l.cohort_end, l.segment, f.lan_cnt AS feed_loans, l.n AS source_loans, f.disb_uc * 1000 AS feed_disbursal,
+    CAST(l.amt AS BIGINT) AS source_disbursal, COALESCE(m.dpd90_uc, 0) * 1000 AS feed_dpd90, CAST(COALESCE(p.d, 0) AS BIGINT) AS source_dpd90,
+    COALESCE(m.tpos_uc, 0) * 1000 AS feed_tpos, CAST(COALESCE(p.t, 0) AS BIGINT) AS source_tpos
+  FROM (SELECT cohort_end, segment, COUNT(*) AS n, SUM(amount_cents) AS amt FROM loans_w GROUP BY 1, 2) l
+  JOIN disb f USING (cohort_end, segment)
+  LEFT JOIN (SELECT * FROM feed WHERE mob = {YEAR_MOB}) m USING (cohort_end, segment)
+  LEFT JOIN (SELECT w.cohort_end, w.segment, SUM(dpd90_cents) AS d, SUM(tpos_cents) AS t FROM {source} s JOIN loans_w w USING (loan_no)
+             WHERE s.mob = {YEAR_MOB} GROUP BY 1, 2) p USING (cohort_end, segment))"""
+
+    off = ("greatest(abs(feed_disbursal - source_disbursal), abs(feed_dpd90 - source_dpd90), abs(feed_tpos - source_tpos)) / 1e9")
+    sides = ", ".join(f"feed_{x}, source_{x}" for x in ("loans", "disbursal", "dpd90", "tpos"))
+    q["spot_check"] = W(f"""SELECT {LBL()}, CAST(segment AS BIGINT) AS segment, {sides}, round({off}, 8) AS off_cr,
+  CASE WHEN feed_loans = source_loans AND {off} <= {cfg.tol} THEN 'PASS' ELSE 'FAIL' END AS verdict FROM {at_one_mob('performance')}""")
+    q["spot_check_restated"] = W(f"""SELECT {LBL()}, CAST(segment AS BIGINT) AS segment, feed_dpd90, source_dpd90, feed_tpos, source_tpos,
+  round({off}, 8) AS off_cr FROM {at_one_mob('restated')} WHERE {off} > {cfg.tol}""", spot)
+    q["spot_loans"] = W(f"""SELECT loan_no, r1 AS rows_1, COALESCE(r2, 0) AS rows_2, d1 AS dpd90_cents_1, t1 AS tpos_cents_1,
+  COALESCE(d2, 0) AS dpd90_cents_2, COALESCE(t2, 0) AS tpos_cents_2, CASE WHEN r2 IS NULL THEN 'missing' WHEN r1 <> r2 THEN 'rows' ELSE 'amounts' END AS reason
+FROM (SELECT loan_no, COUNT(*) AS r1, CAST(SUM(dpd90_cents) AS BIGINT) AS d1, CAST(SUM(tpos_cents) AS BIGINT) AS t1
+      FROM performance WHERE mob = {YEAR_MOB} GROUP BY 1)
+LEFT JOIN (SELECT loan_no, COUNT(*) AS r2, CAST(SUM(dpd90_cents) AS BIGINT) AS d2, CAST(SUM(tpos_cents) AS BIGINT) AS t2
+           FROM restated WHERE mob = {YEAR_MOB} GROUP BY 1) USING (loan_no)
+WHERE (r1, d1, t1) IS DISTINCT FROM (r2, d2, t2)""", spot)
     q["segment_ecl_matrix"] = W(f"SELECT {_wavg_cols(True)} FROM wavg")
     q["cohort_edges"] = W(f"""SELECT {LBL()}, CAST(max_mature_mob AS BIGINT) AS max_mature_mob,
   CASE WHEN u <= 3 THEN 'first' ELSE 'last' END AS edge,

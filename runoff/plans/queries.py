@@ -14,12 +14,12 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from runoff.config import DEFAULT, YEAR_MOB, YOUNG_BOOK, EclConfig
+from runoff.config import DEFAULT, YEAR_MOB, YOUNG_BOOK, EclConfig, MobList
 from runoff.functions.calendar import (cohort_end, fiscal_quarter_label,
                                        fiscal_quarter_no, fiscal_year, iso)
 from runoff.functions.joins import side_by_side
 from runoff.functions.numeric import safe_ratio, to_crore
-from runoff.operators import checks, ecl, feed, loss, report, triangle
+from runoff.operators import checks, ecl, feed, loss, report, requests, spot, triangle
 from runoff.plans import driver_book, pipeline
 from runoff.plans.book import Book
 from runoff.plans.store import Store
@@ -32,6 +32,9 @@ R8 = 8   # rates / factors
 # as-of date at which every triangle cell of the driver's orders is observed
 MATURE_BOOK = DEFAULT.with_(as_of=date(2012, 3, 31))
 QUARTER_BEFORE = date(2005, 12, 31)
+# months at unequal steps, with every year's end that the denominators need
+UNEQUAL = MobList((1, 2, 3, 4, 6, 9, 12, 18, 24, 31, 36, 48, 53, 59, 60, 72, 84, 96, 108, 120))
+UNEQUAL_BOOK = YOUNG_BOOK.with_(extract_grid=MobList((0, *UNEQUAL.mobs)), triangle_grid=UNEQUAL)
 _BOOKS: dict = {}
 
 
@@ -157,6 +160,24 @@ def q_cohort_calendar(spark, sf_dir):
                     _big("max_mature_mob", "current_mob"))
 
 
+def q_cohort_calendar_unequal(spark, sf_dir):
+    """P5 / P14 on a list of months at unequal steps."""
+    b = book(spark, sf_dir, UNEQUAL_BOOK)
+    c = triangle.cohort_calendar(b.disb_g, b.cfg)
+    return c.select("segment", *_labels(), _big("months_on_book"), _big("max_mature_mob"))
+
+
+def q_chain_ladder_unequal(spark, sf_dir):
+    """C1-C7 on it: development from each month to the next, all segments."""
+    t = triangle.with_rates(book(spark, sf_dir, UNEQUAL_BOOK).triangles)
+    return t.select("segment", *_labels(), _big("mob"), "is_observed", _a("dpd90_amt"), _a("tpos_amt"), _r("dpd90_rate"))
+
+
+def q_segment_ecl_unequal(spark, sf_dir):
+    """L5-E6 on it."""
+    return book(spark, sf_dir, UNEQUAL_BOOK).wavg.select(*_wavg_cols(with_segment=True))
+
+
 def q_maturity_mask(spark, sf_dir):
     c = _whole(book(spark, sf_dir).cells)
     return c.select(*_labels(), _big("mob"), _big("max_mature_mob"), "is_observed")
@@ -460,6 +481,30 @@ def q_segment_ecl_detail(spark, sf_dir):
                     _r("loss_rate"), "anchor_observed")
 
 
+def asked_requests(b: Book) -> DataFrame:
+    """Requests of every segment's cohorts, from a cohort's year to the last
+    one's, in spellings that are right and wrong."""
+    label = fiscal_quarter_label("cohort_end")
+    year = fiscal_year("cohort_end")
+    ask = lambda *texts: F.struct(*[t.cast("string").alias(c) for c, t in zip(requests.ASKED, texts)])
+    seg, last, lit = F.col("segment"), F.lit("2001"), F.lit
+    kinds = [ask(seg, label, last, lit("84")),
+             ask(F.concat(lit(" "), F.upper("segment")), F.concat(lit("fy"), F.date_format("cohort_end", "yy")), label, lit(" 72 ")),
+             ask(F.when(seg != "all", F.concat(seg, lit("x"))), year, year, lit("120")),
+             ask(seg, last, label, F.month("cohort_end") * 12), ask(lit("9"), F.concat(label, lit("5")), lit("FY"), lit("84.0")),
+             ask(seg, year + 40, year + 41, lit("84"))]
+    each = F.posexplode(F.array(*kinds)).alias("kind", "asked")
+    return b.disb_g.select(label.alias("cohort"), F.col("segment").alias("of"), each).select("cohort", "of", "kind", "asked.*")
+
+
+def q_segment_requests(spark, sf_dir):
+    """Requests from a table, answered or refused."""
+    b = book(spark, sf_dir)
+    told = requests.answer(asked_requests(b), b.loss, b.cfg)
+    return told.select("cohort", "of", _big("kind"), "key", _big("n_quarters"),
+                       F.round("weighted_avg_lr", 7).alias("weighted_avg_lr"), "problem")
+
+
 def q_segment_ecl_matrix(spark, sf_dir):
     return book(spark, sf_dir).wavg.select(*_wavg_cols(with_segment=True))
 
@@ -481,6 +526,40 @@ def q_reconcile_feed(spark, sf_dir):
     return checks.judge(checks.reconcile_feed(b.loans, b.perf_by_loan, b.feed, b.disb, b.cfg), b.cfg)
 
 
+def q_spot_check(spark, sf_dir):
+    """The feed at one MOB against the sources, cohort by cohort."""
+    b = book(spark, sf_dir)
+    found = spot.spot_check(b.loans, b.perf, b.feed, b.disb, b.cfg, YEAR_MOB)
+    return found.select(*_labels(), _big("segment"), "feed_loans", "source_loans", "feed_disbursal", "source_disbursal",
+                        "feed_dpd90", "source_dpd90", "feed_tpos", "source_tpos", _r("off_cr"), "verdict")
+
+
+#: Which loans differ in a second copy of performance: one in so many has another
+#: 90+ amount, no row, or its row twice, at month 12; and one in so many at month 24.
+RESTATED = {"amount": 211, "gone": 223, "twice": 227, "later": 5}
+
+
+def restated(b: Book) -> DataFrame:
+    n, at = F.col("loan_no"), F.col("mob") == YEAR_MOB
+    changed = ((n % RESTATED["amount"] == 0) & at) | ((n % RESTATED["later"] == 0) & (F.col("mob") == 2 * YEAR_MOB))
+    copies = F.when((n % RESTATED["gone"] == 0) & at, 0).when((n % RESTATED["twice"] == 0) & at, 2).otherwise(1)
+    return (b.perf.withColumn("dpd90_cents", F.col("dpd90_cents") + changed.cast("long") * 100_000_000)
+            .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).drop("_copy"))
+
+
+def q_spot_check_restated(spark, sf_dir):
+    """The cohorts whose feed a second copy of performance does not give."""
+    b = book(spark, sf_dir)
+    found = spot.spot_check(b.loans, restated(b), b.feed, b.disb, b.cfg, YEAR_MOB).filter("verdict = 'FAIL'")
+    return found.select(*_labels(), _big("segment"), "feed_dpd90", "source_dpd90", "feed_tpos", "source_tpos", _r("off_cr"))
+
+
+def q_spot_loans(spark, sf_dir):
+    """The loans that make the difference, found by checksums of key ranges."""
+    b = book(spark, sf_dir)
+    return spot.differing_loans(b.perf, restated(b), YEAR_MOB, keys=b.loans)
+
+
 def q_reconcile_loss_rate(spark, sf_dir):
     b = book(spark, sf_dir)
     return checks.judge(checks.reconcile_loss_rate(b.triangles, b.loss, b.cfg), b.cfg)

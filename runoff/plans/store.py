@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from runoff.config import EclConfig, MobGrid, Window
+from runoff.config import EclConfig, MobGrid, MobList, Window
 
 JOURNAL = "run string, fingerprint string, config string, event string, table_name string, rows long, at long"
 WRITTEN, ACCEPTED, REJECTED = "written", "accepted", "rejected"
@@ -49,7 +49,7 @@ def config_from_text(text: str) -> EclConfig:
     for name in ("as_of", "start"):
         raw[name] = date.fromisoformat(raw[name])
     for name in ("extract_grid", "triangle_grid"):
-        raw[name] = MobGrid(**raw[name])
+        raw[name] = MobList(tuple(raw[name]["mobs"])) if "mobs" in raw[name] else MobGrid(**raw[name])
     raw["windows"] = tuple(Window(**w) for w in raw["windows"])
     return EclConfig(**{k: tuple(v) if isinstance(v, list) else v for k, v in raw.items()})
 

@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from runoff.sources.ranges import range_cuts, range_predicates
+
 LOANS_SCHEMA = T.StructType([
     T.StructField("loan_no", T.LongType(), False),
     T.StructField("customer_id", T.LongType(), False),
@@ -62,24 +64,16 @@ def jdbc_options(url: str, table: str, key: str, parts: int, numeric_bounds: tup
     return own
 
 
-def text_key_predicates(key: str, cuts: list[str]) -> list[str]:
-    """One WHERE clause per range of a text key: up to the first cut, between
-    neighbouring cuts, from the last one on, and the rows without a key."""
-    quoted = ["'" + c.replace("'", "''") + "'" for c in sorted(cuts)]
-    if not quoted:
-        return ["1 = 1"]
-    between = [f"{key} >= {a} AND {key} < {b}" for a, b in zip(quoted[:-1], quoted[1:])]
-    return [f"{key} < {quoted[0]}", *between, f"{key} >= {quoted[-1]}", f"{key} IS NULL"]
-
-
 def read_jdbc(spark: SparkSession, url: str, table: str, key: str, parts: int,
-              numeric_bounds: tuple[int, int] | None = None, text_cuts: list[str] | None = None,
+              numeric_bounds: tuple[int, int] | None = None, key_sample: DataFrame | None = None,
               properties: dict | None = None) -> DataFrame:
     """S1 / S2 from the warehouse, loans or performance, split on the loan
-    key: by bounds of a numeric one or by cuts of a text one."""
-    if text_cuts is not None:
-        return spark.read.jdbc(url, table, predicates=text_key_predicates(key, text_cuts),
-                               properties=properties or {})
+    key: by bounds of a numeric one, or into ranges that hold alike many of
+    the keys in ``key_sample`` (a table with a column ``key``, numbers or text,
+    such as the loans or those of the quarter before)."""
+    if key_sample is not None:
+        cuts = range_cuts(key_sample, key, parts)
+        return spark.read.jdbc(url, table, predicates=range_predicates(key, cuts), properties=properties or {})
     return spark.read.format("jdbc").options(
         **jdbc_options(url, table, key, parts, numeric_bounds), **(properties or {})).load()
 

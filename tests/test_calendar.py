@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from runoff.config import (MobGrid, fiscal_quarter_first_day, fiscal_quarter_last_day,
+from runoff.config import (EclConfig, MobGrid, MobList, fiscal_quarter_first_day, fiscal_quarter_last_day,
                            SegmentRequest, DEFAULT, fiscal_year_of, segment_of)
 from runoff.functions.calendar import (cohort_end, fiscal_quarter_label, max_mature_mob,
                                        whole_months)
@@ -68,3 +68,26 @@ def test_segment_requests():
     for bad in (("3", 97, 2000, 60), ("3", 2000, 1997, 84), ("9", 97, 2000, 84), ("3", "x", 2000, 84)):
         with pytest.raises(ValueError):
             SegmentRequest.read(DEFAULT, *bad)
+
+
+def test_months_at_unequal_steps(spark):
+    grid = MobList((1, 2, 6, 12, 31))
+    df = spark.createDataFrame([(m,) for m in (0, 1, 5, 6, 30, 31, 400, None)], "m int")
+    got = [r[0] for r in df.select(max_mature_mob(F.col("m"), grid)).collect()]
+    assert got == [-1, 1, 2, 6, 12, 31, 31, None]
+    # on the same months, a list and a grid agree
+    same, step = MobList(tuple(range(3, 121, 3))), MobGrid(3, 120, 3)
+    ages = spark.range(-5, 140).withColumn("m", F.col("id").cast("int"))
+    assert ages.filter(max_mature_mob(F.col("m"), same) != max_mature_mob(F.col("m"), step)).isEmpty()
+    for wrong in ((), (3, 3), (6, 3), (-1, 3)):
+        with pytest.raises(ValueError):
+            MobList(wrong)
+
+
+def test_months_that_a_run_cannot_do_without():
+    years = tuple(range(12, 121, 12))
+    EclConfig(extract_grid=MobList(years), triangle_grid=MobList(years))
+    with pytest.raises(ValueError, match="not extracted"):
+        EclConfig(triangle_grid=MobList((1, *years)))
+    with pytest.raises(ValueError, match="denominator needs the months"):
+        EclConfig(extract_grid=MobList(years), triangle_grid=MobList(years[1:]))

@@ -105,21 +105,12 @@ def test_extract_round_trip_is_exact(spark):
     assert perf.select("tpos_cents", "dpd90_cents").first() == (29, 101)  # half up
 
 
-def test_jdbc_options_and_text_key_ranges():
+def test_jdbc_options():
     # no database can be started here: the options are what is tested
     assert tables.jdbc_options("jdbc:x", "loans", "loan_no", 8, (1, 900)) == {
         "url": "jdbc:x", "dbtable": "loans", "partitionColumn": "loan_no", "lowerBound": "1", "upperBound": "900",
         "numPartitions": "8"}
     assert tables.jdbc_options("jdbc:x", "loans", "loan_no", 8) == {"url": "jdbc:x", "dbtable": "loans"}
-    assert tables.text_key_predicates("k", ["M", "D'x"]) == [
-        "k < 'D''x'", "k >= 'D''x' AND k < 'M'", "k >= 'M'", "k IS NULL"]
-    assert tables.text_key_predicates("k", []) == ["1 = 1"]
-
-
-def test_text_key_ranges_cover_every_row_once(spark):
-    df = spark.createDataFrame([(k,) for k in ("A", "D'x", "M", "Z", None, "")], "k string")
-    hits = [df.filter(p).count() for p in tables.text_key_predicates("k", ["M", "D'x"])]
-    assert hits == [2, 1, 2, 1] and sum(hits) == df.count()
 
 
 def test_parquet_sources_with_fixed_schemas(spark, tmp_path):
