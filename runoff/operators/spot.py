@@ -28,7 +28,7 @@ def spot_check(loans: DataFrame, perf: DataFrame, feed: DataFrame, disb: DataFra
                mob: int) -> DataFrame:
     """Per (cohort_end, segment): loans, disbursal, 90+ and TPOS at ``mob`` as
     the feed has them and as the sources have them (exact minor units), the
-    largest difference in crore and whether it is within the tolerance.  A
+    largest difference of amounts in cents and whether it is within the tolerance.  A
     cohort that only one side has is compared with zeros."""
     own = loans_in_window(loans, cfg).select("loan_no", "cohort_end", "segment", "amount_cents")
     # a loan's rows first: repeated ones must not count the loan again
@@ -46,9 +46,9 @@ def spot_check(loans: DataFrame, perf: DataFrame, feed: DataFrame, disb: DataFra
     pairs = [(f"feed_{x}", f"source_{x}") for x in ("loans", "disbursal", "dpd90", "tpos")]
     both = told.join(source, keys, "full_outer").fillna(0, [c for p in pairs for c in p])
     loans_off, *amounts_off = [F.abs(F.col(a) - F.col(b)) for a, b in pairs]
-    off = F.greatest(*amounts_off).cast("double") / float(MINOR_UNITS_PER_CRORE)
-    return both.withColumn("off_cr", off).withColumn(
-        "verdict", F.when((loans_off == 0) & (off <= cfg.tol), F.lit("PASS")).otherwise(F.lit("FAIL")))
+    off = F.greatest(*amounts_off)
+    return both.withColumn("off_cents", off).withColumn(
+        "verdict", F.when((loans_off == 0) & (off <= cfg.tol * MINOR_UNITS_PER_CRORE), F.lit("PASS")).otherwise(F.lit("FAIL")))
 
 
 def _sides(one: DataFrame, other: DataFrame, mob: int) -> DataFrame:

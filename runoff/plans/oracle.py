@@ -578,12 +578,12 @@ FROM (SELECT *, CASE WHEN wrong <> '' OR y1 > y2 THEN concat_ws('; ', nullif(wro
   LEFT JOIN (SELECT w.cohort_end, w.segment, SUM(dpd90_cents) AS d, SUM(tpos_cents) AS t FROM {source} s JOIN loans_w w USING (loan_no)
              WHERE s.mob = {YEAR_MOB} GROUP BY 1, 2) p USING (cohort_end, segment))"""
 
-    off = ("greatest(abs(feed_disbursal - source_disbursal), abs(feed_dpd90 - source_dpd90), abs(feed_tpos - source_tpos)) / 1e9")
+    off = ("greatest(abs(feed_disbursal - source_disbursal), abs(feed_dpd90 - source_dpd90), abs(feed_tpos - source_tpos))")
     sides = ", ".join(f"feed_{x}, source_{x}" for x in ("loans", "disbursal", "dpd90", "tpos"))
-    q["spot_check"] = W(f"""SELECT {LBL()}, CAST(segment AS BIGINT) AS segment, {sides}, round({off}, 8) AS off_cr,
-  CASE WHEN feed_loans = source_loans AND {off} <= {cfg.tol} THEN 'PASS' ELSE 'FAIL' END AS verdict FROM {at_one_mob('performance')}""")
+    q["spot_check"] = W(f"""SELECT {LBL()}, CAST(segment AS BIGINT) AS segment, {sides}, {off} AS off_cents,
+  CASE WHEN feed_loans = source_loans AND {off} <= {cfg.tol} * 1e9 THEN 'PASS' ELSE 'FAIL' END AS verdict FROM {at_one_mob('performance')}""")
     q["spot_check_restated"] = W(f"""SELECT {LBL()}, CAST(segment AS BIGINT) AS segment, feed_dpd90, source_dpd90, feed_tpos, source_tpos,
-  round({off}, 8) AS off_cr FROM {at_one_mob('restated')} WHERE {off} > {cfg.tol}""", spot)
+  {off} AS off_cents FROM {at_one_mob('restated')} WHERE {off} > {cfg.tol} * 1e9""", spot)
     q["spot_loans"] = W(f"""SELECT loan_no, r1 AS rows_1, COALESCE(r2, 0) AS rows_2, d1 AS dpd90_cents_1, t1 AS tpos_cents_1,
   COALESCE(d2, 0) AS dpd90_cents_2, COALESCE(t2, 0) AS tpos_cents_2, CASE WHEN r2 IS NULL THEN 'missing' WHEN r1 <> r2 THEN 'rows' ELSE 'amounts' END AS reason
 FROM (SELECT loan_no, COUNT(*) AS r1, CAST(SUM(dpd90_cents) AS BIGINT) AS d1, CAST(SUM(tpos_cents) AS BIGINT) AS t1

@@ -531,7 +531,7 @@ def q_spot_check(spark, sf_dir):
     b = book(spark, sf_dir)
     found = spot.spot_check(b.loans, b.perf, b.feed, b.disb, b.cfg, YEAR_MOB)
     return found.select(*_labels(), _big("segment"), "feed_loans", "source_loans", "feed_disbursal", "source_disbursal",
-                        "feed_dpd90", "source_dpd90", "feed_tpos", "source_tpos", _r("off_cr"), "verdict")
+                        "feed_dpd90", "source_dpd90", "feed_tpos", "source_tpos", "off_cents", "verdict")
 
 
 #: Which loans differ in a second copy of performance: one in so many has another
@@ -551,7 +551,7 @@ def q_spot_check_restated(spark, sf_dir):
     """The cohorts whose feed a second copy of performance does not give."""
     b = book(spark, sf_dir)
     found = spot.spot_check(b.loans, restated(b), b.feed, b.disb, b.cfg, YEAR_MOB).filter("verdict = 'FAIL'")
-    return found.select(*_labels(), _big("segment"), "feed_dpd90", "source_dpd90", "feed_tpos", "source_tpos", _r("off_cr"))
+    return found.select(*_labels(), _big("segment"), "feed_dpd90", "source_dpd90", "feed_tpos", "source_tpos", "off_cents")
 
 
 def q_spot_loans(spark, sf_dir):

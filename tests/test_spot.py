@@ -45,7 +45,7 @@ def test_a_tampered_row_fails_its_cohort_and_is_named(stored):
     other = b.perf.withColumn("tpos_cents", F.when((F.col("loan_no") == loan) & (F.col("mob") == 12), F.col("tpos_cents") + 200_000)
                               .otherwise(F.col("tpos_cents")))
     bad = spot.spot_check(b.loans, other, b.feed, b.disb, b.cfg, 12).filter("verdict = 'FAIL'").collect()
-    assert len(bad) == 1 and abs(bad[0]["off_cr"] - 2e-4) < 1e-6
+    assert len(bad) == 1 and abs(bad[0]["off_cents"] - 200_000) <= 1_000
     assert spot.spot_check(b.loans, other, b.feed, b.disb, b.cfg, 24).filter("verdict = 'FAIL'").isEmpty()
     named = spot.differing_loans(b.perf, other, 12, keys=b.loans)
     row = named.collect()
