@@ -19,10 +19,12 @@ Shards and blocks of queries have bounded sizes, one task takes a block
 against a shard, and a query's shard results are merged by rank.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
-components take no part, nor do rows with a null id; rows with equal ids
-count once (with their least vector); queries meet vectors of their length
-only; ties go to the smaller id; with fewer than k candidates all are given;
-an empty table gives no rows; other columns are not read.
+components take no part.  Every other row is a candidate of its own, whatever
+its id: rows without one come out with a null vec_id, and of rows with one id
+each is met by the others (a query by its copies too, and of queries with one
+id each has its own k, ranked from 1).  Queries meet vectors of their length
+only; ties go to the smaller id, null last; with fewer than k candidates all
+are given; an empty table gives no rows; other columns are not read.
 """
 from __future__ import annotations
 
@@ -60,9 +62,10 @@ def _quantile(p: float) -> float:
     return low
 
 
-def search_shard(x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarray, norm: float, k: int):
-    """Yields (query number, rows of x, scores) of each query's k nearest
-    found, nearest first, ties by id."""
+def search_shard(x: np.ndarray, ids: np.ndarray, rows: np.ndarray, q: np.ndarray, q_rows: np.ndarray, norm: float, k: int):
+    """Yields (query number, places in x, scores) of each query's k nearest
+    found, nearest first, ties by id; ``rows`` and ``q_rows`` tell whether a
+    candidate is the query's own row."""
     def lifted(v, size):
         v = v / size
         return np.hstack([v, np.sqrt(np.maximum(0, 1 - (v * v).sum(1)))[:, None]])
@@ -89,7 +92,7 @@ def search_shard(x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarra
              for edge, side in ((at - half, "left"), (at + half, "right"))]
     for i in range(len(q)):
         r, seen, found, scores = float(radius[i]), np.zeros(len(x), bool), np.zeros(0, np.int64), np.zeros(0)
-        seen[ids == q_ids[i]] = True  # the query's own row is no candidate
+        seen[rows == q_rows[i]] = True  # the query's own row is no candidate
         while True:
             if r >= 2:
                 new = np.flatnonzero(~seen)  # every vector is within this radius
@@ -116,23 +119,25 @@ def search_shard(x: np.ndarray, ids: np.ndarray, q: np.ndarray, q_ids: np.ndarra
         yield i, found[best], exact
 
 
-_FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+_FOUND = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+_NO_ID = np.iinfo(np.int64).max
 
 
 def _search(k: int, norm: float):
     def run(table: pa.Table) -> pa.Table:
         asks = table.column("asks").to_numpy(zero_copy_only=False)
         x = matrix(table.column("vec"), table.column("dim")[0].as_py())
-        ids = table.column("id").to_numpy()
+        missing = table.column("id").is_null().to_numpy()
+        ids, rows = table.column("id").fill_null(_NO_ID).to_numpy(), table.column("row").to_numpy()
         if asks.all() or not asks.any():
             return _FOUND.empty_table()
-        out = [[], [], []]
-        own, q_ids = ids[~asks], ids[asks]
-        for i, rows, scores in search_shard(x[~asks], own, x[asks], q_ids, norm, k):
-            out[0].append(np.full(len(rows), q_ids[i]))
-            out[1].append(own[rows])
-            out[2].append(scores)
-        return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in out], schema=_FOUND)
+        out = [[], [], [], [], []]
+        own, none = ids[~asks], missing[~asks]
+        for i, at, scores in search_shard(x[~asks], own, rows[~asks], x[asks], rows[asks], norm, k):
+            for column, found in zip(out, (np.full(len(at), rows[asks][i]), np.full(len(at), ids[asks][i]), own[at], scores, none[at])):
+                column.append(found)
+        row, query, found, score, none = map(np.concatenate, out)
+        return pa.Table.from_arrays([pa.array(row), pa.array(query), pa.array(found, mask=none), pa.array(score)], schema=_FOUND)
     return run
 
 
@@ -142,23 +147,22 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     query's k nearest vectors found, itself not among them."""
     rows = (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"),
                            F.coalesce(is_query, F.lit(False)).alias("asks"))
-            .where(F.col("id").isNotNull() & usable(F.col("vec")))
-            .withColumn("vec", F.col("vec").cast("array<double>")))
-    rows = written(rows.groupBy("id").agg(F.min("vec").alias("vec"), F.max("asks").alias("asks"))
-                   .withColumn("dim", F.size("vec")), "vectors")
+            .where(usable(F.col("vec"))).withColumn("vec", F.col("vec").cast("array<double>")))
+    # the number tells rows apart, and spreads those that are alike; it is written once
+    rows = written(rows.withColumn("dim", F.size("vec")).withColumn("row", F.monotonically_increasing_id()), "vectors")
     square = F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)
     n, asked, top = rows.agg(F.count("*"), F.sum(F.col("asks").cast("long")), F.max(F.sqrt(square))).first()
     shards, blocks = max(1, -(-n // SHARD)), max(1, -(-(asked or 0) // QUERIES))
-    candidates = (rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)))
+    candidates = (rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
                   .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-                  .select("dim", "shard", "block", "id", "vec", F.lit(False).alias("asks")))
-    queries = (rows.where("asks").withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+                  .select("dim", "shard", "block", "row", "id", "vec", F.lit(False).alias("asks")))
+    queries = (rows.where("asks").withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
                .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-               .select("dim", F.col("shard").cast("long").alias("shard"), "block", "id", "vec", "asks"))
+               .select("dim", F.col("shard").cast("long").alias("shard"), "block", "row", "id", "vec", "asks"))
     # norms a rounding above the largest would leave the sphere
     norm = float(top or 1.0) * (1 + 1e-12)
     found = (candidates.union(queries).groupBy("dim", "shard", "block")
-             .applyInArrow(_search(k, norm), "query_id long, vec_id long, score double"))
-    by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+             .applyInArrow(_search(k, norm), "query_row long, query_id long, vec_id long, score double"))
+    by = Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     return (found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

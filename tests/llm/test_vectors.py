@@ -90,14 +90,14 @@ def test_join_without_rows(spark):
 
 
 def brute_search(rows, k, query):
-    known = {}
-    for i, v in rows:
-        if i is not None and usable(v):
-            known[i] = min(known.get(i, v), v)
+    """{query id: its (vec_id, score) by rank}; of queries with one id, theirs one after another by their vectors."""
+    known = [(i, v) for i, v in rows if usable(v)]
     out = {}
-    for q in filter(query, known):
-        best = sorted((-float(np.dot(known[i], known[q])), i) for i in known if i != q and len(known[i]) == len(known[q]))
-        out[q] = [(i, -s) for s, i in best[:k]]
+    for at, (q, own) in sorted(enumerate(known), key=lambda r: r[1][1]):
+        if q is None or not query(q):
+            continue
+        best = sorted((-float(np.dot(v, own)), i is None, i or 0) for j, (i, v) in enumerate(known) if j != at and len(v) == len(own))
+        out.setdefault(q, []).extend((None if none else i, -s) for s, none, i in best[:k])
     return out
 
 
@@ -143,6 +143,23 @@ def test_search_edges_ties_and_few_candidates(spark):
     assert searched(frame(spark, [(1, [1.0])]), 20, F.col("vec_id") % 20 == 0) == {}
 
 
+def test_search_takes_every_row_for_a_candidate(spark):
+    rows = [(20, [1.0, 0.0]), (1, [0.9, 0.1]), (1, [0.8, 0.2]), (None, [0.9, 0.1]), (None, [0.95, 0.0]), (20, [1.0, 0.0]), (3, None)]
+    got = C.nearest(frame(spark, rows), F.col("vec_id") % 20 == 0, 4).collect()
+    own = [(1, 20, 1.0), (2, None, 0.95), (3, 1, 0.9), (4, None, 0.9)]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"] or 0, r["score"]) for r in got) == sorted(
+        (20, a, b or 0, c) for a, b, c in own * 2)
+    # one id for a third of all rows
+    rng = np.random.default_rng(5)
+    x = clusters(rng, 600, 12, 0.4)
+    many = [(7 if i % 3 == 0 else None if i % 50 == 1 else i, v) for i, v in enumerate(x.tolist())]
+    want = brute_search(many, 10, lambda i: i % 20 == 0)
+    scores = lambda found: {q: [s for _, s in v] for q, v in found.items()}
+    got, want = scores(searched(frame(spark, many), 10, F.col("vec_id") % 20 == 0)), scores(want)
+    hits = sum(a == pytest.approx(b, rel=1e-12) for q in want for a, b in zip(got[q], want[q]))
+    assert set(got) == set(want) and hits >= 0.9 * sum(map(len, want.values()))
+
+
 def test_search_query_recall(spark):
     rows = [(r.vec_id, [float(x) for x in r.embedding]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     want = brute_search(rows, 20, lambda i: i % 20 == 0)
