@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from runoff.llm import (
@@ -54,30 +54,32 @@ SCHEMAS = {"search": {"query": ("string", True), "limit": ("integer", True)},
 
 
 def conversation_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Tool calls and results that ``conversations`` stand for: a user's turn
-    calls a tool with arguments made of its text, the assistant's next turn is
-    the result under the same identifier.  A call uses the first turn of its
-    eight turns, and such a first one the conversation's first turn."""
-    turns = (conversations.where("conv_id is not null and turn is not null").groupBy("conv_id", "turn")
-             .agg(F.min(F.struct("role", "text")).alias("t")).select("conv_id", "turn", "t.role", "t.text"))
-
-    def name(turn):
-        return F.concat(F.lit("call_"), F.col("conv_id"), F.lit("_"), turn)
-
+    """Tool calls and results that ``conversations`` stand for: every user's
+    row calls a tool with arguments made of its text, every assistant's row is
+    a result.  A call's identifier names conversation, turn and text, so rows
+    that say different things in one turn are different calls; rows without
+    conversation or turn have none.  A call uses the first call (by identifier)
+    of the user's turn before it, within its eight turns of the conversation;
+    a result answers the first call of the turn before it."""
+    at = ["conv_id", "turn"]
+    rows = conversations.select(*at, "role", "text")
+    place = F.concat(F.lit("call_"), F.col("conv_id"), F.lit("_"), F.col("turn"))
+    own = F.concat(place, F.lit("_"), F.lpad(F.hex(F.crc32(F.coalesce("text", F.lit("")))), 8, "0"))
+    users = rows.where("role = 'user'").withColumn("call_id", own)
+    # at most eight rows a window: one for each turn that has a call
+    first = users.where("call_id is not null").groupBy(*at).agg(F.min("call_id").alias("first"))
+    eight = Window.partitionBy("conv_id", F.expr("turn div 8")).orderBy("turn")
+    used = first.withColumn("used", F.lag("first").over(eight)).where("used is not null").select(*at, "used")
     n = F.coalesce(F.length("text"), F.lit(0))
     limit = F.when(n % 7 == 0, F.to_json(F.struct(F.lit("all").alias("limit"), F.col("text").alias("query")))).otherwise(
         F.to_json(F.struct(n.alias("limit"), F.col("text").alias("query"))))
-    calls = turns.where("role = 'user'").select(
-        "conv_id", "turn", name(F.col("turn")).alias("call_id"),
-        F.get(F.lit(sorted(SCHEMAS)), F.pmod(F.expr("turn div 2"), F.lit(3)).cast("int")).alias("name"), "text",
-        F.when(F.col("turn") % 8 != 0, F.array(name(F.expr("turn - turn % 8")))).when(F.col("turn") > 0, F.array(
-            name(F.lit(0)))).otherwise(F.array().cast("array<string>")).alias("uses"), limit.alias("_limit"))
-    arguments = (F.when(F.col("name") == "search", F.col("_limit"))
+    name = F.get(F.lit(sorted(SCHEMAS)), F.pmod(F.expr("turn div 2"), F.lit(3)).cast("int"))
+    calls = users.withColumn("name", name).withColumn("arguments", F.when(F.col("name") == "search", limit)
                  .when(F.col("name") == "translate", F.to_json(F.struct("text", F.when(n % 2 == 0, "en").alias("to"))))
                  .otherwise(F.to_json(F.struct(F.split("text", " ", 5).alias("words")))))
-    results = turns.where("role = 'assistant'").select(
-        name(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
-    return calls.withColumn("arguments", arguments).drop("text", "_limit"), results
+    calls = calls.join(used, at, "left").select(*at, "call_id", "name", "arguments", F.array_compact(F.array("used")).alias("uses"))
+    answers = rows.where("role = 'assistant'").withColumn("turn", F.col("turn") - 1).join(first, at, "left")
+    return calls, answers.select(F.coalesce("first", place).alias("call_id"), F.col("text").alias("content"))
 
 
 def op5_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:

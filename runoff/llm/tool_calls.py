@@ -12,7 +12,8 @@ between tokens, no key left out.
 Rows stay separate (a line for each call), so a conversation with a third of
 all calls is not gathered in one task.
 
-Defined cases: calls without identifier cannot be linked (``no_id``); of
+Defined cases: calls and results without identifier cannot be linked (``no_id``
+and ``no_call``, each row of its own); of
 several calls or results with one identifier the least row counts; a result
 without a call (``no_call``), a call without a result (``no_result``), one in
 or behind a circle of uses (``cycle``) and one with invalid arguments
@@ -85,6 +86,8 @@ def format_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFra
             .agg(F.sort_array(F.collect_set(F.concat(F.lit("uses unknown call: "), "used"))).alias("lost")))
     linked = (known.join(answer, "call_id", "full").join(level, "call_id", "left").join(lost, "call_id", "left"))
     linked = linked.unionByName(named.where("call_id is null"), allowMissingColumns=True)
+    lone = results.where("call_id is null").select("call_id", F.struct(F.col("content").isNull().alias("none"), "content").alias("result"))
+    linked = linked.unionByName(lone, allowMissingColumns=True)
     errors = F.concat(argument_errors(schemas, F.col("call.name"), F.col("call.arguments")),
                       F.coalesce("lost", F.array().cast("array<string>")))
     status = (F.when(F.col("call").isNull(), "no_call").when(F.col("call_id").isNull(), "no_id")

@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from runoff.llm import tool_calls as T
 from runoff.llm.queries import QUERIES, SCHEMAS, conversation_calls
@@ -68,8 +69,8 @@ def test_linking_order_and_validation(spark):
     assert out.columns == ["conv_id", "turn", "call_id", "level", "status", "errors", "json"]
     rows = out.collect()
     got = {r.call_id: (r.level, r.status, r.errors) for r in rows if r.call_id is not None}
-    assert got == brute(calls, results, SCHEMAS) and len(rows) == len(got) + 1
-    assert [r.status for r in rows if r.call_id is None] == ["no_id"]
+    assert got == brute(calls, results, SCHEMAS) and len(rows) == len(got) + 2
+    assert sorted(r.status for r in rows if r.call_id is None) == ["no_call", "no_id"]
     by = {r.call_id: r.json for r in rows}
     for text in by.values():
         value = json.loads(text)
@@ -93,7 +94,34 @@ def test_query_equals_brute_force(spark):
     want = brute([tuple(r) for r in calls.select(*columns).collect()],
                  [tuple(r) for r in results.select("call_id", "content").collect()], SCHEMAS)
     rows = QUERIES["op5_tool_calls"](spark, SF).collect()
-    assert {r.call_id: (r.level, r.status, r.errors) for r in rows} == want and len(rows) == len(want)
+    known = [r for r in rows if r.call_id is not None]
+    assert {r.call_id: (r.level, r.status, r.errors) for r in known} == want and len(known) == len(want)
+    assert max(level for level, _, _ in want.values() if level is not None) >= 2
+    # chains, one call a user's text and turn, and no use of a call that is not there
+    turns = spark.read.parquet(f"{SF}/conversations.parquet").where("role = 'user'")
+    assert sum(r.status != "no_call" for r in known) == turns.where("conv_id is not null and turn is not null").select(
+        "conv_id", "turn", F.coalesce("text", F.lit(""))).distinct().count()
+    assert not any("unknown call" in e for r in rows for e in r.errors)
+
+
+def test_conversations_with_missing_and_repeated_turns(spark):
+    said = [(1, 0, "system", "s"), (1, 1, "user", "a"), (1, 2, "assistant", "A"), (1, 3, "user", "b"), (1, 3, "user", "c"),
+            (1, 3, "user", "c"), (1, 4, "assistant", None), (1, 5, "user", None), (1, 8, "user", "next eight"), (2, 0, "assistant", "lone"),
+            (None, 0, "user", "x"), (None, 0, "user", "x"), (1, None, "user", "y"), (1, None, "assistant", "z"), (3, 0, None, "?")]
+    df = spark.createDataFrame(said, "conv_id long, turn int, role string, text string").selectExpr("*", "1 AS call_id", "2 AS used")
+    calls, results = conversation_calls(df)
+    rows = T.format_calls(calls, results, SCHEMAS).collect()
+    by = {}
+    for r in rows:
+        by.setdefault((r.conv_id, r.turn, r.status), []).append(r)
+    assert [len(by[k]) for k in ((None, 0, "no_id"), (1, None, "no_id"), (None, None, "no_call"))] == [2, 1, 2]
+    linked = {r.call_id: r for r in rows if r.call_id is not None and r.status != "no_call"}
+    assert sorted((r.turn, r.level) for r in linked.values()) == [(1, 0), (3, 1), (3, 1), (5, 2), (8, 0)]
+    first = {t: min(i for i, r in linked.items() if r.turn == t) for t in (1, 3, 5)}
+    uses = {i: json.loads(r.json)["uses"] for i, r in linked.items()}
+    assert all(uses[i] == ([first[{3: 1, 5: 3}[r.turn]]] if r.turn in (3, 5) else []) for i, r in linked.items())
+    assert json.loads(linked[first[1]].json)["result"] == "A"
+    assert T.format_calls(*conversation_calls(df.limit(0)), SCHEMAS).isEmpty()
 
 
 def test_no_python_in_the_plan(spark):
