@@ -93,25 +93,35 @@ def _stars(e: DataFrame) -> bool:
     return by.where("up > 1 or (up = 1 and down = 1)").isEmpty()
 
 
+#: Alike rows that are placed as one.
+RUN = 1024
+
+
 def with_start(df: DataFrame, keys: list[str], order: list[Column], size: Column, out: str,
                chunks: int) -> DataFrame:
     """Adds ``out``: the sum of ``size`` over the rows before this one in its
     group of ``keys``, in an order that depends on the rows' contents only.
 
-    Rows go to ``chunks`` hash-chosen chunks of the group; chunk sums are added
-    up over the few chunks, rows within their chunk.  So a group that holds a third of
-    all rows is spread over all tasks.  ``order`` must tell apart all rows but
-    those that are alike.
+    Alike rows are counted first, before any exchange of theirs, and are runs of at
+    most ``RUN`` from then on, until they have their places.  Runs go to ``chunks`` hash-chosen
+    chunks of the group; chunk sums are added up over the few chunks, runs
+    within their chunk.  So a group that holds a third of all rows is spread
+    over all tasks, and so is one row that is repeated as often.  ``order``
+    must tell apart all rows but those that are alike in every column.
     """
-    chunk = df.withColumn("_chunk", F.pmod(F.xxhash64(*order), F.lit(chunks))).withColumn("_size", size)
+    alike = df.withColumn("_size", size).groupBy(*df.columns, "_size").agg(F.count(F.lit(1)).alias("_n"))
+    chunk = (alike.withColumn("_run", F.explode(F.expr(f"sequence(0L, (_n - 1) div {RUN})")))
+             .withColumn("_n", F.least(F.lit(RUN), F.col("_n") - F.col("_run") * RUN))
+             .withColumn("_chunk", F.pmod(F.xxhash64(*order, "_run"), F.lit(chunks))))
     by = [*keys, "_chunk"]
+    total = F.col("_size") * F.col("_n")
     # null keys form a group of their own
-    sums = chunk.groupBy(*by).agg(F.sum("_size").alias("_sum"))
+    sums = chunk.groupBy(*by).agg(F.sum(total).alias("_sum"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)],
                        F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
-    inner = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    rows = chunk.withColumn("_in", F.coalesce(F.sum("_size").over(inner), F.lit(0)))
+    inner = Window.partitionBy(*by).orderBy(*order, "_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = chunk.withColumn("_in", F.coalesce(F.sum(total).over(inner), F.lit(0)))
     on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(by)]
-    return (rows.join(base, on).withColumn(out, F.col("_base") + F.col("_in"))
-            .drop("_chunk", "_size", "_in", "_base", *[f"_k{i}" for i in range(len(by))]))
+    placed = runs.join(base, on).withColumn("_nth", F.explode(F.expr("sequence(0L, _n - 1)")))
+    return placed.select(*df.columns, (F.col("_base") + F.col("_in") + F.col("_nth") * F.col("_size")).alias(out))

@@ -46,7 +46,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runoff.llm.common import connected_components, parts_for, release, spread, tasks, tidied, written
@@ -376,13 +376,13 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def deduplicate(docs: DataFrame, percent: int = 75) -> DataFrame:
     """``docs`` with one row of each component of near-duplicate texts: that
-    with the smallest id.  Documents without words stay."""
-    kept = (jaccard_join(docs, percent=percent).where("keep")
-            .select("doc_id", "text_hash", (F.col("n_shingles") == 0).alias("empty")).distinct())
+    with the smallest id, any one of rows alike in id and text (they are one
+    before the exchange).  Documents without words stay."""
+    kept = jaccard_join(docs, percent=percent).where("keep and n_shingles > 0").select("doc_id", "text_hash").distinct()
     # the row's columns stay in one struct, so none of them can clash
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"),
                        F.xxhash64("text").alias("hash"))
-    alike = Window.partitionBy("id", "hash").orderBy(F.lit(1))
+    has_words = F.coalesce(F.col("row.text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     on = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
-    return (rows.withColumn("nth", F.row_number().over(alike)).join(kept, on)
-            .where("empty or nth = 1").select("row.*"))
+    one = rows.where(has_words).dropDuplicates(["id", "hash"]).join(kept, on)
+    return one.select("row.*").unionByName(rows.where(~has_words).select("row.*"))

@@ -1,0 +1,50 @@
+from pyspark.sql import functions as F
+
+from runoff.llm import ngram_join
+from runoff.llm.common import with_start
+from tests.llm.helpers import docs
+
+
+def starts(df, chunks=64):
+    return with_start(df, ["g"], [F.col("a"), F.col("size")], F.col("size"), "start", chunks)
+
+
+def test_starts_are_gapless_in_each_group(spark):
+    rows = [(g, a, size) for g in ("x", None) for a in (None, 1, 2, 2, 3) for size in (0, 1, 5)] * 3 + [("y", 9, 4)] * 3000
+    df = spark.createDataFrame(rows, "g string, a int, size long")
+    out = starts(df)
+    assert out.columns == ["g", "a", "size", "start"]
+    got = [tuple(r) for r in out.collect()]
+    key = lambda r: tuple((x is None, x or 0) if not isinstance(x, str) else (False, x) for x in r)
+    assert sorted((r[:3] for r in got), key=str) == sorted(rows, key=str)
+    for g in ("x", "y", None):
+        at = 0
+        for _, _, size, start in sorted((r for r in got if r[0] == g), key=lambda r: (r[3], r[2])):
+            assert start == at
+            at += size
+    # the order is one of contents, not of partitions
+    assert sorted(got, key=key) == sorted((tuple(r) for r in starts(df.repartition(5)).collect()), key=key)
+    assert starts(df.limit(0)).isEmpty()
+
+
+def test_one_row_repeated_is_spread_over_the_tasks(spark):
+    df = spark.range(0, 400_000, 1, 8).select(F.lit("s").alias("g"), F.lit(1).alias("a"), F.lit(3).cast("long").alias("size"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = starts(df, 512).groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count("*").alias("n"), F.min("start").alias("low"), F.max("start").alias("high"), F.sum("start").alias("sum")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sizes = sorted(r["n"] for r in out)
+    assert len(sizes) == 8 and sum(sizes) == 400_000 and sizes[-1] <= 2 * sizes[4]
+    assert (min(r["low"] for r in out), max(r["high"] for r in out)) == (0, 3 * 399_999)
+    assert sum(r["sum"] for r in out) == 3 * 400_000 * 399_999 // 2
+
+
+def test_copies_of_one_document_are_one_and_wordless_rows_stay(spark):
+    text = "one two three four five six seven"
+    rows = [(7, text, "a")] * 500 + [(3, text, "b")] * 500 + [(None, text, "c")] + [(1, None, "d"), (1, None, "d"), (2, " \t", "e")]
+    kept = ngram_join.deduplicate(docs(spark, rows)).collect()
+    assert sorted((r.doc_id, r.source) for r in kept) == [(1, "d"), (1, "d"), (2, "e"), (3, "b")]
