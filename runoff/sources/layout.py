@@ -22,12 +22,19 @@ layouts exclude each other: a bucketed table's files hold all periods.)
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runoff.functions.calendar import cohort_end
+from runoff.functions.joins import with_loan
 from runoff.sources.tables import LOAN_COLS, PERF_COLS
 
+#: A table by period is written by a task for so many loans, and the loans of a
+#: cohort are cut into as many slices as the book has of these.
+LOANS_A_TASK, LOANS_A_SLICE = 25_000, 10_000_000
+
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "loan_no") -> None:
     (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
@@ -47,12 +54,15 @@ def by_period(perf: DataFrame, loans: DataFrame) -> DataFrame:
     have neither, and no run needs them."""
     own = loans.select("loan_no", "disbursal_date")
     known = F.add_months(F.trunc("disbursal_date", "month"), F.col("mob"))
-    return perf.select(*PERF_COLS).join(own, "loan_no").select(
+    return with_loan(perf.select(*PERF_COLS), own).select(
         *PERF_COLS, cohort_end("disbursal_date").alias("cohort_end"), cohort_end(known).alias("period"))
 
 
 def write_by_period(perf: DataFrame, loans: DataFrame, path: str) -> None:
-    """Written with what tasks hold; a period's rows are dealt by cohort, so a
-    file spans few of them."""
-    (by_period(perf, loans).repartition("period", "cohort_end").sortWithinPartitions("period", "cohort_end", "loan_no")
+    """A period's rows are dealt by cohort, so a file spans few of them; those
+    of a large book's cohort are dealt in slices, which a task can sort in memory."""
+    n = loans.count()
+    tasks = max(math.ceil(n / LOANS_A_TASK), loans.sparkSession.sparkContext.defaultParallelism)
+    own_slice = F.pmod(F.xxhash64("loan_no"), F.lit(math.ceil(n / LOANS_A_SLICE) or 1))
+    (by_period(perf, loans).repartition(tasks, "period", "cohort_end", own_slice).sortWithinPartitions("period", "cohort_end", "loan_no")
      .write.partitionBy("period").parquet(path))
