@@ -115,3 +115,39 @@ def with_start(df: DataFrame, keys: list[str], order: list[Column], size: Column
     on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(by)]
     return (rows.join(base, on).withColumn(out, F.col("_base") + F.col("_in"))
             .drop("_chunk", "_size", "_in", "_base", *[f"_k{i}" for i in range(len(by))]))
+
+
+def running(df: DataFrame, at: str, cols: list[str], stretch: int = 4096) -> DataFrame:
+    """Adds ``<col>_before`` for each of ``cols``: its sum over the rows with a
+    smaller ``at``, a whole number from 0 that no two rows share.  Sums of
+    stretches of ``at`` are added up in one task, rows within their stretch."""
+    rows = df.withColumn("_stretch", F.expr(f"`{at}` div {stretch}"))
+    sums = rows.groupBy("_stretch").agg(*[F.sum(c).alias(c) for c in cols])
+    past = Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    base = sums.select(F.col("_stretch").alias("_of"), *[F.coalesce(F.sum(c).over(past), F.lit(0)).alias(f"_{c}") for c in cols])
+    inner = Window.partitionBy("_stretch").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    for c in cols:
+        rows = rows.withColumn(f"{c}_before", F.coalesce(F.sum(c).over(inner), F.lit(0)))
+    return (rows.join(base, F.col("_stretch") == F.col("_of"))
+            .select(*df.columns, *[(F.col(f"{c}_before") + F.col(f"_{c}")).alias(f"{c}_before") for c in cols]))
+
+
+def located(df: DataFrame, value: Column, total: int, spans: DataFrame, cols: list[str], parts: int,
+            spread: str | None = None) -> DataFrame:
+    """``df`` with the columns ``cols`` of the row of ``spans`` in whose stretch
+    (``start`` and ``length``; together they cover 0 to ``total``) ``value``
+    lies.  Rows and stretches meet in ``parts`` sections of the line, no pairs
+    are made.  Rows without a value stay, with columns of no meaning; they are
+    dealt to the sections by ``spread``."""
+    width = max(1, -(-(total or 0) // parts))
+    section = F.expr(f"_value div {width}")
+    if spread:
+        section = F.coalesce(section, F.pmod(F.xxhash64(spread), F.lit(parts)))
+    rows = df.withColumn("_value", value).select(F.struct(*df.columns).alias("_row"), "_value", section.alias("_section"))
+    ends = (spans.where("length > 0").select(F.struct(*cols).alias("_span"), F.col("start").alias("_value"), F.explode(
+        F.expr(f"sequence(start div {width}, (start + length - 1) div {width})")).alias("_section")))
+    both = rows.unionByName(ends, allowMissingColumns=True)
+    upto = (Window.partitionBy("_section").orderBy("_value", F.col("_row").isNotNull())
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (both.withColumn("_span", F.last("_span", ignorenulls=True).over(upto)).where("_row is not null")
+            .select("_row.*", "_span.*"))

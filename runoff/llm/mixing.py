@@ -19,8 +19,11 @@ words differ from its target by less than a block, and no document is taken
 more often than its source's passes, rounded up.
 
 No group of a source is ever in one task: positions and ranks come from
-chunked prefix sums, draws from ranges, and the joins' keys are blocks.  Only
-one row for each source comes to the driver.
+chunked prefix sums, draws from ranges, and the joins' keys are blocks.  There
+may be as many sources as documents: they are a table too, and only its sums
+come to the driver, a few numbers for each round of filling to the targets.
+Up to ``FEW`` sources are drawn from an alias table, a literal in the plan; of
+more, a slot's draw is looked up among the sources' stretches of a line.
 
 Defined cases: null, empty and white-space texts have size 0 and nothing is
 taken of them; a null source is a source of its own, ordered last; repeated
@@ -32,13 +35,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from runoff.llm.common import tasks, with_start, written
+from runoff.llm.common import located, running, tasks, with_start, written
 
 WEIGHTS = (3, 1, 2)
 BLOCK = 128
 #: Slots of a shard.
 SHARD = 8192
 UNIT = 1 << 53
+#: Sources that an alias table holds at most.
+FEW = 4096
 
 
 def n_words(text: Column) -> Column:
@@ -67,6 +72,33 @@ def water_filled(sizes: dict, weights: tuple = WEIGHTS, share: float = 1.5, limi
     return target
 
 
+def with_targets(sources: DataFrame, weights: tuple = WEIGHTS, share: float = 1.5, limit: float = 2) -> DataFrame:
+    """``sources`` (sid from 0 by code point, null last; source_size) with
+    ``target``: as ``water_filled`` has it.  The level only rises, so a round
+    needs the sums of those below it; every round is one aggregate."""
+    w = F.get(F.lit(list(weights)), F.pmod("sid", F.lit(len(weights))))
+    rows = sources.withColumn("_weight", w)
+
+    def over(level: float) -> Column:
+        return F.lit(level) * F.col("_weight") > limit * F.col("source_size")
+
+    def sums(level: float):
+        full = over(level)
+        return rows.where("source_size > 0").agg(
+            F.count_if(full).alias("n"), F.coalesce(F.sum(F.when(full, F.col("source_size"))), F.lit(0)).alias("full"),
+            F.sum(F.when(~full, F.col("_weight"))).alias("free"), F.sum("source_size").alias("size")).first()
+
+    level, at = 0.0, sums(0.0)
+    while at["free"]:
+        up = max(level, (share * at["size"] - limit * at["full"]) / at["free"])
+        after = sums(up)
+        level, n, at = up, at["n"], after
+        if after["n"] == n:
+            break
+    target = F.when(F.col("source_size") == 0, F.lit(0.0)).when(over(level), (limit * F.col("source_size")).cast("double"))
+    return rows.withColumn("target", target.otherwise(level * F.col("_weight"))).drop("_weight")
+
+
 def _uniform(seed: int, *cols: Column) -> Column:
     """A pseudorandom whole number from 0 to 2**53 - 1."""
     return F.pmod(F.xxhash64(F.lit(seed), *cols), F.lit(UNIT))
@@ -87,6 +119,18 @@ def _alias(p: list[float]) -> tuple[list[float], list[int]]:
     return keep, other
 
 
+def _numbered(sources: DataFrame) -> DataFrame:
+    """``sources`` (a row for each) with ``sid``: their number from 0, by code
+    point, null last; written."""
+    order = [F.col("source").isNull(), F.col("source")]
+    n = tasks(sources.sparkSession)
+    ranges = written(sources.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id().cast("long")), "ranges")
+    before = running(ranges.groupBy("part").agg(F.count("*").alias("n")), "part", ["n"]).select("part", "n_before")
+    nth = F.row_number().over(Window.partitionBy("part").orderBy(*order))
+    return written(ranges.withColumn("_nth", nth).join(before, "part").select(
+        (F.col("n_before") + F.col("_nth") - 1).cast("int").alias("sid"), "source", "source_size"), "sources")
+
+
 class Mix:
     """A mix of ``docs`` (source, text and doc_id columns)."""
 
@@ -95,61 +139,70 @@ class Mix:
         self.spark, self.block, self.shard, self.seed = docs.sparkSession, block, shard, seed
         slim = written(docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"),
                                    n_words(F.col("text")).alias("size")), "sizes")
-        sizes = {r["source"]: r["size"] for r in slim.groupBy("source").agg(F.sum("size").alias("size")).collect()}
-        target = water_filled(sizes, weights, share, limit)
-        rows = []
-        for sid, (s, t) in enumerate(target.items()):
-            size, words = sizes[s], round(t)
-            blocks, passes = -(-size // block), words // size if size else 0
-            rest = words - passes * size
-            slots = passes * blocks + -(-rest // block)
-            rows.append((sid, s, size, t, blocks, slots, passes + (rest > 0), rest - (-(-rest // block) - 1) * block
-                         if rest else block))
-        self.sources = rows
-        table = self.spark.createDataFrame(
-            rows, "sid int, source string, source_size long, target double, blocks long, slots long, passes int, cut long")
-        self.table = table
+        sources = with_targets(_numbered(slim.groupBy("source").agg(F.sum("size").alias("source_size"))), weights, share, limit)
+        # a target's whole passes, and of the words left the slots and the last slot's words
+        words, rest = F.rint("target").cast("long"), F.col("_rest")
+        self.table = (sources.withColumn("blocks", F.expr(f"(source_size + {block - 1}) div {block}"))
+                      .withColumn("_words", words).withColumn("_whole", F.expr("if(source_size > 0, _words div source_size, 0L)"))
+                      .withColumn("_rest", F.expr("_words - _whole * source_size"))
+                      .withColumn("_parts", F.expr(f"(_rest + {block - 1}) div {block}"))
+                      .select("sid", "source", "source_size", "target", "blocks",
+                              F.expr("_whole * blocks + _parts").alias("slots"),
+                              (F.col("_whole") + (rest > 0).cast("int")).cast("int").alias("passes"),
+                              F.when(rest > 0, rest - (F.col("_parts") - 1) * block).otherwise(block).cast("long").alias("cut")))
+        self.total, self.n_sources = self.table.agg(F.coalesce(F.sum("slots"), F.lit(0)), F.count("*")).first()
         of = slim.withColumnRenamed("source", "_source").join(
-            table.select("sid", "source", "source_size", "target"), F.col("_source").eqNullSafe(F.col("source"))).drop("_source")
+            self.table.select("sid", "source", "source_size", "target"), F.col("_source").eqNullSafe(F.col("source"))).drop("_source")
         order = [F.col("doc_id"), F.col("text_hash"), F.col("size")]
         self.docs = written(with_start(of, ["sid"], order, F.col("size"), "start", 8 * tasks(self.spark)), "starts")
 
+    @property
+    def sources(self) -> list:
+        """The rows of ``table`` by sid, at the driver: for few sources."""
+        return self.table.orderBy("sid").collect()
+
+    def _drawn(self) -> DataFrame:
+        """shard, slot and the sid that it draws."""
+        ids = self.spark.range(0, self.total, 1, tasks(self.spark)).select(
+            F.expr(f"id div {self.shard}").alias("shard"), F.col("id").alias("slot"))
+        if self.n_sources > FEW:
+            spans = running(self.table.select("sid", F.col("slots").alias("length")), "sid", ["length"])
+            spans = spans.withColumnRenamed("length_before", "start")
+            at = F.pmod(F.xxhash64(F.lit(self.seed), F.lit("source"), "slot"), F.lit(self.total))
+            return located(ids, at, self.total, spans, ["sid"], 8 * tasks(self.spark))
+        keep, other = _alias([r["slots"] / self.total for r in self.sources])
+        keep = F.lit([int(x * UNIT) for x in keep])
+        column = F.pmod(F.xxhash64(F.lit(self.seed), F.lit("column"), "slot"), F.lit(len(other))).cast("int")
+        return ids.withColumn("c", column).select(
+            "shard", "slot", F.when(_uniform(self.seed, F.lit("keep"), F.col("slot")) < F.get(keep, F.col("c")), F.col("c"))
+            .otherwise(F.get(F.lit(other), F.col("c"))).alias("sid"))
+
     def slots(self) -> DataFrame:
         """shard, slot, sid and k: every slot is the k-th of its source."""
-        total = sum(r[5] for r in self.sources)
-        if not total:
+        if not self.total:
             return self.spark.createDataFrame([], "shard long, slot long, sid int, k long")
-        keep, other = _alias([r[5] / total for r in self.sources])
-        keep = F.lit([int(x * UNIT) for x in keep])
-        column = F.pmod(F.xxhash64(F.lit(self.seed), F.lit("column"), "id"), F.lit(len(other))).cast("int")
-        drawn = (self.spark.range(0, total, 1, tasks(self.spark))
-                 .withColumn("c", column)
-                 .select(F.expr(f"id div {self.shard}").alias("shard"), F.col("id").alias("slot"),
-                         F.when(_uniform(self.seed, F.lit("keep"), F.col("id")) < F.get(keep, F.col("c")), F.col("c"))
-                         .otherwise(F.get(F.lit(other), F.col("c"))).alias("sid")))
+        drawn = self._drawn()
         counts = written(drawn.groupBy("sid", "shard").agg(F.count("*").alias("n")), "draws")
         before = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
         base = counts.select("sid", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+        # what a source drew beyond its slots, in one line, fills the others' gaps in one line
+        got = counts.groupBy("sid").agg(F.sum("n").alias("got"))
+        lines = written(running(
+            self.table.select("sid", F.col("slots").alias("need")).join(got, "sid", "left").na.fill(0, ["got"])
+            .withColumn("over", F.greatest(F.lit(0), F.col("got") - F.col("need")))
+            .withColumn("gap", F.greatest(F.lit(0), F.col("need") - F.col("got"))), "sid", ["over", "gap"]), "lines")
+        base = base.join(lines.select("sid", "need", "over_before"), "sid")
         nth = Window.partitionBy("sid", "shard").orderBy("slot")
         ranked = (drawn.withColumn("nth", F.row_number().over(nth)).join(base, ["sid", "shard"])
-                  .select("shard", "slot", "sid", (F.col("base") + F.col("nth") - 1).alias("k")))
-        # what a source drew beyond its slots, in one line, fills the others' gaps in one line
-        got = {r["sid"]: r["n"] for r in counts.groupBy("sid").agg(F.sum("n").alias("n")).collect()}
-        need = [r[5] for r in self.sources]
-        over, gap = [0], [0]
-        for sid, n in enumerate(need):
-            over.append(over[-1] + max(0, got.get(sid, 0) - n))
-            gap.append(gap[-1] + max(0, n - got.get(sid, 0)))
-        needs, overs, gaps = F.lit(need), F.lit(over), F.lit(gap)
-        line = F.get(overs, F.col("sid")) + F.col("k") - F.get(needs, F.col("sid"))
-        to = F.size(F.filter(gaps, lambda g: g <= F.col("line"))) - 1
-        has = F.lit([got.get(i, 0) for i in range(len(need))])
-        inside = F.col("k") < F.get(needs, F.col("sid"))
-        return (ranked.withColumn("line", F.when(~inside, line)).withColumn("to", F.when(~inside, to))
-                .select("shard", "slot",
-                        F.when(inside, F.col("sid")).otherwise(F.col("to")).cast("int").alias("sid"),
-                        F.when(inside, F.col("k"))
-                        .otherwise(F.get(has, F.col("to")) + F.col("line") - F.get(gaps, F.col("to"))).alias("k")))
+                  .withColumn("k", F.col("base") + F.col("nth") - 1)
+                  .select("shard", "slot", "sid", "k", F.when(F.col("k") >= F.col("need"),
+                                                              F.col("over_before") + F.col("k") - F.col("need")).alias("line")))
+        gaps = lines.select(F.col("sid").alias("to"), "got", F.col("gap_before").alias("start"), F.col("gap").alias("length"))
+        size = lines.agg(F.sum("gap")).first()[0]
+        filled = located(ranked, F.col("line"), size, gaps, ["to", "got", "start"], 8 * tasks(self.spark), spread="slot")
+        outside = F.col("line").isNotNull()
+        return filled.select("shard", "slot", F.when(outside, F.col("to")).otherwise(F.col("sid")).alias("sid"),
+                             F.when(outside, F.col("got") + F.col("line") - F.col("start")).otherwise(F.col("k")).alias("k"))
 
     def blocks(self) -> DataFrame:
         """shard, slot, sid, block, pass and words: which block each slot
@@ -170,12 +223,13 @@ class Mix:
         sums = sums.select("sid", "pass", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
         inner = Window.partitionBy("sid", "pass", "range").orderBy("h", "block")
         ranked = (hashed.withColumn("range", span).withColumn("nth", F.row_number().over(inner))
-                  .join(sums, ["sid", "pass", "range"])
+                  .join(sums.hint("merge"), ["sid", "pass", "range"])
                   .withColumn("k", F.col("pass") * F.col("blocks") + F.col("base") + F.col("nth") - 1)
                   .where("k < slots")
                   .select("sid", "pass", "block", "k",
                           F.when(F.col("k") == F.col("slots") - 1, F.col("cut")).otherwise(self.block).alias("words")))
-        return ranked.join(self.slots(), ["sid", "k"]).select("shard", "slot", "sid", "block", "pass", "words")
+        # the planner takes what is exploded from few sources for few rows, and would broadcast it
+        return ranked.hint("merge").join(self.slots(), ["sid", "k"]).select("shard", "slot", "sid", "block", "pass", "words")
 
     def spans(self) -> DataFrame:
         """sid, start (of the document in its source), pass, low and high: the
@@ -184,7 +238,7 @@ class Mix:
         pieces = (self.docs.where("size > 0")
                   .withColumn("block", F.explode(F.expr(f"sequence(start div {b}, (start + size - 1) div {b})")))
                   .select("sid", "start", "size", "block"))
-        return (pieces.join(self.blocks(), ["sid", "block"])
+        return (pieces.join(self.blocks().hint("merge"), ["sid", "block"])
                 .select("sid", "start", "pass", "shard", "slot",
                         F.greatest(F.lit(0), F.col("block") * b - F.col("start")).alias("low"),
                         F.least(F.col("size"), F.col("block") * b + F.col("words") - F.col("start")).alias("high"))

@@ -1,7 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from runoff.llm import mixing
+from runoff.llm.common import located, running
 from runoff.llm.queries import QUERIES
 from tests.llm.helpers import SF, docs, words
 
@@ -98,3 +101,42 @@ def test_mixed_texts_hold_the_words_taken(spark):
 def test_no_python_in_the_plan(spark):
     plan = mixing.Mix(docs(spark, [(1, "a b c", "s")])).documents()._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_targets_of_a_table_as_of_a_dict(spark):
+    rng = random.Random(3)
+    for n, limit in ((1, 2), (7, 2), (60, 2), (200, 1.75)):
+        sizes = {f"s{i:03}": int(rng.paretovariate(0.6)) if rng.random() < 0.9 else 0 for i in range(n)}
+        table = spark.createDataFrame([(i, s, sizes[s]) for i, s in enumerate(sorted(sizes))], "sid int, source string, source_size long")
+        got = {r.source: r.target for r in mixing.with_targets(table, limit=limit).collect()}
+        assert got == pytest.approx(mixing.water_filled(sizes, limit=limit), rel=1e-12)
+        assert limit != 2 or got == mixing.water_filled(sizes)
+
+
+def test_as_many_sources_as_documents(spark):
+    rows = [(i, " ".join(["w"] * (i % 23)), f"s{i}") for i in range(mixing.FEW + 900)] + [(-1, "a b c", None)]
+    mix = mixing.Mix(docs(spark, rows), block=8, shard=64)
+    slots = mix.slots()
+    # the driver has no list of them, nor has the plan
+    assert len(slots._jdf.queryExecution().toString()) < 150_000
+    need, got = {r[0]: r[5] for r in mix.sources}, {}
+    for r in slots.collect():
+        got.setdefault(r.sid, []).append((r.k, r.slot))
+    assert {sid: n for sid, n in need.items() if n} == {sid: len(v) for sid, v in got.items()}
+    assert all(sorted(k for k, _ in v) == list(range(need[sid])) for sid, v in got.items())
+    assert sorted(s for v in got.values() for _, s in v) == list(range(sum(need.values())))
+    by = summary(mix.documents().collect(), 8)
+    assert {s: v[2] for s, v in by.items()} == pytest.approx(mixing.water_filled({s: v[0] for s, v in by.items()}))
+
+
+def test_running_sums_and_places(spark):
+    sizes = [3, 0, 5, 1, 0, 12, 4]
+    spans = running(spark.createDataFrame(list(enumerate(sizes)), "sid int, length long"), "sid", ["length"], stretch=3)
+    assert [r.length_before for r in spans.orderBy("sid").collect()] == [sum(sizes[:i]) for i in range(len(sizes))]
+    spans = spans.withColumnRenamed("length_before", "start")
+    line = [i for i, n in enumerate(sizes) for _ in range(n)]
+    df = spark.createDataFrame([(i, i if i < len(line) else None) for i in range(len(line) + 5)], "id long, at long")
+    for parts in (1, 4, 100):
+        out = located(df, F.col("at"), len(line), spans, ["sid"], parts, spread="id").collect()
+        assert sorted(r.id for r in out) == list(range(len(line) + 5))
+        assert all(r.sid == line[r.at] for r in out if r["at"] is not None)
