@@ -29,11 +29,12 @@ from pyspark.sql import functions as F
 
 from runoff.functions.calendar import cohort_end
 from runoff.functions.joins import with_loan
+from runoff.session import without_shuffles
 from runoff.sources.tables import LOAN_COLS, PERF_COLS
 
-#: A table by period is written by a task for so many loans, and the loans of a
-#: cohort are cut into as many slices as the book has of these.
-LOANS_A_TASK, LOANS_A_SLICE = 25_000, 10_000_000
+#: Loans that one task writes of a table by period, at least and at most: those of
+#: a few cohorts, or a slice of a large cohort's.
+LOANS_A_TASK, LOANS_A_SLICE = 25_000, 100_000
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "loan_no") -> None:
@@ -52,17 +53,48 @@ def by_period(perf: DataFrame, loans: DataFrame) -> DataFrame:
     """Performance with its loan's ``cohort_end``, and ``period``: the end of
     the quarter in which the row's month on book falls.  Rows without a loan
     have neither, and no run needs them."""
-    own = loans.select("loan_no", "disbursal_date")
+    return _dated(with_loan(perf.select(*PERF_COLS), loans.select("loan_no", "disbursal_date")))
+
+
+def _dated(rows: DataFrame) -> DataFrame:
     known = F.add_months(F.trunc("disbursal_date", "month"), F.col("mob"))
-    return with_loan(perf.select(*PERF_COLS), own).select(
-        *PERF_COLS, cohort_end("disbursal_date").alias("cohort_end"), cohort_end(known).alias("period"))
+    return rows.select(*PERF_COLS, cohort_end("disbursal_date").alias("cohort_end"), cohort_end(known).alias("period"))
+
+
+def _dealt(loans: DataFrame):
+    """(writers, number): how many tasks write the table, and the number from 0
+    of the one that has a loan.  Cohorts in order fill a task, large ones are
+    cut in even slices; the calendar bounds how many cohorts there are."""
+    cohort = cohort_end("disbursal_date").cast("string")
+    counts = {r[0]: r[1] for r in loans.groupBy(cohort).count().collect()}
+    each = math.ceil(sum(counts.values()) / loans.sparkSession.sparkContext.defaultParallelism)
+    most = min(LOANS_A_SLICE, max(LOANS_A_TASK, each))
+    slices = {c: math.ceil(counts[c] / most) for c in sorted(counts, key=lambda c: (c is not None, c or ""))}
+    first, writers, room = {}, 0, 0
+    for c, n in slices.items():
+        if n > 1 or room < counts[c]:
+            first[c], writers, room = writers, writers + n, most - counts[c] if n == 1 else 0
+        else:
+            first[c], room = writers - 1, room - counts[c]
+    place = F.create_map(*[F.lit(x) for c in first if c is not None for x in (c, f"{first[c]},{slices[c]}")] or [F.lit(""), F.lit("")])
+    place = F.split(F.coalesce(F.try_element_at(place, cohort), F.lit("0,1")), ",")
+    return max(writers, 1), place[0].cast("int") + F.pmod(F.xxhash64("loan_no"), place[1].cast("long")).cast("int")
 
 
 def write_by_period(perf: DataFrame, loans: DataFrame, path: str) -> None:
-    """A period's rows are dealt by cohort, so a file spans few of them; those
-    of a large book's cohort are dealt in slices, which a task can sort in memory."""
-    n = loans.count()
-    tasks = max(math.ceil(n / LOANS_A_TASK), loans.sparkSession.sparkContext.defaultParallelism)
-    own_slice = F.pmod(F.xxhash64("loan_no"), F.lit(math.ceil(n / LOANS_A_SLICE) or 1))
-    (by_period(perf, loans).repartition(tasks, "period", "cohort_end", own_slice).sortWithinPartitions("period", "cohort_end", "loan_no")
-     .write.partitionBy("period").parquet(path))
+    """A task writes the rows of a few cohorts' loans, or of a slice of them
+    that it can sort in memory, so a file spans few cohorts.  On the way there
+    a loan's rows are one row of arrays: a third of the bytes of rows apart."""
+    own = loans.select("loan_no", "disbursal_date")
+    writers, number = _dealt(own)
+    rows = with_loan(perf.select(*PERF_COLS), own)
+    fields = [c for c in PERF_COLS if c != "loan_no"]
+    packed = (rows.groupBy("loan_no", "disbursal_date").agg(F.collect_list(F.struct(*fields)).alias("_rows"))
+              .select("loan_no", "disbursal_date", *[F.col("_rows")[c].alias(c) for c in fields])
+              .repartitionById(writers, number))
+    rows = (packed.select("loan_no", "disbursal_date", F.explode(F.arrays_zip(*fields)).alias("_row"))
+            .select("loan_no", "disbursal_date", *[F.col("_row")[c].alias(c) for c in fields]))
+    # encoded as differences: a period's loans are in order
+    with without_shuffles(perf.sparkSession):
+        (_dated(rows).sortWithinPartitions("period", "cohort_end", "loan_no").write.partitionBy("period")
+         .option("parquet.writer.version", "PARQUET_2_0").option("compression", "zstd").parquet(path))
