@@ -140,3 +140,16 @@ def test_running_sums_and_places(spark):
         out = located(df, F.col("at"), len(line), spans, ["sid"], parts, spread="id").collect()
         assert sorted(r.id for r in out) == list(range(len(line) + 5))
         assert all(r.sid == line[r.at] for r in out if r["at"] is not None)
+
+
+def test_texts_of_more_sources_than_an_alias_table_holds(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "FEW", 3)
+    rows = [(i, " ".join(f"w{i}_{j}" for j in range(3 * i % 50)), f"s{i % 41}") for i in range(120)]
+    sizes, taken = {}, {}
+    for r in rows:
+        sizes[r[2]] = sizes.get(r[2], 0) + len(r[1].split())
+    for r in mixing.mixed_texts(docs(spark, rows), block=8).collect():
+        own, source = r.text.split(), iter(rows[r.doc_id][1].split())
+        assert all(w in source for w in own)
+        taken[r.source] = taken.get(r.source, 0) + len(own)
+    assert all(abs(taken.get(s, 0) - t) <= 8 for s, t in mixing.water_filled(sizes).items())
